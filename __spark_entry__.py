@@ -58,9 +58,18 @@ def _interactions(spark: SparkSession, folder: str, *keep: str, country: bool =
 
 
 def _feed(spark: SparkSession, folder: str) -> DataFrame:
-    """The interactions as a stream of JSON messages, the stand-in for a topic."""
-    lifted = ev.lift(ev.stream_events(spark, folder), ev.read_nations(spark, folder))
-    return ingest.encode(lifted)
+    """The interactions as a stream of JSON messages, the stand-in for a topic: the event id is
+    the offset in a single partition, the event time the time of arrival."""
+    lifted = ev.lift(ev.stream_events(spark, folder), ev.read_nations(spark, folder), "event_id")
+    return lifted.select(
+        ingest.encode_event().alias("value"), "timestamp",
+        F.lit(0).alias("partition"), F.col("event_id").alias("offset"))
+
+
+def _log_rows(spark: SparkSession, folder: str, country: bool = False) -> DataFrame:
+    """Interactions with their position in the feed, which decides between two writes of a key."""
+    return _interactions(spark, folder, "event_id", country=country).withColumnRenamed(
+        "event_id", "ingest_offset")
 
 
 def _faulty_feed(spark: SparkSession, folder: str) -> DataFrame:
@@ -200,17 +209,18 @@ def interaction_log_latest(spark, folder):
 def interaction_log_upsert(spark, folder):
     """A keyed log written twice and compacted in between; the second write wins."""
     table = Tables(spark, working_dir(spark, "log")).interaction_logs
-    rows = _interactions(spark, folder, country=True)
+    rows = _log_rows(spark, folder, country=True)
+    corrected = rows.filter(F.col("interaction_type") != "profile_updated")
     table.write_batch(rows.withColumn("interaction_type", F.lit("search_performed")), 0)
     table.compact()
-    table.write_batch(rows.filter(F.col("interaction_type") != "profile_updated"), 1)
-    table.write_batch(rows.filter(F.col("interaction_type") != "profile_updated"), 1)
+    table.write_batch(corrected, 1)
+    table.write_batch(corrected, 1)
     return table.latest()
 
 
 def student_timelines(spark, folder):
     table = Tables(spark, working_dir(spark, "log")).interaction_logs
-    table.append(_interactions(spark, folder))
+    table.append(_log_rows(spark, folder))
     return table.in_key_order()
 
 
@@ -516,6 +526,17 @@ def _frequent_sql(pairs: str) -> str:
   qualify rank <= 5"""
 
 
+
+
+def _logged_sql(columns: str, at: str, late_first: str = "event_id desc") -> str:
+    """The keyed log: one row per (student, ``at``), the last one in the feed."""
+    return f"""
+  select {columns} from lifted
+  qualify row_number() over (partition by student_id, {at} order by {late_first}) = 1"""
+
+
+_SECOND = """date_trunc('second', "timestamp")"""
+
 _CURRENT = """
   select course_code, "timestamp", active_users, engagement_score, total_popularity
   from ({windows})
@@ -606,13 +627,13 @@ def oracle_sql() -> dict[str, str]:
   qualify row_number() over (
     partition by student_id, cast("timestamp" as date)
     order by "timestamp" desc, event_id desc) = 1""",
-        "interaction_log_upsert": f"""{lift}
-  select student_id, course_code,
+        "interaction_log_upsert": lift + _logged_sql(
+            """student_id, course_code,
          case interaction_type when 'profile_updated' then 'search_performed'
               else interaction_type end as interaction_type,
-         "timestamp", duration, location_country, location_city
-  from lifted""",
-        "student_timelines": f"{lift} select {_FLAT_NO_COUNTRY} from lifted",
+         "timestamp", duration, location_country, location_city""",
+            '"timestamp"', "interaction_type = 'profile_updated', event_id desc"),
+        "student_timelines": lift + _logged_sql(_FLAT_NO_COUNTRY, '"timestamp"'),
         "student_logs":
             flat.replace('"timestamp", duration', '"timestamp" as timestamp_interaction, duration'),
         "landed_interactions": flat_wire,
@@ -666,15 +687,15 @@ def oracle_sql() -> dict[str, str]:
         "interaction_quality": lift + _REPORT.format(types=types, source="lifted"),
         "damaged_feed_quality":
             f"{lift}, {_FAULTY}" + _REPORT.format(types=types, source="received"),
-        "stream_interaction_log": flat_wire,
+        "stream_interaction_log": lift + _logged_sql(_FLAT_WIRE, _SECOND),
         "stream_popularity_complete": lift + hourly,
         "stream_popularity_update": lift + hourly,
         "stream_popularity_append": f"""{lift} select * from ({hourly})
   where window_start + interval 1 hour
         <= (select max("timestamp") from lifted) - interval 1 hour""",
         "stream_popularity_job": f"""{lift}, logged as (
-    select course_code, count(*) as logged from (
-      select distinct on (student_id, date_trunc('second', "timestamp")) course_code from lifted)
+    select course_code, count(*) as logged
+    from ({_logged_sql("course_code", _SECOND)})
     group by 1
   )
   select * from ({_CURRENT.format(windows=wire_windows)}) join logged using (course_code)""",
