@@ -29,28 +29,33 @@ def dense_index(pairs: DataFrame, label: str, index: str, folder: str | None = N
 
     Labels are range-partitioned by that order, so a row's number is its position inside its
     partition plus the sizes of the partitions before it. No label visits the driver and no task
-    sorts more than its own range. Positions are written out once: offsets and rows then come
-    from the same files even if an executor is lost in between.
+    sorts more than its own range. Positions are written out before they are added up: offsets and
+    rows then come from the same files even if an executor is lost in between. The numbered
+    table is written too, so joins know its true size.
     """
     spark = pairs.sparkSession
     folder = folder or working_dir(spark, f"index-{label}")
-    position = F.monotonically_increasing_id()  # partition number above 33 bits of position
+    tagged = F.monotonically_increasing_id()  # partition number above 33 bits of position
     (
         pairs.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.desc("n"), F.asc(label))
-        .select(label, position.alias("position"))
+        .select(label, tagged.alias("tagged"))
         .select(
             label,
-            F.shiftright("position", 33).alias("part"),
-            F.col("position").bitwiseAND(F.lit((1 << 33) - 1)).alias("position"),
+            F.shiftright("tagged", 33).alias("part"),
+            F.col("tagged").bitwiseAND(F.lit((1 << 33) - 1)).alias("position"),
         )
-        .write.parquet(folder)
+        .write.parquet(f"{folder}/placed")
     )
-    placed = spark.read.parquet(folder)
+    placed = spark.read.parquet(f"{folder}/placed")
     sizes = placed.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
     # One row per partition of the sort above, so this window and the broadcast are always small.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
-    return placed.join(F.broadcast(offsets), "part").select(
-        label, (F.col("offset") + F.col("position")).cast("int").alias(index))
+    (
+        placed.join(F.broadcast(offsets), "part")
+        .select(label, (F.col("offset") + F.col("position")).cast("int").alias(index))
+        .write.parquet(f"{folder}/numbered")
+    )
+    return spark.read.parquet(f"{folder}/numbered")
