@@ -1,0 +1,224 @@
+import json
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from coursepulse import model
+from coursepulse.operators import ingest
+from coursepulse.operators import popularity as pop
+from coursepulse.plans import Tables, popularity_job
+from coursepulse.sinks.external import external_batch_writer
+from coursepulse.streaming import (
+    PopularityStore,
+    await_all,
+    start_console,
+    start_interaction_log,
+    start_popularity,
+)
+from helpers import at, event, rows_of, write_lines
+
+ONCE = {"availableNow": True}
+
+
+class Feed:
+    """A growing folder of JSON lines, streamed as messages."""
+
+    def __init__(self, spark, path):
+        self.spark, self.path, self.files = spark, path, 0
+        path.mkdir(parents=True, exist_ok=True)
+
+    def add(self, *events):
+        write_lines(self.path / f"{self.files:04d}.json", events)
+        self.files += 1
+
+    def messages(self):
+        return self.spark.readStream.text(str(self.path))
+
+    def interactions(self):
+        return ingest.interactions_from(self.messages())
+
+
+@pytest.fixture
+def feed(spark, tmp_path):
+    return Feed(spark, tmp_path / "feed")
+
+
+def seen(student, time, kind="course_viewed", course="C"):
+    return event(student, course, kind, f"2024-01-01 {time}")
+
+
+def hours(store):
+    return {r.window_start.hour: r.active_users for r in store.windows().collect()}
+
+
+# (student, time) per run and the course's active users per hour as a reader sees them.
+RUNS = [("a", "10:05:00"), ("b", "20:00:00"), ("c", "10:10:00"), ("d", "23:00:00")]
+EXPECTED = {
+    "complete": [{10: 1}, {10: 1, 20: 1}, {10: 2, 20: 1}, {10: 2, 20: 1, 23: 1}],
+    "update": [{10: 1}, {10: 1, 20: 1}, {10: 1, 20: 1}, {10: 1, 20: 1, 23: 1}],
+    "append": [{}, {10: 1}, {10: 1}, {10: 1, 20: 1}],
+}
+
+
+@pytest.mark.parametrize("exact", [True, False])
+@pytest.mark.parametrize("mode", ["complete", "update", "append"])
+def test_late_events(spark, feed, tmp_path, mode, exact):
+    """Complete mode counts the late event; the bounded modes drop it. Every run restarts from
+    the checkpoint."""
+    store = PopularityStore(spark, f"{tmp_path}/out", mode, exact)
+    for (student, time_of_day), expected in zip(RUNS, EXPECTED[mode]):
+        feed.add(seen(student, time_of_day))
+        await_all(start_popularity(
+            feed.interactions(), store, f"{tmp_path}/cp", trigger=ONCE, state_partitions=2))
+        assert hours(store) == expected
+
+
+@pytest.mark.parametrize("mode,exact", [
+    ("complete", True), ("complete", False), ("update", True), ("update", False)])
+def test_stream_equals_batch(spark, feed, tmp_path, mode, exact):
+    """Five files, one per trigger, students returning to the same windows."""
+    everything = []
+    for n in range(5):
+        batch = [seen(f"s{(n * 7 + i) % 11}", f"10:{n:02d}:{i:02d}", kind, course)
+                 for i, kind in enumerate(model.INTERACTION_TYPES[-15:])
+                 for course in ("HOT", f"c{i % 3}")]
+        feed.add(*batch)
+        everything += batch
+    store = PopularityStore(spark, f"{tmp_path}/out", mode, exact)
+    source = spark.readStream.option("maxFilesPerTrigger", 1).text(str(feed.path))
+    query = start_popularity(
+        ingest.interactions_from(source), store, f"{tmp_path}/cp", trigger=ONCE,
+        state_partitions=2)
+    await_all(query)
+    batch = spark.createDataFrame([(json.dumps(e),) for e in everything], "value string")
+    expected = pop.popularity(ingest.interactions_from(batch), exact=exact)
+    assert rows_of(store.windows()) == rows_of(expected)
+    assert rows_of(store.current()) == rows_of(pop.published(pop.current_popularity(expected)))
+    assert store.top(1).first() == pop.top_courses(expected, 1).first()
+
+
+def test_update_table_survives_compaction(spark, feed, tmp_path):
+    store = PopularityStore(spark, f"{tmp_path}/out", "update", exact=True)
+    for student in ("a", "b", "a"):
+        feed.add(seen(student, "10:00:00"))
+        await_all(start_popularity(
+            feed.interactions(), store, f"{tmp_path}/cp", trigger=ONCE, state_partitions=2))
+        store.table.compact()
+        store.table.vacuum()
+    row = store.windows().first()
+    assert (row.active_users, row.engagement_score, row.total_popularity) == (2, 3, 5)
+
+
+def test_rocksdb_state_and_settings_stay_with_the_query(spark, feed, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    feed.add(seen("a", "10:00:00"))
+    store = PopularityStore(spark, f"{tmp_path}/out")
+    query = start_popularity(
+        feed.interactions(), store, f"{tmp_path}/cp", trigger=ONCE, state_partitions=3,
+        rocksdb=True)
+    await_all(query)
+    assert hours(store) == {10: 1}
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    operator = query.lastProgress["stateOperators"][0]
+    assert operator["numShufflePartitions"] == 3
+    assert any(name.startswith("rocksdb") for name in operator["customMetrics"])
+
+
+def test_log_is_replay_safe_across_restarts(spark, feed, tmp_path):
+    log = Tables(spark, f"{tmp_path}/t").interaction_logs
+    for n, course in enumerate(["A", "B"]):
+        feed.add(seen("a", "10:00:00", course=course), seen(f"x{n}", "10:00:00"))
+        await_all(start_interaction_log(
+            feed.interactions(), log, f"{tmp_path}/cp", trigger=ONCE))
+    assert [(r.student_id, r.course_code) for r in log.in_key_order().collect()] == [
+        ("a", "B"), ("x0", "C"), ("x1", "C")]
+
+
+def test_first_write_wins_with_in_stream_dedup(spark, feed, tmp_path):
+    log = Tables(spark, f"{tmp_path}/t").interaction_logs
+    for course in ("A", "B"):
+        feed.add(seen("a", "10:00:00", course=course))
+        await_all(start_interaction_log(
+            feed.interactions(), log, f"{tmp_path}/cp", trigger=ONCE, dedup_delay="1 hour"))
+    assert [r.course_code for r in log.latest().collect()] == ["A"]
+
+
+def test_external_writer_renames(spark, feed, tmp_path):
+    feed.add(seen("a", "10:00:00"))
+    write = external_batch_writer(
+        "parquet", {"path": f"{tmp_path}/ext"}, {"timestamp": "timestamp_interaction"})
+    await_all(start_interaction_log(feed.interactions(), write, f"{tmp_path}/cp", trigger=ONCE))
+    assert spark.read.parquet(f"{tmp_path}/ext").first().timestamp_interaction == at(
+        "2024-01-01 10:00:00")
+
+
+def test_both_queries_of_the_job(spark, feed, tmp_path):
+    feed.add(seen("a", "10:00:00"), seen("b", "10:01:00"), {"course_code": "no student"})
+    (feed.path / "junk.json").write_text("not json\n")
+    tables = Tables(spark, f"{tmp_path}/t")
+    queries = popularity_job(
+        feed.messages(), tables, f"{tmp_path}/cp", trigger=ONCE, state_partitions=2)
+    assert len({q.id for q in queries}) == 2
+    await_all(*queries)
+    assert tables.interaction_logs.latest().count() == 2
+    assert [tuple(r) for r in tables.course_popularity().current().collect()] == [
+        ("C", at("2024-01-01 10:01:00"), 2, 2, 4)]
+
+
+def test_a_failing_query_is_raised_and_stops_the_other(spark, feed, tmp_path):
+    feed.add(seen("a", "10:00:00"))
+
+    def broken(batch, batch_id):
+        raise RuntimeError("sink is down")
+    log = Tables(spark, f"{tmp_path}/t").interaction_logs
+    healthy = start_interaction_log(
+        feed.interactions(), log, f"{tmp_path}/cp1", trigger={"processingTime": "1 second"})
+    failing = start_interaction_log(feed.interactions(), broken, f"{tmp_path}/cp2", name="bad")
+    with pytest.raises(Exception, match="sink is down"):
+        await_all(healthy, failing)
+    assert not healthy.isActive and not failing.isActive
+
+
+def test_default_trigger_keeps_running(spark, feed, tmp_path):
+    feed.add(seen("a", "10:00:00"))
+    store = PopularityStore(spark, f"{tmp_path}/out")
+    query = start_popularity(feed.interactions(), store, f"{tmp_path}/cp", state_partitions=2)
+    try:
+        query.processAllAvailable()
+        feed.add(seen("b", "10:30:00"))
+        query.processAllAvailable()
+        assert query.isActive and hours(store) == {10: 2}
+    finally:
+        query.stop()
+
+
+def test_recent_filter_on_a_stream(spark, feed, tmp_path):
+    now = time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime())
+    feed.add(event("new", "C", "x", now), seen("old", "10:00:00"))
+    query = (ingest.recent(feed.interactions()).writeStream.format("memory").queryName("recent")
+             .option("checkpointLocation", f"{tmp_path}/cp").trigger(**ONCE).start())
+    await_all(query)
+    assert [r.student_id for r in spark.table("recent").collect()] == ["new"]
+
+
+def test_console(spark, feed, tmp_path):
+    feed.add(seen("a", "10:00:00"))
+    await_all(start_console(feed.interactions(), f"{tmp_path}/cp", trigger=ONCE))
+
+
+def test_unknown_mode(spark, tmp_path):
+    with pytest.raises(ValueError):
+        PopularityStore(spark, f"{tmp_path}", "sometimes")
+
+
+def test_exact_state_is_per_student(spark, feed, tmp_path):
+    """A hot course must not become one state row holding all its students."""
+    feed.add(*[seen(f"s{i}", "10:00:00") for i in range(50)])
+    store = PopularityStore(spark, f"{tmp_path}/out", "update", exact=True)
+    query = start_popularity(
+        feed.interactions(), store, f"{tmp_path}/cp", trigger=ONCE, state_partitions=2)
+    await_all(query)
+    progress = [p for p in query.recentProgress if p["numInputRows"]][0]
+    assert progress["stateOperators"][0]["numRowsTotal"] == 50
+    assert store.windows().select(F.col("active_users")).first()[0] == 50

@@ -1,0 +1,158 @@
+from pathlib import Path
+
+import pytest
+
+from coursepulse import model
+from coursepulse.operators.latest import latest_by_key
+from coursepulse.plans import Tables
+from coursepulse.sinks import KeyedTable, VersionedTable
+from helpers import at, interactions, rows_of
+
+T10, T11 = at("2024-01-01 10:00:00"), at("2024-01-01 11:00:00")
+
+
+@pytest.fixture
+def log(spark, tmp_path):
+    return Tables(spark, f"{tmp_path}").interaction_logs
+
+
+def row(spark, student, course, time="2024-01-01 10:00:00", offset=None):
+    from pyspark.sql import functions as F
+    return interactions(spark, [(student, course, "x", time)]).withColumn(
+        "ingest_offset", F.lit(offset).cast("bigint"))
+
+
+def courses(log):
+    return [(r.student_id, r.course_code) for r in log.in_key_order().collect()]
+
+
+def test_empty_table(log):
+    assert log.latest().count() == 0 and log.rejected().count() == 0 and log.compact() is None
+    assert log.latest().schema.fieldNames() == model.INTERACTION_LOGS.columns
+
+
+def test_later_batch_wins(spark, log):
+    log.append(row(spark, "a", "OLD", offset=9))
+    log.append(row(spark, "a", "NEW", offset=1))
+    assert courses(log) == [("a", "NEW")]
+
+
+def test_later_offset_wins_within_a_batch(spark, log):
+    log.append(row(spark, "a", "Z", offset=1).union(row(spark, "a", "A", offset=2)))
+    assert courses(log) == [("a", "A")]
+
+
+def test_without_order_the_winner_is_stable(spark, log):
+    rows = row(spark, "a", "A").union(row(spark, "a", "B"))
+    log.write_batch(rows.repartition(2, "course_code"), 0)
+    first = courses(log)
+    log.write_batch(rows.orderBy("course_code").coalesce(1), 0)
+    assert courses(log) == first == [("a", "B")]
+
+
+def test_replay_changes_nothing(spark, log):
+    log.write_batch(row(spark, "a", "A"), 0)
+    log.write_batch(row(spark, "b", "B"), 1)
+    before = rows_of(log.latest())
+    log.write_batch(row(spark, "b", "B"), 1)
+    assert rows_of(log.latest()) == before
+
+
+def test_missing_keys_are_set_aside(spark, log):
+    log.append(row(spark, "a", "A").union(row(spark, None, "B")).union(row(spark, "c", "C", None)))
+    assert courses(log) == [("a", "A")]
+    assert sorted((r.student_id or "", r.course_code, r.batch_id)
+                  for r in log.rejected().collect()) == [("", "B", 0), ("c", "C", 0)]
+
+
+def test_compaction_keeps_the_content(spark, log):
+    log.append(row(spark, "a", "1").union(row(spark, "b", "1")).union(row(spark, None, "X")))
+    log.append(row(spark, "a", "2"))
+    before = rows_of(log.latest())
+    assert log.compact() == 1 and log.compact() == 1
+    assert rows_of(log.latest()) == before
+    plan = log.latest()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan  # nothing to merge
+    log.append(row(spark, "a", "3"))
+    assert courses(log) == [("a", "3"), ("b", "1")]
+    assert log.compact() == 2
+    log.vacuum()
+    assert courses(log) == [("a", "3"), ("b", "1")]
+    assert log.rejected().count() == 1
+    assert [p.name for p in Path(log.path, "base").iterdir()] == ["through=2"]
+    assert log.append(row(spark, "a", "4")) == 3
+    assert courses(log) == [("a", "4"), ("b", "1")]
+
+
+def test_replay_of_a_compacted_batch_is_ignored(spark, log):
+    log.append(row(spark, "a", "1"))
+    log.append(row(spark, "a", "2"))
+    log.compact()
+    log.write_batch(row(spark, "a", "1"), 0)
+    assert courses(log) == [("a", "2")]
+
+
+def test_unfinished_batches_are_invisible(spark, log):
+    log.append(row(spark, "a", "1"))
+    log.append(row(spark, "a", "2"))
+    Path(log.path, "batches", "batch_id=1", "_SUCCESS").unlink()
+    assert courses(log) == [("a", "1")]
+
+
+def test_empty_batches(spark, log):
+    log.append(row(spark, "a", "1").limit(0))
+    assert courses(log) == []
+    log.append(row(spark, "a", "1"))
+    assert courses(log) == [("a", "1")]
+
+
+def test_lookup_reads_in_key_order_and_filters_the_scan(spark, log):
+    log.append(row(spark, "a", "late", "2024-01-01 11:00:00").union(row(spark, "a", "early"))
+               .union(row(spark, "b", "other")))
+    found = log.lookup(student_id="a")
+    assert [r.course_code for r in found.collect()] == ["early", "late"]
+    assert "EqualTo(student_id,a)" in found._jdf.queryExecution().executedPlan().toString()
+    assert log.lookup(student_id="a", timestamp=T11).first().course_code == "late"
+    with pytest.raises(ValueError):
+        log.lookup(course_code="early")
+
+
+def test_recommendation_history_is_kept(spark, tmp_path):
+    table = Tables(spark, f"{tmp_path}").student_recommendations
+    schema = model.STUDENT_RECOMMENDATIONS.schema
+    table.append(spark.createDataFrame([("a", "C", 1.0, T10)], schema))
+    table.append(spark.createDataFrame([("a", "C", 2.0, T10), ("a", "C", 3.0, T11)], schema))
+    assert [(r.rating, r.recommendation_time) for r in table.lookup(student_id="a").collect()] == [
+        (2.0, T10), (3.0, T11)]
+
+
+def test_popularity_table_has_one_row_per_course(spark, tmp_path):
+    table = KeyedTable(spark, f"{tmp_path}/current", model.COURSE_POPULARITY)
+    schema = model.COURSE_POPULARITY.schema
+    table.append(spark.createDataFrame([("C", T10, 1, 1, 2)], schema))
+    table.append(spark.createDataFrame([("C", T11, 2, 2, 4), ("D", T10, 1, 0, 1)], schema))
+    assert rows_of(table.latest()) == [("C", T11, 2, 2, 4), ("D", T10, 1, 0, 1)]
+
+
+def test_versions(spark, tmp_path):
+    table = VersionedTable(spark, f"{tmp_path}/v", model.COURSE_POPULARITY)
+    assert table.newest().count() == 0
+    for n in range(4):
+        table.write_version(spark.createDataFrame(
+            [("C", T10, n, 0, n)], model.COURSE_POPULARITY.schema), n)
+    assert table.newest().first().active_users == 3
+    Path(table.path, "versions", "version=3", "_SUCCESS").unlink()
+    assert table.newest().first().active_users == 2
+    table.prune(keep=1)
+    assert table.newest().first().active_users == 2
+
+
+def test_latest_by_key_with_a_hot_key(spark):
+    from pyspark.sql import functions as F
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
+            F.concat(F.lit("k"), F.col("id") % 100)).alias("k"),
+        F.col("id").alias("v"), (F.col("id") * 2).alias("payload"))
+    best = {r.k: (r.v, r.payload) for r in latest_by_key(rows, ["k"], ["v"]).collect()}
+    assert best["hot"] == (29_997, 59_994)
+    assert len(best) == rows.select("k").distinct().count()
