@@ -39,7 +39,7 @@ from coursepulse.streaming import (
     start_interaction_log,
     start_popularity,
 )
-from coursepulse.workspace import working_dir
+from coursepulse.workspace import stored, working_dir
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF = datetime(2024, 1, 30)
@@ -181,9 +181,8 @@ def student_last_seen(spark, folder):
 
 def _pairs(spark, folder):
     """Counts per pair, written once and read by each step that needs them."""
-    path = f"{working_dir(spark, 'pairs')}/pairs"
-    cnt.interaction_counts(_interactions(spark, folder)).write.parquet(path)
-    return spark.read.parquet(path)
+    return stored(cnt.interaction_counts(_interactions(spark, folder)),
+                  working_dir(spark, "pairs"))
 
 
 def student_index(spark, folder):
@@ -269,9 +268,7 @@ def recommendation_history(spark, folder):
     table = Tables(spark, working_dir(spark, "recommendations")).student_recommendations
     rows = _interactions(spark, folder)
     early = cnt.interaction_counts(rows.filter(F.col("timestamp") < F.lit(HISTORY_CUT)))
-    path = f"{working_dir(spark, 'pairs')}/early"
-    early.write.parquet(path)
-    table.append(_frequent_recommendations(spark.read.parquet(path)))
+    table.append(_frequent_recommendations(stored(early, working_dir(spark, "early"))))
     now = _frequent_recommendations(_pairs(spark, folder))
     table.write_batch(now, table.append(now))
     return table.latest()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from coursepulse.workspace import working_dir
+from coursepulse.workspace import stored, working_dir
 
 
 def interaction_counts(interactions: DataFrame) -> DataFrame:
@@ -33,10 +33,9 @@ def dense_index(pairs: DataFrame, label: str, index: str, folder: str | None = N
     rows then come from the same files even if an executor is lost in between. The numbered
     table is written too, so joins know its true size.
     """
-    spark = pairs.sparkSession
-    folder = folder or working_dir(spark, f"index-{label}")
+    folder = folder or working_dir(pairs.sparkSession, f"index-{label}")
     tagged = F.monotonically_increasing_id()  # partition number above 33 bits of position
-    (
+    ranked = (
         pairs.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.desc("n"), F.asc(label))
         .select(label, tagged.alias("tagged"))
@@ -45,17 +44,13 @@ def dense_index(pairs: DataFrame, label: str, index: str, folder: str | None = N
             F.shiftright("tagged", 33).alias("part"),
             F.col("tagged").bitwiseAND(F.lit((1 << 33) - 1)).alias("position"),
         )
-        .write.parquet(f"{folder}/placed")
     )
-    placed = spark.read.parquet(f"{folder}/placed")
+    placed = stored(ranked, f"{folder}/placed")
     sizes = placed.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
     # One row per partition of the sort above, so this window and the broadcast are always small.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
-    (
-        placed.join(F.broadcast(offsets), "part")
-        .select(label, (F.col("offset") + F.col("position")).cast("int").alias(index))
-        .write.parquet(f"{folder}/numbered")
-    )
-    return spark.read.parquet(f"{folder}/numbered")
+    numbered = placed.join(F.broadcast(offsets), "part").select(
+        label, (F.col("offset") + F.col("position")).cast("int").alias(index))
+    return stored(numbered, f"{folder}/numbered")

@@ -35,6 +35,15 @@ def flatten(events: DataFrame, *extra: str | Column) -> DataFrame:
     )
 
 
+def _expanded(event: Column) -> Column:
+    """The fields of a parsed event as columns, one row per event.
+
+    As a generator the parse stays below later filters: the optimizer would push a filter on a
+    struct field through a projection and parse every message a second time to evaluate it.
+    """
+    return F.inline(F.array(event))
+
+
 def decode(
     messages: DataFrame,
     value: str = "value",
@@ -47,8 +56,8 @@ def decode(
     carry = carry or {}
     events = messages.select(
         *[F.col(source).alias(target) for source, target in carry.items()],
-        decode_event(F.col(value)).alias("event"),
-    ).select("event.*", *carry.values())
+        _expanded(decode_event(F.col(value))),
+    )
     return flatten(events, *carry.values())
 
 
@@ -67,14 +76,14 @@ def unusable(messages: DataFrame, value: str = "value") -> DataFrame:
     """Messages that :func:`identified` drops, with the original text and the reason."""
     parsed = messages.select(
         F.col(value).cast("string").alias("payload"),
-        decode_event(F.col(value), _CORRUPT).alias("event"),
+        _expanded(decode_event(F.col(value), _CORRUPT)),
     )
     reason = (
         F.when(F.col("payload").isNull(), F.lit("null_payload"))
-        .when(F.col(f"event.{_CORRUPT}").isNotNull(), F.lit("malformed"))
+        .when(F.col(_CORRUPT).isNotNull(), F.lit("malformed"))
         .otherwise(F.lit("no_student"))
     )
-    return parsed.filter(F.col("event.student_id").isNull()).select(
+    return parsed.filter(F.col("student_id").isNull()).select(
         reason.alias("reason"), "payload")
 
 

@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from coursepulse.operators.counts import dense_index, interaction_counts, last_seen
-from coursepulse.workspace import ensure_rdd_checkpoints, working_dir
+from coursepulse.workspace import ensure_rdd_checkpoints, stored, working_dir
 
 USER, ITEM, RECS = "student_index", "course_index", "recommendations"
 
-PAIRS_PER_BLOCK = 2_000_000
-FEWEST_BLOCKS, MOST_BLOCKS = 10, 4_000
+# Ratings are first sorted into user blocks x item blocks, so their number must stay moderate.
+PAIRS_PER_BLOCK = 5_000_000
+FEWEST_BLOCKS, MOST_BLOCKS = 10, 400
 
 # Students are grouped by seen courses in powers of this when the seen ones are to be left out.
 SEEN_TIER_BASE = 4
@@ -22,7 +23,7 @@ SEEN_TIER_BASE = 4
 
 @dataclass(frozen=True)
 class AlsSettings:
-    """Factorisation settings. ``blocks`` defaults to one per two million pairs: it follows the
+    """Factorisation settings. ``blocks`` defaults to one per five million pairs: it follows the
     data, not the cluster, so that the same data gives the same factors anywhere."""
 
     rank: int = 10
@@ -107,12 +108,10 @@ def fit_recommender(
     ensure_rdd_checkpoints(spark)
     usable = interactions.filter(
         F.col("student_id").isNotNull() & F.col("course_code").isNotNull())
-    interaction_counts(usable).write.parquet(f"{folder}/pairs")
-    pairs = spark.read.parquet(f"{folder}/pairs")
+    pairs = stored(interaction_counts(usable), f"{folder}/pairs")
     students = dense_index(pairs, "student_id", USER, f"{folder}/students")
     courses = dense_index(pairs, "course_code", ITEM, f"{folder}/courses")
-    index_pairs(pairs, students, courses).write.parquet(f"{folder}/ratings")
-    ratings = spark.read.parquet(f"{folder}/ratings")
+    ratings = stored(index_pairs(pairs, students, courses), f"{folder}/ratings")
     blocks = settings.blocks_for(ratings.count())
     als = ALS(
         rank=settings.rank, maxIter=settings.max_iter, regParam=settings.reg_param,

@@ -58,8 +58,8 @@ class KeyedTable:
 
     def append(self, rows: DataFrame) -> int:
         """Store rows as the next batch (single writer) and return its number."""
-        known = [*self._batches(), *self._bases()]
-        batch_id = max(known, default=-1) + 1
+        compacted = max(self._bases(), default=-1)
+        batch_id = max(self._batches(after=compacted), default=compacted) + 1
         self.write_batch(rows, batch_id)
         return batch_id
 
@@ -95,10 +95,11 @@ class KeyedTable:
 
     def compact(self) -> int | None:
         """Fold all finished batches into a new base; returns the batch it reaches."""
-        batches = self._batches()
-        through = max(batches, default=None)
-        if through is None or through in self._bases():
-            return through
+        compacted = max(self._bases(), default=-1)
+        newer = self._batches(after=compacted)
+        if not newer:
+            return compacted if compacted >= 0 else None
+        through = max(newer)
         (
             self._merged()
             .repartitionByRange(*self.spec.key)
@@ -118,8 +119,8 @@ class KeyedTable:
 
     # --- folders ---
 
-    def _batches(self) -> dict[int, str]:
-        return numbered_folders(self.spark, f"{self.path}/batches", "batch_id")
+    def _batches(self, after: int = -1) -> dict[int, str]:
+        return numbered_folders(self.spark, f"{self.path}/batches", "batch_id", after)
 
     def _bases(self) -> dict[int, str]:
         return numbered_folders(self.spark, f"{self.path}/base", "through")
@@ -134,7 +135,7 @@ class KeyedTable:
     def _merged(self) -> DataFrame:
         bases = self._bases()
         through = max(bases, default=-1)
-        newer = {n: folder for n, folder in self._batches().items() if n > through}
+        newer = self._batches(after=through)
         rows = self._read(newer).filter("keyed").drop("keyed")
         if bases:
             schema = T.StructType(self._stored.fields + [_BATCH])

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -32,6 +32,13 @@ def working_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/coursepulse/{label}-{uuid.uuid4().hex}"
 
 
+def stored(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` written to ``path`` and read back: lineage ends at the files, and their size is
+    known to whoever joins them."""
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def ensure_rdd_checkpoints(spark: SparkSession) -> None:
     """Let iterative estimators cut their lineage in the shared folder."""
     context = spark.sparkContext
@@ -54,8 +61,11 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath) and fs.getFileStatus(jpath).isDirectory()
 
 
-def numbered_folders(spark: SparkSession, path: str, prefix: str) -> dict[int, str]:
-    """``{number: folder}`` for the finished ``<prefix>=<number>`` folders below ``path``.
+def numbered_folders(
+    spark: SparkSession, path: str, prefix: str, after: int = -1
+) -> dict[int, str]:
+    """``{number: folder}`` for the finished ``<prefix>=<number>`` folders below ``path`` with a
+    number over ``after``.
 
     A folder counts as finished once its writing job left the success marker.
     """
@@ -65,9 +75,11 @@ def numbered_folders(spark: SparkSession, path: str, prefix: str) -> dict[int, s
     found = {}
     for status in fs.listStatus(jpath):
         name = status.getPath().getName()
-        folder = f"{path}/{name}"
-        if name.startswith(prefix + "=") and path_exists(spark, f"{folder}/_SUCCESS"):
-            found[int(name.split("=", 1)[1])] = folder
+        if not name.startswith(prefix + "="):
+            continue
+        number, folder = int(name.split("=", 1)[1]), f"{path}/{name}"
+        if number > after and fs.exists(status.getPath().suffix("/_SUCCESS")):
+            found[number] = folder
     return found
 
 

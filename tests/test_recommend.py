@@ -100,8 +100,8 @@ def test_unidentified_rows_are_left_out(spark, fitted):
 
 def test_blocks_follow_the_data():
     assert AlsSettings().blocks_for(100) == 10
-    assert AlsSettings().blocks_for(100_000_001) == 51
-    assert AlsSettings().blocks_for(10**12) == 4000
+    assert AlsSettings().blocks_for(100_000_001) == 21
+    assert AlsSettings().blocks_for(10**12) == 400
     assert AlsSettings(blocks=3).blocks_for(10**9) == 3
 
 
