@@ -54,8 +54,7 @@ def _interaction_type() -> Column:
     return chain
 
 
-def _course_code() -> Column:
-    number = F.get_json_object("props", "$.k").cast("int")
+def _course_code(number: Column) -> Column:
     prefixes = F.array(*[F.lit(p) for p in model.COURSE_PREFIXES])
     prefix = F.element_at(prefixes, number % len(model.COURSE_PREFIXES) + 1)
     return F.concat(prefix, (number + FIRST_COURSE_NUMBER).cast("string"))
@@ -67,6 +66,8 @@ def lift(events: DataFrame, nations: DataFrame | None = None, *keep: str) -> Dat
     The country needs ``nations`` (a 25-row lookup that Spark broadcasts by its file size, and
     shuffles if it ever outgrows the broadcast threshold); without it the country is null.
     """
+    # As a generator the properties are parsed once, below any filter on the course.
+    events = events.select("*", F.inline(F.array(F.from_json("props", "k int"))))
     if nations is None:
         country = F.lit(None).cast("string")
     else:
@@ -76,7 +77,7 @@ def lift(events: DataFrame, nations: DataFrame | None = None, *keep: str) -> Dat
     return events.select(
         F.concat(F.lit("S"), (F.col("user_id") + FIRST_STUDENT_NUMBER).cast("string"))
         .alias("student_id"),
-        _course_code().alias("course_code"),
+        _course_code(F.col("k")).alias("course_code"),
         _interaction_type().alias("interaction_type"),
         F.col("ts").alias("timestamp"),
         F.when(F.col("event_type") == "click", F.floor("value").cast("int")).alias("duration"),
