@@ -106,9 +106,10 @@ def fit_recommender(
     """
     folder = folder or working_dir(spark, "recommender")
     ensure_rdd_checkpoints(spark)
-    usable = interactions.filter(
+    # Filtered on reading: a filter before the counts would be evaluated below the expressions that
+    # make the two columns, and so evaluate them twice.
+    pairs = stored(interaction_counts(interactions), f"{folder}/pairs").filter(
         F.col("student_id").isNotNull() & F.col("course_code").isNotNull())
-    pairs = stored(interaction_counts(usable), f"{folder}/pairs")
     students = dense_index(pairs, "student_id", USER, f"{folder}/students")
     courses = dense_index(pairs, "course_code", ITEM, f"{folder}/courses")
     ratings = stored(index_pairs(pairs, students, courses), f"{folder}/ratings")

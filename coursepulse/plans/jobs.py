@@ -40,9 +40,16 @@ class Tables:
         return KeyedTable(
             self.spark, f"{self.root}/student_recommendations", model.STUDENT_RECOMMENDATIONS)
 
+    def keyed(self) -> list[KeyedTable]:
+        """Every keyed table, all popularity lanes included; empty ones are harmless."""
+        lanes = [self.course_popularity(*lane).table
+                 for lane in (("update", False), ("update", True),
+                              ("append", False), ("append", True))]
+        return [self.interaction_logs, self.student_recommendations, *lanes]
+
 
 def popularity_job(
-    messages: DataFrame,
+    interactions: DataFrame,
     tables: Tables,
     checkpoints: str,
     mode: str = "update",
@@ -52,10 +59,10 @@ def popularity_job(
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Two independent queries over one feed: the interaction log and course popularity.
 
-    ``messages`` is any stream with a ``value`` column. Each query has its own checkpoint and
-    reads the feed for itself; wait on both with ``await_all``.
+    ``interactions`` is a stream, from a topic (``interactions_from(stream_messages(...))``) or from
+    landed files. Each query has its own checkpoint and reads the feed for itself; wait on both
+    with ``await_all``.
     """
-    interactions = interactions_from(messages)
     log = start_interaction_log(
         interactions, tables.interaction_logs, f"{checkpoints}/interaction_log", trigger)
     try:

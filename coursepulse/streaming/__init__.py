@@ -6,9 +6,10 @@ from coursepulse.streaming.queries import (
     start_interaction_log,
     start_popularity,
 )
-from coursepulse.streaming.store import PopularityStore
+from coursepulse.streaming.store import ExternalPopularity, PopularityStore
 
 __all__ = [
+    "ExternalPopularity",
     "PopularityStore",
     "await_all",
     "start_console",

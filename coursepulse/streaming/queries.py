@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -10,13 +10,11 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from coursepulse import model
 from coursepulse.operators.popularity import HOUR
 from coursepulse.sinks.tables import KeyedTable
-from coursepulse.streaming.store import PopularityStore
+from coursepulse.streaming.store import BatchWriter, ExternalPopularity, PopularityStore
 from coursepulse.workspace import session_conf
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-BatchWriter = Callable[[DataFrame, int], None]
-
 
 def _start(
     writer: DataStreamWriter,
@@ -56,7 +54,7 @@ def start_interaction_log(
 
 def start_popularity(
     interactions: DataFrame,
-    store: PopularityStore,
+    store: PopularityStore | ExternalPopularity,
     checkpoint: str,
     window: str = HOUR,
     watermark: str = HOUR,

@@ -20,6 +20,8 @@ hot course's state spreads over all partitions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,26 +29,22 @@ from coursepulse import model
 from coursepulse.operators import popularity as pop
 from coursepulse.sinks.tables import KeyedTable, VersionedTable
 
+BatchWriter = Callable[[DataFrame, int], None]
+
 MODES = ("complete", "update", "append")
 
 
-class PopularityStore:
-    """Hourly (or other windowed) course popularity maintained by one stream."""
+class _Lane:
+    """What one (mode, distinct) combination keeps as state and gets per trigger."""
 
-    def __init__(self, spark: SparkSession, path: str, mode: str = "update", exact: bool = False):
+    def __init__(self, mode: str, exact: bool):
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
         self.mode, self.exact = mode, exact
-        if mode == "complete":
-            self.table = VersionedTable(spark, path, model.COURSE_POPULARITY_HOURLY)
-        elif self.by_student:
-            self.table = KeyedTable(spark, path, model.STUDENT_ACTIVITY)
-        else:
-            self.table = KeyedTable(spark, path, model.COURSE_POPULARITY_HOURLY)
 
     @property
     def by_student(self) -> bool:
-        """Whether the stored rows are per student, to be rolled up on read."""
+        """Whether a trigger yields single students' changes, which cannot be rolled up alone."""
         return self.exact and self.mode == "update"
 
     def aggregate(self, interactions: DataFrame, window: str, weights) -> DataFrame:
@@ -56,16 +54,33 @@ class PopularityStore:
         activity = pop.student_activity(interactions, window, weights=weights)
         return pop.roll_up(activity) if self.mode == "append" else activity
 
+    def windows_of(self, batch: DataFrame) -> DataFrame:
+        """Popularity rows of one trigger's output."""
+        return pop.with_total(
+            pop.roll_up(batch) if self.exact and self.mode == "complete" else batch)
+
+
+class PopularityStore(_Lane):
+    """Hourly (or other windowed) course popularity maintained by one stream."""
+
+    def __init__(self, spark: SparkSession, path: str, mode: str = "update", exact: bool = False):
+        super().__init__(mode, exact)
+        if mode == "complete":
+            self.table = VersionedTable(spark, path, model.COURSE_POPULARITY_HOURLY)
+        elif self.by_student:
+            self.table = KeyedTable(spark, path, model.STUDENT_ACTIVITY)
+        else:
+            self.table = KeyedTable(spark, path, model.COURSE_POPULARITY_HOURLY)
+
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """``foreachBatch`` function: one job per batch, so the state is read once."""
         if self.by_student:
             self.table.write_batch(
                 batch.withColumn("window_start", F.col("window.start")), batch_id)
         elif self.mode == "complete":
-            measured = pop.roll_up(batch) if self.exact else batch
-            self.table.write_version(pop.with_total(measured), batch_id)
+            self.table.write_version(self.windows_of(batch), batch_id)
         else:
-            self.table.write_batch(pop.with_total(batch), batch_id)
+            self.table.write_batch(self.windows_of(batch), batch_id)
 
     def windows(self) -> DataFrame:
         """Popularity per course and window."""
@@ -82,3 +97,24 @@ class PopularityStore:
 
     def top(self, n: int = 10) -> DataFrame:
         return pop.top_courses(self.windows(), n)
+
+
+class ExternalPopularity(_Lane):
+    """The same stream into a keyed store behind a connector.
+
+    Complete mode writes the course table (latest window per course), all of it every trigger.
+    The other modes write changed windows for a store keyed by course and window start: a course
+    key alone would let a late change of an old window replace a newer one.
+    """
+
+    def __init__(self, writer: BatchWriter, mode: str = "complete", exact: bool = False):
+        super().__init__(mode, exact)
+        if self.by_student:
+            raise ValueError("exact update mode needs a PopularityStore to roll students up")
+        self.writer = writer
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        windows = self.windows_of(batch)
+        if self.mode == "complete":
+            windows = pop.published(pop.current_popularity(windows))
+        self.writer(windows, batch_id)

@@ -10,6 +10,7 @@ from coursepulse.operators import popularity as pop
 from coursepulse.plans import Tables, popularity_job
 from coursepulse.sinks.external import external_batch_writer
 from coursepulse.streaming import (
+    ExternalPopularity,
     PopularityStore,
     await_all,
     start_console,
@@ -153,12 +154,31 @@ def test_external_writer_renames(spark, feed, tmp_path):
         "2024-01-01 10:00:00")
 
 
+@pytest.mark.parametrize("mode,exact,columns", [
+    ("complete", True, 5), ("complete", False, 5), ("update", False, 6)])
+def test_popularity_into_an_external_store(spark, feed, tmp_path, mode, exact, columns):
+    feed.add(seen("a", "10:00:00"), seen("b", "11:00:00"))
+    path = f"{tmp_path}/ext"
+    target = ExternalPopularity(external_batch_writer("parquet", {"path": path}), mode, exact)
+    await_all(start_popularity(
+        feed.interactions(), target, f"{tmp_path}/cp", trigger=ONCE, state_partitions=2))
+    written = spark.read.parquet(path).distinct()
+    assert len(written.columns) == columns
+    assert max(r.timestamp.hour for r in written.collect()) == 11
+    assert written.count() == (1 if mode == "complete" else 2)
+
+
+def test_external_store_refuses_student_changes():
+    with pytest.raises(ValueError):
+        ExternalPopularity(lambda batch, batch_id: None, "update", exact=True)
+
+
 def test_both_queries_of_the_job(spark, feed, tmp_path):
     feed.add(seen("a", "10:00:00"), seen("b", "10:01:00"), {"course_code": "no student"})
     (feed.path / "junk.json").write_text("not json\n")
     tables = Tables(spark, f"{tmp_path}/t")
     queries = popularity_job(
-        feed.messages(), tables, f"{tmp_path}/cp", trigger=ONCE, state_partitions=2)
+        feed.interactions(), tables, f"{tmp_path}/cp", trigger=ONCE, state_partitions=2)
     assert len({q.id for q in queries}) == 2
     await_all(*queries)
     assert tables.interaction_logs.latest().count() == 2
