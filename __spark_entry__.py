@@ -376,6 +376,19 @@ def stream_popularity_approx(spark, folder):
     return _stream_popularity(spark, folder, "complete", exact=False)
 
 
+def stream_approx_check(spark, folder):
+    """The sketch a stream keeps must give the very numbers of the batch sketch."""
+    by = ["course_code", "window_start"]
+    streamed = stream_popularity_approx(spark, folder).select(
+        *by, "timestamp", F.col("total_popularity").alias("total"))
+    batch = pop.popularity(_interactions(spark, folder), exact=False).select(
+        *by, F.col("timestamp").alias("last"), "total_popularity")
+    same = F.col("total").eqNullSafe(F.col("total_popularity")) & (
+        F.col("timestamp").eqNullSafe(F.col("last")))
+    return streamed.join(batch, by, "full").agg(
+        F.count(F.lit(1)).alias("windows"), F.count_if(~same).alias("different"))
+
+
 def stream_popularity_job(spark, folder):
     """Both queries of the popularity job over one JSON feed; the course table they maintain."""
     root = working_dir(spark, "stream-job")
@@ -430,6 +443,7 @@ _QUERIES: tuple[Query, ...] = (
     stream_popularity_update,
     stream_popularity_append,
     stream_popularity_approx,
+    stream_approx_check,
     stream_popularity_job,
 )
 
@@ -687,6 +701,8 @@ def oracle_sql() -> dict[str, str]:
         "stream_interaction_log": lift + _logged_sql(_FLAT_WIRE, _SECOND),
         "stream_popularity_complete": lift + hourly,
         "stream_popularity_update": lift + hourly,
+        "stream_approx_check": f"""{lift}
+  select count(*) as windows, cast(0 as bigint) as different from ({hourly})""",
         "stream_popularity_append": f"""{lift} select * from ({hourly})
   where window_start + interval 1 hour
         <= (select max("timestamp") from lifted) - interval 1 hour""",

@@ -90,6 +90,13 @@ class TableSpec:
     def columns(self) -> list[str]:
         return self.schema.fieldNames()
 
+    @property
+    def key_time(self) -> str | None:
+        """The key column that is a time, if there is one."""
+        times = [name for name in self.key
+                 if isinstance(self.schema[name].dataType, T.TimestampType)]
+        return times[0] if times else None
+
     @property
     def order_columns(self) -> list[str]:
         return [f.name for f in self.order]

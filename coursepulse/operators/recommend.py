@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from coursepulse.operators.counts import dense_index, interaction_counts, last_seen
-from coursepulse.workspace import ensure_rdd_checkpoints, stored, working_dir
+from coursepulse.workspace import delete_folder, ensure_rdd_checkpoints, stored, working_dir
 
 USER, ITEM, RECS = "student_index", "course_index", "recommendations"
 
@@ -50,6 +50,11 @@ class Recommender:
     courses: DataFrame    # course_code, course_index
     ratings: DataFrame    # student_index, course_index, rating
     model: ALSModel
+    folder: str
+
+    def discard(self) -> None:
+        """Delete the files behind all of the above."""
+        delete_folder(self.pairs.sparkSession, self.folder)
 
     def top_n(self, n: int = 5) -> DataFrame:
         """``student_index, recommendations``: the n best courses, seen ones included."""
@@ -121,7 +126,7 @@ def fit_recommender(
         userCol=USER, itemCol=ITEM, ratingCol="rating", coldStartStrategy="drop",
     )
     als.fit(ratings).write().save(f"{folder}/model")
-    return Recommender(pairs, students, courses, ratings, ALSModel.load(f"{folder}/model"))
+    return Recommender(pairs, students, courses, ratings, ALSModel.load(f"{folder}/model"), folder)
 
 
 def index_pairs(pairs: DataFrame, students: DataFrame, courses: DataFrame) -> DataFrame:

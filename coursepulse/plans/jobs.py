@@ -85,11 +85,14 @@ def recommendation_job(
 ) -> DataFrame:
     """Fit on all interactions, store every student's top ``n`` and return the table.
 
-    The model is saved before anything is scored, and the scored rows are written once.
+    The model is saved before anything is scored, the scored rows are written once, and the
+    working files go away afterwards.
     """
     recommender = fit_recommender(spark, interactions, settings)
-    rows = recommender.recommendations(n, exclude_seen)
-    tables.student_recommendations.append(rows)
+    try:
+        tables.student_recommendations.append(recommender.recommendations(n, exclude_seen))
+    finally:
+        recommender.discard()
     return tables.student_recommendations.latest()
 
 

@@ -2,8 +2,9 @@
 
 ``KeyedTable`` gives a primary-key table without MERGE. Writing is map-only: each batch goes to its
 own folder, and repeating a batch replaces that folder. Reading keeps the last write per key.
-``compact`` folds the batches into a base, range-partitioned and sorted by key, after which reads
-merge only the batches since.
+``compact`` folds new batches into a base that is split by day of the key's time column. A key
+belongs to one day, so only days with new rows are rewritten, however large the table has become;
+within a day rows are sorted by key. Reads merge the base with the batches since.
 
 ``VersionedTable`` holds whole snapshots: each write is a new folder and readers take the newest
 finished one, so there is no moment with an empty table.
@@ -11,22 +12,25 @@ finished one, so there is no moment with an empty table.
 Layout below the table's path::
 
     batches/batch_id=<n>/keyed=true|false/   one write; false = rows with a missing key
-    base/through=<n>/                        everything up to batch n, one row per key
+    base/through=<n>/day=<d>/                days rewritten by the compaction that reached batch n
     versions/version=<n>/                    snapshots
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import UTC, datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coursepulse.model import TableSpec
 from coursepulse.operators.latest import has_key, latest_by_key
-from coursepulse.workspace import delete_folder, numbered_folders
+from coursepulse.workspace import delete_folder, numbered_folders, subfolders
 
 _BATCH = T.StructField("batch_id", T.LongType())
 _KEYED = T.StructField("keyed", T.BooleanType())
+_DAY, _ONE_DAY = "day", "all"
 
 
 class KeyedTable:
@@ -58,23 +62,42 @@ class KeyedTable:
 
     def append(self, rows: DataFrame) -> int:
         """Store rows as the next batch (single writer) and return its number."""
-        compacted = max(self._bases(), default=-1)
+        compacted = self._compacted()
         batch_id = max(self._batches(after=compacted), default=compacted) + 1
         self.write_batch(rows, batch_id)
         return batch_id
 
     # --- reading ---
 
-    def latest(self) -> DataFrame:
-        """The current row of every key."""
-        return self._merged().select(*self.spec.columns)
+    def latest(self, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+        """The current row of every key, or of the keys with a time in [since, until).
 
-    def lookup(self, **key) -> DataFrame:
+        The time is part of the key, so the bounds hold for every version of a row: they skip whole
+        days of the base and reach the scan of the batches.
+        """
+        time = self.spec.key_time
+        if (since or until) and not time:
+            raise ValueError(f"the key of {self.spec.name} has no time")
+        days = {
+            day: folder for day, folder in self._days().items()
+            if not (since and day < str(since.astimezone(UTC).date()))
+            and not (until and day > str(until.astimezone(UTC).date()))
+        }
+        rows = self._merged(days, self._batches(after=self._compacted()))
+        if since:
+            rows = rows.filter(F.col(time) >= F.lit(since))
+        if until:
+            rows = rows.filter(F.col(time) < F.lit(until))
+        return rows.select(*self.spec.columns)
+
+    def lookup(
+        self, since: datetime | None = None, until: datetime | None = None, **key
+    ) -> DataFrame:
         """Current rows with these leading key values, in order of the remaining key.
 
         The condition is on key columns, so it reaches the scan below the merge.
         """
-        rows = self.latest()
+        rows = self.latest(since, until)
         for name, value in key.items():
             if name not in self.spec.key:
                 raise ValueError(f"{name} is not part of the key of {self.spec.name}")
@@ -94,27 +117,38 @@ class KeyedTable:
     # --- maintenance ---
 
     def compact(self) -> int | None:
-        """Fold all finished batches into a new base; returns the batch it reaches."""
-        compacted = max(self._bases(), default=-1)
+        """Fold the finished batches since the last compaction into the base.
+
+        Returns the batch the base now reaches. Safe beside a running writer: unfinished batches
+        wait for the next compaction, and readers switch once the new folder is finished.
+        """
+        compacted = self._compacted()
         newer = self._batches(after=compacted)
         if not newer:
             return compacted if compacted >= 0 else None
         through = max(newer)
+        changed = self._read(newer).filter("keyed").select(self._day().alias(_DAY)).distinct()
+        touched = {row[_DAY] for row in changed.collect()}  # one short text per day
+        days = {day: folder for day, folder in self._days().items() if day in touched}
         (
-            self._merged()
-            .repartitionByRange(*self.spec.key)
-            .sortWithinPartitions(*self.spec.key)
-            .write.mode("overwrite").parquet(f"{self.path}/base/through={through}")
+            self._merged(days, newer)
+            .withColumn(_DAY, self._day())
+            .repartitionByRange(_DAY, *self.spec.key)
+            .sortWithinPartitions(_DAY, *self.spec.key)
+            .write.mode("overwrite").partitionBy(_DAY).parquet(f"{self.path}/base/through={through}")
         )
         return through
 
     def vacuum(self) -> None:
-        """Delete what the newest base replaces; rejected rows stay."""
-        bases = self._bases()
-        for through in sorted(bases)[:-1]:
-            delete_folder(self.spark, bases[through])
+        """Delete what compactions replaced; rejected rows stay. For times without old readers."""
+        current = set(self._days().values())
+        for folder in self._bases().values():
+            for name in subfolders(self.spark, folder, f"{_DAY}="):
+                if f"{folder}/{name}" not in current:
+                    delete_folder(self.spark, f"{folder}/{name}")
+        compacted = self._compacted()
         for batch_id, folder in self._batches().items():
-            if bases and batch_id <= max(bases):
+            if batch_id <= compacted:
                 delete_folder(self.spark, f"{folder}/keyed=true")
 
     # --- folders ---
@@ -125,6 +159,24 @@ class KeyedTable:
     def _bases(self) -> dict[int, str]:
         return numbered_folders(self.spark, f"{self.path}/base", "through")
 
+    def _compacted(self) -> int:
+        return max(self._bases(), default=-1)
+
+    def _days(self) -> dict[str, str]:
+        """The folder that holds each day's current base."""
+        found = {}
+        for _, folder in sorted(self._bases().items()):
+            for name in subfolders(self.spark, folder, f"{_DAY}="):
+                found[name.split("=", 1)[1]] = f"{folder}/{name}"
+        return found
+
+    def _day(self) -> Column:
+        """The UTC day of the key's time, whatever the session's zone."""
+        if not self.spec.key_time:
+            return F.lit(_ONE_DAY)
+        days = F.floor(F.unix_seconds(self.spec.key_time) / 86400)
+        return F.date_from_unix_date(days.cast("int")).cast("string")
+
     def _read(self, batches: dict[int, str]) -> DataFrame:
         schema = T.StructType(self._stored.fields + [_BATCH, _KEYED])
         if not batches:
@@ -132,18 +184,15 @@ class KeyedTable:
         return (self.spark.read.schema(schema)
                 .option("basePath", f"{self.path}/batches").parquet(*batches.values()))
 
-    def _merged(self) -> DataFrame:
-        bases = self._bases()
-        through = max(bases, default=-1)
-        newer = self._batches(after=through)
-        rows = self._read(newer).filter("keyed").drop("keyed")
-        if bases:
+    def _merged(self, days: dict[str, str], batches: dict[int, str]) -> DataFrame:
+        rows = self._read(batches).filter("keyed").drop("keyed")
+        if days:
             schema = T.StructType(self._stored.fields + [_BATCH])
-            base = self.spark.read.schema(schema).parquet(bases[through])
-            if not newer:
+            base = self.spark.read.schema(schema).parquet(*days.values())
+            if not batches:
                 return base
             rows = base.unionByName(rows)
-        return latest_by_key(rows, self.spec.key, ["batch_id", *self.spec.order_columns])
+        return latest_by_key(rows, self.spec.key, [_BATCH.name, *self.spec.order_columns])
 
 
 class VersionedTable:

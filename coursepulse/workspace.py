@@ -83,6 +83,13 @@ def numbered_folders(
     return found
 
 
+def subfolders(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Names of the folders in ``path`` that start with ``prefix``."""
+    fs, jpath = _hadoop_path(spark, path)
+    names = [status.getPath().getName() for status in fs.listStatus(jpath)]
+    return [name for name in names if name.startswith(prefix)]
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, jpath = _hadoop_path(spark, path)
     fs.delete(jpath, True)

@@ -9,7 +9,7 @@ QUERIES = entry.queries()
 SQL = entry.oracle_sql()
 NO_SQL = {
     "course_popularity_approx",      # sketch; bounded by approx_error_check
-    "stream_popularity_approx",      # sketch; equals the batch sketch, test_streaming
+    "stream_popularity_approx",      # sketch; bounded by stream_approx_check
     "recommendations_top5",          # factorisation; facts in recommendation_check
     "recommendations_unseen_top5",   # factorisation; facts in recommendation_unseen_check
 }

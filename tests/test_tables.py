@@ -79,11 +79,56 @@ def test_compaction_keeps_the_content(spark, log):
     log.vacuum()
     assert courses(log) == [("a", "3"), ("b", "1")]
     assert log.rejected().count() == 1
-    assert [p.name for p in Path(log.path, "base").iterdir()] == ["through=2"]
+    assert {p.name for p in Path(log.path, "base").glob("*/day=*")} == {"day=2024-01-01"}
+    assert [p.parent.name for p in Path(log.path, "base").glob("*/day=*")] == ["through=2"]
     assert log.append(row(spark, "a", "4")) == 3
     assert courses(log) == [("a", "4"), ("b", "1")]
 
 
+def test_compaction_rewrites_only_changed_days(spark, log):
+    log.append(row(spark, "a", "1", "2024-01-01 10:00:00").union(
+        row(spark, "a", "1", "2024-01-02 10:00:00")))
+    log.compact()
+    log.append(row(spark, "a", "2", "2024-01-02 10:00:00").union(
+        row(spark, "a", "2", "2024-01-03 10:00:00")))
+    log.compact()
+    folders = {p.name: p.parent.name for p in Path(log.path, "base").glob("through=1/day=*")}
+    assert set(folders) == {"day=2024-01-02", "day=2024-01-03"}
+    assert courses(log) == [("a", "1"), ("a", "2"), ("a", "2")]
+    log.vacuum()
+    assert courses(log) == [("a", "1"), ("a", "2"), ("a", "2")]
+    kept = {(p.parent.name, p.name) for p in Path(log.path, "base").glob("*/day=*")}
+    assert kept == {("through=0", "day=2024-01-01"), ("through=1", "day=2024-01-02"),
+                    ("through=1", "day=2024-01-03")}
+
+
+def test_time_bounds_skip_days(spark, log):
+    for day in (1, 2, 3):
+        log.append(row(spark, "a", f"{day}", f"2024-01-{day:02d} 10:00:00"))
+    for compacted in (False, True):
+        if compacted:
+            log.compact()
+        some = log.latest(since=at("2024-01-02 00:00:00"), until=at("2024-01-03 10:00:00"))
+        assert [r.course_code for r in some.collect()] == ["2"]
+        assert [r.course_code for r in log.lookup(
+            student_id="a", since=at("2024-01-02 10:00:00")).collect()] == ["2", "3"]
+        assert log.latest(until=at("2023-01-01 00:00:00")).count() == 0
+    assert all("day=2024-01-01" not in f for f in some.inputFiles())
+    log.append(row(spark, "a", "new", "2024-01-02 10:00:00"))
+    assert [r.course_code for r in log.latest(
+        since=at("2024-01-02 00:00:00"), until=at("2024-01-03 00:00:00")).collect()] == ["new"]
+
+
+def test_tables_without_a_key_time_compact_as_a_whole(spark, tmp_path):
+    table = KeyedTable(spark, f"{tmp_path}/current", model.COURSE_POPULARITY)
+    for n in range(3):
+        table.append(spark.createDataFrame([("C", T10, n, 0, n)], model.COURSE_POPULARITY.schema))
+        table.compact()
+    assert [r.active_users for r in table.latest().collect()] == [2]
+    with pytest.raises(ValueError):
+        table.latest(since=T10)
+
+
 def test_replay_of_a_compacted_batch_is_ignored(spark, log):
     log.append(row(spark, "a", "1"))
     log.append(row(spark, "a", "2"))
