@@ -16,15 +16,14 @@ def shared_root(spark: SparkSession) -> str:
     A machine-local folder is used only when the setting is absent *and* the session runs inside
     one process; on a cluster a missing setting is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="coursepulse-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="coursepulse-"))
+    return context.getCheckpointDir()
 
 
 def working_dir(spark: SparkSession, label: str) -> str:

