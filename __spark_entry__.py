@@ -38,6 +38,7 @@ from coursepulse.streaming import (
     await_all,
     start_interaction_log,
     start_popularity,
+    start_quarantine,
 )
 from coursepulse.workspace import stored, working_dir
 
@@ -72,9 +73,10 @@ def _log_rows(spark: SparkSession, folder: str, country: bool = False) -> DataFr
         "event_id", "ingest_offset")
 
 
-def _faulty_feed(spark: SparkSession, folder: str) -> DataFrame:
+def _faulty_feed(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
     """All messages, with those of ``error`` events damaged in three ways."""
-    lifted = _interactions(spark, folder, "event_type", "value", "props", country=True)
+    events = ev.stream_events(spark, folder) if stream else ev.read_events(spark, folder)
+    lifted = ev.lift(events, ev.read_nations(spark, folder), "event_type", "value", "props")
     damaged = F.col("event_type") == "error"
     anonymous = damaged & (F.col("value") >= 10)
     lifted = lifted.withColumn(
@@ -101,12 +103,15 @@ def valid_interactions(spark, folder):
     return ingest.interactions_from(_faulty_feed(spark, folder))
 
 
-def unusable_messages(spark, folder):
-    rejected = ingest.unusable(_faulty_feed(spark, folder))
+def _by_reason(rejected):
     return rejected.groupBy("reason").agg(
         F.count(F.lit(1)).alias("messages"), F.count("payload").alias("with_payload"))
 
 
+def unusable_messages(spark, folder):
+    return _by_reason(ingest.unusable(_faulty_feed(spark, folder)))
+
+
 def published_messages(spark, folder):
     return messages(_interactions(spark, folder, country=True))
 
@@ -350,6 +355,13 @@ def stream_interaction_log(spark, folder):
     return table.latest()
 
 
+def stream_quarantine(spark, folder):
+    root = working_dir(spark, "stream-quarantine")
+    await_all(start_quarantine(
+        _faulty_feed(spark, folder, stream=True), f"{root}/quarantine", f"{root}/checkpoint", ONCE))
+    return _by_reason(spark.read.parquet(f"{root}/quarantine"))
+
+
 def _stream_popularity(spark, folder, mode: str, exact: bool) -> DataFrame:
     root = working_dir(spark, f"stream-{mode}")
     store = PopularityStore(spark, f"{root}/popularity", mode, exact)
@@ -439,6 +451,7 @@ _QUERIES: tuple[Query, ...] = (
     interaction_quality,
     damaged_feed_quality,
     stream_interaction_log,
+    stream_quarantine,
     stream_popularity_complete,
     stream_popularity_update,
     stream_popularity_append,
@@ -591,15 +604,16 @@ def oracle_sql() -> dict[str, str]:
     flat_wire = f"{lift} select {_FLAT_WIRE} from lifted"
     wire_windows = _windows_sql("hour").replace(
         'max("timestamp")', """max(date_trunc('second', "timestamp"))""")
-    return {
-        "parse_interactions": flat_wire,
-        "valid_interactions": f"{flat_wire} where event_type <> 'error'",
-        "unusable_messages": f"""{lift}
+    rejected = f"""{lift}
   select case when value < 2 then 'null_payload' when value < 10 then 'malformed'
               else 'no_student' end as reason,
          count(*) as messages,
          count(*) filter (value >= 2) as with_payload
-  from lifted where event_type = 'error' group by 1""",
+  from lifted where event_type = 'error' group by 1"""
+    return {
+        "parse_interactions": flat_wire,
+        "valid_interactions": f"{flat_wire} where event_type <> 'error'",
+        "unusable_messages": rejected,
         "published_messages": f"""{lift}
   select student_id as "key",
          '{{"student_id":"' || student_id || '","course_code":"' || course_code
@@ -699,6 +713,7 @@ def oracle_sql() -> dict[str, str]:
         "damaged_feed_quality":
             f"{lift}, {_FAULTY}" + _REPORT.format(types=types, source="received"),
         "stream_interaction_log": lift + _logged_sql(_FLAT_WIRE, _SECOND),
+        "stream_quarantine": rejected,
         "stream_popularity_complete": lift + hourly,
         "stream_popularity_update": lift + hourly,
         "stream_approx_check": f"""{lift}

@@ -23,7 +23,7 @@ from coursepulse.sources import (
     stream_landed,
     stream_messages,
 )
-from coursepulse.streaming import await_all
+from coursepulse.streaming import await_all, start_quarantine
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -50,6 +50,7 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--every", help="trigger interval, e.g. '1 minute'")
     stream.add_argument("--state-partitions", type=int)
     stream.add_argument("--rocksdb", action="store_true")
+    stream.add_argument("--quarantine", help="folder for unusable messages of the topic")
 
     recommend = job("recommend", "store every student's top courses")
     recommend.add_argument("--landed", required=True)
@@ -82,18 +83,24 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def _run_popularity(spark: SparkSession, options: argparse.Namespace) -> None:
-    if options.servers:
-        feed = interactions_from(stream_messages(spark, options.servers, options.topic))
-    else:
-        feed = identified(stream_landed(spark, options.landed))
     trigger = None
     if options.once:
         trigger = {"availableNow": True}
     elif options.every:
         trigger = {"processingTime": options.every}
-    await_all(*popularity_job(
+    queries = []
+    if options.servers:
+        messages = stream_messages(spark, options.servers, options.topic)
+        feed = interactions_from(messages)
+        if options.quarantine:
+            queries.append(start_quarantine(
+                messages, options.quarantine, f"{options.checkpoints}/quarantine", trigger))
+    else:
+        feed = identified(stream_landed(spark, options.landed))
+    queries += popularity_job(
         feed, Tables(spark, options.root), options.checkpoints, options.mode, options.exact,
-        trigger, state_partitions=options.state_partitions, rocksdb=options.rocksdb))
+        trigger, state_partitions=options.state_partitions, rocksdb=options.rocksdb)
+    await_all(*queries)
 
 
 def _run_profile(spark: SparkSession, options: argparse.Namespace) -> None:

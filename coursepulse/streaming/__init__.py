@@ -5,6 +5,7 @@ from coursepulse.streaming.queries import (
     start_console,
     start_interaction_log,
     start_popularity,
+    start_quarantine,
 )
 from coursepulse.streaming.store import ExternalPopularity, PopularityStore
 
@@ -15,4 +16,5 @@ __all__ = [
     "start_console",
     "start_interaction_log",
     "start_popularity",
+    "start_quarantine",
 ]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from coursepulse import model
+from coursepulse.operators.ingest import unusable
 from coursepulse.operators.popularity import HOUR
 from coursepulse.sinks.tables import KeyedTable
 from coursepulse.streaming.store import BatchWriter, ExternalPopularity, PopularityStore
@@ -52,6 +53,24 @@ def start_interaction_log(
     return _start(writer, interactions.sparkSession, name, checkpoint, trigger)
 
 
+def start_quarantine(
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: Mapping[str, object] | None = None,
+    name: str = "quarantine",
+) -> StreamingQuery:
+    """Keep the messages that yield no usable interaction, with the reason, for inspection.
+
+    Map-only, one folder per batch; a repeated batch replaces its folder. Read with
+    ``spark.read.parquet(path)``.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    writer = unusable(messages).writeStream.outputMode("append").foreachBatch(write)
+    return _start(writer, messages.sparkSession, name, checkpoint, trigger)
+
+
 def start_popularity(
     interactions: DataFrame,
     store: PopularityStore | ExternalPopularity,

@@ -61,10 +61,22 @@ class _Lane:
 
 
 class PopularityStore(_Lane):
-    """Hourly (or other windowed) course popularity maintained by one stream."""
+    """Hourly (or other windowed) course popularity maintained by one stream.
 
-    def __init__(self, spark: SparkSession, path: str, mode: str = "update", exact: bool = False):
+    In complete mode the ``keep`` newest snapshots stay, so that a reader may take that many
+    triggers to finish.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        mode: str = "update",
+        exact: bool = False,
+        keep: int = 10,
+    ):
         super().__init__(mode, exact)
+        self.keep = keep
         if mode == "complete":
             self.table = VersionedTable(spark, path, model.COURSE_POPULARITY_HOURLY)
         elif self.by_student:
@@ -79,6 +91,7 @@ class PopularityStore(_Lane):
                 batch.withColumn("window_start", F.col("window.start")), batch_id)
         elif self.mode == "complete":
             self.table.write_version(self.windows_of(batch), batch_id)
+            self.table.prune(self.keep)
         else:
             self.table.write_batch(self.windows_of(batch), batch_id)
 

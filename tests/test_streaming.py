@@ -16,6 +16,7 @@ from coursepulse.streaming import (
     start_console,
     start_interaction_log,
     start_popularity,
+    start_quarantine,
 )
 from helpers import at, event, rows_of, write_lines
 
@@ -173,6 +174,27 @@ def test_external_store_refuses_student_changes():
         ExternalPopularity(lambda batch, batch_id: None, "update", exact=True)
 
 
+def test_quarantine_keeps_what_the_log_drops(spark, feed, tmp_path):
+    feed.add(seen("a", "10:00:00"), {"course_code": "C"})
+    (feed.path / "junk.json").write_text("not json\n" + "x" * 5000 + "\n")
+    for _ in range(2):  # a restart adds nothing
+        await_all(start_quarantine(
+            feed.messages(), f"{tmp_path}/q", f"{tmp_path}/cp", trigger=ONCE))
+        kept = spark.read.parquet(f"{tmp_path}/q")
+        assert sorted((r.reason, len(r.payload)) for r in kept.collect()) == [
+            ("malformed", 8), ("malformed", 5000), ("no_student", 20)]
+
+
+def test_old_snapshots_are_pruned(spark, feed, tmp_path):
+    store = PopularityStore(spark, f"{tmp_path}/out", "complete", keep=2)
+    for n in range(4):
+        feed.add(seen(f"s{n}", "10:00:00"))
+        await_all(start_popularity(
+            feed.interactions(), store, f"{tmp_path}/cp", trigger=ONCE, state_partitions=2))
+    assert hours(store) == {10: 4}
+    assert len(list((tmp_path / "out" / "versions").iterdir())) == 2
+
+
 def test_both_queries_of_the_job(spark, feed, tmp_path):
     feed.add(seen("a", "10:00:00"), seen("b", "10:01:00"), {"course_code": "no student"})
     (feed.path / "junk.json").write_text("not json\n")
