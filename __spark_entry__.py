@@ -406,7 +406,8 @@ def stream_popularity_job(spark, folder):
     root = working_dir(spark, "stream-job")
     tables = Tables(spark, root)
     await_all(*popularity_job(
-        ingest.interactions_from(_feed(spark, folder)), tables, f"{root}/checkpoints", mode="update", exact=True,
+        ingest.interactions_from(_feed(spark, folder)), tables, f"{root}/checkpoints",
+        mode="update", exact=True,
         trigger=ONCE, state_partitions=_state_partitions(spark)))
     logged = tables.interaction_logs.latest().groupBy("course_code").agg(
         F.count(F.lit(1)).alias("logged"))

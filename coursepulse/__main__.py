@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit ... -m coursepulse <job> ...`` or ``python -m coursepulse <job> ...``.
+"""Command line: ``python -m coursepulse <job> ...``, or this file under spark-submit.
 
 Connector packages, hosts, file-system settings and resources come from spark-submit or ``--conf``.
 """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -68,8 +69,9 @@ class Recommender:
         stay within a constant factor of the ratings table, whatever the heaviest student does.
         """
         tier = F.ceil(F.log(float(SEEN_TIER_BASE), F.col("seen").cast("double"))).cast("int")
-        tiered = self.ratings.groupBy(USER).agg(F.count(F.lit(1)).alias("seen")).withColumn(
-            "tier", tier)
+        seen = self.ratings.groupBy(USER).agg(F.count(F.lit(1)).alias("seen"))
+        tiered = stored(
+            seen.select(USER, tier.alias("tier")), f"{self.folder}/seen-{uuid4().hex}")
         # At most log(courses) distinct tiers; each is one scoring pass over its own students.
         tiers = [row.tier for row in tiered.select("tier").distinct().collect()]
         courses = self.courses.count()

@@ -135,7 +135,8 @@ class KeyedTable:
             .withColumn(_DAY, self._day())
             .repartitionByRange(_DAY, *self.spec.key)
             .sortWithinPartitions(_DAY, *self.spec.key)
-            .write.mode("overwrite").partitionBy(_DAY).parquet(f"{self.path}/base/through={through}")
+            .write.mode("overwrite").partitionBy(_DAY)
+            .parquet(f"{self.path}/base/through={through}")
         )
         return through
 

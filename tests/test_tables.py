@@ -1,6 +1,8 @@
 from pathlib import Path
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from coursepulse import model
 from coursepulse.operators.latest import latest_by_key
@@ -201,3 +203,38 @@ def test_latest_by_key_with_a_hot_key(spark):
     best = {r.k: (r.v, r.payload) for r in latest_by_key(rows, ["k"], ["v"]).collect()}
     assert best["hot"] == (29_997, 59_994)
     assert len(best) == rows.select("k").distinct().count()
+
+
+KEYS = st.tuples(st.sampled_from("abc"), st.integers(1, 3), st.sampled_from("xyz"))
+STEPS = st.lists(st.one_of(
+    st.tuples(st.just("append"), st.lists(KEYS, min_size=1, max_size=4)),
+    st.tuples(st.just("replay"), st.none()),
+    st.tuples(st.just("compact"), st.none()),
+    st.tuples(st.just("vacuum"), st.none()),
+), min_size=3, max_size=7)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(steps=STEPS)
+def test_any_history_equals_a_dictionary(spark, tmp_path_factory, steps):
+    """Appends, replays of the last batch, compactions and vacuums in any order."""
+    log = Tables(spark, str(tmp_path_factory.mktemp("history"))).interaction_logs
+    expected, last = {}, None
+    for step, rows in steps:
+        if step == "append":
+            batch = interactions(spark, [
+                (student, course, "x", f"2024-01-0{day} 10:00:00")
+                for student, day, course in rows])
+            last = (batch, log.append(batch))
+            newest = {}
+            for student, day, course in rows:
+                newest[student, day] = max(course, newest.get((student, day), ""))
+            expected.update(newest)
+        elif step == "replay" and last:
+            log.write_batch(*last)
+        elif step == "compact":
+            log.compact()
+        elif step == "vacuum":
+            log.vacuum()
+    assert {(r.student_id, r.timestamp.day): r.course_code
+            for r in log.latest().collect()} == expected
