@@ -57,11 +57,18 @@ class Recommender:
         """Delete the files behind all of the above."""
         delete_folder(self.pairs.sparkSession, self.folder)
 
-    def top_n(self, n: int = 5) -> DataFrame:
-        """``student_index, recommendations``: the n best courses, seen ones included."""
-        return self.model.recommendForAllUsers(n)
-
-    def top_n_unseen(self, n: int = 5) -> DataFrame:
+    def indexes_of(self, students: DataFrame) -> DataFrame:
+        """``student_index`` of the known ones among these ``student_id``s."""
+        return self.students.join(students, "student_id", "left_semi").select(USER)
+
+    def top_n(self, n: int = 5, students: DataFrame | None = None) -> DataFrame:
+        """``student_index, recommendations``: the n best courses, seen ones included, for all
+        students or only for the ``student_id``s given."""
+        if students is None:
+            return self.model.recommendForAllUsers(n)
+        return self.model.recommendForUserSubset(self.indexes_of(students), n)
+
+    def top_n_unseen(self, n: int = 5, students: DataFrame | None = None) -> DataFrame:
         """The n best courses without an interaction, exactly.
 
         A student with s seen courses needs the best n + s. Students are tiered by s, each
@@ -69,19 +76,22 @@ class Recommender:
         stay within a constant factor of the ratings table, whatever the heaviest student does.
         """
         tier = F.ceil(F.log(float(SEEN_TIER_BASE), F.col("seen").cast("double"))).cast("int")
-        seen = self.ratings.groupBy(USER).agg(F.count(F.lit(1)).alias("seen"))
+        ratings = self.ratings
+        if students is not None:
+            ratings = ratings.join(self.indexes_of(students), USER, "left_semi")
+        seen = ratings.groupBy(USER).agg(F.count(F.lit(1)).alias("seen"))
         tiered = stored(
             seen.select(USER, tier.alias("tier")), f"{self.folder}/seen-{uuid4().hex}")
         # At most log(courses) distinct tiers; each is one scoring pass over its own students.
         tiers = [row.tier for row in tiered.select("tier").distinct().collect()]
         courses = self.courses.count()
-        candidates = None
+        candidates = self.ratings.select(USER, ITEM, "rating").limit(0)
         for number in sorted(tiers):
             wanted = min(n + SEEN_TIER_BASE ** number, courses)
-            students = tiered.filter(F.col("tier") == number).select(USER)
-            found = self.model.recommendForUserSubset(students, wanted).select(
-                USER, F.explode(RECS).alias("rec")).select(USER, "rec.*")
-            candidates = found if candidates is None else candidates.unionAll(found)
+            peers = tiered.filter(F.col("tier") == number).select(USER)
+            candidates = candidates.unionAll(
+                self.model.recommendForUserSubset(peers, wanted)
+                .select(USER, F.inline(RECS)))
         best = Window.partitionBy(USER).orderBy(F.desc("rating"), F.asc(ITEM))
         return (
             candidates.join(self.ratings.select(USER, ITEM), [USER, ITEM], "left_anti")
@@ -94,8 +104,11 @@ class Recommender:
             ).alias(RECS))
         )
 
-    def recommendations(self, n: int = 5, exclude_seen: bool = False) -> DataFrame:
-        recs = self.top_n_unseen(n) if exclude_seen else self.top_n(n)
+    def recommendations(
+        self, n: int = 5, exclude_seen: bool = False, students: DataFrame | None = None
+    ) -> DataFrame:
+        """Labelled recommendations, see :func:`assemble`."""
+        recs = self.top_n_unseen(n, students) if exclude_seen else self.top_n(n, students)
         return assemble(recs, self.pairs, self.students, self.courses)
 
 

@@ -81,6 +81,16 @@ def test_top_n_against_brute_force(spark, shape):
                 assert r.rating == pytest.approx(open_courses[r.course_code], abs=1e-4)
 
 
+@pytest.mark.parametrize("exclude", [False, True])
+def test_some_students_only(spark, fitted, exclude):
+    some = spark.createDataFrame([("S0",), ("S2",), ("S0",), ("unknown",)], "student_id string")
+    everyone = fitted.recommendations(2, exclude)
+    wanted = everyone.filter("student_id in ('S0', 'S2')")
+    assert rows_of(fitted.recommendations(2, exclude, some)) == rows_of(wanted)
+    nobody = some.filter("student_id = 'unknown'")
+    assert fitted.recommendations(2, exclude, nobody).count() == 0
+
+
 def test_same_seed_same_rows_after_repartition(spark, fitted):
     again = fit_recommender(spark, interactions(spark, feed()).repartition(5))
     assert rows_of(again.recommendations(5)) == rows_of(fitted.recommendations(5))
