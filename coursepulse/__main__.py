@@ -15,7 +15,7 @@ from coursepulse.operators.ingest import identified, interactions_from
 from coursepulse.operators.profiles import cohort_affinity, daypart_profile, quality_report
 from coursepulse.plans import Tables, ingest_landed, popularity_job, recommendation_job
 from coursepulse.plans.jobs import replay_to_landing
-from coursepulse.sinks.external import publish
+from coursepulse.sinks import ExternalStore, publish
 from coursepulse.sources import (
     build_session,
     read_landed,
@@ -26,12 +26,22 @@ from coursepulse.sources import (
 from coursepulse.streaming import await_all, start_quarantine
 
 
+_PAIRS = {"action": "append", "default": [], "metavar": "KEY=VALUE"}
+
+
+def _mapping(pairs: Sequence[str]) -> dict[str, str]:
+    return dict(pair.split("=", 1) for pair in pairs)
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="coursepulse", description=__doc__)
-    parser.add_argument("--conf", action="append", default=[], metavar="KEY=VALUE")
+    parser.add_argument("--conf", **_PAIRS)
     jobs = parser.add_subparsers(dest="job", required=True)
 
-    def job(name: str, text: str, *, tables: bool = True, feed: bool = False):
+    def job(
+        name: str, text: str, *, tables: bool = True, feed: bool = False, topic: bool = False,
+        store: bool = False,
+    ):
         added = jobs.add_parser(name, help=text)
         if tables:
             added.add_argument("--root", required=True, help="folder of the tables")
@@ -39,10 +49,18 @@ def _parser() -> argparse.ArgumentParser:
             source = added.add_mutually_exclusive_group(required=True)
             source.add_argument("--servers", help="brokers of the topic")
             source.add_argument("--landed", help="folder or glob of landed files")
+        if topic:
+            added.add_argument("--servers", required=True, help="brokers of the topic")
+        if feed or topic:
             added.add_argument("--topic", default=model.TOPIC)
+            added.add_argument("--topic-option", **_PAIRS, help="any connector option")
+        if store:
+            added.add_argument("--store-format", help="write to a keyed store by this connector")
+            added.add_argument("--store-option", **_PAIRS, help="{table} stands for the table")
         return added
 
-    stream = job("popularity", "keep the interaction log and course popularity current", feed=True)
+    stream = job("popularity", "keep the interaction log and course popularity current", feed=True,
+                 store=True)
     stream.add_argument("--checkpoints", required=True)
     stream.add_argument("--mode", choices=("complete", "update", "append"), default="update")
     stream.add_argument("--exact", action="store_true")
@@ -52,7 +70,7 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--rocksdb", action="store_true")
     stream.add_argument("--quarantine", help="folder for unusable messages of the topic")
 
-    recommend = job("recommend", "store every student's top courses")
+    recommend = job("recommend", "store every student's top courses", store=True)
     recommend.add_argument("--landed", required=True)
     recommend.add_argument("--top", type=int, default=5)
     recommend.add_argument("--exclude-seen", action="store_true")
@@ -69,19 +87,21 @@ def _parser() -> argparse.ArgumentParser:
     profile = job("profile", "print the feed's quality and usage profiles", tables=False)
     profile.add_argument("--landed", required=True)
 
-    send = job("publish", "publish landed events to a topic", tables=False)
+    send = job("publish", "publish landed events to a topic", tables=False, topic=True)
     send.add_argument("--landed", required=True)
-    send.add_argument("--servers", required=True)
-    send.add_argument("--topic", default=model.TOPIC)
 
-    land = job("land", "land a topic's events by date", tables=False)
-    land.add_argument("--servers", required=True)
-    land.add_argument("--topic", default=model.TOPIC)
+    land = job("land", "land a topic's events by date", tables=False, topic=True)
     land.add_argument("--to", required=True)
     land.add_argument("--files-per-date", type=int)
     return parser
 
 
+def _store(options: argparse.Namespace) -> ExternalStore | None:
+    if not options.store_format:
+        return None
+    return ExternalStore(options.store_format, _mapping(options.store_option))
+
+
 def _run_popularity(spark: SparkSession, options: argparse.Namespace) -> None:
     trigger = None
     if options.once:
@@ -90,7 +110,8 @@ def _run_popularity(spark: SparkSession, options: argparse.Namespace) -> None:
         trigger = {"processingTime": options.every}
     queries = []
     if options.servers:
-        messages = stream_messages(spark, options.servers, options.topic)
+        messages = stream_messages(
+            spark, options.servers, options.topic, **_mapping(options.topic_option))
         feed = interactions_from(messages)
         if options.quarantine:
             queries.append(start_quarantine(
@@ -99,7 +120,8 @@ def _run_popularity(spark: SparkSession, options: argparse.Namespace) -> None:
         feed = identified(stream_landed(spark, options.landed))
     queries += popularity_job(
         feed, Tables(spark, options.root), options.checkpoints, options.mode, options.exact,
-        trigger, state_partitions=options.state_partitions, rocksdb=options.rocksdb)
+        trigger, _store(options), state_partitions=options.state_partitions,
+        rocksdb=options.rocksdb)
     await_all(*queries)
 
 
@@ -115,7 +137,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
     elif options.job == "recommend":
         recommendation_job(
             spark, read_landed(spark, options.landed), Tables(spark, options.root),
-            options.top, options.exclude_seen)
+            options.top, options.exclude_seen, store=_store(options))
     elif options.job == "load":
         ingest_landed(spark, options.landed, Tables(spark, options.root))
     elif options.job == "compact":
@@ -129,17 +151,18 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
     elif options.job == "profile":
         _run_profile(spark, options)
     elif options.job == "publish":
-        publish(identified(read_landed(spark, options.landed)), options.servers, options.topic)
+        publish(identified(read_landed(spark, options.landed)), options.servers, options.topic,
+                **_mapping(options.topic_option))
     elif options.job == "land":
         replay_to_landing(
-            read_messages(spark, options.servers, options.topic), options.to,
-            options.files_per_date)
+            read_messages(
+                spark, options.servers, options.topic, **_mapping(options.topic_option)),
+            options.to, options.files_per_date)
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
     options = _parser().parse_args(arguments)
-    conf = dict(item.split("=", 1) for item in options.conf)
-    run(build_session(f"coursepulse {options.job}", conf), options)
+    run(build_session(f"coursepulse {options.job}", _mapping(options.conf)), options)
 
 
 if __name__ == "__main__":

@@ -11,12 +11,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from coursepulse import model
 from coursepulse.operators.ingest import identified, interactions_from
+from coursepulse.operators.latest import has_key, latest_by_key
 from coursepulse.operators.recommend import AlsSettings, fit_recommender
+from coursepulse.sinks.external import ExternalStore
 from coursepulse.sinks.landing import land
 from coursepulse.sinks.tables import KeyedTable
 from coursepulse.sources.landing import read_landed
 from coursepulse.streaming.queries import start_interaction_log, start_popularity
-from coursepulse.streaming.store import PopularityStore
+from coursepulse.streaming.store import BatchWriter, ExternalPopularity, PopularityStore
+from coursepulse.workspace import stored
 
 
 @dataclass(frozen=True)
@@ -55,19 +58,30 @@ def popularity_job(
     mode: str = "update",
     exact: bool = False,
     trigger: Mapping[str, object] | None = None,
+    store: ExternalStore | None = None,
     **options,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Two independent queries over one feed: the interaction log and course popularity.
 
     ``interactions`` is a stream, from a topic (``interactions_from(stream_messages(...))``) or from
     landed files. Each query has its own checkpoint and reads the feed for itself; wait on both
-    with ``await_all``.
+    with ``await_all``. With ``store`` both write to that keyed store instead of ``tables``; it has
+    no batch order, so the log's repeats are settled within each batch before they get there.
     """
+    if store:
+        log_target = _deduplicating(store.batch_writer(model.INTERACTION_LOGS.name))
+        popularity_spec = (
+            model.COURSE_POPULARITY if mode == "complete" else model.COURSE_POPULARITY_HOURLY)
+        popularity_target = ExternalPopularity(
+            store.batch_writer(popularity_spec.name), mode, exact)
+    else:
+        log_target = tables.interaction_logs
+        popularity_target = tables.course_popularity(mode, exact)
     log = start_interaction_log(
-        interactions, tables.interaction_logs, f"{checkpoints}/interaction_log", trigger)
+        interactions, log_target, f"{checkpoints}/interaction_log", trigger)
     try:
         popularity = start_popularity(
-            interactions, tables.course_popularity(mode, exact),
+            interactions, popularity_target,
             f"{checkpoints}/course_popularity-{mode}", trigger=trigger, **options)
     except Exception:
         log.stop()
@@ -75,6 +89,18 @@ def popularity_job(
     return log, popularity
 
 
+def _deduplicating(write: BatchWriter) -> BatchWriter:
+    """Write the last interaction per key of each batch, in the columns of the log table, without
+    the rows the store would refuse for a missing key."""
+    spec = model.INTERACTION_LOGS
+
+    def deduplicated(batch: DataFrame, batch_id: int) -> None:
+        order = [name for name in spec.order_columns if name in batch.columns]
+        keyed = batch.filter(has_key(spec.key))
+        write(latest_by_key(keyed, spec.key, order).select(*spec.columns), batch_id)
+    return deduplicated
+
+
 def recommendation_job(
     spark: SparkSession,
     interactions: DataFrame,
@@ -82,15 +108,23 @@ def recommendation_job(
     n: int = 5,
     exclude_seen: bool = False,
     settings: AlsSettings = AlsSettings(),
+    store: ExternalStore | None = None,
 ) -> DataFrame:
     """Fit on all interactions, store every student's top ``n`` and return the table.
 
+    With ``store`` the table's new rows are appended there as well.
+
     The model is saved before anything is scored, the scored rows are written once, and the
     working files go away afterwards.
     """
     recommender = fit_recommender(spark, interactions, settings)
     try:
-        tables.student_recommendations.append(recommender.recommendations(n, exclude_seen))
+        table = tables.student_recommendations
+        rows = recommender.recommendations(n, exclude_seen).select(*table.spec.columns)
+        if store:
+            rows = stored(rows, f"{recommender.folder}/recommendations")
+            store.append(rows, table.spec.name)
+        table.append(rows)
     finally:
         recommender.discard()
     return tables.student_recommendations.latest()

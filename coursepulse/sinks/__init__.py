@@ -1,7 +1,14 @@
 """Where interactions and results go."""
 
-from coursepulse.sinks.external import append_external, publish
+from coursepulse.sinks.external import ExternalStore, append_external, publish
 from coursepulse.sinks.landing import land
 from coursepulse.sinks.tables import KeyedTable, VersionedTable
 
-__all__ = ["KeyedTable", "VersionedTable", "append_external", "land", "publish"]
+__all__ = [
+    "ExternalStore",
+    "KeyedTable",
+    "VersionedTable",
+    "append_external",
+    "land",
+    "publish",
+]

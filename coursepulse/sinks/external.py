@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,3 +49,23 @@ def external_batch_writer(
     def write(batch: DataFrame, batch_id: int) -> None:
         append_external(batch, format, options, names)
     return write
+
+
+@dataclass(frozen=True)
+class ExternalStore:
+    """A keyed store behind a connector, holding the tables under their own names.
+
+    ``{table}`` in an option value stands for the table's name, e.g. ``{"table": "{table}"}``.
+    """
+
+    format: str
+    options: Mapping[str, str] = field(default_factory=dict)
+
+    def options_for(self, table: str) -> dict[str, str]:
+        return {name: value.replace("{table}", table) for name, value in self.options.items()}
+
+    def batch_writer(self, table: str, names: Mapping[str, str] | None = None):
+        return external_batch_writer(self.format, self.options_for(table), names)
+
+    def append(self, rows: DataFrame, table: str) -> None:
+        append_external(rows, self.format, self.options_for(table))

@@ -18,12 +18,11 @@ def stream_messages(
     spark: SparkSession,
     servers: str,
     topic: str = model.TOPIC,
-    starting_offsets: str = "latest",
     **extra: object,
 ) -> DataFrame:
-    """The topic as a stream. ``starting_offsets`` matters on the first start only; afterwards the
+    """The topic as a stream, from its end (``startingOffsets``) on the first start; afterwards the
     checkpoint decides. Bound a catch-up with ``maxOffsetsPerTrigger``."""
-    options = kafka_options(servers, topic, startingOffsets=starting_offsets, **extra)
+    options = kafka_options(servers, topic, **{"startingOffsets": "latest", **extra})
     return spark.readStream.format("kafka").options(**options).load()
 
 

@@ -1,5 +1,6 @@
 import pytest
 
+from coursepulse import model
 from coursepulse.__main__ import main
 from coursepulse.plans import Tables
 from coursepulse.sinks import land
@@ -37,12 +38,30 @@ def test_load_and_recommend(spark, landed, tmp_path):
     assert tables.student_recommendations.latest().count() == 10
 
 
+def test_jobs_into_an_external_store(spark, landed, tmp_path):
+    """Parquet folders stand in for the store: appends without the store's upsert."""
+    target = ["--root", f"{tmp_path}/t", "--store-format", "parquet",
+              "--store-option", f"path={tmp_path}/{{table}}"]
+    main(["popularity", "--landed", landed, *target, "--checkpoints", f"{tmp_path}/c",
+          "--mode", "complete", "--exact", "--once", "--state-partitions", "2"])
+    log = spark.read.parquet(f"{tmp_path}/interaction_logs")
+    assert log.count() == 5 and log.columns == model.INTERACTION_LOGS.columns
+    courses = spark.read.parquet(f"{tmp_path}/course_popularity")
+    assert courses.columns == model.COURSE_POPULARITY.columns
+    assert courses.distinct().count() == 8
+    main(["recommend", "--landed", landed, *target, "--top", "2"])
+    recommended = spark.read.parquet(f"{tmp_path}/student_recommendations")
+    assert recommended.columns == model.STUDENT_RECOMMENDATIONS.columns
+    assert sorted(recommended.collect()) == sorted(
+        Tables(spark, f"{tmp_path}/t").student_recommendations.latest().collect())
+
+
 def test_profile(spark, landed):
     main(["--conf", "spark.sql.session.timeZone=UTC", "profile", "--landed", landed])
 
 
 @pytest.mark.parametrize("arguments", [
-    ["publish", "--servers", "h:1", "--landed", "x"],
+    ["publish", "--servers", "h:1", "--landed", "x", "--topic-option", "kafka.acks=all"],
     ["land", "--servers", "h:1", "--to", "x"],
     ["popularity", "--servers", "h:1", "--root", "x", "--checkpoints", "y"],
 ])
