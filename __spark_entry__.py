@@ -49,6 +49,15 @@ ONCE = {"availableNow": True}
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+try:
+    import corpus_pipeline
+
+    from coursepulse.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if (missing.name or "").split(".")[:2] not in (["corpus_pipeline"], ["coursepulse", "llm"]):
+        raise
+    llm = None
+
 
 # --- inputs ---------------------------------------------------------------------------------
 
@@ -477,7 +486,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {query.__name__: _prepared(query) for query in _QUERIES}
+    found = {query.__name__: _prepared(query) for query in _QUERIES}
+    if llm is not None:
+        found |= {query.__name__: _prepared(query) for query in llm.QUERIES}
+        found["pipeline"] = _prepared(corpus_pipeline.run)
+    return found
 
 
 # --- SQL counterparts -----------------------------------------------------------------------
@@ -598,6 +611,15 @@ faulty as (
 
 
 def oracle_sql() -> dict[str, str]:
+    found = _own_sql()
+    if llm is not None:
+        found |= llm.SQL
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def _own_sql() -> dict[str, str]:
     hourly, daily = _windows_sql("hour"), _windows_sql("day")
     types = ", ".join(f"'{t}'" for t in model.INTERACTION_TYPES)
     lift, pairs = f"with {_LIFT}", f"with {_LIFT}, {_PAIRS}"
