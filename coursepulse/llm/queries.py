@@ -16,6 +16,7 @@ from coursepulse.llm import (
     quality,
     toxicity,
     urls,
+    wrappers,
 )
 from coursepulse.llm.text import held_out
 
@@ -49,6 +50,10 @@ def op2_toxicity(spark, folder):
     ).withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+def op3_main_text(spark, folder):
+    return wrappers.main_text(read(spark, folder, "pages"))
+
+
 def op4_contamination(spark, folder):
     return decontaminate.contaminated(
         read(spark, folder, "documents"), read(spark, folder, "benchmark"))
@@ -94,6 +99,7 @@ def op10_embedding_links(spark, folder):
 QUERIES = (
     op1_byte_bpe,
     op2_toxicity,
+    op3_main_text,
     op4_contamination,
     op5_url_filter,
     op6_quality,
