@@ -70,10 +70,10 @@ class Languages:
         total = np.maximum(counts.sum(axis=1, keepdims=True), 1)
         mixed = start
         for _ in range(_STEPS):
-            weight = counts / (mixed @ self.chances)
+            weight = counts / np.maximum(mixed @ self.chances, 1e-30)
             mixed = mixed * (weight @ self.chances.T) / total
-            mixed /= mixed.sum(axis=1, keepdims=True)
-        return mixed, (counts * np.log(mixed @ self.chances)).sum(axis=1)
+            mixed /= np.maximum(mixed.sum(axis=1, keepdims=True), 1e-30)
+        return mixed, (counts * np.log(np.maximum(mixed @ self.chances, 1e-30))).sum(axis=1)
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         if not texts:

@@ -87,8 +87,9 @@ def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     more[:, 0] = repeated
     more[:, 1] = runs
     spaces = np.maximum((single[:, 3] + single[:, 4]) * size, 1)
-    more[:, 2] = np.minimum(size / spaces, 40) / 10  # characters a word
-    more[:, 3] = np.minimum(size / PASSAGE, 1)
+    held = until - begin
+    more[:, 2] = np.minimum(held / spaces, 40) / 10  # characters a word
+    more[:, 3] = np.minimum(held / PASSAGE, 1)
     letters = np.maximum(single[:, 0] + single[:, 1], 1e-3)
     more[:, 4] = single[:, 1] / letters
     return np.hstack([np.sqrt(single), np.sqrt(both), more]), owner
