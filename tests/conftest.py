@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -13,10 +14,11 @@ TESTDATA = os.environ.get("TESTDATA", "/root/testdata")
 @pytest.fixture(scope="session")
 def spark():
     builder = (
-        SparkSession.builder.master("local[*]").appName("coursepulse-tests")
+        SparkSession.builder.master(os.environ.get("TEST_MASTER", "local[*]")).appName("coursepulse-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="coursepulse-tests-"))
         .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
     )
