@@ -14,18 +14,19 @@ from coursepulse.workspace import delete_folder, ensure_rdd_checkpoints, stored,
 
 USER, ITEM, RECS = "student_index", "course_index", "recommendations"
 
-# Ratings are first sorted into user blocks x item blocks, so their number must stay moderate.
-PAIRS_PER_BLOCK = 5_000_000
-FEWEST_BLOCKS, MOST_BLOCKS = 10, 400
-
 # Students are grouped by seen courses in powers of this when the seen ones are to be left out.
 SEEN_TIER_BASE = 4
 
 
 @dataclass(frozen=True)
 class AlsSettings:
-    """Factorisation settings. ``blocks`` defaults to one per five million pairs: it follows the
-    data, not the cluster, so that the same data gives the same factors anywhere."""
+    """Factorisation settings.
+
+    ``blocks`` is the number of user and of item blocks. The start factors depend on it, so it is a
+    plain setting that follows neither data nor cluster: the same data and settings give the same
+    factors anywhere, and more data never another number. Raise it for large tables, so that a block
+    of ratings, about ``ratings / blocks`` of 12 bytes, fits into a task's memory.
+    """
 
     rank: int = 10
     max_iter: int = 10
@@ -33,12 +34,7 @@ class AlsSettings:
     seed: int = 42
     implicit: bool = False
     nonnegative: bool = False
-    blocks: int | None = None
-
-    def blocks_for(self, pairs: int) -> int:
-        if self.blocks:
-            return self.blocks
-        return min(max(FEWEST_BLOCKS, -(-pairs // PAIRS_PER_BLOCK)), MOST_BLOCKS)
+    blocks: int = 10
 
 
 @dataclass(frozen=True)
@@ -133,11 +129,10 @@ def fit_recommender(
     students = dense_index(pairs, "student_id", USER, f"{folder}/students")
     courses = dense_index(pairs, "course_code", ITEM, f"{folder}/courses")
     ratings = stored(index_pairs(pairs, students, courses), f"{folder}/ratings")
-    blocks = settings.blocks_for(ratings.count())
     als = ALS(
         rank=settings.rank, maxIter=settings.max_iter, regParam=settings.reg_param,
         seed=settings.seed, implicitPrefs=settings.implicit, nonnegative=settings.nonnegative,
-        numUserBlocks=blocks, numItemBlocks=blocks,
+        numUserBlocks=settings.blocks, numItemBlocks=settings.blocks,
         userCol=USER, itemCol=ITEM, ratingCol="rating", coldStartStrategy="drop",
     )
     als.fit(ratings).write().save(f"{folder}/model")

@@ -108,11 +108,18 @@ def test_unidentified_rows_are_left_out(spark, fitted):
     assert rows_of(again.pairs) == rows_of(fitted.pairs)
 
 
-def test_blocks_follow_the_data():
-    assert AlsSettings().blocks_for(100) == 10
-    assert AlsSettings().blocks_for(100_000_001) == 21
-    assert AlsSettings().blocks_for(10**12) == 400
-    assert AlsSettings(blocks=3).blocks_for(10**9) == 3
+@pytest.mark.parametrize("students", [5, 400])
+def test_blocks_do_not_follow_the_data(spark, monkeypatch, students):
+    from coursepulse.operators import recommend
+    made = []
+    als = recommend.ALS
+    monkeypatch.setattr(recommend, "ALS", lambda **given: made.append(given) or als(**given))
+    rows = [(f"S{s}", f"C{s % 7}", "x", day(1)) for s in range(students)] + [
+        (f"S{s}", f"C{s % 5 + 7}", "x", day(2)) for s in range(students)]
+    recommend.fit_recommender(spark, interactions(spark, rows), AlsSettings(max_iter=1)).discard()
+    recommend.fit_recommender(
+        spark, interactions(spark, rows), AlsSettings(max_iter=1, blocks=3)).discard()
+    assert [(m["numUserBlocks"], m["numItemBlocks"]) for m in made] == [(10, 10), (3, 3)]
 
 
 def test_job_is_idempotent_and_keeps_history(spark, tmp_path):
