@@ -2,9 +2,10 @@
 
 from coursepulse.sinks.external import ExternalStore, append_external, publish
 from coursepulse.sinks.landing import land
-from coursepulse.sinks.tables import KeyedTable, VersionedTable
+from coursepulse.sinks.tables import Batch, KeyedTable, VersionedTable
 
 __all__ = [
+    "Batch",
     "ExternalStore",
     "KeyedTable",
     "VersionedTable",

@@ -1,0 +1,185 @@
+"""Which written folders belong to a table, and in which order they count.
+
+Writers never share a folder: a batch lies below its writer's name, and each attempt at it in a
+folder of its own. It counts once an empty file with its name is in the table's ``log`` folder. A
+commit's place in the order is one more than what the writer saw in the log when it began; two that
+began together go by the writers' names. A repeated batch keeps its place, and its last attempt
+counts. So several streams, loads and restarts with new checkpoints can write one table.
+
+A base replaces the batches it lists, and only those: a batch that ends later, whatever its number,
+is still read. Bases are numbered, and creating the file of a number that exists fails, so one of two
+simultaneous compactions loses and leaves nothing behind.
+"""
+
+from __future__ import annotations
+
+import json
+import re
+import uuid
+from collections.abc import Iterable
+from dataclasses import dataclass, field
+
+from pyspark.sql import SparkSession
+
+from coursepulse.workspace import (
+    create_empty,
+    create_text,
+    delete_folder,
+    file_names,
+    read_text,
+)
+
+#: Writer of batches that name none.
+DIRECT = "direct"
+#: Start of the names of writers that write once and never repeat a batch.
+ONCE = "once-"
+
+
+@dataclass(frozen=True, order=True)
+class Commit:
+    """One attempt at one batch of one writer."""
+
+    order: int
+    writer: str
+    number: int
+    attempt: int
+    tag: str
+
+    @property
+    def name(self) -> str:
+        return f"commit~{self.order}~{self.writer}~{self.number}~{self.attempt}~{self.tag}"
+
+    @property
+    def folder(self) -> str:
+        return (f"commit_order={self.order}/commit_writer={self.writer}/"
+                f"commit_number={self.number}/attempt={self.attempt}-{self.tag}")
+
+    @property
+    def batch(self) -> tuple[str, int]:
+        return self.writer, self.number
+
+    @classmethod
+    def parse(cls, name: str) -> Commit:
+        _, order, writer, number, attempt, tag = name.split("~")
+        return cls(int(order), writer, int(number), int(attempt), tag)
+
+
+class Ranges:
+    """A set of numbers per writer, as ranges: a stream's batches are one range."""
+
+    def __init__(self, given: dict[str, list[list[int]]] | None = None):
+        self.held = {writer: [list(r) for r in ranges] for writer, ranges in (given or {}).items()}
+
+    def __contains__(self, batch: tuple[str, int]) -> bool:
+        return any(low <= batch[1] <= high for low, high in self.held.get(batch[0], ()))
+
+    def add(self, batch: tuple[str, int]) -> None:
+        merged: list[list[int]] = []
+        for low, high in sorted([*self.held.get(batch[0], []), [batch[1], batch[1]]]):
+            if merged and low <= merged[-1][1] + 1:
+                merged[-1][1] = max(merged[-1][1], high)
+            else:
+                merged.append([low, high])
+        self.held[batch[0]] = merged
+
+
+@dataclass
+class Base:
+    """What one compaction left."""
+
+    number: int = 0
+    order: int = 0
+    folded: Ranges = field(default_factory=Ranges)
+    days: dict[str, str] = field(default_factory=dict)
+    rejected: list[str] = field(default_factory=list)
+
+    def text(self) -> str:
+        return json.dumps({"order": self.order, "folded": self.folded.held, "days": self.days,
+                           "rejected": self.rejected})
+
+    @classmethod
+    def parse(cls, number: int, text: str) -> Base:
+        found = json.loads(text)
+        return cls(number, found["order"], Ranges(found["folded"]), found["days"],
+                   found["rejected"])
+
+
+@dataclass
+class State:
+    """A table's commits and its newest base."""
+
+    commits: list[Commit]
+    base: Base
+    last_base: int
+
+    @property
+    def live(self) -> list[Commit]:
+        """The last attempt at each batch that the base doesn't hold, in order."""
+        last: dict[tuple[str, int], Commit] = {}
+        for commit in self.commits:
+            if commit.batch not in self.base.folded:
+                last[commit.batch] = max(commit, last.get(commit.batch, commit),
+                                         key=lambda c: (c.attempt, c.tag))
+        return sorted(last.values())
+
+
+class CommitLog:
+    """The ``log`` folder of a table."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, f"{path}/log"
+
+    def state(self) -> State:
+        """One listing, and one small file if there is a base."""
+        names = file_names(self.spark, self.path)
+        commits = [Commit.parse(name) for name in names if name.startswith("commit~")]
+        numbers = sorted((int(name.split("~")[1]) for name in names if name.startswith("base~")),
+                         reverse=True)
+        base = Base()
+        for number in numbers:
+            base = self.read_base(f"base~{number}")
+            if base.number:  # else its compaction ended between creating and writing it
+                break
+        return State(commits, base, numbers[0] if numbers else 0)
+
+    @staticmethod
+    def known(writer: str) -> str:
+        """A writer's name as it stands in folder names."""
+        return re.sub(r"[^A-Za-z0-9_.-]", "_", writer)
+
+    def begin(self, writer: str, number: int) -> Commit | None:
+        """A new attempt at a batch; None if the base holds it already."""
+        state, writer = self.state(), self.known(writer)
+        if (writer, number) in state.base.folded:
+            return None
+        before = [commit for commit in state.commits if commit.batch == (writer, number)]
+        if before:
+            order, attempt = before[0].order, max(commit.attempt for commit in before) + 1
+        else:
+            order = max([state.base.order, *(c.order for c in state.commits)]) + 1
+            attempt = 0
+        return Commit(order, writer, number, attempt, uuid.uuid4().hex[:12])
+
+    def finish(self, commit: Commit) -> None:
+        create_empty(self.spark, f"{self.path}/{commit.name}")
+
+    def publish(self, state: State, base: Base) -> bool:
+        """Makes ``base`` the newest; False if another compaction came first."""
+        base.number = state.last_base + 1
+        return create_text(self.spark, f"{self.path}/base~{base.number}", base.text())
+
+    def forget(self, names: Iterable[str]) -> None:
+        for name in names:
+            delete_folder(self.spark, f"{self.path}/{name}")
+
+    def read_base(self, name: str) -> Base:
+        """The base of a log file; an empty one where its compaction did not write it."""
+        try:
+            return Base.parse(int(name.split("~")[1]),
+                              read_text(self.spark, f"{self.path}/{name}"))
+        except ValueError:
+            return Base()
+
+    def old_bases(self, state: State) -> list[str]:
+        return [name for name in file_names(self.spark, self.path)
+                if name.startswith("base~") and int(name.split("~")[1]) < state.base.number]

@@ -1,24 +1,27 @@
 """Keyed and versioned tables on plain Parquet folders.
 
 ``KeyedTable`` gives a primary-key table without MERGE. Writing is map-only: each batch goes to its
-own folder, and repeating a batch replaces that folder. Reading keeps the last write per key.
-``compact`` folds new batches into a base that is split by day of the key's time column. A key
-belongs to one day, so only days with new rows are rewritten, however large the table has become;
-within a day rows are sorted by key. Reads merge the base with the batches since.
+own folder and is then committed. Reading keeps the last write per key. ``compact`` folds committed
+batches into a base that is split by day of the key's time column. A key belongs to one day, so only
+days with new rows are rewritten, however large the table has become; within a day rows are sorted by
+key. Reads merge the base with the batches since.
 
-``VersionedTable`` holds whole snapshots: each write is a new folder and readers take the newest
-finished one, so there is no moment with an empty table.
+``VersionedTable`` holds whole snapshots: readers take the newest committed one, so there is no moment
+with an empty table.
 
-Layout below the table's path::
+Any number of writers may share a table; ``commits`` says how. Layout below the table's path::
 
-    batches/batch_id=<n>/keyed=true|false/   one write; false = rows with a missing key
-    base/through=<n>/day=<d>/                days rewritten by the compaction that reached batch n
-    versions/version=<n>/                    snapshots
+    log/                                     commits and bases, see ``commits``
+    batches/commit_order=<n>/.../keyed=true|false/   one attempt at a batch; false = a missing key
+    base/<id>/day=<d>/, base/<id>/rejected/  what one compaction rewrote and set aside
+    versions/commit_order=<n>/.../           snapshots
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import UTC, datetime
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,28 +29,43 @@ from pyspark.sql import types as T
 
 from coursepulse.model import TableSpec
 from coursepulse.operators.latest import has_key, latest_by_key
-from coursepulse.workspace import delete_folder, numbered_folders, subfolders
+from coursepulse.sinks.commits import DIRECT, ONCE, Base, Commit, CommitLog, State
+from coursepulse.workspace import delete_folder
 
-_BATCH = T.StructField("batch_id", T.LongType())
+_ORDER = T.StructField("commit_order", T.LongType())
+_WRITER = T.StructField("commit_writer", T.StringType())
+_NUMBER = T.StructField("commit_number", T.LongType())
 _KEYED = T.StructField("keyed", T.BooleanType())
 _DAY, _ONE_DAY = "day", "all"
 
 
+class Batch(NamedTuple):
+    """The name of a batch: repeating it replaces it."""
+
+    number: int
+    writer: str
+
+
 class KeyedTable:
     """One current row per key of ``spec``; the last write wins."""
 
     def __init__(self, spark: SparkSession, path: str, spec: TableSpec):
         self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
+        self.log = CommitLog(spark, self.path)
         self._stored = T.StructType(spec.schema.fields + list(spec.order))
 
     # --- writing ---
 
-    def write_batch(self, rows: DataFrame, batch_id: int) -> None:
-        """Store one batch; also the ``foreachBatch`` function of a stream.
+    def write_batch(self, rows: DataFrame, number: int, writer: str = DIRECT) -> None:
+        """Store one batch; writing it again under the same name replaces it.
 
-        Order columns the rows lack are stored as null. Sorting is per task, no shuffle: it
-        lets row-group statistics serve key lookups.
+        A batch that a compaction has folded in is not stored again. Order columns the rows lack are
+        stored as null. Sorting is per task, no shuffle: it lets row-group statistics serve key
+        lookups.
         """
+        commit = self.log.begin(writer, number)
+        if commit is None:
+            return
         columns = [
             (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType)
             .alias(f.name) for f in self._stored.fields
@@ -56,16 +74,15 @@ class KeyedTable:
             rows.select(*columns)
             .withColumn("keyed", has_key(self.spec.key))
             .sortWithinPartitions("keyed", *self.spec.key)
-            .write.mode("overwrite").partitionBy("keyed")
-            .parquet(f"{self.path}/batches/batch_id={batch_id}")
+            .write.partitionBy("keyed").parquet(self._folder(commit))
         )
+        self.log.finish(commit)
 
-    def append(self, rows: DataFrame) -> int:
-        """Store rows as the next batch (single writer) and return its number."""
-        compacted = self._compacted()
-        batch_id = max(self._batches(after=compacted), default=compacted) + 1
-        self.write_batch(rows, batch_id)
-        return batch_id
+    def append(self, rows: DataFrame) -> Batch:
+        """Store rows as a batch of a new writer and return its name."""
+        batch = Batch(0, f"{ONCE}{uuid.uuid4().hex}")
+        self.write_batch(rows, *batch)
+        return batch
 
     # --- reading ---
 
@@ -78,18 +95,24 @@ class KeyedTable:
         time = self.spec.key_time
         if (since or until) and not time:
             raise ValueError(f"the key of {self.spec.name} has no time")
+        state = self.log.state()
         days = {
-            day: folder for day, folder in self._days().items()
+            day: folder for day, folder in state.base.days.items()
             if not (since and day < str(since.astimezone(UTC).date()))
             and not (until and day > str(until.astimezone(UTC).date()))
         }
-        rows = self._merged(days, self._batches(after=self._compacted()))
+        rows = self._merged(days, state.live)
         if since:
             rows = rows.filter(F.col(time) >= F.lit(since))
         if until:
             rows = rows.filter(F.col(time) < F.lit(until))
         return rows.select(*self.spec.columns)
 
+    def batch(self, number: int, writer: str = DIRECT) -> DataFrame | None:
+        """The keyed rows of one batch as written; None if it isn't there or was folded in."""
+        found = [c for c in self.log.state().live if c.batch == (self.log.known(writer), number)]
+        return self._read(found).filter("keyed").select(*self.spec.columns) if found else None
+
     def lookup(
         self, since: datetime | None = None, until: datetime | None = None, **key
     ) -> DataFrame:
@@ -111,65 +134,86 @@ class KeyedTable:
 
     def rejected(self) -> DataFrame:
         """Rows stored without a full key, with the batch they came in."""
-        return self._read(self._batches()).filter(~F.col("keyed")).select(
-            *self.spec.columns, "batch_id")
+        state = self.log.state()
+        columns = [*self.spec.columns, _WRITER.name, _NUMBER.name]
+        rows = self._read(state.live).filter(~F.col("keyed")).select(*columns)
+        if state.base.rejected:
+            rows = rows.unionByName(self.spark.read.schema(rows.schema).parquet(
+                *[f"{self.path}/{folder}" for folder in state.base.rejected]))
+        return rows
 
     # --- maintenance ---
 
-    def compact(self) -> int | None:
-        """Fold the finished batches since the last compaction into the base.
+    def compact(self) -> bool:
+        """Fold the committed batches into the base; False if there was nothing to fold, or another
+        compaction was faster.
 
-        Returns the batch the base now reaches. Safe beside a running writer: unfinished batches
-        wait for the next compaction, and readers switch once the new folder is finished.
+        Safe beside running writers and readers: a batch that is committed meanwhile is not in this
+        base's list and waits for the next, and readers switch once the new base is published.
         """
-        compacted = self._compacted()
-        newer = self._batches(after=compacted)
-        if not newer:
-            return compacted if compacted >= 0 else None
-        through = max(newer)
-        changed = self._read(newer).filter("keyed").select(self._day().alias(_DAY)).distinct()
+        state = self.log.state()
+        live = state.live
+        if not live:
+            return False
+        changed = self._read(live).filter("keyed").select(self._day().alias(_DAY)).distinct()
         touched = {row[_DAY] for row in changed.collect()}  # one short text per day
-        days = {day: folder for day, folder in self._days().items() if day in touched}
+        days = {day: folder for day, folder in state.base.days.items() if day in touched}
+        folder = f"base/{uuid.uuid4().hex}"
         (
-            self._merged(days, newer)
+            self._merged(days, live)
             .withColumn(_DAY, self._day())
             .repartitionByRange(_DAY, *self.spec.key)
             .sortWithinPartitions(_DAY, *self.spec.key)
-            .write.mode("overwrite").partitionBy(_DAY)
-            .parquet(f"{self.path}/base/through={through}")
+            .write.partitionBy(_DAY).parquet(f"{self.path}/{folder}/days")
         )
-        return through
+        aside = self._read(live).filter(~F.col("keyed")).select(
+            *self.spec.columns, _WRITER.name, _NUMBER.name)
+        aside.write.parquet(f"{self.path}/{folder}/rejected")
+        base = self._next_base(state, live)
+        base.days |= {day: f"{folder}/days/{_DAY}={day}" for day in touched}
+        base.rejected.append(f"{folder}/rejected")
+        if self.log.publish(state, base):
+            return True
+        delete_folder(self.spark, f"{self.path}/{folder}")
+        return False
+
+    @staticmethod
+    def _next_base(state: State, live: list[Commit]) -> Base:
+        """The base after ``live``; writers that write once are named as long as the log has them."""
+        base = state.base
+        logged = {commit.writer for commit in state.commits}
+        base.folded.held = {writer: held for writer, held in base.folded.held.items()
+                            if writer in logged or not writer.startswith(ONCE)}
+        for commit in live:
+            base.folded.add(commit.batch)
+        base.order = max([base.order, *(commit.order for commit in live)])
+        return base
 
     def vacuum(self) -> None:
-        """Delete what compactions replaced; rejected rows stay. For times without old readers."""
-        current = set(self._days().values())
-        for folder in self._bases().values():
-            for name in subfolders(self.spark, folder, f"{_DAY}="):
-                if f"{folder}/{name}" not in current:
-                    delete_folder(self.spark, f"{folder}/{name}")
-        compacted = self._compacted()
-        for batch_id, folder in self._batches().items():
-            if batch_id <= compacted:
-                delete_folder(self.spark, f"{folder}/keyed=true")
+        """Delete what compactions replaced, in the log too. For times without old readers: one that
+        has started may still read the files."""
+        state = self.log.state()
+        kept = {folder.split("/")[1] for folder in [*state.base.days.values(),
+                                                    *state.base.rejected]}
+        held = {folder for folder in state.base.days.values()}
+        live = set(state.live)
+        gone = [commit for commit in state.commits if commit not in live]
+        for commit in gone:
+            delete_folder(self.spark, self._folder(commit), f"{self.path}/batches")
+        self.log.forget(commit.name for commit in gone)
+        for name in self.log.old_bases(state):
+            old = self.log.read_base(name)
+            for folder in [*old.days.values(), *old.rejected]:
+                if folder.split("/")[1] not in kept:
+                    delete_folder(self.spark, f"{self.path}/base/{folder.split('/')[1]}")
+                elif folder not in held and folder not in state.base.rejected:
+                    delete_folder(self.spark, f"{self.path}/{folder}")
+            self.log.forget([name])
 
     # --- folders ---
 
-    def _batches(self, after: int = -1) -> dict[int, str]:
-        return numbered_folders(self.spark, f"{self.path}/batches", "batch_id", after)
-
-    def _bases(self) -> dict[int, str]:
-        return numbered_folders(self.spark, f"{self.path}/base", "through")
-
-    def _compacted(self) -> int:
-        return max(self._bases(), default=-1)
-
-    def _days(self) -> dict[str, str]:
-        """The folder that holds each day's current base."""
-        found = {}
-        for _, folder in sorted(self._bases().items()):
-            for name in subfolders(self.spark, folder, f"{_DAY}="):
-                found[name.split("=", 1)[1]] = f"{folder}/{name}"
-        return found
+    def _folder(self, commit: Commit) -> str:
+        return f"{self.path}/batches/{commit.folder}"
 
     def _day(self) -> Column:
         """The UTC day of the key's time, whatever the session's zone."""
@@ -178,22 +222,25 @@ class KeyedTable:
         days = F.floor(F.unix_seconds(self.spec.key_time) / 86400)
         return F.date_from_unix_date(days.cast("int")).cast("string")
 
-    def _read(self, batches: dict[int, str]) -> DataFrame:
-        schema = T.StructType(self._stored.fields + [_BATCH, _KEYED])
-        if not batches:
+    def _read(self, commits: list[Commit]) -> DataFrame:
+        schema = T.StructType(self._stored.fields + [_ORDER, _WRITER, _NUMBER, _KEYED])
+        if not commits:
             return self.spark.createDataFrame([], schema)
-        return (self.spark.read.schema(schema)
-                .option("basePath", f"{self.path}/batches").parquet(*batches.values()))
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/batches").parquet(
+            *[self._folder(commit) for commit in commits])
+        return rows.select(*schema.names)  # without the attempt, which is a folder too
 
-    def _merged(self, days: dict[str, str], batches: dict[int, str]) -> DataFrame:
-        rows = self._read(batches).filter("keyed").drop("keyed")
+    def _merged(self, days: dict[str, str], commits: list[Commit]) -> DataFrame:
+        rows = self._read(commits).filter("keyed").drop("keyed", _NUMBER.name)
         if days:
-            schema = T.StructType(self._stored.fields + [_BATCH])
-            base = self.spark.read.schema(schema).parquet(*days.values())
-            if not batches:
+            schema = T.StructType(self._stored.fields + [_ORDER, _WRITER])
+            base = self.spark.read.schema(schema).parquet(
+                *[f"{self.path}/{folder}" for folder in days.values()])
+            if not commits:
                 return base
             rows = base.unionByName(rows)
-        return latest_by_key(rows, self.spec.key, [_BATCH.name, *self.spec.order_columns])
+        return latest_by_key(
+            rows, self.spec.key, [_ORDER.name, _WRITER.name, *self.spec.order_columns])
 
 
 class VersionedTable:
@@ -201,23 +248,31 @@ class VersionedTable:
 
     def __init__(self, spark: SparkSession, path: str, spec: TableSpec):
         self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
+        self.log = CommitLog(spark, self.path)
 
-    def write_version(self, rows: DataFrame, version: int) -> None:
-        """Store one snapshot; also the ``foreachBatch`` function of a complete-mode stream."""
-        (rows.select(*self.spec.columns)
-         .write.mode("overwrite").parquet(f"{self.path}/versions/version={version}"))
+    def write_version(self, rows: DataFrame, number: int, writer: str = DIRECT) -> None:
+        """Store one snapshot. It is newer than all that were there when it began, also those of
+        another writer or an earlier checkpoint; a repeated one keeps its place."""
+        commit = self.log.begin(writer, number)
+        rows.select(*self.spec.columns).write.parquet(self._folder(commit))
+        self.log.finish(commit)
 
     def newest(self) -> DataFrame:
-        versions = self._versions()
-        if not versions:
+        live = self.log.state().live
+        if not live:
             return self.spark.createDataFrame([], self.spec.schema)
-        return self.spark.read.schema(self.spec.schema).parquet(versions[max(versions)])
+        return self.spark.read.schema(self.spec.schema).parquet(self._folder(live[-1]))
 
     def prune(self, keep: int = 2) -> None:
         """Delete all but the ``keep`` newest snapshots."""
-        versions = self._versions()
-        for version in sorted(versions)[:-keep]:
-            delete_folder(self.spark, versions[version])
-
-    def _versions(self) -> dict[int, str]:
-        return numbered_folders(self.spark, f"{self.path}/versions", "version")
+        if keep < 1:
+            raise ValueError("the newest snapshot has to stay")
+        state = self.log.state()
+        kept = set(state.live[-keep:])
+        gone = [commit for commit in state.commits if commit not in kept]
+        for commit in gone:
+            delete_folder(self.spark, self._folder(commit), f"{self.path}/versions")
+        self.log.forget(commit.name for commit in gone)
+
+    def _folder(self, commit: Commit) -> str:
+        return f"{self.path}/versions/{commit.folder}"

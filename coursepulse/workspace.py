@@ -2,28 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    A machine-local folder is used only when the setting is absent *and* the session runs inside
-    one process; on a cluster a missing setting is an error.
-    """
+    """The folder every executor can reach, as named by ``spark.checkpoint.dir``."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not root:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="coursepulse-"))
-    return context.getCheckpointDir()
+    return root.rstrip("/")
 
 
 def working_dir(spark: SparkSession, label: str) -> str:
@@ -60,38 +52,54 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath) and fs.getFileStatus(jpath).isDirectory()
 
 
-def numbered_folders(
-    spark: SparkSession, path: str, prefix: str, after: int = -1
-) -> dict[int, str]:
-    """``{number: folder}`` for the finished ``<prefix>=<number>`` folders below ``path`` with a
-    number over ``after``.
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is in a folder, by one listing; none if there is no folder."""
+    fs, jpath = _hadoop_path(spark, path)
+    try:
+        return [status.getPath().getName() for status in fs.listStatus(jpath)]
+    except Py4JJavaError as error:
+        if "FileNotFoundException" in str(error.java_exception.getClass().getName()):
+            return []
+        raise
+
 
-    A folder counts as finished once its writing job left the success marker.
-    """
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file with this content; False if there is one of that name."""
     fs, jpath = _hadoop_path(spark, path)
-    if not fs.exists(jpath):
-        return {}
-    found = {}
-    for status in fs.listStatus(jpath):
-        name = status.getPath().getName()
-        if not name.startswith(prefix + "="):
-            continue
-        number, folder = int(name.split("=", 1)[1]), f"{path}/{name}"
-        if number > after and fs.exists(status.getPath().suffix("/_SUCCESS")):
-            found[number] = folder
-    return found
-
-
-def subfolders(spark: SparkSession, path: str, prefix: str) -> list[str]:
-    """Names of the folders in ``path`` that start with ``prefix``."""
+    try:
+        stream = fs.create(jpath, False)
+    except Py4JJavaError as error:
+        if fs.exists(jpath):
+            return False
+        raise error
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True
+
+
+def create_empty(spark: SparkSession, path: str) -> None:
+    create_text(spark, path, "")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
     fs, jpath = _hadoop_path(spark, path)
-    names = [status.getPath().getName() for status in fs.listStatus(jpath)]
-    return [name for name in names if name.startswith(prefix)]
+    stream = fs.open(jpath)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
 
 
-def delete_folder(spark: SparkSession, path: str) -> None:
+def delete_folder(spark: SparkSession, path: str, upto: str | None = None) -> None:
+    """Delete a file or folder, and the folders above it, below ``upto``, that are then empty."""
     fs, jpath = _hadoop_path(spark, path)
     fs.delete(jpath, True)
+    parent = path.rsplit("/", 1)[0]
+    if upto and parent != upto and parent.startswith(upto) and not file_names(spark, parent):
+        delete_folder(spark, parent, upto)
 
 
 @contextmanager

@@ -3,6 +3,7 @@ from pathlib import Path
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from coursepulse import model
 from coursepulse.operators.latest import latest_by_key
@@ -19,7 +20,6 @@ def log(spark, tmp_path):
 
 
 def row(spark, student, course, time="2024-01-01 10:00:00", offset=None):
-    from pyspark.sql import functions as F
     return interactions(spark, [(student, course, "x", time)]).withColumn(
         "ingest_offset", F.lit(offset).cast("bigint"))
 
@@ -29,7 +29,7 @@ def courses(log):
 
 
 def test_empty_table(log):
-    assert log.latest().count() == 0 and log.rejected().count() == 0 and log.compact() is None
+    assert log.latest().count() == 0 and log.rejected().count() == 0 and not log.compact()
     assert log.latest().schema.fieldNames() == model.INTERACTION_LOGS.columns
 
 
@@ -63,7 +63,7 @@ def test_replay_changes_nothing(spark, log):
 def test_missing_keys_are_set_aside(spark, log):
     log.append(row(spark, "a", "A").union(row(spark, None, "B")).union(row(spark, "c", "C", None)))
     assert courses(log) == [("a", "A")]
-    assert sorted((r.student_id or "", r.course_code, r.batch_id)
+    assert sorted((r.student_id or "", r.course_code, r.commit_number)
                   for r in log.rejected().collect()) == [("", "B", 0), ("c", "C", 0)]
 
 
@@ -71,19 +71,18 @@ def test_compaction_keeps_the_content(spark, log):
     log.append(row(spark, "a", "1").union(row(spark, "b", "1")).union(row(spark, None, "X")))
     log.append(row(spark, "a", "2"))
     before = rows_of(log.latest())
-    assert log.compact() == 1 and log.compact() == 1
+    assert log.compact() and not log.compact()
     assert rows_of(log.latest()) == before
     plan = log.latest()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan  # nothing to merge
     log.append(row(spark, "a", "3"))
     assert courses(log) == [("a", "3"), ("b", "1")]
-    assert log.compact() == 2
+    assert log.compact()
     log.vacuum()
     assert courses(log) == [("a", "3"), ("b", "1")]
     assert log.rejected().count() == 1
-    assert {p.name for p in Path(log.path, "base").glob("*/day=*")} == {"day=2024-01-01"}
-    assert [p.parent.name for p in Path(log.path, "base").glob("*/day=*")] == ["through=2"]
-    assert log.append(row(spark, "a", "4")) == 3
+    assert [p.name for p in Path(log.path, "base").glob("*/days/day=*")] == ["day=2024-01-01"]
+    log.append(row(spark, "a", "4"))
     assert courses(log) == [("a", "4"), ("b", "1")]
 
 
@@ -94,14 +93,14 @@ def test_compaction_rewrites_only_changed_days(spark, log):
     log.append(row(spark, "a", "2", "2024-01-02 10:00:00").union(
         row(spark, "a", "2", "2024-01-03 10:00:00")))
     log.compact()
-    folders = {p.name: p.parent.name for p in Path(log.path, "base").glob("through=1/day=*")}
-    assert set(folders) == {"day=2024-01-02", "day=2024-01-03"}
+    days = log.log.state().base.days
+    assert days["2024-01-01"].split("/")[1] != days["2024-01-02"].split("/")[1]
+    assert days["2024-01-02"].split("/")[1] == days["2024-01-03"].split("/")[1]
     assert courses(log) == [("a", "1"), ("a", "2"), ("a", "2")]
     log.vacuum()
     assert courses(log) == [("a", "1"), ("a", "2"), ("a", "2")]
-    kept = {(p.parent.name, p.name) for p in Path(log.path, "base").glob("*/day=*")}
-    assert kept == {("through=0", "day=2024-01-01"), ("through=1", "day=2024-01-02"),
-                    ("through=1", "day=2024-01-03")}
+    kept = {str(p.relative_to(log.path)) for p in Path(log.path, "base").glob("*/days/day=*")}
+    assert kept == set(days.values())
 
 
 def test_time_bounds_skip_days(spark, log):
@@ -132,20 +131,108 @@ def test_tables_without_a_key_time_compact_as_a_whole(spark, tmp_path):
 
 
 def test_replay_of_a_compacted_batch_is_ignored(spark, log):
-    log.append(row(spark, "a", "1"))
+    first = log.append(row(spark, "a", "1"))
     log.append(row(spark, "a", "2"))
     log.compact()
-    log.write_batch(row(spark, "a", "1"), 0)
+    log.write_batch(row(spark, "a", "1"), *first)
     assert courses(log) == [("a", "2")]
 
 
-def test_unfinished_batches_are_invisible(spark, log):
+def test_unfinished_batches_are_invisible(spark, log, monkeypatch):
     log.append(row(spark, "a", "1"))
+    monkeypatch.setattr(log.log, "finish", lambda commit: None)
     log.append(row(spark, "a", "2"))
-    Path(log.path, "batches", "batch_id=1", "_SUCCESS").unlink()
     assert courses(log) == [("a", "1")]
 
 
+def test_two_writers_with_the_same_numbers(spark, log):
+    """A load, a compaction, then streams that start from batch 0: nothing replaces another's."""
+    log.append(row(spark, "a", "1"))
+    log.compact()
+    log.write_batch(row(spark, "b", "1"), 0, "stream-1")
+    log.write_batch(row(spark, "c", "1"), 0, "stream-2")
+    log.write_batch(row(spark, "b", "2"), 0, "stream-1")
+    assert courses(log) == [("a", "1"), ("b", "2"), ("c", "1")]
+    log.compact()
+    log.vacuum()
+    log.write_batch(row(spark, "a", "3"), 0, "stream-3")
+    assert courses(log) == [("a", "3"), ("b", "2"), ("c", "1")]
+
+
+def test_a_smaller_batch_that_ends_later_counts(spark, log):
+    log.write_batch(row(spark, "a", "1"), 5, "w")
+    log.compact()
+    log.vacuum()
+    log.write_batch(row(spark, "b", "1"), 3, "w")
+    assert courses(log) == [("a", "1"), ("b", "1")]
+    log.compact()
+    log.write_batch(row(spark, "b", "0"), 3, "w")
+    assert courses(log) == [("a", "1"), ("b", "1")]
+
+
+def test_batches_begun_together_both_count(spark, log, monkeypatch):
+    slow, fast = log.log.begin("w1", 0), log.log.begin("w2", 0)
+    assert slow.order == fast.order
+    for commit, course in ((fast, "fast"), (slow, "slow")):
+        monkeypatch.setattr(log.log, "begin", lambda writer, number, commit=commit: commit)
+        log.write_batch(row(spark, course, course).union(row(spark, "both", course)), 0)
+    want = [("both", "fast"), ("fast", "fast"), ("slow", "slow")]  # w2 comes after w1
+    assert courses(log) == want
+    log.compact()
+    assert courses(log) == want
+
+
+def test_a_batch_committed_during_a_compaction_waits(spark, log, monkeypatch):
+    log.append(row(spark, "a", "1"))
+    publish = log.log.publish
+
+    def meanwhile(state, base):
+        log.append(row(spark, "b", "1"))
+        return publish(state, base)
+    monkeypatch.setattr(log.log, "publish", meanwhile)
+    assert log.compact()
+    log.vacuum()
+    assert courses(log) == [("a", "1"), ("b", "1")]
+
+
+def test_one_of_two_compactions_wins(spark, log, monkeypatch):
+    log.append(row(spark, "a", "1"))
+    other = KeyedTable(spark, log.path, log.spec)
+    publish = log.log.publish
+
+    def late(state, base):
+        assert other.compact()
+        return publish(state, base)
+    monkeypatch.setattr(log.log, "publish", late)
+    assert not log.compact()
+    assert len(list(Path(log.path, "base").iterdir())) == 1
+    assert courses(log) == [("a", "1")]
+
+
+def test_a_base_that_was_not_written_is_passed_over(spark, log):
+    log.append(row(spark, "a", "1"))
+    log.compact()
+    Path(log.path, "log", "base~2").touch()
+    log.append(row(spark, "b", "1"))
+    assert log.compact() and log.log.state().base.number == 3
+    log.vacuum()
+    assert courses(log) == [("a", "1"), ("b", "1")]
+
+
+def test_a_read_lists_once(spark, log, monkeypatch):
+    from coursepulse.sinks import commits
+    for n in range(4):
+        log.append(row(spark, "a", f"{n}"))
+        log.compact()
+        log.vacuum()
+    calls = []
+    listing = commits.file_names
+    monkeypatch.setattr(commits, "file_names", lambda *a: calls.append(a) or listing(*a))
+    assert courses(log) == [("a", "3")]
+    assert len(calls) == 1
+    assert [p.name for p in Path(log.path, "log").iterdir() if p.suffix != ".crc"] == ["base~4"]
+
+
 def test_empty_batches(spark, log):
     log.append(row(spark, "a", "1").limit(0))
     assert courses(log) == []
@@ -181,21 +268,39 @@ def test_popularity_table_has_one_row_per_course(spark, tmp_path):
     assert rows_of(table.latest()) == [("C", T11, 2, 2, 4), ("D", T10, 1, 0, 1)]
 
 
-def test_versions(spark, tmp_path):
+def snapshot(spark, n):
+    return spark.createDataFrame([("C", T10, n, 0, n)], model.COURSE_POPULARITY.schema)
+
+
+def test_versions(spark, tmp_path, monkeypatch):
     table = VersionedTable(spark, f"{tmp_path}/v", model.COURSE_POPULARITY)
     assert table.newest().count() == 0
     for n in range(4):
-        table.write_version(spark.createDataFrame(
-            [("C", T10, n, 0, n)], model.COURSE_POPULARITY.schema), n)
+        table.write_version(snapshot(spark, n), n)
     assert table.newest().first().active_users == 3
-    Path(table.path, "versions", "version=3", "_SUCCESS").unlink()
-    assert table.newest().first().active_users == 2
+    with pytest.raises(ValueError):
+        table.prune(keep=0)
+    table.prune(keep=1)
+    assert table.newest().first().active_users == 3
+    assert len(table.log.state().commits) == 1
+    table.write_version(snapshot(spark, 9), 3)  # repeated
+    assert table.newest().first().active_users == 9
+    monkeypatch.setattr(table.log, "finish", lambda commit: None)
+    table.write_version(snapshot(spark, 4), 4)
+    assert table.newest().first().active_users == 9
+
+
+def test_versions_start_again_with_a_new_checkpoint(spark, tmp_path):
+    table = VersionedTable(spark, f"{tmp_path}/v", model.COURSE_POPULARITY)
+    for n in range(100, 103):
+        table.write_version(snapshot(spark, n), n, "old")
+    table.write_version(snapshot(spark, 0), 0, "new")
+    assert table.newest().first().active_users == 0
     table.prune(keep=1)
-    assert table.newest().first().active_users == 2
+    assert table.newest().first().active_users == 0
 
 
 def test_latest_by_key_with_a_hot_key(spark):
-    from pyspark.sql import functions as F
     rows = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
             F.concat(F.lit("k"), F.col("id") % 100)).alias("k"),
@@ -225,7 +330,7 @@ def test_any_history_equals_a_dictionary(spark, tmp_path_factory, steps):
             batch = interactions(spark, [
                 (student, course, "x", f"2024-01-0{day} 10:00:00")
                 for student, day, course in rows])
-            last = (batch, log.append(batch))
+            last = (batch, *log.append(batch))
             newest = {}
             for student, day, course in rows:
                 newest[student, day] = max(course, newest.get((student, day), ""))

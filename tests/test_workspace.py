@@ -46,16 +46,15 @@ def test_settings_are_restored_even_on_failure(spark):
     assert spark.conf.get("my.own", None) is None
 
 
-def test_numbered_folders(spark, tmp_path):
-    for name, finished in [("n=1", True), ("n=10", True), ("n=2", False), ("m=3", True)]:
-        (tmp_path / name).mkdir()
-        if finished:
-            (tmp_path / name / "_SUCCESS").touch()
-    found = workspace.numbered_folders(spark, str(tmp_path), "n")
-    assert found == {1: f"{tmp_path}/n=1", 10: f"{tmp_path}/n=10"}
-    assert workspace.numbered_folders(spark, f"{tmp_path}/none", "n") == {}
-    workspace.delete_folder(spark, found[1])
-    assert set(workspace.numbered_folders(spark, str(tmp_path), "n")) == {10}
+def test_small_files(spark, tmp_path):
+    assert workspace.file_names(spark, f"{tmp_path}/none") == []
+    path = f"{tmp_path}/a/b/c"
+    assert workspace.create_text(spark, path, "äx")
+    assert not workspace.create_text(spark, path, "other")
+    assert workspace.read_text(spark, path) == "äx"
+    workspace.create_empty(spark, f"{tmp_path}/a/d")
+    workspace.delete_folder(spark, path, str(tmp_path))
+    assert {n for n in workspace.file_names(spark, f"{tmp_path}/a")} == {"d"}
 
 
 def test_session_takes_caller_settings(spark):
