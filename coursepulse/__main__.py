@@ -7,23 +7,33 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from datetime import UTC, datetime
 
 from pyspark.sql import SparkSession
 
 from coursepulse import model
-from coursepulse.operators.ingest import identified, interactions_from
+from coursepulse.operators.ingest import identified, interactions_from, unusable
 from coursepulse.operators.profiles import cohort_affinity, daypart_profile, quality_report
-from coursepulse.plans import Tables, ingest_landed, popularity_job, recommendation_job
-from coursepulse.plans.jobs import replay_to_landing
-from coursepulse.sinks import ExternalStore, publish
+from coursepulse.operators.popularity import HOUR
+from coursepulse.plans import (
+    Moved,
+    Tables,
+    ingest_landed,
+    popularity_job,
+    publish_landed,
+    recommendation_job,
+    replay_to_landing,
+)
+from coursepulse.sinks import ExternalStore
 from coursepulse.sources import (
     build_session,
     read_landed,
     read_messages,
     stream_landed,
     stream_messages,
+    unusable_landed,
 )
-from coursepulse.streaming import await_all, start_quarantine
+from coursepulse.streaming import await_all, late_rows, start_quarantine
 
 
 _PAIRS = {"action": "append", "default": [], "metavar": "KEY=VALUE"}
@@ -33,6 +43,15 @@ def _mapping(pairs: Sequence[str]) -> dict[str, str]:
     return dict(pair.split("=", 1) for pair in pairs)
 
 
+def _time(text: str) -> datetime:
+    found = datetime.fromisoformat(text)
+    return found if found.tzinfo else found.replace(tzinfo=UTC)
+
+
+def _say(moved: Moved) -> None:
+    print(f"{moved.taken} taken, {moved.aside} set aside in {moved.folder}")
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="coursepulse", description=__doc__)
     parser.add_argument("--conf", **_PAIRS)
@@ -68,7 +87,12 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--every", help="trigger interval, e.g. '1 minute'")
     stream.add_argument("--state-partitions", type=int)
     stream.add_argument("--rocksdb", action="store_true")
-    stream.add_argument("--quarantine", help="folder for unusable messages of the topic")
+    stream.add_argument("--window", default=HOUR, help="length of the windows, e.g. '1 day'")
+    stream.add_argument("--watermark", default=HOUR, help="how late rows may come")
+    stream.add_argument("--weight", **_PAIRS, help="score of an interaction type, e.g. a=3")
+    stream.add_argument("--files-per-trigger", type=int, help="bounds a trigger on landed files")
+    stream.add_argument("--offsets-per-trigger", type=int, help="bounds a trigger on a topic")
+    stream.add_argument("--quarantine", help="folder for what yields no interaction")
 
     recommend = job("recommend", "store every student's top courses", store=True)
     recommend.add_argument("--landed", required=True)
@@ -77,11 +101,15 @@ def _parser() -> argparse.ArgumentParser:
 
     load = job("load", "load landed files into the interaction log")
     load.add_argument("--landed", required=True)
-    job("compact", "fold the batches of the keyed tables")
+    job("compact", "fold the batches of the keyed tables; readers may go on")
+    job("vacuum", "delete what compactions replaced; for times without older readers")
 
     top = job("top", "print the most popular courses")
     top.add_argument("--mode", choices=("complete", "update", "append"), default="update")
     top.add_argument("--exact", action="store_true")
+    top.add_argument("--window", default=HOUR)
+    top.add_argument("--since", type=_time, help="first start of a window, ISO time, UTC")
+    top.add_argument("--until", type=_time, help="end of the starts")
     top.add_argument("-n", type=int, default=10)
 
     profile = job("profile", "print the feed's quality and usage profiles", tables=False)
@@ -89,10 +117,12 @@ def _parser() -> argparse.ArgumentParser:
 
     send = job("publish", "publish landed events to a topic", tables=False, topic=True)
     send.add_argument("--landed", required=True)
+    send.add_argument("--quarantine", required=True, help="folder for what yields no interaction")
 
     land = job("land", "land a topic's events by date", tables=False, topic=True)
     land.add_argument("--to", required=True)
-    land.add_argument("--files-per-date", type=int)
+    land.add_argument("--rebalance", action="store_true", help="shuffle for files of even size")
+    land.add_argument("--quarantine", help="folder for what yields no interaction")
     return parser
 
 
@@ -108,21 +138,27 @@ def _run_popularity(spark: SparkSession, options: argparse.Namespace) -> None:
         trigger = {"availableNow": True}
     elif options.every:
         trigger = {"processingTime": options.every}
-    queries = []
     if options.servers:
-        messages = stream_messages(
-            spark, options.servers, options.topic, **_mapping(options.topic_option))
-        feed = interactions_from(messages)
-        if options.quarantine:
-            queries.append(start_quarantine(
-                messages, options.quarantine, f"{options.checkpoints}/quarantine", trigger))
+        topic = _mapping(options.topic_option)
+        if options.offsets_per_trigger:
+            topic["maxOffsetsPerTrigger"] = str(options.offsets_per_trigger)
+        messages = stream_messages(spark, options.servers, options.topic, **topic)
+        feed, rejected = interactions_from(messages), unusable(messages)
     else:
-        feed = identified(stream_landed(spark, options.landed))
-    queries += popularity_job(
+        lines = stream_landed(spark, options.landed, options.files_per_trigger)
+        feed, rejected = identified(lines).drop("_corrupt"), unusable_landed(lines)
+    queries = []
+    if options.quarantine:
+        queries.append(start_quarantine(
+            rejected, options.quarantine, f"{options.checkpoints}/quarantine", trigger))
+    weights = model.ENGAGEMENT_WEIGHTS | {
+        kind: int(weight) for kind, weight in _mapping(options.weight).items()}
+    log, popularity = popularity_job(
         feed, Tables(spark, options.root), options.checkpoints, options.mode, options.exact,
-        trigger, _store(options), state_partitions=options.state_partitions,
-        rocksdb=options.rocksdb)
-    await_all(*queries)
+        trigger, _store(options), options.window, watermark=options.watermark, weights=weights,
+        state_partitions=options.state_partitions, rocksdb=options.rocksdb)
+    await_all(*queries, log, popularity)
+    print(f"{late_rows(popularity)} rows came after the watermark")
 
 
 def _run_profile(spark: SparkSession, options: argparse.Namespace) -> None:
@@ -139,25 +175,27 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
             spark, read_landed(spark, options.landed), Tables(spark, options.root),
             options.top, options.exclude_seen, store=_store(options))
     elif options.job == "load":
-        ingest_landed(spark, options.landed, Tables(spark, options.root))
+        _say(ingest_landed(spark, options.landed, Tables(spark, options.root)))
     elif options.job == "compact":
-        tables = Tables(spark, options.root)
-        for table in tables.keyed():
+        for table in Tables(spark, options.root).keyed():
             table.compact()
+    elif options.job == "vacuum":
+        for table in Tables(spark, options.root).keyed():
             table.vacuum()
     elif options.job == "top":
-        store = Tables(spark, options.root).course_popularity(options.mode, options.exact)
-        store.top(options.n).show(options.n, truncate=False)
+        store = Tables(spark, options.root).course_popularity(
+            options.mode, options.exact, options.window)
+        store.top(options.n, options.since, options.until).show(options.n, truncate=False)
     elif options.job == "profile":
         _run_profile(spark, options)
     elif options.job == "publish":
-        publish(identified(read_landed(spark, options.landed)), options.servers, options.topic,
-                **_mapping(options.topic_option))
+        _say(publish_landed(spark, options.landed, options.servers, options.topic,
+                            options.quarantine, **_mapping(options.topic_option)))
     elif options.job == "land":
-        replay_to_landing(
+        _say(replay_to_landing(
             read_messages(
                 spark, options.servers, options.topic, **_mapping(options.topic_option)),
-            options.to, options.files_per_date)
+            options.to, options.rebalance, options.quarantine))
 
 
 def main(arguments: Sequence[str] | None = None) -> None:

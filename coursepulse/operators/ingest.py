@@ -17,7 +17,8 @@ ENVELOPE = {
     "offset": "ingest_offset",
 }
 
-_CORRUPT = "_corrupt"
+#: Where the text of a record goes that doesn't fit the schema.
+CORRUPT = _CORRUPT = "_corrupt"
 
 
 def encode(interactions: DataFrame) -> DataFrame:
@@ -73,20 +74,35 @@ def interactions_from(messages: DataFrame, value: str = "value") -> DataFrame:
 
 
 def unusable(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Messages that :func:`identified` drops, with the original text and the reason."""
+    """Messages that :func:`identified` drops, with the original text and the reason:
+    ``null_payload``; ``malformed`` (no JSON object); ``ill_typed`` (an object with a field of
+    another type, and no student); ``no_student``."""
     parsed = messages.select(
         F.col(value).cast("string").alias("payload"),
         _expanded(decode_event(F.col(value), _CORRUPT)),
     )
     reason = (
         F.when(F.col("payload").isNull(), F.lit("null_payload"))
-        .when(F.col(_CORRUPT).isNotNull(), F.lit("malformed"))
-        .otherwise(F.lit("no_student"))
+        .otherwise(_reason())
     )
     return parsed.filter(F.col("student_id").isNull()).select(
         reason.alias("reason"), "payload")
 
 
+def _reason() -> Column:
+    text = F.col(_CORRUPT)
+    is_object = text.rlike(r"^\s*\{") & F.try_parse_json(text).isNotNull()
+    return (F.when(text.isNull(), F.lit("no_student"))
+            .when(is_object, F.lit("ill_typed")).otherwise(F.lit("malformed")))
+
+
+def unusable_events(events: DataFrame) -> DataFrame:
+    """The same of flat interactions that carry the text of records which don't fit in ``_corrupt``;
+    those that do fit are given as JSON again."""
+    return events.filter(F.col("student_id").isNull()).select(
+        _reason().alias("reason"), F.coalesce(_CORRUPT, encode_event()).alias("payload"))
+
+
 def recent(
     interactions: DataFrame,
     as_of: Column | None = None,

@@ -13,13 +13,14 @@ def land(
     interactions: DataFrame,
     path: str,
     by_date: bool = False,
-    files_per_date: int | None = None,
+    rebalance: bool = False,
 ) -> None:
     """Append JSON lines under ``path``; part files have unique names.
 
-    Map-only by default. With ``by_date`` each day gets a folder that readers can prune;
-    ``files_per_date`` then bounds the files per day by shuffling each day over that many salts
-    (a hash of the event, so a retried task reproduces its rows).
+    Map-only by default. With ``by_date`` each day gets a folder that readers can prune, and rows
+    without a time one of their own; ``rebalance`` then shuffles so that files get near
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``: small days share a task, and a day with most
+    of the rows is split over as many tasks as its size asks for.
     """
     columns = wire_columns()
     if not by_date:
@@ -27,8 +28,7 @@ def land(
         events.write.mode("append").option("ignoreNullFields", "false").json(path)
         return
     events = interactions.select(*columns, F.to_date("timestamp").alias(LANDING_DATE))
-    if files_per_date:
-        salt = F.pmod(F.xxhash64("student_id", "timestamp", "course_code"), F.lit(files_per_date))
-        events = events.repartition(LANDING_DATE, salt)
+    if rebalance:
+        events = events.hint("rebalance", LANDING_DATE)
     (events.write.mode("append").partitionBy(LANDING_DATE)
      .option("ignoreNullFields", "false").json(path))

@@ -9,33 +9,66 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coursepulse import model
-from coursepulse.operators.ingest import flatten
+from coursepulse.operators.ingest import CORRUPT, flatten, unusable_events
+from coursepulse.workspace import file_names
 
 LANDING_DATE = "event_date"
 
 
-def read_landed(
+def _schema(dated: bool = False) -> T.StructType:
+    fields = [*model.EVENT_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())]
+    return T.StructType(fields + ([T.StructField(LANDING_DATE, T.DateType())] if dated else []))
+
+
+def _check_dated(spark: SparkSession, path: str) -> None:
+    """Raises unless all data below ``path`` lies in folders by date."""
+    names = [name for name in file_names(spark, path) if name[0] not in "._"]
+    if any(letter in path for letter in "*?[{") or not names or not all(
+            name.startswith(f"{LANDING_DATE}=") for name in names):
+        raise ValueError(f"since and until need a folder that is split by {LANDING_DATE}: {path}")
+
+
+def read_landed_lines(
     spark: SparkSession,
     path: str,
     since: date | None = None,
     until: date | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
-    """Flat interactions of the files at ``path`` (folder or glob, any Hadoop file system).
+    """Flat interactions of the files at ``path`` (folder or glob, any Hadoop file system), and in
+    ``_corrupt`` the text of each record that doesn't fit.
 
     The schema is fixed, so no inference pass reads the files first. ``since``/``until`` (inclusive)
-    need a landing written by date and prune whole folders. ``multi_line`` is for pretty-printed
-    files only: such files cannot be split.
+    prune whole folders of a landing split by date; on any other they are an error. ``multi_line`` is
+    for pretty-printed files only: such files cannot be split.
     """
-    schema = model.EVENT_SCHEMA
-    if since or until:
-        schema = T.StructType(schema.fields + [T.StructField(LANDING_DATE, T.DateType())])
-    events = spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    bounded = since is not None or until is not None
+    if bounded:
+        _check_dated(spark, path)
+    events = (spark.read.schema(_schema(bounded)).option("multiLine", multi_line)
+              .option("columnNameOfCorruptRecord", CORRUPT).json(path))
     if since:
         events = events.filter(F.col(LANDING_DATE) >= F.lit(since))
     if until:
         events = events.filter(F.col(LANDING_DATE) <= F.lit(until))
-    return flatten(events)
+    return flatten(events, CORRUPT)
+
+
+def read_landed(
+    spark: SparkSession,
+    path: str,
+    since: date | None = None,
+    until: date | None = None,
+    multi_line: bool = False,
+) -> DataFrame:
+    """The interactions of :func:`read_landed_lines`; a record that doesn't fit is a row of nulls,
+    or has nulls where a field doesn't."""
+    return read_landed_lines(spark, path, since, until, multi_line).drop(CORRUPT)
+
+
+def unusable_landed(lines: DataFrame) -> DataFrame:
+    """``reason, payload`` of the lines without a known student."""
+    return unusable_events(lines)
 
 
 def stream_landed(
@@ -43,8 +76,8 @@ def stream_landed(
     path: str,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """The same files as a stream: each new file is read once."""
-    reader = spark.readStream.schema(model.EVENT_SCHEMA)
+    """:func:`read_landed_lines` as a stream: each new file is read once."""
+    reader = spark.readStream.schema(_schema()).option("columnNameOfCorruptRecord", CORRUPT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return flatten(reader.json(path))
+    return flatten(reader.json(path), CORRUPT)

@@ -2,6 +2,7 @@
 
 from coursepulse.streaming.queries import (
     await_all,
+    late_rows,
     start_console,
     start_interaction_log,
     start_popularity,
@@ -13,6 +14,7 @@ __all__ = [
     "ExternalPopularity",
     "PopularityStore",
     "await_all",
+    "late_rows",
     "start_console",
     "start_interaction_log",
     "start_popularity",

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from coursepulse import model
-from coursepulse.operators.ingest import unusable
 from coursepulse.operators.popularity import HOUR
 from coursepulse.sinks.tables import KeyedTable
 from coursepulse.streaming.store import BatchWriter, ExternalPopularity, PopularityStore
-from coursepulse.workspace import session_conf
+from coursepulse.workspace import read_text, session_conf
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -32,6 +32,19 @@ def _start(
         return writer.start()
 
 
+def query_writer(spark: SparkSession, checkpoint: str, name: str) -> str:
+    """A writer's name that belongs to the checkpoint: batch numbers start again with a new one, so
+    its batches mustn't replace those of the old one. For use inside ``foreachBatch``."""
+    return f"{name}-{json.loads(read_text(spark, f'{checkpoint}/metadata'))['id']}"
+
+
+def _named(write, spark: SparkSession, checkpoint: str, name: str):
+    """``write`` for ``foreachBatch``, with the query's name as a writer."""
+    def named(batch: DataFrame, number: int) -> None:
+        write(batch, number, query_writer(spark, checkpoint, name))
+    return named
+
+
 def start_interaction_log(
     interactions: DataFrame,
     target: KeyedTable | BatchWriter,
@@ -48,27 +61,32 @@ def start_interaction_log(
     if dedup_delay:
         interactions = interactions.withWatermark(
             "timestamp", dedup_delay).dropDuplicatesWithinWatermark(["student_id", "timestamp"])
-    write = target.write_batch if isinstance(target, KeyedTable) else target
+    if isinstance(target, KeyedTable):
+        write = _named(target.write_batch, interactions.sparkSession, checkpoint, name)
+    else:
+        write = target
     writer = interactions.writeStream.outputMode("append").foreachBatch(write)
     return _start(writer, interactions.sparkSession, name, checkpoint, trigger)
 
 
 def start_quarantine(
-    messages: DataFrame,
+    rejected: DataFrame,
     path: str,
     checkpoint: str,
     trigger: Mapping[str, object] | None = None,
     name: str = "quarantine",
 ) -> StreamingQuery:
-    """Keep the messages that yield no usable interaction, with the reason, for inspection.
+    """Keep what yields no usable interaction, with the reason, for inspection.
 
+    ``rejected`` is ``unusable(messages)`` of a topic, or ``unusable_landed`` of landed files.
     Map-only, one folder per batch; a repeated batch replaces its folder. Read with
-    ``spark.read.parquet(path)``.
+    ``spark.read.parquet(path)``. Batch numbers belong to the checkpoint, so a new checkpoint needs
+    a new path.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-    writer = unusable(messages).writeStream.outputMode("append").foreachBatch(write)
-    return _start(writer, messages.sparkSession, name, checkpoint, trigger)
+    writer = rejected.writeStream.outputMode("append").foreachBatch(write)
+    return _start(writer, rejected.sparkSession, name, checkpoint, trigger)
 
 
 def start_popularity(
@@ -96,7 +114,8 @@ def start_popularity(
         settings["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
     aggregated = store.aggregate(
         interactions.withWatermark("timestamp", watermark), window, weights)
-    writer = aggregated.writeStream.outputMode(store.mode).foreachBatch(store.write)
+    write = _named(store.write, interactions.sparkSession, checkpoint, name)
+    writer = aggregated.writeStream.outputMode(store.mode).foreachBatch(write)
     return _start(writer, interactions.sparkSession, name, checkpoint, trigger, settings)
 
 
@@ -112,6 +131,16 @@ def start_console(
     return _start(writer, rows.sparkSession, name, checkpoint, trigger)
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came after the watermark and were left out, over the triggers Spark remembers.
+
+    In update and append mode such rows change nothing; complete mode counts them all.
+    """
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress for operator in progress["stateOperators"])
+
+
 def await_all(*queries: StreamingQuery) -> None:
     """Wait until every query ended; the first failure stops the others and is raised."""
     running = list(queries)

@@ -9,8 +9,8 @@ complete    exact      (course, window,        same, rolled up per trigger
                        student)
 update      approx     (course, window)        changed windows, last write wins; state bounded by
                                                the watermark, later events are dropped
-update      exact      (course, window,        changed student rows; rolled up on read
-                       student)
+update      exact      (course, window,        changed student rows, and the windows they add
+                       student)                up to
 append      either     as update               each window once, after the watermark passed it
 ==========  =========  ======================  ==================================================
 
@@ -21,12 +21,14 @@ hot course's state spreads over all partitions.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coursepulse import model
 from coursepulse.operators import popularity as pop
+from coursepulse.sinks.commits import DIRECT
 from coursepulse.sinks.tables import KeyedTable, VersionedTable
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -61,10 +63,11 @@ class _Lane:
 
 
 class PopularityStore(_Lane):
-    """Hourly (or other windowed) course popularity maintained by one stream.
+    """Hourly (or other windowed) course popularity maintained by one stream or several.
 
     In complete mode the ``keep`` newest snapshots stay, so that a reader may take that many
-    triggers to finish.
+    triggers to finish. In exact update mode the students' rows are kept beside the windows that they
+    add up to; each trigger adds up anew only the windows it changed, reading only their days.
     """
 
     def __init__(
@@ -79,37 +82,60 @@ class PopularityStore(_Lane):
         self.keep = keep
         if mode == "complete":
             self.table = VersionedTable(spark, path, model.COURSE_POPULARITY_HOURLY)
-        elif self.by_student:
-            self.table = KeyedTable(spark, path, model.STUDENT_ACTIVITY)
         else:
-            self.table = KeyedTable(spark, path, model.COURSE_POPULARITY_HOURLY)
+            self.table = KeyedTable(spark, f"{path}/windows", model.COURSE_POPULARITY_HOURLY)
+        self.students = KeyedTable(
+            spark, f"{path}/students", model.STUDENT_ACTIVITY) if self.by_student else None
 
-    def write(self, batch: DataFrame, batch_id: int) -> None:
-        """``foreachBatch`` function: one job per batch, so the state is read once."""
-        if self.by_student:
-            self.table.write_batch(
-                batch.withColumn("window_start", F.col("window.start")), batch_id)
-        elif self.mode == "complete":
-            self.table.write_version(self.windows_of(batch), batch_id)
-            self.table.prune(self.keep)
-        else:
-            self.table.write_batch(self.windows_of(batch), batch_id)
+    @property
+    def keyed(self) -> list[KeyedTable]:
+        """The tables that can be compacted."""
+        return [table for table in (self.table, self.students) if isinstance(table, KeyedTable)]
 
-    def windows(self) -> DataFrame:
-        """Popularity per course and window."""
+    def write(self, batch: DataFrame, number: int, writer: str = DIRECT) -> DataFrame | None:
+        """Store a trigger's output, read once; returns the windows it changed, if any."""
         if self.mode == "complete":
-            return self.table.newest()
-        rows = self.table.latest()
-        if self.by_student:
-            return pop.with_total(pop.roll_up(rows, window_column="window_start"))
-        return rows
-
-    def current(self) -> DataFrame:
-        """The keyed course table: the latest window of each course."""
-        return pop.published(pop.current_popularity(self.windows()))
-
-    def top(self, n: int = 10) -> DataFrame:
-        return pop.top_courses(self.windows(), n)
+            self.table.write_version(self.windows_of(batch), number, writer)
+            self.table.prune(self.keep)
+            return None
+        if not self.by_student:
+            self.table.write_batch(self.windows_of(batch), number, writer)
+            return None
+        batch = batch.withColumn("window_start", F.col("window.start"))
+        self.students.write_batch(batch, number, writer)
+        changed = self._changed_windows(batch, number, writer)
+        if changed is not None:
+            self.table.write_batch(changed, number, writer)
+        return changed
+
+    def _changed_windows(self, batch: DataFrame, number: int, writer: str) -> DataFrame | None:
+        written = self.students.batch(number, writer)  # files, so the state isn't read again
+        changed = (batch if written is None else written).select(
+            "course_code", "window_start").distinct()
+        first, last = changed.agg(F.min("window_start"), F.max("window_start")).first()
+        if first is None:
+            return None
+        rows = self.students.latest(first, last + timedelta(microseconds=1)).join(
+            changed, ["course_code", "window_start"], "left_semi")
+        return pop.with_total(pop.roll_up(rows, window_column="window_start"))
+
+    def windows(self, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+        """Popularity per course and window; the bounds on the windows' starts reach the scan and
+        skip whole days of a compacted table."""
+        if self.mode != "complete":
+            return self.table.latest(since, until)
+        rows = self.table.newest()
+        if since:
+            rows = rows.filter(F.col("window_start") >= F.lit(since))
+        return rows.filter(F.col("window_start") < F.lit(until)) if until else rows
+
+    def current(self, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+        """The keyed course table: the latest window, within the bounds, of each course."""
+        return pop.published(pop.current_popularity(self.windows(since, until)))
+
+    def top(self, n: int = 10, since: datetime | None = None,
+            until: datetime | None = None) -> DataFrame:
+        return pop.top_courses(self.windows(since, until), n)
 
 
 class ExternalPopularity(_Lane):
@@ -117,17 +143,24 @@ class ExternalPopularity(_Lane):
 
     Complete mode writes the course table (latest window per course), all of it every trigger.
     The other modes write changed windows for a store keyed by course and window start: a course
-    key alone would let a late change of an old window replace a newer one.
+    key alone would let a late change of an old window replace a newer one. Exact update mode needs
+    a ``PopularityStore`` besides, which adds up the students.
     """
 
-    def __init__(self, writer: BatchWriter, mode: str = "complete", exact: bool = False):
+    def __init__(self, writer: BatchWriter, mode: str = "complete", exact: bool = False,
+                 students: PopularityStore | None = None):
         super().__init__(mode, exact)
-        if self.by_student:
-            raise ValueError("exact update mode needs a PopularityStore to roll students up")
-        self.writer = writer
+        if self.by_student and students is None:
+            raise ValueError("exact update mode needs a PopularityStore to add students up")
+        self.writer, self.students = writer, students
 
-    def write(self, batch: DataFrame, batch_id: int) -> None:
+    def write(self, batch: DataFrame, number: int, writer: str = DIRECT) -> None:
+        if self.by_student:
+            windows = self.students.write(batch, number, writer)
+            if windows is not None:
+                self.writer(windows, number)
+            return
         windows = self.windows_of(batch)
         if self.mode == "complete":
             windows = pop.published(pop.current_popularity(windows))
-        self.writer(windows, batch_id)
+        self.writer(windows, number)

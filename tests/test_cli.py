@@ -24,12 +24,36 @@ def test_popularity_then_top(spark, landed, tmp_path, capfd):
     assert tables.interaction_logs.latest().count() == 5
     assert tables.course_popularity().windows().count() == 20
     main(["compact", "--root", f"{tmp_path}/t"])
+    main(["vacuum", "--root", f"{tmp_path}/t"])
+    main(["top", "--root", f"{tmp_path}/t", "--since", "2024-01-01T12:00", "--until", "2024-01-01T13"])
     main(["top", "--root", f"{tmp_path}/t", "-n", "3"])
     main(["popularity", "--landed", landed, "--root", f"{tmp_path}/t", "--checkpoints",
           f"{tmp_path}/c", "--once"])
     assert tables.course_popularity().windows().count() == 20
 
 
+def test_load_then_stream_into_one_log(spark, landed, tmp_path):
+    """Two commands that number their batches alike share one root."""
+    one, two = f"{tmp_path}/one", f"{tmp_path}/two"
+    land(interactions(spark, [("S1", "CS1", "x", "2024-01-01 10:00:00"),
+                              ("S2", "CS1", "x", "2024-01-01 10:00:00")]), one)
+    land(interactions(spark, [("S3", "CS1", "course_viewed", "2024-01-01 10:00:00"),
+                              ("S4", "CS1", "y", "2024-01-01 10:00:00")]), two)
+    with open(f"{two}/bad.json", "w") as file:
+        file.write("junk\n")
+    root = f"{tmp_path}/t"
+    main(["load", "--landed", one, "--root", root])
+    main(["popularity", "--landed", two, "--root", root, "--checkpoints", f"{tmp_path}/c", "--once",
+          "--exact", "--window", "1 day", "--watermark", "2 hours", "--weight", "course_viewed=9",
+          "--files-per-trigger", "1", "--quarantine", f"{tmp_path}/q", "--state-partitions", "2"])
+    tables = Tables(spark, root)
+    assert sorted(r.student_id for r in tables.interaction_logs.latest().collect()) == [
+        "S1", "S2", "S3", "S4"]
+    window, = tables.course_popularity("update", True, "1 day").windows().collect()
+    assert (window.active_users, window.engagement_score) == (2, 9)
+    assert [r.payload for r in spark.read.parquet(f"{tmp_path}/q").collect()] == ["junk"]
+
+
 def test_load_and_recommend(spark, landed, tmp_path):
     main(["load", "--landed", landed, "--root", f"{tmp_path}"])
     main(["recommend", "--landed", landed, "--root", f"{tmp_path}", "--top", "2"])
@@ -61,7 +85,7 @@ def test_profile(spark, landed):
 
 
 @pytest.mark.parametrize("arguments", [
-    ["publish", "--servers", "h:1", "--landed", "x", "--topic-option", "kafka.acks=all"],
+    ["publish", "--servers", "h:1", "--landed", "x", "--quarantine", "q", "--topic-option", "kafka.acks=all"],
     ["land", "--servers", "h:1", "--to", "x"],
     ["popularity", "--servers", "h:1", "--root", "x", "--checkpoints", "y"],
 ])

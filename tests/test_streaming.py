@@ -16,6 +16,7 @@ from coursepulse.streaming import (
     start_console,
     start_interaction_log,
     start_popularity,
+    late_rows,
     start_quarantine,
 )
 from helpers import at, event, rows_of, write_lines
@@ -169,6 +170,82 @@ def test_popularity_into_an_external_store(spark, feed, tmp_path, mode, exact, c
     assert written.count() == (1 if mode == "complete" else 2)
 
 
+def test_student_changes_into_an_external_store(spark, feed, tmp_path):
+    """Each trigger writes the windows it changed, added up over all triggers."""
+    store = PopularityStore(spark, f"{tmp_path}/students", "update", exact=True)
+    path = f"{tmp_path}/ext"
+    for n, time in enumerate(("10:00:00", "10:20:00", "11:00:00")):
+        feed.add(seen(f"s{n}", time))
+        target = ExternalPopularity(
+            external_batch_writer("parquet", {"path": path}), "update", True, store)
+        await_all(start_popularity(
+            feed.interactions(), target, f"{tmp_path}/cp", trigger=ONCE, state_partitions=2))
+    written = sorted((r.timestamp.hour, r.active_users) for r in spark.read.parquet(path).collect())
+    assert written == [(10, 1), (10, 2), (11, 1)]
+    assert hours(store) == {10: 2, 11: 1}
+    assert store.top(1, until=at("2024-01-01 11:00:00")).first().active_users == 2
+    assert store.current(since=at("2024-01-01 11:00:00")).first().active_users == 1
+
+
+@pytest.mark.parametrize("mode,exact", [
+    ("update", True), ("update", False), ("append", True), ("complete", True)])
+def test_bounded_reads_skip_days(spark, feed, tmp_path, mode, exact):
+    store = PopularityStore(spark, f"{tmp_path}/out", mode, exact)
+    feed.add(*[event(f"s{d}", "C", "course_viewed", f"2024-01-0{d} 10:00:00") for d in (1, 2, 3, 5)])
+    await_all(start_popularity(
+        feed.interactions(), store, f"{tmp_path}/cp", trigger=ONCE, state_partitions=2))
+    bounds = at("2024-01-02 00:00:00"), at("2024-01-04 00:00:00")
+    for table in store.keyed:
+        table.compact()
+    rows = store.windows(*bounds)
+    assert sorted(r.window_start.day for r in rows.collect()) == [2, 3]
+    if mode != "complete":
+        assert rows.inputFiles() and not any("/students/" in f for f in rows.inputFiles())
+        assert not [f for f in rows.inputFiles() if "2024-01-01" in f or "2024-01-05" in f]
+
+
+def test_late_rows_are_counted(spark, feed, tmp_path):
+    store = PopularityStore(spark, f"{tmp_path}/out", "update", exact=True)
+    for rows, late in ((["10:00:00"], 0), (["20:00:00"], 0), (["10:05:00", "10:06:00"], 2)):
+        feed.add(*[seen(f"s{t}", t) for t in rows])
+        query = start_popularity(
+            feed.interactions(), store, f"{tmp_path}/cp", trigger=ONCE, state_partitions=2)
+        await_all(query)
+        assert late_rows(query) == late
+    assert hours(store) == {10: 1, 20: 1}
+
+
+def test_a_new_checkpoint_loses_nothing(spark, feed, tmp_path):
+    log = Tables(spark, f"{tmp_path}/t").interaction_logs
+    feed.add(seen("a", "10:00:00"))
+    await_all(start_interaction_log(feed.interactions(), log, f"{tmp_path}/cp1", trigger=ONCE))
+    others = feed.interactions().withColumn("student_id", F.lit("b"))
+    await_all(start_interaction_log(others, log, f"{tmp_path}/cp2", trigger=ONCE))
+    assert sorted(r.student_id for r in log.latest().collect()) == ["a", "b"]
+
+
+def test_windows_and_exactness_do_not_mix(spark, feed, tmp_path):
+    feed.add(seen("a", "10:00:00"), seen("b", "11:00:00"))
+    tables = Tables(spark, f"{tmp_path}/t")
+    for window, exact in (("1 hour", True), ("1 day", True), ("1 hour", False)):
+        await_all(*popularity_job(feed.interactions(), tables, f"{tmp_path}/cp", exact=exact,
+                                  window=window, trigger=ONCE, state_partitions=2))
+    assert tables.course_popularity("update", True).windows().count() == 2
+    assert tables.course_popularity("update", True, "1 day").windows().count() == 1
+    assert len(tables.keyed()) == 2 + 2 + 2 + 1
+
+
+def test_rows_without_a_key_are_kept_beside_an_external_store(spark, feed, tmp_path):
+    from coursepulse.sinks import ExternalStore
+    feed.add(seen("a", "10:00:00"), {"student_id": "b", "course_code": "C"})
+    tables = Tables(spark, f"{tmp_path}/t")
+    store = ExternalStore("parquet", {"path": f"{tmp_path}/{{table}}"})
+    await_all(*popularity_job(feed.interactions(), tables, f"{tmp_path}/cp", store=store,
+                              trigger=ONCE, state_partitions=2))
+    assert spark.read.parquet(f"{tmp_path}/interaction_logs").count() == 1
+    assert [r.student_id for r in tables.interaction_logs.rejected().collect()] == ["b"]
+
+
 def test_external_store_refuses_student_changes():
     with pytest.raises(ValueError):
         ExternalPopularity(lambda batch, batch_id: None, "update", exact=True)
@@ -179,7 +256,7 @@ def test_quarantine_keeps_what_the_log_drops(spark, feed, tmp_path):
     (feed.path / "junk.json").write_text("not json\n" + "x" * 5000 + "\n")
     for _ in range(2):  # a restart adds nothing
         await_all(start_quarantine(
-            feed.messages(), f"{tmp_path}/q", f"{tmp_path}/cp", trigger=ONCE))
+            ingest.unusable(feed.messages()), f"{tmp_path}/q", f"{tmp_path}/cp", trigger=ONCE))
         kept = spark.read.parquet(f"{tmp_path}/q")
         assert sorted((r.reason, len(r.payload)) for r in kept.collect()) == [
             ("malformed", 8), ("malformed", 5000), ("no_student", 20)]
@@ -193,6 +270,9 @@ def test_old_snapshots_are_pruned(spark, feed, tmp_path):
             feed.interactions(), store, f"{tmp_path}/cp", trigger=ONCE, state_partitions=2))
     assert hours(store) == {10: 4}
     assert len(list((tmp_path / "out" / "versions").iterdir())) == 2
+    other = feed.interactions().filter("student_id = 's0'")  # a new checkpoint starts at batch 0
+    await_all(start_popularity(other, store, f"{tmp_path}/cp2", trigger=ONCE, state_partitions=2))
+    assert hours(store) == {10: 1}
 
 
 def test_both_queries_of_the_job(spark, feed, tmp_path):
