@@ -7,8 +7,10 @@ zone, in UTC, as the SQL side has them.
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 from collections.abc import Callable
-from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,7 +30,7 @@ from coursepulse.operators.recommend import (
     fit_recommender,
     index_pairs,
 )
-from coursepulse.plans import Tables, popularity_job
+from coursepulse.plans import Tables, ingest_landed, popularity_job
 from coursepulse.sinks import KeyedTable, land
 from coursepulse.sinks.external import messages, renamed
 from coursepulse.sources import events as ev
@@ -43,8 +45,8 @@ from coursepulse.streaming import (
 from coursepulse.workspace import stored, working_dir
 
 SMOKE_DIR = "/root/testdata/sf0.001"
-AS_OF = datetime(2024, 1, 30)
-HISTORY_CUT = datetime(2024, 1, 15)
+AS_OF, HISTORY_CUT, SECOND_CUT = "2024-01-30", "2024-01-15", "2024-01-25"
+LATE_FROM, LATE_UNTIL = "2024-01-10", "2024-01-20"
 ONCE = {"availableNow": True}
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +61,11 @@ except ModuleNotFoundError as missing:
     llm = None
 
 
+def _instant(text: str):
+    """A time in the session's zone, which is UTC here, whatever the host's."""
+    return F.lit(text).cast("timestamp")
+
+
 # --- inputs ---------------------------------------------------------------------------------
 
 
@@ -126,7 +133,7 @@ def published_messages(spark, folder):
 
 
 def recent_interactions(spark, folder):
-    return ingest.recent(_interactions(spark, folder), F.lit(AS_OF))
+    return ingest.recent(_interactions(spark, folder), _instant(AS_OF))
 
 
 def engagement_scores(spark, folder):
@@ -171,7 +178,8 @@ def course_popularity_current(spark, folder):
 
 
 def course_popularity_ranked(spark, folder):
-    return pop.ranked(pop.popularity(_interactions(spark, folder)))
+    rows = pop.ranked(pop.popularity(_interactions(spark, folder)))
+    return cnt.numbered(rows, "place", working_dir(spark, "ranked"), first=1)
 
 
 def top_courses(spark, folder):
@@ -234,7 +242,40 @@ def interaction_log_upsert(spark, folder):
 def student_timelines(spark, folder):
     table = Tables(spark, working_dir(spark, "log")).interaction_logs
     table.append(_log_rows(spark, folder))
-    return table.in_key_order()
+    return cnt.numbered(table.in_key_order(), "place", working_dir(spark, "timelines"), first=1)
+
+
+def log_two_writers(spark, folder):
+    """One log from a load, a compaction, a stream, and a stream that began again elsewhere; the
+    last one corrects what the one before it wrote."""
+    root = working_dir(spark, "writers")
+    table = Tables(spark, root).interaction_logs
+    table.append(_log_rows(spark, folder).filter(F.col("timestamp") < _instant(HISTORY_CUT)))
+    table.compact()
+    feed = ev.lift(ev.stream_events(spark, folder), None, "event_id").withColumnRenamed(
+        "event_id", "ingest_offset").filter(F.col("timestamp") >= _instant(HISTORY_CUT))
+    await_all(start_interaction_log(feed, table, f"{root}/first", ONCE))
+    corrected = feed.filter(F.col("timestamp") >= _instant(SECOND_CUT)).withColumn(
+        "interaction_type", F.lit("search_performed"))
+    await_all(start_interaction_log(corrected, table, f"{root}/second", ONCE))
+    table.compact()
+    table.vacuum()
+    return table.latest()
+
+
+def snapshot_after_restart(spark, folder):
+    """The snapshots of a stream that lost its checkpoint: the new one's first is the newest."""
+    root = working_dir(spark, "snapshots")
+    store = PopularityStore(spark, f"{root}/popularity", "complete", exact=True, keep=1)
+    early = ev.lift(ev.stream_events(spark, folder)).filter(
+        F.col("timestamp") < _instant(HISTORY_CUT))
+    old = pop.popularity(_interactions(spark, folder).filter(
+        F.col("timestamp") < _instant(HISTORY_CUT)))
+    store.table.write_version(old, 100)
+    for feed, checkpoint in ((early, "first"), (ev.lift(ev.stream_events(spark, folder)), "second")):
+        await_all(start_popularity(feed, store, f"{root}/{checkpoint}", trigger=ONCE,
+                                   state_partitions=_state_partitions(spark)))
+    return store.windows()
 
 
 def student_logs(spark, folder):
@@ -245,10 +286,24 @@ def student_logs(spark, folder):
 
 def landed_interactions(spark, folder):
     path = working_dir(spark, "landing")
-    land(_interactions(spark, folder, country=True), path, by_date=True, files_per_date=2)
+    land(_interactions(spark, folder, country=True), path, by_date=True, rebalance=True)
     return read_landed(spark, path)
 
 
+def landed_quarantine(spark, folder):
+    """What became of each line of a damaged landing: taken, or set aside with a reason."""
+    root = working_dir(spark, "damaged")
+    lines = _faulty_feed(spark, folder).select(F.col("value").cast("string")).filter(
+        F.col("value").isNotNull())
+    lines.write.text(f"{root}/landing")
+    tables = Tables(spark, f"{root}/tables")
+    moved = ingest_landed(spark, f"{root}/landing", tables)
+    aside = spark.read.parquet(f"{moved.folder}/*").groupBy("reason").agg(
+        F.count("payload").alias("lines"))
+    return aside.unionByName(spark.createDataFrame(
+        [("taken", moved.taken)], "reason string, lines long"))
+
+
 # --- recommendations ------------------------------------------------------------------------
 
 
@@ -281,10 +336,10 @@ def recommendation_history(spark, folder):
     """Recommendations stored at two points in time, the second batch replayed."""
     table = Tables(spark, working_dir(spark, "recommendations")).student_recommendations
     rows = _interactions(spark, folder)
-    early = cnt.interaction_counts(rows.filter(F.col("timestamp") < F.lit(HISTORY_CUT)))
+    early = cnt.interaction_counts(rows.filter(F.col("timestamp") < _instant(HISTORY_CUT)))
     table.append(_frequent_recommendations(stored(early, working_dir(spark, "early"))))
     now = _frequent_recommendations(_pairs(spark, folder))
-    table.write_batch(now, table.append(now))
+    table.write_batch(now, *table.append(now))
     return table.latest()
 
 
@@ -328,6 +383,28 @@ def recommendation_unseen_check(spark, folder):
     return _recommendation_facts(recommender, recommender.recommendations(5, exclude_seen=True))
 
 
+def recommendation_proof(spark, folder):
+    """Whether the five are the best: ratings that aren't the product of the factors, and courses
+    left out that rate higher than one returned. The other courses' ratings come from a listing of
+    all courses of each student, scored in the library's blocks."""
+    recommender = fit_recommender(spark, _interactions(spark, folder))
+    returned = recommender.top_n(5).select(USER, F.inline(RECS))
+    users = recommender.model.userFactors.select(F.col("id").alias(USER), F.col("features").alias("u"))
+    items = recommender.model.itemFactors.select(F.col("id").alias(ITEM), F.col("features").alias("i"))
+    product = F.aggregate(
+        F.zip_with("u", "i", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, x: s + x)
+    wrong = returned.join(users, USER).join(items, ITEM).agg(
+        F.count(F.lit(1)).alias("checked"),
+        F.count_if(F.abs(product - F.col("rating")) > 1e-3 * F.greatest(F.lit(1.0), F.abs(product)))
+        .alias("wrong_ratings"))
+    least = returned.groupBy(USER).agg(F.min("rating").alias("least"))
+    listed = recommender.top_n(recommender.courses.count()).select(USER, F.inline(RECS))
+    better = listed.join(returned.select(USER, ITEM), [USER, ITEM], "left_anti").join(
+        least, USER).agg(F.count(F.lit(1)).alias("left_out"),
+                         F.count_if(F.col("rating") > F.col("least")).alias("better_left_out"))
+    return wrong.join(better)  # one row each
+
+
 # --- profiles -------------------------------------------------------------------------------
 
 
@@ -367,7 +444,8 @@ def stream_interaction_log(spark, folder):
 def stream_quarantine(spark, folder):
     root = working_dir(spark, "stream-quarantine")
     await_all(start_quarantine(
-        _faulty_feed(spark, folder, stream=True), f"{root}/quarantine", f"{root}/checkpoint", ONCE))
+        ingest.unusable(_faulty_feed(spark, folder, stream=True)), f"{root}/quarantine",
+        f"{root}/checkpoint", ONCE))
     return _by_reason(spark.read.parquet(f"{root}/quarantine"))
 
 
@@ -397,6 +475,31 @@ def stream_popularity_approx(spark, folder):
     return _stream_popularity(spark, folder, "complete", exact=False)
 
 
+def _popularity_in_three_runs(spark, folder, mode: str) -> DataFrame:
+    """One checkpoint and three runs: events before, after, and last those between, a week and more
+    behind the watermark by then."""
+    root = working_dir(spark, f"runs-{mode}")
+    store = PopularityStore(spark, f"{root}/popularity", mode, exact=True)
+    events = ev.read_events(spark, folder)
+    day = F.col("ts")
+    late_from, late_until = (F.lit(t).cast("timestamp_ntz") for t in (LATE_FROM, LATE_UNTIL))
+    for part in (day < late_from, day >= late_until, (day >= late_from) & (day < late_until)):
+        events.filter(part).write.mode("append").parquet(f"{root}/events")
+        feed = ev.lift(spark.readStream.schema(ev.EVENTS_SCHEMA).option(
+            "maxFilesPerTrigger", 4).parquet(f"{root}/events"))
+        await_all(start_popularity(feed, store, f"{root}/checkpoint", trigger=ONCE,
+                                   state_partitions=_state_partitions(spark)))
+    return store.windows()
+
+
+def stream_late_complete(spark, folder):
+    return _popularity_in_three_runs(spark, folder, "complete")
+
+
+def stream_late_update(spark, folder):
+    return _popularity_in_three_runs(spark, folder, "update")
+
+
 def stream_approx_check(spark, folder):
     """The sketch a stream keeps must give the very numbers of the batch sketch."""
     by = ["course_code", "window_start"]
@@ -448,14 +551,18 @@ _QUERIES: tuple[Query, ...] = (
     interaction_log_latest,
     interaction_log_upsert,
     student_timelines,
+    log_two_writers,
+    snapshot_after_restart,
     student_logs,
     landed_interactions,
+    landed_quarantine,
     recommendation_assembly,
     recommendation_history,
     recommendations_top5,
     recommendations_unseen_top5,
     recommendation_check,
     recommendation_unseen_check,
+    recommendation_proof,
     cohort_category_affinity,
     daypart_profile,
     interaction_quality,
@@ -468,11 +575,23 @@ _QUERIES: tuple[Query, ...] = (
     stream_popularity_approx,
     stream_approx_check,
     stream_popularity_job,
+    stream_late_complete,
+    stream_late_update,
 )
 
 
+def _ensure_shared_folder(spark: SparkSession) -> None:
+    """A folder for a session in one process that names none; on a cluster the setting is needed."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named and spark.sparkContext.master.split("[")[0] == "local":
+        folder = tempfile.mkdtemp(prefix="coursepulse-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(folder)
+
+
 def _prepared(query: Query) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
+        _ensure_shared_folder(spark)
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         rows = query(spark, folder.rstrip("/"))
         instants = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.TimestampType)]
@@ -656,7 +775,8 @@ def _own_sql() -> dict[str, str]:
   select count(*) as windows, cast(0 as bigint) as off_limits, cast(0 as bigint) as other_scores
   from ({daily})""",
         "course_popularity_current": lift + _CURRENT.format(windows=hourly),
-        "course_popularity_ranked": lift + hourly,
+        "course_popularity_ranked": f"""{lift} select *, row_number() over (
+    order by total_popularity desc, course_code, window_start desc) as place from ({hourly})""",
         "top_courses": f"""{lift} {daily}
   order by total_popularity desc, course_code, window_start desc limit 10""",
         "category_popularity_hourly": lift + _windows_sql(
@@ -681,7 +801,20 @@ def _own_sql() -> dict[str, str]:
               else interaction_type end as interaction_type,
          "timestamp", duration, location_country, location_city""",
             '"timestamp"', "interaction_type = 'profile_updated', event_id desc"),
-        "student_timelines": lift + _logged_sql(_FLAT_NO_COUNTRY, '"timestamp"'),
+        "student_timelines": f"""{lift} select *, row_number() over (
+    order by student_id, "timestamp") as place
+  from ({_logged_sql(_FLAT_NO_COUNTRY, '"timestamp"')})""",
+        "log_two_writers": lift + _logged_sql(
+            f"""student_id, course_code,
+         case when "timestamp" >= timestamp '{SECOND_CUT}' then 'search_performed'
+              else interaction_type end as interaction_type,
+         "timestamp", duration, cast(null as varchar) as location_country, location_city""",
+            '"timestamp"'),
+        "snapshot_after_restart": lift + hourly,
+        "landed_quarantine": f"""{lift}
+  select case when event_type <> 'error' then 'taken' when value < 10 then 'malformed'
+              else 'no_student' end as reason, count(*) as lines
+  from lifted where event_type <> 'error' or value >= 2 group by 1""",
         "student_logs":
             flat.replace('"timestamp", duration', '"timestamp" as timestamp_interaction, duration'),
         "landed_interactions": flat_wire,
@@ -712,6 +845,12 @@ def _own_sql() -> dict[str, str]:
          cast(0 as bigint) as rating_rises, cast(0 as bigint) as wrong_times,
          cast(0 as bigint) as already_seen
   from open""",
+        "recommendation_proof": f"""{pairs}, sizes as (
+    select count(distinct student_id) as s, count(distinct course_code) as c from pairs
+  )
+  select cast(s * least(5, c) as bigint) as checked, cast(0 as bigint) as wrong_ratings,
+         cast(s * (c - least(5, c)) as bigint) as left_out, cast(0 as bigint) as better_left_out
+  from sizes""",
         "cohort_category_affinity": f"""{lift}, tallied as (
     select case when n % 3 = 0 then 'technical' when n % 4 = 0 then 'humanities'
                 else 'uniform' end as cohort,
@@ -739,6 +878,9 @@ def _own_sql() -> dict[str, str]:
         "stream_quarantine": rejected,
         "stream_popularity_complete": lift + hourly,
         "stream_popularity_update": lift + hourly,
+        "stream_late_complete": lift + hourly,
+        "stream_late_update": lift + _windows_sql("hour", source=f"""(select * from lifted
+    where "timestamp" < timestamp '{LATE_FROM}' or "timestamp" >= timestamp '{LATE_UNTIL}')"""),
         "stream_approx_check": f"""{lift}
   select count(*) as windows, cast(0 as bigint) as different from ({hourly})""",
         "stream_popularity_append": f"""{lift} select * from ({hourly})

@@ -24,33 +24,35 @@ def last_seen(counts: DataFrame) -> DataFrame:
     return counts.groupBy("student_id").agg(F.max("timestamp").alias("timestamp"))
 
 
-def dense_index(pairs: DataFrame, label: str, index: str, folder: str | None = None) -> DataFrame:
-    """Number the labels 0..n-1, most pairs first, ties in label order: ``label, index``.
+def numbered(rows: DataFrame, name: str, folder: str, first: int = 0) -> DataFrame:
+    """Sorted ``rows`` with their place in the order as ``name``, from ``first`` on.
 
-    Labels are range-partitioned by that order, so a row's number is its position inside its
-    partition plus the sizes of the partitions before it. No label visits the driver and no task
-    sorts more than its own range. Positions are written out before they are added up: offsets and
-    rows then come from the same files even if an executor is lost in between. The numbered
-    table is written too, so joins know its true size.
+    A row's number is its position inside its range of the sort plus the sizes of the ranges before
+    it: nothing visits the driver and no task sorts more than its own range. Positions are written
+    out before they are added up, so offsets and rows come from the same files even if an executor
+    is lost in between.
     """
-    folder = folder or working_dir(pairs.sparkSession, f"index-{label}")
     tagged = F.monotonically_increasing_id()  # partition number above 33 bits of position
-    ranked = (
-        pairs.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), F.asc(label))
-        .select(label, tagged.alias("tagged"))
-        .select(
-            label,
-            F.shiftright("tagged", 33).alias("part"),
-            F.col("tagged").bitwiseAND(F.lit((1 << 33) - 1)).alias("position"),
-        )
-    )
-    placed = stored(ranked, f"{folder}/placed")
+    placed = stored(
+        rows.withColumn("tagged", tagged).select(
+            *rows.columns, F.shiftright("tagged", 33).alias("part"),
+            F.col("tagged").bitwiseAND(F.lit((1 << 33) - 1)).alias("position")), folder)
     sizes = placed.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
     # One row per partition of the sort above, so this window and the broadcast are always small.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
-    numbered = placed.join(F.broadcast(offsets), "part").select(
-        label, (F.col("offset") + F.col("position")).cast("int").alias(index))
-    return stored(numbered, f"{folder}/numbered")
+    return placed.join(F.broadcast(offsets), "part").select(
+        *rows.columns, (F.col("offset") + F.col("position") + first).alias(name))
+
+
+def dense_index(pairs: DataFrame, label: str, index: str, folder: str | None = None) -> DataFrame:
+    """Number the labels 0..n-1, most pairs first, ties in label order: ``label, index``.
+
+    The numbered table is written, so joins know its true size.
+    """
+    folder = folder or working_dir(pairs.sparkSession, f"index-{label}")
+    ranked = pairs.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy(
+        F.desc("n"), F.asc(label)).select(label)
+    placed = numbered(ranked, index, f"{folder}/placed")
+    return stored(placed.withColumn(index, F.col(index).cast("int")), f"{folder}/numbered")
