@@ -39,7 +39,7 @@ ORDINARY_WORDS = (
 )
 _SYLLABLES = ("th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "of",
               "or", "nt", "ea", "ti", "to", "it", "st", "io", "le", "is", "ou", "ar", "as", "de",
-              "rt", "ve")
+              "tion", "ing", "ble", "wh", "ly", "sh", "ment", "que", "ung", "sch", "ción", "ado")
 
 
 @dataclass(frozen=True)
@@ -65,37 +65,40 @@ def host_and_path(url: str) -> tuple[Column, Column]:
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """``host, path, label``: each word in a few hosts; paths tell nothing about the label."""
-    sections, ends = ("en", "de", "fr", "es"), ("com", "net", "org")
-    rows = []
-
-    def add(name: str, label: float) -> None:
-        at = len(rows)
-        front = ("", "www.", "blog.", "m.")[at // 3 % 4]
-        end = ("", "/", ".html")[at // 5 % 3]
-        rows.append((f"{front}{name}.example.{ends[at % 3]}",
-                     f"/{sections[at // 7 % 4]}/{at * 37 % 997}{end}", label))
-
-    for step, word in enumerate(BLOCKED_WORDS):
-        for other in (1, 5):
-            add(f"{word}-{BLOCKED_WORDS[(step + other) % len(BLOCKED_WORDS)]}", 1.0)
-        add(word, 1.0)
-    for step, word in enumerate(ORDINARY_WORDS):
-        add(word, 0.0)
-        add(f"{word}-{ORDINARY_WORDS[(step + 7) % len(ORDINARY_WORDS)]}", 0.0)
-    for step, first in enumerate(_SYLLABLES):
-        for other in (1, 3, 8, 13):
-            second = _SYLLABLES[(step + other) % len(_SYLLABLES)]
-            add(first + second + _SYLLABLES[(step * 7 + other) % len(_SYLLABLES)], 0.0)
+    """``host, path, label``: words, alone and in pairs, and made-up names of syllables in hosts.
+
+    Each name comes with every front; ends and paths take turns alike in both classes. So only the
+    names tell the classes apart.
+    """
+    fronts, ends = ("", "www.", "blog.", "m."), ("com", "net", "org")
+    sections, tails = ("en", "de", "fr", "es"), ("", "/", ".html")
+
+    def pairs(words: tuple[str, ...], steps: tuple[int, ...]) -> list[str]:
+        return [f"{word}-{words[(at + step) % len(words)]}"
+                for at, word in enumerate(words) for step in steps]
+
+    made_up = [first + _SYLLABLES[(at + step) % len(_SYLLABLES)] + third
+               for at, first in enumerate(_SYLLABLES) for step in (0, 1, 3, 8, 13, 21)
+               for third in ("", _SYLLABLES[(at * 7 + step) % len(_SYLLABLES)])]
+    classes = {
+        1.0: [*BLOCKED_WORDS, *pairs(BLOCKED_WORDS, (1, 5, 9, 14, 22))],
+        0.0: [*ORDINARY_WORDS, *pairs(ORDINARY_WORDS, (7, 19)), *made_up],
+    }
+    rows = [
+        (f"{front}{name}.example.{ends[(at + turn) % 3]}",
+         f"/{sections[(at // 3 + turn) % 4]}/{at * 37 % 997}{tails[at // 3 % 3]}", label)
+        for label, names in classes.items() for at, name in enumerate(names)
+        for turn, front in enumerate(fronts)]
     return spark.createDataFrame(rows, "host string, path string, label double")
 
 
 def _ngrams(rows: DataFrame) -> DataFrame:
-    """Adds ``grams``: character n-grams of host and path, each with its origin."""
+    """Adds ``grams``: character n-grams of host and path, each with its origin; digits are alike."""
     parts = []
     for name in ("host", "path"):
         letters = f"{name}_letters"
-        rows = rows.withColumn(letters, F.split(F.concat(F.lit("^"), name, F.lit("$")), ""))
+        text = F.regexp_replace(F.concat(F.lit("^"), name, F.lit("$")), "[0-9]", "0")
+        rows = rows.withColumn(letters, F.split(text, ""))
         for size in SIZES:
             grams = f"{name}_{size}"
             rows = NGram(n=size, inputCol=letters, outputCol=grams).transform(rows)
@@ -106,8 +109,12 @@ def _ngrams(rows: DataFrame) -> DataFrame:
 def fit_urls(spark: SparkSession) -> PipelineModel:
     """The regression, fitted on the labelled table."""
     hashing = HashingTF(numFeatures=FEATURES, binary=True, inputCol="grams", outputCol="features")
-    regression = LogisticRegression(regParam=0.003, maxIter=60)
-    return Pipeline(stages=[hashing, regression]).fit(_ngrams(labelled_urls(spark)).cache())
+    regression = LogisticRegression(regParam=0.002, maxIter=60)
+    table = _ngrams(labelled_urls(spark)).coalesce(1).cache()  # several passes over a few rows
+    try:
+        return Pipeline(stages=[hashing, regression]).fit(table)
+    finally:
+        table.unpersist()
 
 
 def _rule(rules: Iterable[Rule], value) -> Column:
