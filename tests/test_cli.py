@@ -85,12 +85,13 @@ def test_profile(spark, landed):
 
 
 @pytest.mark.parametrize("arguments", [
-    ["publish", "--servers", "h:1", "--landed", "x", "--quarantine", "q", "--topic-option", "kafka.acks=all"],
+    ["publish", "--servers", "h:1", "--landed", "x", "--quarantine", "aside", "--topic-option", "kafka.acks=all"],
     ["land", "--servers", "h:1", "--to", "x"],
     ["popularity", "--servers", "h:1", "--root", "x", "--checkpoints", "y"],
 ])
-def test_topics_need_the_connector(spark, landed, arguments):
-    arguments = [landed if a == "x" else a for a in arguments]
+def test_topics_need_the_connector(spark, landed, tmp_path, arguments):
+    places = {"x": landed, "aside": f"{tmp_path}/aside"}
+    arguments = [places.get(a, a) for a in arguments]
     with pytest.raises(Exception, match="kafka"):
         main(arguments)
 
