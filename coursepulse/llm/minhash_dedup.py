@@ -11,10 +11,11 @@ signature's length, not on the number of shingles times it.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_intdigest
 
@@ -23,8 +24,12 @@ from coursepulse.llm.text import mix, overlap, runs_of, shingles
 from coursepulse.workspace import stored, working_dir
 
 SIMILARITY = 0.8
-#: 32 bands of 6 coordinates find a pair of similarity 0.8 with probability 1 - 6e-5.
-BANDS, ROWS = 32, 6
+#: 56 bands of 8 coordinates find a pair of similarity 0.8 with probability 1 - 3e-5, and one of 0.5
+#: (short texts around a common passage) only in a bucket out of five.
+BANDS, ROWS = 56, 8
+#: Bits of two sketches, one bit per coordinate, that may differ: 10 % are expected to at similarity
+#: 0.8, and more than this at most 4e-6 of such pairs have.
+MOST_APART = int(BANDS * ROWS * 0.1 + 4.4 * (BANDS * ROWS * 0.1 * 0.9) ** 0.5)
 #: Leaders of a bucket in the first pass; each further pass has so many times more.
 LEADERS = 4
 #: Ids that a broadcast may hold, 8 bytes each.
@@ -85,7 +90,9 @@ def _throw(seed, owner, low, width, weight, reach, least, length) -> None:
         turns = (np.arange(turn, turn + run, dtype=_U64) + _U64(1)) * _TURN
         hashed = mix(seed[active][:, None] + turns[None, :])
         gap = -np.log(((hashed >> _U64(11)).astype(float) + 0.5) * 2.0 ** -53)
-        ranks = rank[active][:, None] + np.cumsum(gap / width[active][:, None], axis=1)
+        gap /= width[active][:, None]
+        gap[:, 0] += rank[active]  # added one by one, a rank is the same however runs are cut
+        ranks = np.cumsum(gap, axis=1)
         rank[active] = ranks[:, -1]
         second = mix(hashed ^ _PLACE)
         place = low[active][:, None] + width[active][:, None] * (
@@ -107,7 +114,14 @@ def band_keys(signatures: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> n
     return key.view(np.int64)
 
 
-_SKETCH = "doc_id long, high long, low long, bands array<long>"
+def sketch_bits(signatures: np.ndarray) -> np.ndarray:
+    """One bit of each coordinate, in 64-bit words."""
+    bits = (mix(signatures) & _U64(1)).astype(np.uint8)
+    missing = -bits.shape[1] % 64
+    return np.packbits(np.pad(bits, ((0, 0), (0, missing))), axis=1).view(np.int64)
+
+
+_SKETCH = "doc_id long, high long, low long, size int, bits array<long>, bands array<long>"
 
 
 def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -117,13 +131,16 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         start = 0
         for texts in runs_of(batch["text"]):
             found = [shingles(text) for text in texts]
-            keys = band_keys(dart_signatures(found))
+            signatures = dart_signatures(found)
+            keys = band_keys(signatures)
             digest = [xxh3_128_intdigest(one.tobytes()) for one in found]
             yield pd.DataFrame({
                 "doc_id": ids[start : start + len(texts)],
                 "high": [_signed(d >> 64) if len(f) else None for d, f in zip(digest, found)],
                 "low": [_signed(d & (2 ** 64 - 1)) if len(f) else None
                         for d, f in zip(digest, found)],
+                "size": [len(f) for f in found],
+                "bits": list(sketch_bits(signatures)),
                 "bands": [key if len(f) else None for key, f in zip(keys, found)],
             }).astype({"high": "Int64", "low": "Int64"})
             start += len(texts)
@@ -180,7 +197,7 @@ class NearDuplicates:
         worded = sketched.filter(F.col("high").isNotNull())
         first = worded.groupBy("high", "low").agg(F.min("doc_id").alias("text_id"))
         joined = self._stored(worded.join(first, ["high", "low"]).select(
-            "doc_id", "text_id",
+            "doc_id", "text_id", "size", "bits",
             F.when(F.col("doc_id") == F.col("text_id"), F.col("bands")).alias("bands")), "classes")
         self._bands = joined.filter(F.col("bands").isNotNull()).dropDuplicates(["doc_id"])
         # an id that comes with several texts belongs to the class with the smallest number
@@ -196,21 +213,28 @@ class NearDuplicates:
         pass, with more leaders among themselves, until every bucket is used up. So a bucket of
         copies costs in proportion to its size, and none is capped.
         """
-        rows = self._bands.select(F.col("doc_id").alias("id"), F.explode("bands").alias("bucket"))
-        sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-        shared = self._stored(rows.join(sizes, "bucket"), "buckets")
-        central = shared.groupBy("id").agg(F.sum("size").alias("degree"))
-        left = self._stored(shared.drop("size").join(central, "id").withColumn(
+        rows = self._bands.select(
+            F.col("doc_id").alias("id"), "size", F.explode("bands").alias("bucket"))
+        texts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
+        shared = self._stored(rows.join(texts, "bucket"), "buckets")
+        central = shared.groupBy("id").agg(F.sum("texts").alias("degree")).join(
+            self._bands.select(F.col("doc_id").alias("id"), "bits"), "id")
+        left = self._stored(shared.drop("texts").join(central, "id").withColumn(
             "component", F.col("id")), "buckets")
+        apart = reduce(Column.__add__, [F.bit_count(F.col("bits")[at].bitwiseXOR(
+            F.col("their_bits")[at])) for at in range(-(-BANDS * ROWS // 64))])
         links, tried, self._found, leaders_each = None, None, None, LEADERS
         while True:
             first = Window.partitionBy("bucket").orderBy(F.desc("degree"), "id")
             leaders = left.withColumn("place", F.row_number().over(first)).filter(
                 F.col("place") <= leaders_each)
             leaders = self._stored(leaders.select(
-                "bucket", F.col("id").alias("leader"), F.col("component").alias("theirs")),
-                "leaders")
-            pairs = left.join(leaders, "bucket").filter(F.col("component") != F.col("theirs"))
+                "bucket", F.col("id").alias("leader"), F.col("size").alias("length"),
+                F.col("bits").alias("their_bits"), F.col("component").alias("theirs")), "leaders")
+            # sets whose sizes or sketches differ by more aren't that similar
+            pairs = left.join(leaders, "bucket").filter(
+                (F.col("component") != F.col("theirs")) & (apart <= MOST_APART)
+                & (F.least("size", "length") >= self.similarity * F.greatest("size", "length")))
             pairs = pairs.select(F.least("id", "leader").alias("a"),
                                  F.greatest("id", "leader").alias("b")).distinct()
             if tried is not None:
@@ -228,8 +252,8 @@ class NearDuplicates:
             reached = of(leaders, "leader", "component").select("bucket", "component").distinct()
             left = of(left.drop("component"), "id", "component").join(
                 reached, ["bucket", "component"], "left_anti")
-            sizes = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-            left = self._stored(left.join(sizes.select("bucket"), "bucket", "left_semi"), "buckets")
+            texts = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
+            left = self._stored(left.join(texts.select("bucket"), "bucket", "left_semi"), "buckets")
             if left.isEmpty():
                 return links
             leaders_each *= LEADERS
