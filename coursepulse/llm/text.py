@@ -61,7 +61,7 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(b[at] == a))
 
 
-def runs_of(texts: Sequence[str], most_chars: int = 1_000_000) -> Iterator[list[str]]:
+def runs_of(texts: Sequence[str], most_chars: int = 300_000) -> Iterator[list[str]]:
     """Consecutive texts in lists of about ``most_chars`` characters, for array work in bounded
     memory. A longer text is a list of its own; null counts as empty."""
     batch, chars = [], 0
