@@ -195,7 +195,9 @@ class NearDuplicates:
         """``doc_id, text_id``: the smallest id with the same shingles; keeps the texts' band keys."""
         sketched = self._stored(self.texts.mapInPandas(_sketch, _SKETCH), "sketches")
         worded = sketched.filter(F.col("high").isNotNull())
-        first = worded.groupBy("high", "low").agg(F.min("doc_id").alias("text_id"))
+        # written, so that the join below it is a plain one, in which Spark can split a large class
+        first = self._stored(
+            worded.groupBy("high", "low").agg(F.min("doc_id").alias("text_id")), "texts")
         joined = self._stored(worded.join(first, ["high", "low"]).select(
             "doc_id", "text_id", "size", "bits",
             F.when(F.col("doc_id") == F.col("text_id"), F.col("bands")).alias("bands")), "classes")
@@ -290,6 +292,14 @@ def drop_near_duplicates(documents: DataFrame) -> DataFrame:
     one's copy by number and stay.
     """
     dropped = NearDuplicates(documents).classes().filter(~F.col("kept")).select("doc_id")
-    kept = documents.join(dropped, "doc_id", "left_anti")
-    return kept.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(
-        kept.filter(F.col("doc_id").isNull()))
+    spark = documents.sparkSession
+    named = documents.filter(F.col("doc_id").isNotNull())
+    kept = named.join(stored(dropped, working_dir(spark, "dropped")), "doc_id", "left_anti")
+    repeated = stored(
+        named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+        .select("doc_id"), working_dir(spark, "repeated"))
+    return (
+        kept.join(repeated, "doc_id", "left_anti")
+        .unionByName(kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+        .unionByName(documents.filter(F.col("doc_id").isNull()))
+    ).select(*documents.columns)
