@@ -34,16 +34,20 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Links every larger neighbour of an id to the smallest of its neighbourhood."""
+    """Links every larger neighbour of an id to the smallest of its neighbourhood, which is a written
+    table: below the plain join that follows, Spark can split a hub's rows, or send the table."""
     both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least"))
+    least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least")),
+                   working_dir(edges.sparkSession, "least"))
     larger = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
     return larger.join(least, "u").select(F.col("v").alias("u"), F.col("least").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Links the smaller neighbours of an id, and the id, to the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("least"))
+    edges = stored(edges, working_dir(edges.sparkSession, "links"))
+    least = stored(edges.groupBy("u").agg(F.min("v").alias("least")),
+                   working_dir(edges.sparkSession, "least"))
     moved = edges.join(least, "u").filter(F.col("v") != F.col("least")).select(
         F.col("v").alias("u"), F.col("least").alias("v"))
     return moved.unionAll(least.select("u", F.col("least").alias("v"))).distinct()
