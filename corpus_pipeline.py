@@ -10,11 +10,12 @@ import public_tokenizers
 
 from coursepulse.llm.bpe import round_trip_digests
 from coursepulse.llm.decontaminate import drop_contaminated
+from coursepulse.llm.folders import working_dir
 from coursepulse.llm.minhash_dedup import drop_near_duplicates
 from coursepulse.llm.quality import reject_low_quality
 from coursepulse.llm.queries import VOCABULARY, read
 from coursepulse.llm.toxicity import reject_toxic
-from coursepulse.workspace import stored, working_dir
+from coursepulse.workspace import stored
 
 
 def quality(spark, docs, sf_dir):

@@ -19,9 +19,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from coursepulse.llm.folders import working_dir
 from coursepulse.llm.graph import components
 from coursepulse.llm.text import mix
-from coursepulse.workspace import stored, working_dir
+from coursepulse.workspace import stored
 
 SIMILARITY = 0.9
 TREES = 10

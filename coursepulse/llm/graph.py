@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coursepulse.workspace import stored, working_dir
+from coursepulse.llm.folders import working_dir
+from coursepulse.workspace import stored
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -19,9 +19,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_intdigest
 
+from coursepulse.llm.folders import working_dir
 from coursepulse.llm.graph import components
 from coursepulse.llm.text import mix, overlap, runs_of, shingles
-from coursepulse.workspace import stored, working_dir
+from coursepulse.workspace import stored
 
 SIMILARITY = 0.8
 #: 56 bands of 8 coordinates find a pair of similarity 0.8 with probability 1 - 3e-5, and one of 0.5
