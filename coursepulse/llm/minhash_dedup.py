@@ -33,6 +33,8 @@ BANDS, ROWS = 56, 8
 MOST_APART = int(BANDS * ROWS * 0.1 + 4.4 * (BANDS * ROWS * 0.1 * 0.9) ** 0.5)
 #: Leaders of a bucket in the first pass; each further pass has so many times more.
 LEADERS = 4
+#: Texts of a bucket that one key of the last join holds from either side.
+BLOCK = 1000
 #: Ids that a broadcast may hold, 8 bytes each.
 MOST_SENT = 2_000_000
 
@@ -214,7 +216,9 @@ class NearDuplicates:
         In each bucket all texts are compared with the bucket's few most central ones, those that
         share the most buckets with others. Texts not connected with any of these go on to the next
         pass, with more leaders among themselves, until every bucket is used up. So a bucket of
-        copies costs in proportion to its size, and none is capped.
+        copies costs in proportion to its size, and none is capped. Being connected with a leader
+        says nothing of the texts that aren't, so at last all texts of a bucket that are still in
+        different components are compared.
         """
         rows = self._bands.select(
             F.col("doc_id").alias("id"), "size", F.explode("bands").alias("bucket"))
@@ -224,8 +228,10 @@ class NearDuplicates:
             self._bands.select(F.col("doc_id").alias("id"), "bits"), "id")
         left = self._stored(shared.drop("texts").join(central, "id").withColumn(
             "component", F.col("id")), "buckets")
-        apart = reduce(Column.__add__, [F.bit_count(F.col("bits")[at].bitwiseXOR(
-            F.col("their_bits")[at])) for at in range(-(-BANDS * ROWS // 64))])
+        # sets whose sizes or sketches differ by more aren't that similar
+        alike = (reduce(Column.__add__, [F.bit_count(F.col("bits")[at].bitwiseXOR(
+            F.col("their_bits")[at])) for at in range(-(-BANDS * ROWS // 64))]) <= MOST_APART) & (
+            F.least("size", "length") >= self.similarity * F.greatest("size", "length"))
         links, tried, self._found, leaders_each = None, None, None, LEADERS
         while True:
             first = Window.partitionBy("bucket").orderBy(F.desc("degree"), "id")
@@ -234,10 +240,8 @@ class NearDuplicates:
             leaders = self._stored(leaders.select(
                 "bucket", F.col("id").alias("leader"), F.col("size").alias("length"),
                 F.col("bits").alias("their_bits"), F.col("component").alias("theirs")), "leaders")
-            # sets whose sizes or sketches differ by more aren't that similar
             pairs = left.join(leaders, "bucket").filter(
-                (F.col("component") != F.col("theirs")) & (apart <= MOST_APART)
-                & (F.least("size", "length") >= self.similarity * F.greatest("size", "length")))
+                (F.col("component") != F.col("theirs")) & alike)
             pairs = pairs.select(F.least("id", "leader").alias("a"),
                                  F.greatest("id", "leader").alias("b")).distinct()
             if tried is not None:
@@ -248,18 +252,59 @@ class NearDuplicates:
             links = checked if links is None else links.unionAll(checked)
             if self._found is None or not checked.isEmpty():
                 self._found = self._stored(components(links), "found")
-            found = self._found
-            of = lambda rows, name, to: rows.join(
-                found.select(F.col("id").alias(name), F.col("component").alias("now")), name, "left"
-            ).withColumn(to, F.coalesce("now", name)).drop("now")
-            reached = of(leaders, "leader", "component").select("bucket", "component").distinct()
-            left = of(left.drop("component"), "id", "component").join(
+            reached = self._component_of(leaders, "leader").select("bucket", "component").distinct()
+            left = self._component_of(left.drop("component"), "id").join(
                 reached, ["bucket", "component"], "left_anti")
             texts = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
             left = self._stored(left.join(texts.select("bucket"), "bucket", "left_semi"), "buckets")
             if left.isEmpty():
-                return links
+                break
             leaders_each *= LEADERS
+        pairs = self._across(shared.select("bucket", "id"), alike).join(
+            tried, ["a", "b"], "left_anti")
+        checked = self._stored(self._verified(self._stored(pairs, "pairs")), "links")
+        if checked.isEmpty():
+            return links
+        links = links.unionAll(checked)
+        self._found = self._stored(components(links), "found")
+        return links
+
+    def _component_of(self, rows: DataFrame, name: str) -> DataFrame:
+        """Adds the ``component`` that the text in column ``name`` is in by now."""
+        found = self._found.select(F.col("id").alias(name), F.col("component").alias("now"))
+        return rows.join(found, name, "left").withColumn(
+            "component", F.coalesce("now", name)).drop("now")
+
+    def _across(self, shared: DataFrame, alike: Column) -> DataFrame:
+        """Pairs ``a, b`` of texts that share a bucket and no component, and that are ``alike``.
+
+        One of the two is outside the bucket's largest component. Those of it are compared with all
+        of the bucket, in blocks, so that no key holds a bucket.
+        """
+        members = self._stored(self._component_of(shared, "id"), "buckets")
+        parts = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("texts"))
+        mixed = parts.groupBy("bucket").agg(
+            F.max(F.struct("texts", "component")).alias("main"), F.sum("texts").alias("texts"),
+        ).filter(F.col("texts") > F.col("main.texts")).select(
+            "bucket", F.col("main.component").alias("main"),
+            F.ceil(F.col("texts") / BLOCK).alias("rows"),
+            F.ceil((F.col("texts") - F.col("main.texts")) / BLOCK).alias("columns"))
+        members = self._stored(members.join(mixed, "bucket").join(
+            self._bands.select(F.col("doc_id").alias("id"), "size", "bits"), "id"), "buckets")
+        every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+        each = members.withColumn("row", F.pmod(F.xxhash64("id"), F.col("rows"))).withColumn(
+            "column", every("columns")).select(
+            "bucket", "row", "column", "id", "size", "bits", "component", "main")
+        others = members.filter(F.col("component") != F.col("main")).withColumn(
+            "column", F.pmod(F.xxhash64("id"), F.col("columns"))).withColumn(
+            "row", every("rows")).select(
+            "bucket", "row", "column", F.col("id").alias("other"), F.col("size").alias("length"),
+            F.col("bits").alias("their_bits"), F.col("component").alias("theirs"))
+        pairs = each.join(others, ["bucket", "row", "column"]).filter(
+            (F.col("component") != F.col("theirs")) & alike
+            & ((F.col("component") == F.col("main")) | (F.col("id") < F.col("other"))))
+        return pairs.select(F.least("id", "other").alias("a"),
+                            F.greatest("id", "other").alias("b")).distinct()
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs that are similar enough by their whole texts."""

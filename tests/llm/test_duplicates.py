@@ -144,6 +144,26 @@ def test_star_around_an_original_is_one_class(spark):
     assert {r["doc_id"]: r["class_id"] for r in got.collect()} == _brute_classes(rows)
 
 
+def test_copies_of_copies_at_the_threshold(spark):
+    """Texts like one member of a large group, and just not like its others."""
+    rng = random.Random(21)
+    base = _text(600, rng)
+    rows = [(1000 + n, _changed(base, 1, rng)) for n in range(60)]
+    sets = [shingles(text) for _, text in rows] + [shingles(base)]
+    while len(rows) < 120:
+        member = _changed(base, 3, rng)
+        found = member.split()
+        at = rng.randrange(40)
+        found[at : at + 1] = rng.choices(VOCABULARY, k=rng.randint(110, 145))
+        copy = " ".join(found)
+        if _jaccard(shingles(member), shingles(copy)) >= 0.8 and all(
+                _jaccard(shingles(copy), one) < 0.8 for one in sets):
+            rows += [(len(rows), copy), (2000 + len(rows), member)]
+    got = minhash_dedup.NearDuplicates(
+        spark.createDataFrame(rows, "doc_id long, text string")).classes()
+    assert {r["doc_id"]: r["class_id"] for r in got.collect()} == _brute_classes(rows)
+
+
 def test_stage_keeps_one_of_each_class(spark):
     rows = _collection()
     extra = [(0, rows[0][1], "again"), (None, rows[0][1], "no id"), (None, None, None),
