@@ -97,7 +97,7 @@ def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def _repeats(codes, passage, owner, number):
     """For each passage: the share of its runs of characters that its document had before, and
-    whether runs were looked at. An eighth of all runs is, chosen by the run itself."""
+    whether it has runs."""
     if len(codes) < REPEAT_RUN:
         return np.zeros(number), np.zeros(number)
     hashed = codes[: len(codes) - REPEAT_RUN + 1].astype(np.uint64)
@@ -105,9 +105,8 @@ def _repeats(codes, passage, owner, number):
         hashed = hashed * np.uint64(0x100000001B3)
         hashed += codes[step : len(codes) - REPEAT_RUN + 1 + step]
     hashed = mix(hashed)
-    at = np.flatnonzero((hashed & np.uint64(7)) == 0)
     document = owner[passage]
-    at = at[document[at] == document[at + REPEAT_RUN - 1]]
+    at = np.flatnonzero(document[: len(hashed)] == document[REPEAT_RUN - 1 :])
     key = hashed[at] ^ mix(document[at].astype(np.uint64))
     order = np.argsort(key, kind="stable")
     again = np.zeros(len(at), dtype=bool)

@@ -93,6 +93,19 @@ def test_sample_is_bounded_and_leaves_the_test_fold_out(spark):
     assert rows and {r["label"] for r in rows} == {0, 1}
 
 
+def test_repeats_count_every_run():
+    texts = ["abcdefghijklm", "short", "a line of text, a line of text,", "x" * 300, "", "ab " * 9]
+    repeated = quality.CLASSES + quality.CLASSES ** 2
+    features, owner = quality.encode(texts)
+    for number, text in enumerate(texts):
+        runs = [text[at : at + quality.REPEAT_RUN]
+                for at in range(len(text) - quality.REPEAT_RUN + 1)]
+        again = sum(run in runs[:at] for at, run in enumerate(runs))
+        row = features[owner == number][0]
+        assert row[repeated] == again / max(1, len(runs))
+        assert row[repeated + 1] == bool(runs)
+
+
 def test_quality_attends_to_one_bad_passage():
     rng, texts, labels = random.Random(5), [], []
     for at in range(240):
