@@ -93,6 +93,9 @@ def contaminated(documents: DataFrame, benchmark: DataFrame,
     """``doc_id, item_id, shared, item_shingles, containment``: one row per document and test item of
     whose five-word shingles the document holds a share of ``containment`` or more.
 
+    An item of fewer than five words is one shingle of its own, as in the SQL: it is found in a text of
+    just its words, and not searched in longer ones.
+
     ``doc_id, text`` and ``item_id, text`` are read, other columns ignored. Null or wordless texts
     contain and are contained in nothing. Of repeated rows of an item or document one counts; an id
     with several texts counts by each of them, the largest share is returned. Rows without an id are
