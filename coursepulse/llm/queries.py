@@ -12,8 +12,11 @@ from coursepulse.llm import (
     decontaminate,
     forest,
     langid,
+    lexical,
     minhash_dedup,
     quality,
+    repair,
+    secret_scan,
     toxicity,
     urls,
     wrappers,
@@ -96,6 +99,18 @@ def op10_embedding_links(spark, folder):
     return forest.EmbeddingLinks(read(spark, folder, "embeddings")).result()
 
 
+def op11_ranked_search(spark, folder):
+    return lexical.search(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+def op12_secrets(spark, folder):
+    return secret_scan.scan_digests(read(spark, folder, "documents"))
+
+
+def op13_repair(spark, folder):
+    return repair.damaged_report(read(spark, folder, "conversations"))
+
+
 QUERIES = (
     op1_byte_bpe,
     op2_toxicity,
@@ -107,6 +122,9 @@ QUERIES = (
     op8_chat,
     op9_near_duplicates,
     op10_embedding_links,
+    op11_ranked_search,
+    op12_secrets,
+    op13_repair,
 )
 
 _WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
@@ -123,6 +141,10 @@ def _shingles_sql(table: str, number: str) -> str:
   from (select {number}, {_WORDS} as w from {table} where {number} is not null)"""
 
 
+#: Terms of a text, only A-Z lower-cased.
+_TERMS = (rf"list_transform(regexp_extract_all(text, '{lexical.TERM}'), "
+          "lambda t: translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))")
+
 SQL = {
     "op8_chat": r"""
 with c as (
@@ -181,4 +203,113 @@ members as (select d.doc_id, coalesce(t.text_id, d.doc_id) as text_id
 select doc_id, text_id, coalesce(class_id, text_id) as class_id,
        doc_id = coalesce(class_id, text_id) as kept
 from members left join classes using (text_id)""",
+    "op11_ranked_search": f"""
+with words as (select row_number() over () as nr, doc_id, unnest({_TERMS}) as term from documents),
+counts as (select nr, doc_id, term, count(*) as tf from words group by all),
+sizes as (select nr, cast(sum(tf) as bigint) as n from counts group by nr),
+corpus as (select count(*) as docs, cast(sum(n) as bigint) as length from sizes),
+weights as (
+  select term, cast(floor(1000 * ln((2 * any_value(docs) + 2)::double / (2 * count(*) + 1))) as bigint)
+           as w
+  from counts, corpus group by term),
+asked as (
+  select item_id, term, count(*) as times
+  from (select item_id, unnest({_TERMS}) as term from (select distinct item_id, text from benchmark))
+  group by all),
+scores as (
+  select item_id, nr, doc_id, cast(sum(times * w * ((1000000000 * tf)
+           // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // length)))) as bigint) as score
+  from asked join counts using (term) join weights using (term) join sizes using (nr), corpus
+  group by all having score > 0)
+select item_id, cast(row_number() over (partition by item_id
+                       order by score desc, doc_id nulls last) as integer) as rank, doc_id, score
+from scores qualify rank <= 10""",
+    "op13_repair": r"""
+with recursive folds as (
+  select list_transform(range(256), lambda n: list_reduce(
+    [n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as f
+), hashed as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(
+          coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''),
+          lambda x: ascii(x)::bigint)),
+        lambda c, b: xor(c >> 8, f[1 + (xor(c, b) & 255)])), 4294967295) % 20 as kind
+  from conversations, folds
+), damaged as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+         case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end
+           as text
+  from (select *, unnest(case when kind = 3 then [0, 1] else [0] end) from hashed where kind <> 0)
+), placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i,
+         rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as stripped
+  from damaged
+), marked as (
+  select *, left(role, 1) as initial, case
+           when stripped = '' then 'blank'
+           when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+           when right(stripped, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault,
+         lag(left(role, 1)) over (partition by conv_id order by i) || left(role, 1) as pair
+  from placed
+), chain(last, k, now) as (
+  values ('', 0, ''), ('', 1, 'u'), ('', 2, 'a'), ('s', 0, 's'), ('s', 1, 'u'), ('s', 2, 'a'),
+         ('u', 0, 'u'), ('u', 1, 'a'), ('a', 0, 'a'), ('a', 1, 'u')
+), follows(last, now) as (
+  values ('', 's'), ('', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u')
+), moves as (
+  select conv_id, i, last, last as now, 2 as cost, 'D' as letter
+  from marked, (select distinct last from follows)
+  union all
+  select conv_id, i, last, now, (now <> initial)::int + case fault when 'truncated' then 5 else 0 end,
+         case when now = initial then 'K' else 'R' end
+  from marked, follows
+  where fault not in ('blank', 'duplicate') and (now = initial or now <> 's')
+), ways as (
+  select conv_id, 0::bigint as i, now as state,
+         struct_pack(cost := 5::bigint * k, audit := repeat('I', k)) as way
+  from (select distinct conv_id from marked), chain where last = ''
+  union all
+  select w.conv_id, w.i + 1, c.now, min(struct_pack(
+         cost := way.cost + m.cost + 5 * k, audit := way.audit || letter || repeat('I', k)))
+  from ways w join moves m on w.conv_id is not distinct from m.conv_id and w.i + 1 = m.i
+    and w.state = m.last join chain c on c.last = m.now
+  group by w.conv_id, w.i, c.now
+), best as (
+  select w.conv_id, min(way) as way
+  from ways w join (select conv_id, max(i) as n from marked group by 1) l
+    on w.conv_id is not distinct from l.conv_id and w.i = l.n
+  where state in ('', 'a') group by 1
+), letters as (
+  select conv_id, unnest(string_split(way.audit, '')) as letter,
+         unnest(range(1, length(way.audit) + 1)) as pos
+  from best where way.audit <> ''
+), numbered as (
+  select *, count(*) filter (letter <> 'I') over (partition by conv_id order by pos) as i,
+         count(*) filter (letter <> 'D') over (partition by conv_id order by pos) as place
+  from letters
+), outcome as (
+  select n.*, m.role, m.text, max((letter = 'K' and place = 1 and initial = 's')::int)
+           over (partition by n.conv_id) as led
+  from numbered n left join marked m on n.conv_id is not distinct from m.conv_id and n.i = m.i
+), repaired as (
+  select conv_id, sha256(string_agg(
+    case when letter = 'K' then role when (place - led) % 2 = 1 then 'user' else 'assistant' end
+      || ':' || case when letter = 'I' then '' else text end, chr(10) order by pos)) as digest
+  from outcome where letter <> 'D' group by 1
+), counted as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+         count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+         count(*) filter (fault = 'truncated') as truncated,
+         count(*) filter (pair is not null and pair not in ('su', 'ua', 'au')) as illegal
+  from marked group by 1
+)
+select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank,
+       coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+       coalesce(illegal, 0) as illegal, coalesce(way.cost, 0) as cost,
+       coalesce(way.audit, '') as audit, coalesce(digest, sha256('')) as repaired_sha256
+from (select distinct conv_id from conversations) o
+left join counted c on o.conv_id is not distinct from c.conv_id
+left join best b on o.conv_id is not distinct from b.conv_id
+left join repaired r on o.conv_id is not distinct from r.conv_id""",
 }

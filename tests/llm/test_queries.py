@@ -13,7 +13,7 @@ from coursepulse.llm.text import overlap, shingles
 def test_registered():
     found = entry.queries()
     assert {q.__name__ for q in queries.QUERIES} | {"pipeline"} <= set(found)
-    assert len(queries.QUERIES) == 10
+    assert len(queries.QUERIES) == 13
     assert set(queries.SQL) <= {q.__name__ for q in queries.QUERIES}
 
 
