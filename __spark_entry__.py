@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coursepulse import model
-from coursepulse.functions import engagement_score
+from coursepulse.functions import course_category, engagement_score
 from coursepulse.operators import counts as cnt
-from coursepulse.operators import ingest, profiles
+from coursepulse.operators import ingest, profiles, sketches
 from coursepulse.operators import popularity as pop
 from coursepulse.operators.latest import latest_by_key
 from coursepulse.operators.recommend import (
@@ -31,17 +31,20 @@ from coursepulse.operators.recommend import (
     index_pairs,
 )
 from coursepulse.plans import Tables, ingest_landed, popularity_job
-from coursepulse.sinks import KeyedTable, land
+from coursepulse.sinks import BucketedTable, DayCounts, KeyedTable, land
 from coursepulse.sinks.external import messages, renamed
 from coursepulse.sources import events as ev
 from coursepulse.sources import read_landed
 from coursepulse.streaming import (
+    LateEvents,
     PopularityStore,
     await_all,
     start_interaction_log,
+    start_late_events,
     start_popularity,
     start_quarantine,
 )
+from coursepulse.streaming.state import windows_in_state
 from coursepulse.workspace import stored, working_dir
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -106,6 +109,20 @@ def _faulty_feed(spark: SparkSession, folder: str, stream: bool = False) -> Data
     return lifted.select(value.cast("binary").alias("value"))
 
 
+def _misfit_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """All messages, with a field of ``error`` events that doesn't fit its type."""
+    lifted = _interactions(spark, folder, "event_type", "value", country=True)
+    text, value = ingest.encode_event(), F.col("value")
+    misfit = (
+        F.when(value < 2, F.regexp_replace(text, '"duration":null', '"duration":"long"'))
+        .when(value < 5, F.regexp_replace(text, '"duration":null', '"duration":12.5'))
+        .when(value < 8, F.regexp_replace(text, '"timestamp":"[^"]*"', '"timestamp":"soon"'))
+        .when(value < 12, F.regexp_replace(text, '"location":\\{[^}]*\\}', '"location":"PERU"'))
+        .otherwise(text))
+    return lifted.select(
+        F.when(F.col("event_type") == "error", misfit).otherwise(text).alias("value"))
+
+
 # --- parsing, filters, scores ---------------------------------------------------------------
 
 
@@ -128,6 +145,12 @@ def unusable_messages(spark, folder):
     return _by_reason(ingest.unusable(_faulty_feed(spark, folder)))
 
 
+def field_faults(spark, folder):
+    """Fields of usable messages that became null, by what they held."""
+    return ingest.field_faults(_misfit_feed(spark, folder)).groupBy(
+        "field", "expected", "found", "reason", "text").agg(F.count(F.lit(1)).alias("messages"))
+
+
 def published_messages(spark, folder):
     return messages(_interactions(spark, folder, country=True))
 
@@ -173,6 +196,42 @@ def approx_error_check(spark, folder):
     )
 
 
+def _hourly_sketches(spark, folder):
+    """Hourly sketches, written once; all else is merged from them."""
+    return stored(sketches.hourly_sketches(_interactions(spark, folder)),
+                  working_dir(spark, "sketches"))
+
+
+def course_popularity_daily_merged(spark, folder):
+    """Daily popularity from hourly sketches, which are exact for as few students as here."""
+    return sketches.estimated(sketches.merged(_hourly_sketches(spark, folder), "1 day"))
+
+
+def sketch_rollup_check(spark, folder):
+    """Days, and days whose merged sketch differs from one over the events, or by more than one student
+    and 6 % from the exact count; the same for days of course categories."""
+    interactions, hourly = _interactions(spark, folder), _hourly_sketches(spark, folder)
+    category = course_category().alias("category")
+
+    def compared(by, rows, parts):
+        keys = [by, "window_start"]
+        merged = sketches.merged(parts, "1 day", (by,))
+        direct = sketches.hourly_sketches(rows, "1 day", (by,))
+        exact = pop.popularity(rows, "1 day", (by,)).select(*keys, "active_users")
+        both = merged.select(*keys, F.col("students").alias("merged")).join(
+            direct.select(*keys, F.col("students").alias("direct")), keys, "full").join(
+            exact, keys, "full")
+        off = F.abs(sketches.active_users("merged") - F.col("active_users"))
+        return both.agg(
+            F.lit(by).alias("by"), F.count(F.lit(1)).alias("windows"),
+            F.count_if(~F.coalesce(sketches.same_students("merged", "direct"), F.lit(False)))
+            .alias("different"),
+            F.count_if(off.isNull() | (off > F.greatest(F.lit(1.0), F.col("active_users") * 0.06)))
+            .alias("off_limits"))
+    return compared("course_code", interactions, hourly).unionByName(compared(
+        "category", interactions.select("*", category), hourly.select("*", category)))
+
+
 def course_popularity_current(spark, folder):
     return pop.published(pop.current_popularity(pop.popularity(_interactions(spark, folder))))
 
@@ -259,7 +318,6 @@ def log_two_writers(spark, folder):
         "interaction_type", F.lit("search_performed"))
     await_all(start_interaction_log(corrected, table, f"{root}/second", ONCE))
     table.compact()
-    table.vacuum()
     return table.latest()
 
 
@@ -278,6 +336,50 @@ def snapshot_after_restart(spark, folder):
     return store.windows()
 
 
+def _bucketed_log(spark, folder, buckets=16):
+    """The log in buckets, from two writes of which the second corrects the first."""
+    table = BucketedTable(spark, working_dir(spark, "bucketed-log"), model.INTERACTION_LOGS,
+                          buckets=buckets)
+    rows = _log_rows(spark, folder)
+    table.add(rows.filter(F.col("timestamp") < _instant(HISTORY_CUT)).withColumn(
+        "interaction_type", F.lit("search_performed")))
+    table.add(rows)
+    return table
+
+
+def bucketed_timeline(spark, folder):
+    """All events of the student who has the most, from one bucket."""
+    table = _bucketed_log(spark, folder)
+    table.compact()
+    most = table.rows().groupBy("student_id").agg(F.count(F.lit(1)).alias("events")).orderBy(
+        F.desc("events"), "student_id").first()
+    return table.lookup(most.student_id)
+
+
+def bucketed_recommendations(spark, folder):
+    """Stored recommendations beside their students' last events: a join of two bucketed tables."""
+    log = _bucketed_log(spark, folder)
+    recommended = BucketedTable(
+        spark, working_dir(spark, "bucketed-recommendations"), model.STUDENT_RECOMMENDATIONS,
+        buckets=log.buckets)
+    recommended.add(_frequent_recommendations(_pairs(spark, folder)))
+    seen = log.rows().groupBy("student_id").agg(
+        F.max("timestamp").alias("last_seen"), F.count(F.lit(1)).alias("events"))
+    return recommended.rows().join(seen, "student_id").select(
+        "student_id", "course_code", "rating", "last_seen", "events")
+
+
+def counts_in_arrivals(spark, folder):
+    """Counts by day after three arrivals, the last one late: only days with new files are read."""
+    root = working_dir(spark, "arrivals")
+    counts, rows, day = DayCounts(spark, f"{root}/counts"), _interactions(spark, folder), F.col("timestamp")
+    late_from, late_until = _instant(LATE_FROM), _instant(LATE_UNTIL)
+    for part in (day < late_from, day >= late_until, (day >= late_from) & (day < late_until)):
+        land(rows.filter(part), f"{root}/landing", by_date=True, rebalance=True)
+        counts.update(f"{root}/landing")
+    return counts.counts()
+
+
 def student_logs(spark, folder):
     """The log under the column name of its row-at-a-time variant."""
     return renamed(_interactions(spark, folder, country=True),
@@ -383,6 +485,15 @@ def recommendation_unseen_check(spark, folder):
     return _recommendation_facts(recommender, recommender.recommendations(5, exclude_seen=True))
 
 
+def als_residual_check(spark, folder):
+    """Whether the fitted factors are right: students whose factors miss the equations of their ratings
+    by more than a thousandth."""
+    found = fit_recommender(spark, _interactions(spark, folder)).residuals()
+    missed = F.col("residual") > 1e-3 * F.col("scale") + 1e-9
+    return found.agg(F.count(F.lit(1)).alias("students"), F.sum("ratings").alias("ratings"),
+                     F.count_if(F.coalesce(missed, F.lit(True))).alias("unsolved"))
+
+
 def recommendation_proof(spark, folder):
     """Whether the five are the best: ratings that aren't the product of the factors, and courses
     left out that rate higher than one returned. The other courses' ratings come from a listing of
@@ -475,11 +586,12 @@ def stream_popularity_approx(spark, folder):
     return _stream_popularity(spark, folder, "complete", exact=False)
 
 
-def _popularity_in_three_runs(spark, folder, mode: str) -> DataFrame:
+def _popularity_in_three_runs(spark, folder, mode: str, repaired: bool = False) -> DataFrame:
     """One checkpoint and three runs: events before, after, and last those between, a week and more
     behind the watermark by then."""
     root = working_dir(spark, f"runs-{mode}")
     store = PopularityStore(spark, f"{root}/popularity", mode, exact=True)
+    late = LateEvents(spark, f"{root}/late", aligned=True)
     events = ev.read_events(spark, folder)
     day = F.col("ts")
     late_from, late_until = (F.lit(t).cast("timestamp_ntz") for t in (LATE_FROM, LATE_UNTIL))
@@ -489,6 +601,10 @@ def _popularity_in_three_runs(spark, folder, mode: str) -> DataFrame:
             "maxFilesPerTrigger", 4).parquet(f"{root}/events"))
         await_all(start_popularity(feed, store, f"{root}/checkpoint", trigger=ONCE,
                                    state_partitions=_state_partitions(spark)))
+        if repaired:
+            await_all(start_late_events(feed, late, f"{root}/late-checkpoint", ONCE))
+    if repaired:
+        late.repair(store, _interactions(spark, folder))
     return store.windows()
 
 
@@ -500,6 +616,40 @@ def stream_late_update(spark, folder):
     return _popularity_in_three_runs(spark, folder, "update")
 
 
+def stream_late_repaired(spark, folder):
+    """Update mode, and the windows of what it dropped counted anew: the same as complete mode."""
+    return _popularity_in_three_runs(spark, folder, "update", repaired=True)
+
+
+def stream_log_last_wins(spark, folder):
+    """Repeats dropped inside the stream, the last one kept, where a student's events of an hour share a
+    key; the last hour's are still held back."""
+    root = working_dir(spark, "stream-last")
+    feed = ingest.interactions_from(_feed(spark, folder)).withColumn(
+        "timestamp", F.date_trunc("hour", "timestamp"))
+
+    def write(batch, number):
+        batch.select(*model.INTERACTION_SCHEMA.names).write.mode("overwrite").parquet(
+            f"{root}/rows/batch={number}")
+    await_all(start_interaction_log(feed, write, f"{root}/checkpoint", ONCE, "1 hour", "last"))
+    return spark.read.parquet(f"{root}/rows").drop("batch")
+
+
+def stream_state(spark, folder):
+    """Keys in the state per window after all events: all of them in complete mode, and only those of
+    windows that the watermark has not passed in update mode."""
+    found = None
+    for mode in ("complete", "update"):
+        root = working_dir(spark, f"state-{mode}")
+        store = PopularityStore(spark, f"{root}/popularity", mode, exact=True)
+        await_all(start_popularity(
+            ev.lift(ev.stream_events(spark, folder)), store, f"{root}/checkpoint", trigger=ONCE,
+            state_partitions=_state_partitions(spark)))
+        held = windows_in_state(spark, f"{root}/checkpoint").withColumn("mode", F.lit(mode))
+        found = held if found is None else found.unionByName(held)
+    return found
+
+
 def stream_approx_check(spark, folder):
     """The sketch a stream keeps must give the very numbers of the batch sketch."""
     by = ["course_code", "window_start"]
@@ -532,6 +682,7 @@ _QUERIES: tuple[Query, ...] = (
     parse_interactions,
     valid_interactions,
     unusable_messages,
+    field_faults,
     published_messages,
     recent_interactions,
     engagement_scores,
@@ -539,6 +690,8 @@ _QUERIES: tuple[Query, ...] = (
     course_popularity_daily,
     course_popularity_approx,
     approx_error_check,
+    course_popularity_daily_merged,
+    sketch_rollup_check,
     course_popularity_current,
     course_popularity_ranked,
     top_courses,
@@ -553,6 +706,9 @@ _QUERIES: tuple[Query, ...] = (
     student_timelines,
     log_two_writers,
     snapshot_after_restart,
+    bucketed_timeline,
+    bucketed_recommendations,
+    counts_in_arrivals,
     student_logs,
     landed_interactions,
     landed_quarantine,
@@ -562,6 +718,7 @@ _QUERIES: tuple[Query, ...] = (
     recommendations_unseen_top5,
     recommendation_check,
     recommendation_unseen_check,
+    als_residual_check,
     recommendation_proof,
     cohort_category_affinity,
     daypart_profile,
@@ -577,6 +734,9 @@ _QUERIES: tuple[Query, ...] = (
     stream_popularity_job,
     stream_late_complete,
     stream_late_update,
+    stream_late_repaired,
+    stream_log_last_wins,
+    stream_state,
 )
 
 
@@ -756,6 +916,18 @@ def _own_sql() -> dict[str, str]:
         "parse_interactions": flat_wire,
         "valid_interactions": f"{flat_wire} where event_type <> 'error'",
         "unusable_messages": rejected,
+        "field_faults": f"""{lift}
+  select *, count(*) as messages
+  from (select case when value < 5 then 'duration' when value < 8 then 'timestamp'
+                    else 'location' end as field,
+               case when value < 5 then 'int' when value < 8 then 'timestamp'
+                    else 'object' end as expected,
+               case when value >= 2 and value < 5 then 'DECIMAL(3,1)' else 'STRING' end as found,
+               case when value < 2 then 'ill_typed' when value < 5 then 'out_of_range'
+                    when value < 8 then 'no_time' else 'ill_typed' end as reason,
+               case when value < 2 then 'long' when value < 5 then '12.5' when value < 8 then 'soon'
+                    else 'PERU' end as text
+        from lifted where event_type = 'error' and value < 12) group by all""",
         "published_messages": f"""{lift}
   select student_id as "key",
          '{{"student_id":"' || student_id || '","course_code":"' || course_code
@@ -774,6 +946,13 @@ def _own_sql() -> dict[str, str]:
         "approx_error_check": f"""{lift}
   select count(*) as windows, cast(0 as bigint) as off_limits, cast(0 as bigint) as other_scores
   from ({daily})""",
+        "course_popularity_daily_merged": lift + daily,
+        "sketch_rollup_check": f"""{lift}
+  select 'course_code' as "by", count(*) as windows, cast(0 as bigint) as different,
+         cast(0 as bigint) as off_limits from ({daily})
+  union all
+  select 'category', count(*), 0, 0
+  from (select distinct {_CATEGORY}, date_trunc('day', "timestamp") from lifted)""",
         "course_popularity_current": lift + _CURRENT.format(windows=hourly),
         "course_popularity_ranked": f"""{lift} select *, row_number() over (
     order by total_popularity desc, course_code, window_start desc) as place from ({hourly})""",
@@ -811,6 +990,17 @@ def _own_sql() -> dict[str, str]:
          "timestamp", duration, cast(null as varchar) as location_country, location_city""",
             '"timestamp"'),
         "snapshot_after_restart": lift + hourly,
+        "bucketed_timeline": f"""{lift}, logged as ({_logged_sql(_FLAT_NO_COUNTRY, '"timestamp"')})
+  select * from logged where student_id = (
+    select student_id from logged group by 1 order by count(*) desc, student_id limit 1)""",
+        "bucketed_recommendations": f"""{pairs},
+  logged as ({_logged_sql('student_id, "timestamp"', '"timestamp"')}),
+  seen as (select student_id, max("timestamp") as last_seen, count(*) as events
+           from logged group by 1)
+  select student_id, course_code, rating, last_seen, events
+  from ({_frequent_sql('pairs')}) join seen using (student_id)""",
+        "counts_in_arrivals": f"""{pairs}
+  select * replace (date_trunc('second', "timestamp") as "timestamp") from pairs""",
         "landed_quarantine": f"""{lift}
   select case when event_type <> 'error' then 'taken' when value < 10 then 'malformed'
               else 'no_student' end as reason, count(*) as lines
@@ -845,6 +1035,9 @@ def _own_sql() -> dict[str, str]:
          cast(0 as bigint) as rating_rises, cast(0 as bigint) as wrong_times,
          cast(0 as bigint) as already_seen
   from open""",
+        "als_residual_check": f"""{pairs}
+  select count(distinct student_id) as students, count(*) as ratings,
+         cast(0 as bigint) as unsolved from pairs""",
         "recommendation_proof": f"""{pairs}, sizes as (
     select count(distinct student_id) as s, count(distinct course_code) as c from pairs
   )
@@ -879,6 +1072,22 @@ def _own_sql() -> dict[str, str]:
         "stream_popularity_complete": lift + hourly,
         "stream_popularity_update": lift + hourly,
         "stream_late_complete": lift + hourly,
+        "stream_late_repaired": lift + hourly,
+        "stream_log_last_wins": f"""{lift}, hours as (
+    select * replace (date_trunc('hour', "timestamp") as "timestamp"), "timestamp" as arrival
+    from lifted)
+  select {_FLAT} from hours
+  where "timestamp" <= (select max("timestamp") from hours) - interval 1 hour
+  qualify row_number() over (partition by student_id, "timestamp"
+                             order by arrival desc, event_id desc) = 1""",
+        "stream_state": f"""{lift}, held as (
+    select date_trunc('hour', "timestamp") as window_start,
+           count(distinct (course_code, student_id)) as keys
+    from lifted group by 1)
+  select 'complete' as mode, window_start, keys from held
+  union all
+  select 'update', window_start, keys from held
+  where window_start + interval 1 hour > (select max("timestamp") from lifted) - interval 1 hour""",
         "stream_late_update": lift + _windows_sql("hour", source=f"""(select * from lifted
     where "timestamp" < timestamp '{LATE_FROM}' or "timestamp" >= timestamp '{LATE_UNTIL}')"""),
         "stream_approx_check": f"""{lift}

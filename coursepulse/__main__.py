@@ -101,8 +101,7 @@ def _parser() -> argparse.ArgumentParser:
 
     load = job("load", "load landed files into the interaction log")
     load.add_argument("--landed", required=True)
-    job("compact", "fold the batches of the keyed tables; readers may go on")
-    job("vacuum", "delete what compactions replaced; for times without older readers")
+    job("compact", "settle the batches of each day of the keyed tables into one")
 
     top = job("top", "print the most popular courses")
     top.add_argument("--mode", choices=("complete", "update", "append"), default="update")
@@ -179,9 +178,6 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
     elif options.job == "compact":
         for table in Tables(spark, options.root).keyed():
             table.compact()
-    elif options.job == "vacuum":
-        for table in Tables(spark, options.root).keyed():
-            table.vacuum()
     elif options.job == "top":
         store = Tables(spark, options.root).course_popularity(
             options.mode, options.exact, options.window)

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from coursepulse import model
 from coursepulse.functions.wire import decode_event, encode_event
@@ -103,6 +104,56 @@ def unusable_events(events: DataFrame) -> DataFrame:
         _reason().alias("reason"), F.coalesce(_CORRUPT, encode_event()).alias("payload"))
 
 
+def field_faults(messages: DataFrame, value: str = "value") -> DataFrame:
+    """``student_id, field, expected, found, reason, text``: a row per field of a usable message that was
+    given but became null, which :func:`interactions_from` does without a trace.
+
+    The message is read once more as a variant, which keeps whatever it holds: ``found`` is the type
+    and ``text`` the value as given. ``reason`` is ``no_time`` (text that is no time), ``out_of_range`` (a
+    number that the type has no room for, like a fraction) or ``ill_typed`` (a value of another kind).
+    Missing fields and explicit nulls are no faults, and neither is what :func:`unusable` returns.
+    """
+    parsed = messages.select(F.inline(F.array(F.struct(
+        decode_event(F.col(value)).alias("event"),
+        F.try_parse_json(F.col(value).cast("string")).alias("given")))))
+    kept = parsed.filter(F.col("event.student_id").isNotNull())
+    found = F.array(*[_fault(path, kind) for path, kind in _leaves(model.EVENT_SCHEMA)])
+    return kept.select(F.col("event.student_id").alias("student_id"),
+                       F.inline(F.filter(found, lambda fault: fault["reason"].isNotNull())))
+
+
+def _leaves(schema: T.StructType, above: str = "") -> list[tuple[str, T.DataType]]:
+    """Paths and types of all fields, structs before what they hold."""
+    found = []
+    for field in schema.fields:
+        path = f"{above}{field.name}"
+        found.append((path, field.dataType))
+        if isinstance(field.dataType, T.StructType):
+            found += _leaves(field.dataType, f"{path}.")
+    return found
+
+
+def _fault(path: str, kind: T.DataType) -> Column:
+    given = F.try_variant_get("given", f"$.{path}", "variant")
+    found = F.schema_of_variant(given)
+    lost = given.isNotNull() & ~F.is_variant_null(given) & F.col(f"event.{path}").isNull()
+    reason = F.lit("ill_typed")
+    if isinstance(kind, T.TimestampType):
+        reason = F.when(found == "STRING", F.lit("no_time")).otherwise(reason)
+    if isinstance(kind, T.NumericType):
+        number = found.isin("BIGINT", "DOUBLE", "FLOAT") | found.startswith("DECIMAL")
+        reason = F.when(number, F.lit("out_of_range")).otherwise(reason)
+    expected = "object" if isinstance(kind, T.StructType) else kind.simpleString()
+    return F.struct(
+        F.lit(path).alias("field"), F.lit(expected).alias("expected"), found.alias("found"),
+        F.when(lost, reason).alias("reason"), _text_of(given).alias("text"))
+
+
+def _text_of(given: Column) -> Column:
+    """A variant as text: a string as it is, anything else as JSON."""
+    return F.coalesce(F.try_variant_get(given, "$", "string"), F.to_json(given))
+
+
 def recent(
     interactions: DataFrame,
     as_of: Column | None = None,

@@ -38,6 +38,16 @@ def student_activity(
     ).agg(F.max("timestamp").alias("timestamp"), _scored(interactions, weights))
 
 
+def windows_of(
+    interactions: DataFrame,
+    window: str = HOUR,
+    by: Sequence[str] = BY_COURSE,
+) -> DataFrame:
+    """The (``by``, window start) of each interaction that has a time."""
+    placed = interactions.select(*by, F.window("timestamp", window).alias("window"))
+    return placed.select(*by, F.col("window.start").alias("window_start"))
+
+
 def roll_up(
     activity: DataFrame,
     by: Sequence[str] = BY_COURSE,

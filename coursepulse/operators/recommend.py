@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from coursepulse.operators.counts import dense_index, interaction_counts, last_seen
@@ -48,6 +49,7 @@ class Recommender:
     ratings: DataFrame    # student_index, course_index, rating
     model: ALSModel
     folder: str
+    settings: AlsSettings = AlsSettings()
 
     def discard(self) -> None:
         """Delete the files behind all of the above."""
@@ -100,6 +102,34 @@ class Recommender:
             ).alias(RECS))
         )
 
+    def residuals(self) -> DataFrame:
+        """``student_index, ratings, residual, scale``: how well each student's factors solve the
+        equations that define them.
+
+        The last half of a fit's last step is over the students: given the courses' factors v and a
+        student's n ratings r, the factors u are the solution of ``(sum v v' + reg n) u = sum r v``.
+        ``scale`` is the length of the right side, ``residual`` that of the difference. One join per
+        side and sums per student; no matrix is built.
+        """
+        if self.settings.implicit or self.settings.nonnegative:
+            raise ValueError("these are the equations of explicit, unconstrained factors")
+        users = self.model.userFactors.select(F.col("id").alias(USER), F.col("features").alias("u"))
+        items = self.model.itemFactors.select(F.col("id").alias(ITEM), F.col("features").alias("v"))
+        places = range(self.model.rank)
+        u, v = ([F.col(name)[at].cast("double") for at in places] for name in "uv")
+        rating = F.col("rating").cast("double")
+        miss = reduce(Column.__add__, [a * b for a, b in zip(u, v)]) - rating
+        sums = self.ratings.join(items, ITEM).join(users, USER).withColumn("miss", miss).groupBy(
+            USER).agg(
+            F.count(F.lit(1)).alias("ratings"), F.any_value("u").alias("u"),
+            *[F.sum(F.col("miss") * v[at]).alias(f"miss_{at}") for at in places],
+            *[F.sum(rating * v[at]).alias(f"right_{at}") for at in places])
+        rest = [F.col(f"miss_{at}") + self.settings.reg_param * F.col("ratings") * u[at]
+                for at in places]
+        return sums.select(
+            USER, "ratings", _length(rest).alias("residual"),
+            _length([F.col(f"right_{at}") for at in places]).alias("scale"))
+
     def recommendations(
         self, n: int = 5, exclude_seen: bool = False, students: DataFrame | None = None
     ) -> DataFrame:
@@ -108,13 +138,27 @@ class Recommender:
         return assemble(recs, self.pairs, self.students, self.courses)
 
 
+def _length(vector: list[Column]) -> Column:
+    return F.sqrt(reduce(Column.__add__, [part * part for part in vector]))
+
+
 def fit_recommender(
     spark: SparkSession,
     interactions: DataFrame,
     settings: AlsSettings = AlsSettings(),
     folder: str | None = None,
 ) -> Recommender:
-    """Count, index and factorise. Runs jobs; intermediate tables go to ``folder``.
+    """Count, index and factorise. Runs jobs; intermediate tables go to ``folder``."""
+    return fit_counts(spark, interaction_counts(interactions), settings, folder)
+
+
+def fit_counts(
+    spark: SparkSession,
+    counts: DataFrame,
+    settings: AlsSettings = AlsSettings(),
+    folder: str | None = None,
+) -> Recommender:
+    """Index and factorise counts per (student, course), for instance those of ``DayCounts``.
 
     Interactions without a student or course cannot be indexed and are left out. A course
     contributes one pair per student however many events it has, so hot courses are already small
@@ -124,7 +168,7 @@ def fit_recommender(
     ensure_rdd_checkpoints(spark)
     # Filtered on reading: a filter before the counts would be evaluated below the expressions that
     # make the two columns, and so evaluate them twice.
-    pairs = stored(interaction_counts(interactions), f"{folder}/pairs").filter(
+    pairs = stored(counts, f"{folder}/pairs").filter(
         F.col("student_id").isNotNull() & F.col("course_code").isNotNull())
     students = dense_index(pairs, "student_id", USER, f"{folder}/students")
     courses = dense_index(pairs, "course_code", ITEM, f"{folder}/courses")
@@ -136,7 +180,8 @@ def fit_recommender(
         userCol=USER, itemCol=ITEM, ratingCol="rating", coldStartStrategy="drop",
     )
     als.fit(ratings).write().save(f"{folder}/model")
-    return Recommender(pairs, students, courses, ratings, ALSModel.load(f"{folder}/model"), folder)
+    return Recommender(pairs, students, courses, ratings, ALSModel.load(f"{folder}/model"), folder,
+                       settings)
 
 
 def index_pairs(pairs: DataFrame, students: DataFrame, courses: DataFrame) -> DataFrame:

@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from coursepulse import model
+from coursepulse.operators.counts import interaction_counts
 from coursepulse.operators.ingest import identified, interactions_from, unusable
 from coursepulse.operators.latest import has_key, latest_by_key
 from coursepulse.operators.popularity import HOUR
-from coursepulse.operators.recommend import AlsSettings, fit_recommender
+from coursepulse.operators.recommend import AlsSettings, fit_counts
+from coursepulse.sinks.day_counts import DayCounts
 from coursepulse.sinks.external import ExternalStore
 from coursepulse.sinks.external import publish as send
 from coursepulse.sinks.landing import land
@@ -129,7 +131,7 @@ def _deduplicating(write: BatchWriter, table: KeyedTable, checkpoint: str) -> Ba
 
 def recommendation_job(
     spark: SparkSession,
-    interactions: DataFrame,
+    interactions: DataFrame | DayCounts,
     tables: Tables,
     n: int = 5,
     exclude_seen: bool = False,
@@ -138,12 +140,16 @@ def recommendation_job(
 ) -> DataFrame:
     """Fit on all interactions, store every student's top ``n`` and return the table.
 
+    ``interactions`` may be a ``DayCounts`` instead, whose counts are used; then no old day is read.
+
     With ``store`` the table's new rows are appended there as well.
 
     The model is saved before anything is scored, the scored rows are written once, and the
     working files go away afterwards.
     """
-    recommender = fit_recommender(spark, interactions, settings)
+    counts = (interactions.counts() if isinstance(interactions, DayCounts)
+              else interaction_counts(interactions))
+    recommender = fit_counts(spark, counts, settings)
     try:
         table = tables.student_recommendations
         rows = recommender.recommendations(n, exclude_seen).select(*table.spec.columns)

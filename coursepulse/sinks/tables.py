@@ -1,25 +1,23 @@
-"""Keyed and versioned tables on plain Parquet folders.
+"""Keyed and versioned tables on plain Parquet folders, written by Spark's dynamic partition overwrite.
 
-``KeyedTable`` gives a primary-key table without MERGE. Writing is map-only: each batch goes to its
-own folder and is then committed. Reading keeps the last write per key. ``compact`` folds committed
-batches into a base that is split by day of the key's time column. A key belongs to one day, so only
-days with new rows are rewritten, however large the table has become; within a day rows are sorted by
-key. Reads merge the base with the batches since.
+``KeyedTable`` gives a primary-key table without MERGE. A batch lies in partitions of its own, by the
+UTC day of the key's time, its writer and its number, so writing it again replaces just these, and
+any number of writers share a table without knowing of each other. Reading keeps the last write per
+key, as a max over one struct: the time the batch was first written, then its position in the feed, then
+the values. A key belongs to one day, so bounds on the key's time skip whole days.
 
-``VersionedTable`` holds whole snapshots: readers take the newest committed one, so there is no moment
-with an empty table.
+``VersionedTable`` holds whole snapshots: readers take the newest complete one, so there is no moment
+with an empty table. Layout below a table's path::
 
-Any number of writers may share a table; ``commits`` says how. Layout below the table's path::
-
-    log/                                     commits and bases, see ``commits``
-    batches/commit_order=<n>/.../keyed=true|false/   one attempt at a batch; false = a missing key
-    base/<id>/day=<d>/, base/<id>/rejected/  what one compaction rewrote and set aside
-    versions/commit_order=<n>/.../           snapshots
+    rows/day=<d>/writer=<w>/batch=<n>/     a batch's rows; day=none: rows without a full key
+    versions/<time>-<writer>-<number>/     snapshots
 """
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Iterable
 from datetime import UTC, datetime
 from typing import NamedTuple
 
@@ -29,14 +27,17 @@ from pyspark.sql import types as T
 
 from coursepulse.model import TableSpec
 from coursepulse.operators.latest import has_key, latest_by_key
-from coursepulse.sinks.commits import DIRECT, ONCE, Base, Commit, CommitLog, State
-from coursepulse.workspace import delete_folder
+from coursepulse.workspace import delete_folder, file_names, matching, path_exists
+
+#: Writer of batches that name none.
+DIRECT = "direct"
+#: Start of the names of writers that write once and never repeat a batch.
+ONCE = "once-"
 
-_ORDER = T.StructField("commit_order", T.LongType())
-_WRITER = T.StructField("commit_writer", T.StringType())
-_NUMBER = T.StructField("commit_number", T.LongType())
-_KEYED = T.StructField("keyed", T.BooleanType())
-_DAY, _ONE_DAY = "day", "all"
+_NO_DAY, _ONE_DAY = "none", "all"
+_WRITTEN = T.StructField("written_at", T.TimestampType())
+_PLACE = [T.StructField("day", T.StringType()), T.StructField("writer", T.StringType()),
+          T.StructField("batch", T.LongType())]
 
 
 class Batch(NamedTuple):
@@ -46,79 +47,130 @@ class Batch(NamedTuple):
     writer: str
 
 
+class Stored(NamedTuple):
+    """A folder with some rows of a batch."""
+
+    day: str
+    writer: str
+    number: int
+
+    @property
+    def folder(self) -> str:
+        return f"day={self.day}/writer={self.writer}/batch={self.number}"
+
+    @classmethod
+    def parse(cls, path: str) -> Stored:
+        day, writer, number = (part.split("=", 1)[1] for part in path.rsplit("/", 3)[1:])
+        return cls(day, writer, int(number))
+
+
+def known(writer: str) -> str:
+    """A writer's name as it stands in folder names."""
+    return re.sub(r"[^A-Za-z0-9_.-]", "_", writer)
+
+
 class KeyedTable:
-    """One current row per key of ``spec``; the last write wins."""
+    """One current row per key of ``spec``; the last write wins.
+
+    Which write is the last goes by the clocks of the drivers that write. A repeated batch keeps the time
+    of its first attempt. Only a writer's newest batch may be repeated, as streams do.
+    """
 
     def __init__(self, spark: SparkSession, path: str, spec: TableSpec):
         self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
-        self.log = CommitLog(spark, self.path)
-        self._stored = T.StructType(spec.schema.fields + list(spec.order))
+        self.rows = f"{self.path}/rows"
+        self._stored = T.StructType([*spec.schema.fields, *spec.order, _WRITTEN])
+        self._schema = T.StructType([*self._stored.fields, *_PLACE])
+        self._order = [_WRITTEN.name, *spec.order_columns]
 
     # --- writing ---
 
-    def write_batch(self, rows: DataFrame, number: int, writer: str = DIRECT) -> None:
+    def write_batch(self, rows: DataFrame, number: int, writer: str = DIRECT,
+                    rebalance: bool = False) -> None:
         """Store one batch; writing it again under the same name replaces it.
 
-        A batch that a compaction has folded in is not stored again. Order columns the rows lack are
-        stored as null. Sorting is per task, no shuffle: it lets row-group statistics serve key
-        lookups.
+        Map-only: rows are sorted by key within their task, so that row-group statistics serve key
+        lookups. With ``rebalance`` a batch of many days is shuffled by day first, for files of a good
+        size; a large day is split. Order columns the rows lack are stored as null.
         """
-        commit = self.log.begin(writer, number)
-        if commit is None:
-            return
+        writer = known(writer)
         columns = [
             (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType)
-            .alias(f.name) for f in self._stored.fields
-        ]
-        (
-            rows.select(*columns)
-            .withColumn("keyed", has_key(self.spec.key))
-            .sortWithinPartitions("keyed", *self.spec.key)
-            .write.partitionBy("keyed").parquet(self._folder(commit))
-        )
-        self.log.finish(commit)
+            .alias(f.name) for f in self._stored.fields[:-1]]
+        day = F.when(has_key(self.spec.key), self._day()).otherwise(F.lit(_NO_DAY))
+        placed = rows.select(*columns).select(
+            "*", F.lit(self._written_at(number, writer)).cast("timestamp").alias(_WRITTEN.name),
+            day.alias("day"), F.lit(writer).alias("writer"),
+            F.lit(number).cast("long").alias("batch"))
+        if rebalance:
+            placed = placed.hint("rebalance", "day")
+        self._write(placed)
 
     def append(self, rows: DataFrame) -> Batch:
-        """Store rows as a batch of a new writer and return its name."""
+        """Store rows as a batch of a new writer and return its name. For loads of any size and span."""
         batch = Batch(0, f"{ONCE}{uuid.uuid4().hex}")
-        self.write_batch(rows, *batch)
+        self.write_batch(rows, *batch, rebalance=True)
         return batch
 
+    def _write(self, placed: DataFrame) -> None:
+        places = [field.name for field in _PLACE]
+        (
+            placed.sortWithinPartitions(*places, *self.spec.key)
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*places).parquet(self.rows)
+        )
+
+    def _written_at(self, number: int, writer: str) -> datetime:
+        """The time of the batch's first attempt, which a repeated one keeps."""
+        found = self.folders(writer=writer, number=number)
+        first = self._read(found).select(_WRITTEN.name).first() if found else None
+        return first[0].astimezone(UTC) if first else datetime.now(UTC)
+
     # --- reading ---
 
-    def latest(self, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
-        """The current row of every key, or of the keys with a time in [since, until).
+    def latest(self, since: datetime | None = None, until: datetime | None = None,
+               days: Iterable[str] | None = None) -> DataFrame:
+        """The current row of every key, or of the keys with a time in [since, until) or on the given
+        UTC days.
 
-        The time is part of the key, so the bounds hold for every version of a row: they skip whole
-        days of the base and reach the scan of the batches.
+        The time is part of the key, so the bounds hold for every version of a row: other days aren't
+        listed, and the bounds reach the scan.
         """
         time = self.spec.key_time
-        if (since or until) and not time:
+        if (since or until or days is not None) and not time:
             raise ValueError(f"the key of {self.spec.name} has no time")
-        state = self.log.state()
-        days = {
-            day: folder for day, folder in state.base.days.items()
+        chosen = [
+            day for day in (self.days() if days is None else sorted(set(days) & set(self.days())))
             if not (since and day < str(since.astimezone(UTC).date()))
-            and not (until and day > str(until.astimezone(UTC).date()))
-        }
-        rows = self._merged(days, state.live)
+            and not (until and day > str(until.astimezone(UTC).date()))]
+        rows = self._scan([f"day={day}" for day in chosen])
         if since:
             rows = rows.filter(F.col(time) >= F.lit(since))
         if until:
             rows = rows.filter(F.col(time) < F.lit(until))
-        return rows.select(*self.spec.columns)
+        return self._settled(rows).select(*self.spec.columns)
 
     def batch(self, number: int, writer: str = DIRECT) -> DataFrame | None:
-        """The keyed rows of one batch as written; None if it isn't there or was folded in."""
-        found = [c for c in self.log.state().live if c.batch == (self.log.known(writer), number)]
-        return self._read(found).filter("keyed").select(*self.spec.columns) if found else None
+        """The keyed rows of one batch as written; None if there are none, or no more."""
+        found = self._keyed_folders(number, writer)
+        return self._read(found).select(*self.spec.columns) if found else None
+
+    def days_of(self, number: int, writer: str = DIRECT) -> list[str]:
+        """The UTC days one batch has keyed rows on."""
+        return [one.day for one in self._keyed_folders(number, writer)]
+
+    def _keyed_folders(self, number: int, writer: str) -> list[Stored]:
+        return [one for one in self.folders(writer=known(writer), number=number)
+                if one.day != _NO_DAY]
 
     def lookup(
         self, since: datetime | None = None, until: datetime | None = None, **key
     ) -> DataFrame:
         """Current rows with these leading key values, in order of the remaining key.
 
-        The condition is on key columns, so it reaches the scan below the merge.
+        The condition is on key columns, so it reaches the scan below the settling. Without bounds on
+        the time every day is looked into; :class:`~coursepulse.sinks.bucketed.BucketedTable` isn't
+        split by day.
         """
         rows = self.latest(since, until)
         for name, value in key.items():
@@ -134,86 +186,51 @@ class KeyedTable:
 
     def rejected(self) -> DataFrame:
         """Rows stored without a full key, with the batch they came in."""
-        state = self.log.state()
-        columns = [*self.spec.columns, _WRITER.name, _NUMBER.name]
-        rows = self._read(state.live).filter(~F.col("keyed")).select(*columns)
-        if state.base.rejected:
-            rows = rows.unionByName(self.spark.read.schema(rows.schema).parquet(
-                *[f"{self.path}/{folder}" for folder in state.base.rejected]))
-        return rows
+        path = f"day={_NO_DAY}"
+        rows = self._scan([path] if path_exists(self.spark, f"{self.rows}/{path}") else [])
+        return rows.select(*self.spec.columns, "writer", "batch")
+
+    def days(self) -> list[str]:
+        """The UTC days that have rows, by one listing."""
+        days = (name.split("=", 1)[1] for name in file_names(self.spark, self.rows)
+                if name.startswith("day="))
+        return sorted(day for day in days if day != _NO_DAY)
+
+    def folders(self, day: str = "*", writer: str = "*", number: int | str = "*") -> list[Stored]:
+        """Where rows lie, by one listing."""
+        pattern = f"{self.rows}/day={day}/writer={writer}/batch={number}"
+        return sorted(map(Stored.parse, matching(self.spark, pattern)))
 
     # --- maintenance ---
 
     def compact(self) -> bool:
-        """Fold the committed batches into the base; False if there was nothing to fold, or another
-        compaction was faster.
+        """Settle the batches of each day that has several into one; False if no day has.
 
-        Safe beside running writers and readers: a batch that is committed meanwhile is not in this
-        base's list and waits for the next, and readers switch once the new base is published.
+        Rows keep the time they were written at, so what a read returns is the same before, after, and
+        while both are there: a compaction that ends half-way, runs twice, or beside writers and other
+        compactions, changes nothing. The newest batch of a writer is left out, as it may be repeated.
+        A read that began before may miss the files it wanted and has to be repeated.
         """
-        state = self.log.state()
-        live = state.live
-        if not live:
+        found = [one for one in self.folders() if one.day != _NO_DAY]
+        newest: dict[str, int] = {}
+        for one in found:
+            newest[one.writer] = max(one.number, newest.get(one.writer, one.number))
+        by_day: dict[str, list[Stored]] = {}
+        for one in found:
+            if one.writer.startswith(ONCE) or one.number < newest[one.writer]:
+                by_day.setdefault(one.day, []).append(one)
+        folded = [one for day in by_day.values() if len(day) > 1 for one in day]
+        if not folded:
             return False
-        changed = self._read(live).filter("keyed").select(self._day().alias(_DAY)).distinct()
-        touched = {row[_DAY] for row in changed.collect()}  # one short text per day
-        days = {day: folder for day, folder in state.base.days.items() if day in touched}
-        folder = f"base/{uuid.uuid4().hex}"
-        (
-            self._merged(days, live)
-            .withColumn(_DAY, self._day())
-            .repartitionByRange(_DAY, *self.spec.key)
-            .sortWithinPartitions(_DAY, *self.spec.key)
-            .write.partitionBy(_DAY).parquet(f"{self.path}/{folder}/days")
-        )
-        aside = self._read(live).filter(~F.col("keyed")).select(
-            *self.spec.columns, _WRITER.name, _NUMBER.name)
-        aside.write.parquet(f"{self.path}/{folder}/rejected")
-        base = self._next_base(state, live)
-        base.days |= {day: f"{folder}/days/{_DAY}={day}" for day in touched}
-        base.rejected.append(f"{folder}/rejected")
-        if self.log.publish(state, base):
-            return True
-        delete_folder(self.spark, f"{self.path}/{folder}")
-        return False
-
-    @staticmethod
-    def _next_base(state: State, live: list[Commit]) -> Base:
-        """The base after ``live``; writers that write once are named as long as the log has them."""
-        base = state.base
-        logged = {commit.writer for commit in state.commits}
-        base.folded.held = {writer: held for writer, held in base.folded.held.items()
-                            if writer in logged or not writer.startswith(ONCE)}
-        for commit in live:
-            base.folded.add(commit.batch)
-        base.order = max([base.order, *(commit.order for commit in live)])
-        return base
-
-    def vacuum(self) -> None:
-        """Delete what compactions replaced, in the log too. For times without old readers: one that
-        has started may still read the files."""
-        state = self.log.state()
-        kept = {folder.split("/")[1] for folder in [*state.base.days.values(),
-                                                    *state.base.rejected]}
-        held = {folder for folder in state.base.days.values()}
-        live = set(state.live)
-        gone = [commit for commit in state.commits if commit not in live]
-        for commit in gone:
-            delete_folder(self.spark, self._folder(commit), f"{self.path}/batches")
-        self.log.forget(commit.name for commit in gone)
-        for name in self.log.old_bases(state):
-            old = self.log.read_base(name)
-            for folder in [*old.days.values(), *old.rejected]:
-                if folder.split("/")[1] not in kept:
-                    delete_folder(self.spark, f"{self.path}/base/{folder.split('/')[1]}")
-                elif folder not in held and folder not in state.base.rejected:
-                    delete_folder(self.spark, f"{self.path}/{folder}")
-            self.log.forget([name])
-
-    # --- folders ---
-
-    def _folder(self, commit: Commit) -> str:
-        return f"{self.path}/batches/{commit.folder}"
+        rows = self._settled(self._read(folded)).select(
+            *self._stored.names, self._day().alias("day"),
+            F.lit(f"{ONCE}{uuid.uuid4().hex}").alias("writer"), F.lit(0).cast("long").alias("batch"))
+        self._write(rows.hint("rebalance", "day"))
+        for one in folded:
+            delete_folder(self.spark, f"{self.rows}/{one.folder}", self.rows)
+        return True
+
+    # --- rows ---
 
     def _day(self) -> Column:
         """The UTC day of the key's time, whatever the session's zone."""
@@ -222,57 +239,56 @@ class KeyedTable:
         days = F.floor(F.unix_seconds(self.spec.key_time) / 86400)
         return F.date_from_unix_date(days.cast("int")).cast("string")
 
-    def _read(self, commits: list[Commit]) -> DataFrame:
-        schema = T.StructType(self._stored.fields + [_ORDER, _WRITER, _NUMBER, _KEYED])
-        if not commits:
-            return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/batches").parquet(
-            *[self._folder(commit) for commit in commits])
-        return rows.select(*schema.names)  # without the attempt, which is a folder too
-
-    def _merged(self, days: dict[str, str], commits: list[Commit]) -> DataFrame:
-        rows = self._read(commits).filter("keyed").drop("keyed", _NUMBER.name)
-        if days:
-            schema = T.StructType(self._stored.fields + [_ORDER, _WRITER])
-            base = self.spark.read.schema(schema).parquet(
-                *[f"{self.path}/{folder}" for folder in days.values()])
-            if not commits:
-                return base
-            rows = base.unionByName(rows)
-        return latest_by_key(
-            rows, self.spec.key, [_ORDER.name, _WRITER.name, *self.spec.order_columns])
+    def _read(self, folders: list[Stored]) -> DataFrame:
+        return self._scan([one.folder for one in folders])
+
+    def _scan(self, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], self._schema)
+        return self.spark.read.schema(self._schema).option("basePath", self.rows).parquet(
+            *[f"{self.rows}/{folder}" for folder in folders])
+
+    def _settled(self, rows: DataFrame) -> DataFrame:
+        return latest_by_key(rows.select(*self._stored.names), self.spec.key, self._order)
 
 
 class VersionedTable:
-    """A table replaced as a whole by each write."""
+    """A table replaced as a whole by each write.
+
+    A snapshot is complete once Spark has put its ``_SUCCESS`` file beside it, so that setting
+    (``mapreduce.fileoutputcommitter.marksuccessfuljobs``) has to stay on. The newest by the writers'
+    clocks counts; a repeated one is written anew.
+    """
 
     def __init__(self, spark: SparkSession, path: str, spec: TableSpec):
         self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
-        self.log = CommitLog(spark, self.path)
 
     def write_version(self, rows: DataFrame, number: int, writer: str = DIRECT) -> None:
-        """Store one snapshot. It is newer than all that were there when it began, also those of
-        another writer or an earlier checkpoint; a repeated one keeps its place."""
-        commit = self.log.begin(writer, number)
-        rows.select(*self.spec.columns).write.parquet(self._folder(commit))
-        self.log.finish(commit)
+        """Store one snapshot, newer than all that are there."""
+        micros = int(datetime.now(UTC).timestamp() * 1_000_000)
+        rows.select(*self.spec.columns).write.parquet(
+            f"{self.path}/versions/{micros:020d}-{known(writer)}-{number}")
 
     def newest(self) -> DataFrame:
-        live = self.log.state().live
-        if not live:
+        complete = next(self._complete(), None)
+        if complete is None:
             return self.spark.createDataFrame([], self.spec.schema)
-        return self.spark.read.schema(self.spec.schema).parquet(self._folder(live[-1]))
+        return self.spark.read.schema(self.spec.schema).parquet(f"{self.path}/versions/{complete}")
 
     def prune(self, keep: int = 2) -> None:
-        """Delete all but the ``keep`` newest snapshots."""
+        """Delete what is older than the ``keep`` newest complete snapshots."""
         if keep < 1:
             raise ValueError("the newest snapshot has to stay")
-        state = self.log.state()
-        kept = set(state.live[-keep:])
-        gone = [commit for commit in state.commits if commit not in kept]
-        for commit in gone:
-            delete_folder(self.spark, self._folder(commit), f"{self.path}/versions")
-        self.log.forget(commit.name for commit in gone)
-
-    def _folder(self, commit: Commit) -> str:
-        return f"{self.path}/versions/{commit.folder}"
+        kept = [name for name, _ in zip(self._complete(), range(keep))]
+        for name in self._names():
+            if len(kept) == keep and name < kept[-1]:
+                delete_folder(self.spark, f"{self.path}/versions/{name}")
+
+    def _names(self) -> list[str]:
+        """All snapshots, the newest first."""
+        return sorted(file_names(self.spark, f"{self.path}/versions"), reverse=True)
+
+    def _complete(self) -> Iterable[str]:
+        for name in self._names():
+            if path_exists(self.spark, f"{self.path}/versions/{name}/_SUCCESS"):
+                yield name

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,8 @@ from coursepulse.operators.ingest import CORRUPT, flatten, unusable_events
 from coursepulse.workspace import file_names
 
 LANDING_DATE = "event_date"
+#: The day of records without a time, as Spark names its folder.
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _schema(dated: bool = False) -> T.StructType:
@@ -66,6 +69,16 @@ def read_landed(
     return read_landed_lines(spark, path, since, until, multi_line).drop(CORRUPT)
 
 
+def read_landed_days(spark: SparkSession, path: str, days: Sequence[str]) -> DataFrame:
+    """The interactions of some days of a landing split by date, with the day as text in
+    ``event_date``. Only these days' folders are listed and read."""
+    schema = T.StructType([*_schema().fields, T.StructField(LANDING_DATE, T.StringType())])
+    events = (spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
+              .option("basePath", path).json([f"{path}/{LANDING_DATE}={day}" for day in days]))
+    given = F.coalesce(LANDING_DATE, F.lit(NO_DATE)).alias(LANDING_DATE)
+    return flatten(events, given)
+
+
 def unusable_landed(lines: DataFrame) -> DataFrame:
     """``reason, payload`` of the lines without a known student."""
     return unusable_events(lines)

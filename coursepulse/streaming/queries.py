@@ -6,9 +6,11 @@ import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from coursepulse import model
+from coursepulse.operators.latest import latest_by_key
 from coursepulse.operators.popularity import HOUR
 from coursepulse.sinks.tables import KeyedTable
 from coursepulse.streaming.store import BatchWriter, ExternalPopularity, PopularityStore
@@ -51,14 +53,20 @@ def start_interaction_log(
     checkpoint: str,
     trigger: Mapping[str, object] | None = None,
     dedup_delay: str | None = None,
+    keep: str = "first",
     name: str = "interaction_log",
 ) -> StreamingQuery:
     """Append interactions to the keyed log (or to an external batch writer).
 
     Map-only: a repeated (student, timestamp) is settled on read, last write first. ``dedup_delay``
-    drops repeats inside the stream instead; that keeps the *first* one and needs state.
+    drops repeats inside the stream instead, which needs state. ``keep="first"`` passes the first one on
+    at once; ``keep="last"`` the last one, once the watermark is past it, see :func:`last_per_key`.
     """
-    if dedup_delay:
+    if keep not in ("first", "last"):
+        raise ValueError(f"keep must be first or last, not {keep!r}")
+    if dedup_delay and keep == "last":
+        interactions = last_per_key(interactions, dedup_delay)
+    elif dedup_delay:
         interactions = interactions.withWatermark(
             "timestamp", dedup_delay).dropDuplicatesWithinWatermark(["student_id", "timestamp"])
     if isinstance(target, KeyedTable):
@@ -69,6 +77,20 @@ def start_interaction_log(
     return _start(writer, interactions.sparkSession, name, checkpoint, trigger)
 
 
+def last_per_key(interactions: DataFrame, delay: str) -> DataFrame:
+    """The last of the interactions of each (student, timestamp), by their position in the feed, then
+    their values.
+
+    An aggregate by event time: a key's row comes out, and leaves the state, once the watermark is past
+    its time; what comes for it later is dropped. Interactions without a time pass as they are.
+    """
+    spec = model.INTERACTION_LOGS
+    order = [name for name in spec.order_columns if name in interactions.columns]
+    timed = interactions.filter(F.col("timestamp").isNotNull()).withWatermark("timestamp", delay)
+    return latest_by_key(timed, spec.key, order).unionByName(
+        interactions.filter(F.col("timestamp").isNull()))
+
+
 def start_quarantine(
     rejected: DataFrame,
     path: str,

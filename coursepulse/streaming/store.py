@@ -20,16 +20,15 @@ hot course's state spreads over all partitions.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from datetime import datetime, timedelta
+from collections.abc import Callable, Mapping
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coursepulse import model
 from coursepulse.operators import popularity as pop
-from coursepulse.sinks.commits import DIRECT
-from coursepulse.sinks.tables import KeyedTable, VersionedTable
+from coursepulse.sinks.tables import DIRECT, KeyedTable, VersionedTable
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -67,7 +66,8 @@ class PopularityStore(_Lane):
 
     In complete mode the ``keep`` newest snapshots stay, so that a reader may take that many
     triggers to finish. In exact update mode the students' rows are kept beside the windows that they
-    add up to; each trigger adds up anew only the windows it changed, reading only their days.
+    add up to; each trigger adds up anew only the windows it changed, reading just the days they are on,
+    which the trigger's own folders name.
     """
 
     def __init__(
@@ -101,24 +101,41 @@ class PopularityStore(_Lane):
         if not self.by_student:
             self.table.write_batch(self.windows_of(batch), number, writer)
             return None
-        batch = batch.withColumn("window_start", F.col("window.start"))
-        self.students.write_batch(batch, number, writer)
-        changed = self._changed_windows(batch, number, writer)
-        if changed is not None:
-            self.table.write_batch(changed, number, writer)
-        return changed
-
-    def _changed_windows(self, batch: DataFrame, number: int, writer: str) -> DataFrame | None:
+        self.students.write_batch(
+            batch.withColumn("window_start", F.col("window.start")), number, writer)
         written = self.students.batch(number, writer)  # files, so the state isn't read again
-        changed = (batch if written is None else written).select(
-            "course_code", "window_start").distinct()
-        first, last = changed.agg(F.min("window_start"), F.max("window_start")).first()
-        if first is None:
+        if written is None:
             return None
-        rows = self.students.latest(first, last + timedelta(microseconds=1)).join(
-            changed, ["course_code", "window_start"], "left_semi")
+        changed = self.added_up(
+            written.select("course_code", "window_start").distinct(),
+            self.students.days_of(number, writer))
+        self.table.write_batch(changed, number, writer)
+        return changed
+
+    def added_up(self, windows: DataFrame, days: list[str]) -> DataFrame:
+        """The popularity of these windows, which are on these days, from the students' rows."""
+        rows = self.students.latest(days=days).join(
+            windows, ["course_code", "window_start"], "left_semi")
         return pop.with_total(pop.roll_up(rows, window_column="window_start"))
 
+    def replace_windows(self, interactions: DataFrame, windows: DataFrame, window: str = pop.HOUR,
+                        weights: Mapping[str, int] = model.ENGAGEMENT_WEIGHTS) -> None:
+        """Write these (course, window start) anew, counted from all their events."""
+        if self.mode == "complete":
+            raise ValueError("complete mode has counted late events already")
+        by = ["course_code", "window_start"]
+        if not self.exact:
+            counted = pop.popularity(interactions, window, weights=weights, exact=False)
+            self.table.append(counted.join(windows, by, "left_semi"))
+            return
+        activity = pop.student_activity(interactions, window, weights=weights).withColumn(
+            "window_start", F.col("window.start")).join(windows, by, "left_semi").drop("window")
+        if self.by_student:
+            name = self.students.append(activity)
+            activity = self.students.batch(*name)  # files, read once more in place of all events
+        if activity is not None:
+            self.table.append(pop.with_total(pop.roll_up(activity, window_column="window_start")))
+
     def windows(self, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
         """Popularity per course and window; the bounds on the windows' starts reach the scan and
         skip whole days of a compacted table."""

@@ -63,24 +63,27 @@ def file_names(spark: SparkSession, path: str) -> list[str]:
         raise
 
 
-def create_text(spark: SparkSession, path: str, text: str) -> bool:
-    """Create a file with this content; False if there is one of that name."""
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern."""
+    fs, jpath = _hadoop_path(spark, pattern)
+    return [status.getPath().toString() for status in fs.globStatus(jpath) or ()]
+
+
+def file_sizes(spark: SparkSession, pattern: str) -> dict[str, int]:
+    """Paths that match a glob pattern, with the files' lengths; hidden ones are left out."""
+    fs, jpath = _hadoop_path(spark, pattern)
+    found = {status.getPath().toString(): status.getLen() for status in fs.globStatus(jpath) or ()}
+    return {path: size for path, size in found.items() if path.rsplit("/", 1)[1][0] not in "._"}
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, in place of one of that name."""
     fs, jpath = _hadoop_path(spark, path)
-    try:
-        stream = fs.create(jpath, False)
-    except Py4JJavaError as error:
-        if fs.exists(jpath):
-            return False
-        raise error
+    stream = fs.create(jpath, True)
     try:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
-    return True
-
-
-def create_empty(spark: SparkSession, path: str) -> None:
-    create_text(spark, path, "")
 
 
 def read_text(spark: SparkSession, path: str) -> str:

@@ -24,7 +24,6 @@ def test_popularity_then_top(spark, landed, tmp_path, capfd):
     assert tables.interaction_logs.latest().count() == 5
     assert tables.course_popularity().windows().count() == 20
     main(["compact", "--root", f"{tmp_path}/t"])
-    main(["vacuum", "--root", f"{tmp_path}/t"])
     main(["top", "--root", f"{tmp_path}/t", "--since", "2024-01-01T12:00", "--until", "2024-01-01T13"])
     main(["top", "--root", f"{tmp_path}/t", "-n", "3"])
     main(["popularity", "--landed", landed, "--root", f"{tmp_path}/t", "--checkpoints",

@@ -33,6 +33,33 @@ def test_decode(spark, value, fields, kept, reason):
     assert [r.reason for r in ingest.unusable(feed).collect()] == ([] if kept else [reason])
 
 
+def test_field_faults(spark):
+    """Fields that were given and became null, each with what it held."""
+    given = [
+        VALID, None, "not json", '{"course_code":7}', "[]",
+        '{"student_id":"S1","timestamp":"soon","duration":"5"}',
+        '{"student_id":"S2","duration":1.5,"course_code":null,"location":"Lima"}',
+        '{"student_id":"S3","duration":3000000000,"location":{"country":{"a":1},"city":null}}',
+        '{"student_id":"S4","duration":true,"timestamp":17,"other":"x"}',
+        '{"student_id":{"id":5},"duration":[1, 2]}',
+    ]
+    feed = messages(spark, given)
+    found = {(r.student_id, r.field, r.reason): (r.expected, r.found, r.text)
+             for r in ingest.field_faults(feed).collect()}
+    events = {r.student_id: r for r in ingest.interactions_from(feed).collect()}
+    assert found["S1", "timestamp", "no_time"] == ("timestamp", "STRING", "soon")
+    assert found["S1", "duration", "ill_typed"] == ("int", "STRING", "5")
+    assert found["S2", "duration", "out_of_range"][0::2] == ("int", "1.5")
+    assert found["S2", "location", "ill_typed"] == ("object", "STRING", "Lima")
+    assert found["S3", "duration", "out_of_range"] == ("int", "BIGINT", "3000000000")
+    assert found["S4", "duration", "ill_typed"] == ("int", "BOOLEAN", "true")
+    assert not any(field == "course_code" or "city" in field for _, field, _ in found)
+    flat = {"location": "location_country", "location.country": "location_country"}
+    for student, field, _ in found:  # exactly what is null in the interaction
+        assert events[student][flat.get(field, field)] is None
+    assert ingest.field_faults(messages(spark, [VALID])).count() == 0
+
+
 def test_no_message_is_lost(spark):
     feed = messages(spark, [case[0] for case in CASES])
     assert ingest.interactions_from(feed).count() + ingest.unusable(feed).count() == len(CASES)

@@ -1,8 +1,10 @@
 import random
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from coursepulse.operators.recommend import AlsSettings, fit_recommender
 from coursepulse.plans import Tables, recommendation_job
@@ -47,6 +49,29 @@ def test_five_per_student_best_first(fitted):
         assert ratings == sorted(ratings, reverse=True)
 
 
+def test_factors_solve_their_equations(spark, fitted):
+    """The residuals against dense algebra, and of factors that were moved."""
+    found = {r.student_index: r for r in fitted.residuals().collect()}
+    assert len(found) == 4
+    items = {r.id: np.array(r.features, float) for r in fitted.model.itemFactors.collect()}
+    users = {r.id: np.array(r.features, float) for r in fitted.model.userFactors.collect()}
+    rated = {}
+    for r in fitted.ratings.collect():
+        rated.setdefault(r.student_index, []).append((items[r.course_index], float(r.rating)))
+    for index, pairs in rated.items():
+        v, r = np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs])
+        left = (v.T @ v + 0.01 * len(r) * np.eye(v.shape[1])) @ users[index]
+        row = found[index]
+        assert row.ratings == len(r)
+        assert np.isclose(row.scale, np.linalg.norm(v.T @ r))
+        assert np.isclose(row.residual, np.linalg.norm(left - v.T @ r), atol=1e-6 * row.scale)
+        assert row.residual <= 1e-3 * row.scale
+    moved = replace(fitted, ratings=fitted.ratings.withColumn("rating", F.col("rating") + 1))
+    assert all(r.residual > 1e-3 * r.scale for r in moved.residuals().collect())
+    with pytest.raises(ValueError):
+        replace(fitted, settings=AlsSettings(implicit=True)).residuals()
+
+
 def test_time_is_the_last_interaction(fitted):
     for student, recs in by_student(fitted.recommendations(5)).items():
         wanted = day(0) if student == "S3" else day(100 + int(student[1:]))

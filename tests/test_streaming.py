@@ -9,6 +9,7 @@ from coursepulse.operators import ingest
 from coursepulse.operators import popularity as pop
 from coursepulse.plans import Tables, popularity_job
 from coursepulse.sinks.external import external_batch_writer
+from coursepulse.streaming.state import windows_in_state
 from coursepulse.streaming import (
     ExternalPopularity,
     PopularityStore,
@@ -108,7 +109,6 @@ def test_update_table_survives_compaction(spark, feed, tmp_path):
         await_all(start_popularity(
             feed.interactions(), store, f"{tmp_path}/cp", trigger=ONCE, state_partitions=2))
         store.table.compact()
-        store.table.vacuum()
     row = store.windows().first()
     assert (row.active_users, row.engagement_score, row.total_popularity) == (2, 3, 5)
 
@@ -147,6 +147,43 @@ def test_first_write_wins_with_in_stream_dedup(spark, feed, tmp_path):
     assert [r.course_code for r in log.latest().collect()] == ["A"]
 
 
+def test_last_write_wins_with_in_stream_dedup(spark, feed, tmp_path):
+    """Over several runs: a key comes out once, with its last value, when the watermark is past it."""
+    log = Tables(spark, f"{tmp_path}/t").interaction_logs
+    found = []
+    for rows in ([("a", "10:00:00", "A"), ("b", "10:00:00", "B"), ("", "10:00:00", "X")],
+                 [("a", "10:00:00", "C"), ("c", "11:30:00", "D")],
+                 [("a", "10:00:00", "LATE"), ("d", "13:00:00", "E")], [("e", "15:00:00", "F")]):
+        feed.add(*[seen(s, t, course=c) if s else event("n", c, "x", None) for s, t, c in rows])
+        await_all(start_interaction_log(
+            feed.interactions(), log, f"{tmp_path}/cp", trigger=ONCE, dedup_delay="1 hour", keep="last"))
+        found.append(sorted((r.student_id, r.course_code) for r in log.latest().collect()))
+    assert found == [[], [("a", "C"), ("b", "B")], [("a", "C"), ("b", "B"), ("c", "D")],
+                     [("a", "C"), ("b", "B"), ("c", "D"), ("d", "E")]]
+    assert [r.course_code for r in log.rejected().collect()] == ["X"]
+    with pytest.raises(ValueError):
+        start_interaction_log(feed.interactions(), log, f"{tmp_path}/cp", keep="best")
+
+
+def test_state_is_bounded_by_the_watermark(spark, feed, tmp_path):
+    """What the checkpoint holds after each run, read from it."""
+    for mode, held in (("update", [{10: 1}, {10: 1, 20: 1}, {20: 1}, {20: 1, 23: 2}]),
+                       ("complete", [{10: 1}, {10: 1, 20: 1}, {10: 2, 20: 1}, {10: 2, 20: 1, 23: 2}])):
+        run = Feed(spark, tmp_path / mode)
+        for rows, keys in zip([["a 10:05"], ["b 20:00"], ["c 10:10"], ["d 23:00", "e 23:30"]], held):
+            run.add(*[seen(row[0], f"{row[2:]}:00") for row in rows])
+            await_all(start_popularity(
+                run.interactions(), PopularityStore(spark, f"{tmp_path}/{mode}-out", mode, exact=True),
+                f"{tmp_path}/{mode}-cp", trigger=ONCE, state_partitions=2))
+            found = {r.window_start.hour: r["keys"]
+                     for r in windows_in_state(spark, f"{tmp_path}/{mode}-cp").collect()}
+            if mode == "complete":
+                assert found == keys
+            else:  # windows the watermark has passed are gone once a batch has run with it
+                assert set(found) <= set(keys) and found.get(max(keys)) == keys[max(keys)]
+    assert 10 not in found or mode == "complete"
+
+
 def test_external_writer_renames(spark, feed, tmp_path):
     feed.add(seen("a", "10:00:00"))
     write = external_batch_writer(

@@ -49,10 +49,12 @@ def test_settings_are_restored_even_on_failure(spark):
 def test_small_files(spark, tmp_path):
     assert workspace.file_names(spark, f"{tmp_path}/none") == []
     path = f"{tmp_path}/a/b/c"
-    assert workspace.create_text(spark, path, "äx")
-    assert not workspace.create_text(spark, path, "other")
+    workspace.put_text(spark, path, "other")
+    workspace.put_text(spark, path, "äx")
     assert workspace.read_text(spark, path) == "äx"
-    workspace.create_empty(spark, f"{tmp_path}/a/d")
+    workspace.put_text(spark, f"{tmp_path}/a/d", "")
+    assert [p.rsplit("/", 1)[1] for p in workspace.matching(spark, f"{tmp_path}/a/*/c")] == ["c"]
+    assert workspace.matching(spark, f"{tmp_path}/none/*") == []
     workspace.delete_folder(spark, path, str(tmp_path))
     assert {n for n in workspace.file_names(spark, f"{tmp_path}/a")} == {"d"}
 
