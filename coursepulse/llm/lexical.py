@@ -32,7 +32,7 @@ from coursepulse.llm.folders import working_dir
 from coursepulse.workspace import stored
 
 #: Characters and documents of a shard, after which the next one begins.
-SHARD_CHARS, SHARD_DOCS = 16_000_000, 1 << 16
+SHARD_CHARS, SHARD_DOCS = 6_000_000, 1 << 16
 #: Postings of a block, and documents of a query's first and widest window.
 BLOCK, FIRST_WINDOW, MOST_WINDOW = 64, 256, 8192
 #: Bytes of a text that are cut into terms at once.
