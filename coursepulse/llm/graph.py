@@ -22,13 +22,13 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         .filter(F.col("u").isNotNull() & F.col("v").isNotNull() & (F.col("u") != F.col("v")))
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
         working_dir(spark, "links"))
-    before = None
+    before, last = None, edges
     while True:
         edges = stored(_small_star(_large_star(edges)), working_dir(spark, "links"))
         now = edges.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("decimal(38,0)"))).first()
-        if now == before or not now[0]:
+        if not now[0] or now == before and edges.join(last, ["u", "v"], "left_anti").isEmpty():
             break
-        before = now
+        before, last = now, edges
     stars = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
     heads = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return stars.unionByName(heads)

@@ -10,11 +10,13 @@ signature's length, not on the number of shingles times it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_intdigest
@@ -22,7 +24,7 @@ from xxhash import xxh3_128_intdigest
 from coursepulse.llm.folders import working_dir
 from coursepulse.llm.graph import components
 from coursepulse.llm.text import mix, overlap, runs_of, shingles
-from coursepulse.workspace import stored
+from coursepulse.workspace import session_conf, stored
 
 SIMILARITY = 0.8
 #: 56 bands of 8 coordinates find a pair of similarity 0.8 with probability 1 - 3e-5, and one of 0.5
@@ -31,10 +33,14 @@ BANDS, ROWS = 56, 8
 #: Bits of two sketches, one bit per coordinate, that may differ: 10 % are expected to at similarity
 #: 0.8, and more than this at most 4e-6 of such pairs have.
 MOST_APART = int(BANDS * ROWS * 0.1 + 4.4 * (BANDS * ROWS * 0.1 * 0.9) ** 0.5)
-#: Leaders of a bucket in the first pass; each further pass has so many times more.
-LEADERS = 4
-#: Texts of a bucket that one key of the last join holds from either side.
+#: Leaders of a band's bucket, and of a rare shingle's texts in each of its passes.
+LEADERS, KEY_LEADERS = 2, (2, 8)
+#: Texts of a rare shingle that one key of the last join holds from either side.
 BLOCK = 1000
+#: Frequent shingles that a broadcast may hold, 16 bytes each, and the least number of texts of one.
+MOST_FREQUENT, LEAST_FREQUENT = 1_000_000, 4
+#: Pairs of whole texts, or whole texts, that a task holds at once.
+BATCH = 256
 #: Ids that a broadcast may hold, 8 bytes each.
 MOST_SENT = 2_000_000
 
@@ -149,6 +155,15 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             start += len(texts)
 
 
+def _least_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The texts whose digest is their id's smallest."""
+    for batch in batches:
+        digests = [xxh3_128_intdigest(shingles(text).tobytes()) for text in batch["text"]]
+        held = [_signed(d >> 64) == least["high"] and _signed(d & (2 ** 64 - 1)) == least["low"]
+                for d, least in zip(digests, batch["least"])]
+        yield batch.loc[held, ["doc_id", "text"]]
+
+
 def _signed(value: int) -> int:
     return value - 2 ** 64 if value >= 2 ** 63 else value
 
@@ -177,11 +192,49 @@ def _similarities(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "similarity": values})
 
 
+def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per document, its shingles, sorted."""
+    for batch in batches:
+        found = [shingles(text.as_py()).view(np.int64) for text in batch["text"]]
+        yield pa.record_batch([batch["doc_id"], pa.array(found, pa.list_(pa.int64()))],
+                              names=["id", "shingles"])
+
+
+def looked_at(size: int, similarity: float) -> int:
+    """How many of a set's first elements have to be looked at, in an order that is the same for all
+    sets, so that a set that is similar enough has one of them among its own first ones."""
+    return size - math.ceil(similarity * size - 1e-6) + 1
+
+
+def _rare(frequent: np.ndarray, similarity: float):
+    """Rows of the rarest shingles of each set; ``frequent`` are the others, the rarest first."""
+    known = np.argsort(frequent)
+    ordered = frequent[known]
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, held in zip(batch["id"].to_pylist(), batch["shingles"]):
+                values = held.values.to_numpy(zero_copy_only=False)
+                at = np.searchsorted(ordered, values)
+                at[at == len(ordered)] = 0
+                often = ordered[at] == values if len(ordered) else np.zeros(len(values), bool)
+                rank = np.where(often, known[at] if len(ordered) else 0, -1)
+                first = np.argsort(rank, kind="stable")[:looked_at(len(values), similarity)]
+                yield pa.record_batch([
+                    pa.array(np.full(len(first), number)), pa.array(values[first]),
+                    pa.array(np.arange(len(first)))], names=["id", "bucket", "place"])
+    return keys
+
+
+_RECORDS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 class NearDuplicates:
     """The links between a table's different texts, and the classes they form.
 
     ``doc_id, text`` are read; other columns are ignored. Rows without an id get no class. Documents
-    whose sets of five-word shingles are equal are one text; a text without words is like no other.
+    whose sets of five-word shingles are equal are one text; a text without words is like no other. An id
+    with several texts has the one with the smallest digest; one without words counts only alone.
     """
 
     def __init__(self, documents: DataFrame, similarity: float = SIMILARITY):
@@ -198,6 +251,12 @@ class NearDuplicates:
         """``doc_id, text_id``: the smallest id with the same shingles; keeps the texts' band keys."""
         sketched = self._stored(self.texts.mapInPandas(_sketch, _SKETCH), "sketches")
         worded = sketched.filter(F.col("high").isNotNull())
+        digest = F.struct("high", "low")
+        self._repeated = self._stored(
+            worded.groupBy("doc_id").agg(F.min(digest).alias("least"), F.count(F.lit(1)).alias("rows"))
+            .filter("rows > 1").select("doc_id", "least"), "repeated")
+        worded = worded.join(self._repeated, "doc_id", "left").filter(
+            F.col("least").isNull() | (F.col("least") == digest)).drop("least")
         # written, so that the join below it is a plain one, in which Spark can split a large class
         first = self._stored(
             worded.groupBy("high", "low").agg(F.min("doc_id").alias("text_id")), "texts")
@@ -205,83 +264,161 @@ class NearDuplicates:
             "doc_id", "text_id", "size", "bits",
             F.when(F.col("doc_id") == F.col("text_id"), F.col("bands")).alias("bands")), "classes")
         self._bands = joined.filter(F.col("bands").isNotNull()).dropDuplicates(["doc_id"])
-        # an id that comes with several texts belongs to the class with the smallest number
+        alone = sketched.filter(F.col("high").isNull()).select("doc_id").join(
+            joined.select("doc_id"), "doc_id", "left_anti")
         return joined.select("doc_id", "text_id").unionAll(
-            sketched.filter(F.col("high").isNull()).select("doc_id", F.col("doc_id").alias("text_id"))
-        ).groupBy("doc_id").agg(F.min("text_id").alias("text_id"))
+            alone.select("doc_id", F.col("doc_id").alias("text_id"))).distinct()
+
+    def _texts_of(self, ids: DataFrame) -> DataFrame:
+        """``doc_id, text`` of these ids, one row each; of an id with several texts the one that counts."""
+        if ids.count() <= MOST_SENT:  # then the texts that aren't asked for needn't be shuffled
+            ids = F.broadcast(ids)
+        texts = self.texts.join(ids, "doc_id", "left_semi")
+        if self._repeated.isEmpty():
+            return texts
+        repeated = texts.join(self._repeated, "doc_id").select("doc_id", "text", "least").mapInPandas(
+            _least_texts, "doc_id long, text string").dropDuplicates(["doc_id"])
+        return texts.join(self._repeated, "doc_id", "left_anti").unionAll(repeated)
 
     def _find(self) -> DataFrame:
         """Verified links ``a, b, similarity`` between texts, each pair once.
 
-        In each bucket all texts are compared with the bucket's few most central ones, those that
-        share the most buckets with others. Texts not connected with any of these go on to the next
-        pass, with more leaders among themselves, until every bucket is used up. So a bucket of
-        copies costs in proportion to its size, and none is capped. Being connected with a leader
-        says nothing of the texts that aren't, so at last all texts of a bucket that are still in
-        different components are compared.
+        In each band's bucket all texts are compared with the bucket's few most central ones, those that
+        share the most buckets with others. So copies of one another become one component at a cost in
+        proportion to their number. That says nothing of the texts that aren't alike these, and a bucket
+        may hold many which have just a frequent passage in common. What may still be missing are links
+        between components, and two texts that are similar enough share one of their rarest shingles. So
+        the texts of each rare shingle are compared further: with its most central ones, in passes, and
+        at last all that are in different components. Nothing is capped.
         """
         rows = self._bands.select(
             F.col("doc_id").alias("id"), "size", F.explode("bands").alias("bucket"))
-        texts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
-        shared = self._stored(rows.join(texts, "bucket"), "buckets")
-        central = shared.groupBy("id").agg(F.sum("texts").alias("degree")).join(
-            self._bands.select(F.col("doc_id").alias("id"), "bits"), "id")
-        left = self._stored(shared.drop("texts").join(central, "id").withColumn(
-            "component", F.col("id")), "buckets")
-        # sets whose sizes or sketches differ by more aren't that similar
-        alike = (reduce(Column.__add__, [F.bit_count(F.col("bits")[at].bitwiseXOR(
-            F.col("their_bits")[at])) for at in range(-(-BANDS * ROWS // 64))]) <= MOST_APART) & (
-            F.least("size", "length") >= self.similarity * F.greatest("size", "length"))
-        links, tried, self._found, leaders_each = None, None, None, LEADERS
-        while True:
-            first = Window.partitionBy("bucket").orderBy(F.desc("degree"), "id")
-            leaders = left.withColumn("place", F.row_number().over(first)).filter(
-                F.col("place") <= leaders_each)
-            leaders = self._stored(leaders.select(
-                "bucket", F.col("id").alias("leader"), F.col("size").alias("length"),
-                F.col("bits").alias("their_bits"), F.col("component").alias("theirs")), "leaders")
-            pairs = left.join(leaders, "bucket").filter(
-                (F.col("component") != F.col("theirs")) & alike)
-            pairs = pairs.select(F.least("id", "leader").alias("a"),
-                                 F.greatest("id", "leader").alias("b")).distinct()
-            if tried is not None:
-                pairs = pairs.join(tried, ["a", "b"], "left_anti")
-            pairs = self._stored(pairs, "pairs")
-            tried = pairs if tried is None else tried.unionAll(pairs)
-            checked = self._stored(self._verified(pairs), "links")
-            links = checked if links is None else links.unionAll(checked)
-            if self._found is None or not checked.isEmpty():
-                self._found = self._stored(components(links), "found")
-            reached = self._component_of(leaders, "leader").select("bucket", "component").distinct()
-            left = self._component_of(left.drop("component"), "id").join(
-                reached, ["bucket", "component"], "left_anti")
-            texts = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
-            left = self._stored(left.join(texts.select("bucket"), "bucket", "left_semi"), "buckets")
-            if left.isEmpty():
+        shared = self._stored(self._met(rows), "buckets")
+        sketches = self._bands.select(F.col("doc_id").alias("id"), "size", "bits")
+        self._tried = self._found = None
+        links = self._led(shared, sketches, LEADERS)
+        keys = self._rare_keys(shared)
+        for leaders in KEY_LEADERS:
+            mixed = self._mixed(keys)
+            if mixed.isEmpty():
+                return links
+            more = self._led(mixed, sketches, leaders, links)
+            if more.isEmpty():
                 break
-            leaders_each *= LEADERS
-        pairs = self._across(shared.select("bucket", "id"), alike).join(
-            tried, ["a", "b"], "left_anti")
-        checked = self._stored(self._verified(self._stored(pairs, "pairs")), "links")
-        if checked.isEmpty():
-            return links
-        links = links.unionAll(checked)
-        self._found = self._stored(components(links), "found")
+            links = links.unionAll(more)
+        pairs = self._untried(self._across(keys, sketches))
+        checked = self._checked(pairs)
+        if not checked.isEmpty():
+            links = links.unionAll(checked)
+            self._found = self._stored(components(links), "found")
         return links
 
+    @staticmethod
+    def _met(rows: DataFrame) -> DataFrame:
+        """The rows of buckets with more than one text, with their number."""
+        texts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
+        return rows.join(texts, "bucket")
+
+    def _led(self, shared: DataFrame, sketches: DataFrame, leaders_each: int,
+             links: DataFrame | None = None) -> DataFrame:
+        """New links of each bucket's texts with its most central ones."""
+        central = shared.groupBy("id").agg(F.sum("texts").alias("degree")).join(sketches, "id")
+        members = self._stored(self._component_of(
+            shared.select("bucket", "id").join(central, "id"), "id"), "buckets")
+        first = Window.partitionBy("bucket").orderBy(F.desc("degree"), "id")
+        leaders = self._stored(members.withColumn("place", F.row_number().over(first)).filter(
+            F.col("place") <= leaders_each).select(
+            "bucket", F.col("id").alias("other"), F.col("size").alias("length"),
+            F.col("bits").alias("their_bits"), F.col("component").alias("theirs")), "leaders")
+        pairs = members.join(leaders, "bucket").filter(
+            (F.col("component") != F.col("theirs")) & self._alike())
+        checked = self._checked(self._untried(self._ordered(pairs)))
+        if self._found is None or not checked.isEmpty():
+            all_links = checked if links is None else links.unionAll(checked)
+            self._found = self._stored(components(all_links), "found")
+        return checked
+
+    def _alike(self) -> Column:
+        """Sets whose sizes or sketches differ by more aren't similar enough."""
+        apart = reduce(Column.__add__, [
+            F.bit_count(F.col("bits")[at].bitwiseXOR(F.col("their_bits")[at]))
+            for at in range(-(-BANDS * ROWS // 64))])
+        return (apart <= MOST_APART) & (
+            F.least("size", "length") >= self.similarity * F.greatest("size", "length"))
+
+    @staticmethod
+    def _ordered(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.least("id", "other").alias("a"),
+                            F.greatest("id", "other").alias("b")).distinct()
+
+    def _untried(self, pairs: DataFrame) -> DataFrame:
+        """Stores the pairs that no earlier pass has compared, and remembers them."""
+        if self._tried is not None:
+            pairs = pairs.join(self._tried, ["a", "b"], "left_anti")
+        pairs = self._stored(pairs, "pairs")
+        self._tried = pairs if self._tried is None else self._tried.unionAll(pairs)
+        return pairs
+
     def _component_of(self, rows: DataFrame, name: str) -> DataFrame:
         """Adds the ``component`` that the text in column ``name`` is in by now."""
+        if self._found is None:
+            return rows.withColumn("component", F.col(name))
         found = self._found.select(F.col("id").alias(name), F.col("component").alias("now"))
         return rows.join(found, name, "left").withColumn(
             "component", F.coalesce("now", name)).drop("now")
 
-    def _across(self, shared: DataFrame, alike: Column) -> DataFrame:
-        """Pairs ``a, b`` of texts that share a bucket and no component, and that are ``alike``.
+    def _rare_keys(self, shared: DataFrame) -> DataFrame:
+        """``bucket, id, place, texts``: shingles that two similar texts of those that share a band's
+        bucket can't all miss, and their place in the order of the text's.
 
-        One of the two is outside the bucket's largest component. Those of it are compared with all
-        of the bucket, in blocks, so that no key holds a bucket.
+        Any order of the shingles would do, as long as it is one for all texts; the fewer texts the first
+        ones are in, the fewer pairs meet. So the frequent ones come last, by their number of texts.
         """
-        members = self._stored(self._component_of(shared, "id"), "buckets")
+        ids = self._stored(shared.select(F.col("id").alias("doc_id")).distinct(), "compared")
+        with session_conf(self.spark, {_RECORDS: BATCH}):
+            sets = self._stored(self._texts_of(ids).mapInArrow(
+                _shingled, "id long, shingles array<long>"), "shingles")
+        counted = self._stored(
+            sets.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(
+                F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= LEAST_FREQUENT), "counts")
+        frequent = counted.filter(F.col("texts") >= self._frequent_from(counted)).orderBy(
+            "texts", "shingle").select("shingle")
+        ranked = frequent.toArrow()["shingle"].to_numpy()
+        with session_conf(self.spark, {_RECORDS: BATCH}):
+            keys = self._stored(sets.mapInArrow(
+                _rare(ranked, self.similarity), "id long, bucket long, place long"), "keys")
+        return self._stored(self._met(keys), "keys")
+
+    @staticmethod
+    def _frequent_from(counted: DataFrame) -> int:
+        """The least number of texts from which on shingles are few enough for a broadcast."""
+        power = F.length(F.bin("texts")) - 1
+        powers = {row[0]: row[1] for row in counted.groupBy(power).count().collect()}  # 64 at most
+        least, held = 63, 0
+        while 2 ** least > LEAST_FREQUENT and held + powers.get(least - 1, 0) <= MOST_FREQUENT:
+            least -= 1
+            held += powers.get(least, 0)
+        return 2 ** least
+
+    def _mixed(self, keys: DataFrame) -> DataFrame:
+        """The rows of those keys whose texts aren't all in one component."""
+        members = self._component_of(keys, "id")
+        several = members.groupBy("bucket").agg(
+            F.min("component").alias("least"), F.max("component").alias("most")).filter(
+            F.col("least") < F.col("most")).select("bucket")
+        return self._stored(keys.join(several, "bucket", "left_semi"), "mixed")
+
+    def _across(self, keys: DataFrame, sketches: DataFrame) -> DataFrame:
+        """Pairs ``a, b`` of texts that share a key and no component, and that are alike.
+
+        The first key that two texts share has all that they share behind it, in either's order. So the
+        smaller of what they have left from there on has to be as many as similar texts of their sizes
+        share. That leaves out texts whose common part is a frequent passage: it comes late in both.
+
+        One of the two is outside the key's largest component. Those of it are compared with all of the
+        key, in blocks, so that no task's key holds all of them.
+        """
+        members = self._stored(self._component_of(keys.drop("texts"), "id"), "buckets")
         parts = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("texts"))
         mixed = parts.groupBy("bucket").agg(
             F.max(F.struct("texts", "component")).alias("main"), F.sum("texts").alias("texts"),
@@ -289,36 +426,37 @@ class NearDuplicates:
             "bucket", F.col("main.component").alias("main"),
             F.ceil(F.col("texts") / BLOCK).alias("rows"),
             F.ceil((F.col("texts") - F.col("main.texts")) / BLOCK).alias("columns"))
-        members = self._stored(members.join(mixed, "bucket").join(
-            self._bands.select(F.col("doc_id").alias("id"), "size", "bits"), "id"), "buckets")
+        members = self._stored(members.join(mixed, "bucket").join(sketches, "id"), "buckets")
         every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
         each = members.withColumn("row", F.pmod(F.xxhash64("id"), F.col("rows"))).withColumn(
             "column", every("columns")).select(
-            "bucket", "row", "column", "id", "size", "bits", "component", "main")
+            "bucket", "row", "column", "id", "size", "bits", "place", "component", "main")
         others = members.filter(F.col("component") != F.col("main")).withColumn(
             "column", F.pmod(F.xxhash64("id"), F.col("columns"))).withColumn(
             "row", every("rows")).select(
             "bucket", "row", "column", F.col("id").alias("other"), F.col("size").alias("length"),
-            F.col("bits").alias("their_bits"), F.col("component").alias("theirs"))
+            F.col("bits").alias("their_bits"), F.col("place").alias("their_place"),
+            F.col("component").alias("theirs"))
+        left = F.least(F.col("size") - F.col("place"), F.col("length") - F.col("their_place"))
+        enough = left * (1 + self.similarity) >= (
+            self.similarity * (F.col("size") + F.col("length")) - 1e-6)
         pairs = each.join(others, ["bucket", "row", "column"]).filter(
-            (F.col("component") != F.col("theirs")) & alike
+            (F.col("component") != F.col("theirs")) & enough & self._alike()
             & ((F.col("component") == F.col("main")) | (F.col("id") < F.col("other"))))
-        return pairs.select(F.least("id", "other").alias("a"),
-                            F.greatest("id", "other").alias("b")).distinct()
+        return self._ordered(pairs)
 
-    def _verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that are similar enough by their whole texts."""
+    def _checked(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that are similar enough by their whole texts, stored."""
         ids = self._stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(),
                            "compared")
-        if ids.count() <= MOST_SENT:  # then the texts no pair names needn't be shuffled
-            ids = F.broadcast(ids)
-        texts = self.texts.join(ids, "doc_id", "left_semi")
+        texts = self._texts_of(ids)
         both = pairs.join(
             texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a"
         ).join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
         found = both.mapInPandas(_similarities, "a long, b long, similarity double")
-        return found.filter(F.col("similarity") >= self.similarity).groupBy("a", "b").agg(
-            F.max("similarity").alias("similarity"))
+        with session_conf(self.spark, {_RECORDS: BATCH}):
+            return self._stored(found.filter(F.col("similarity") >= self.similarity).groupBy(
+                "a", "b").agg(F.max("similarity").alias("similarity")), "links")
 
     def classes(self) -> DataFrame:
         """``doc_id, text_id, class_id, kept``, one row per id: the smallest id among documents of

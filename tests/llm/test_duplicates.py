@@ -164,6 +164,66 @@ def test_copies_of_copies_at_the_threshold(spark):
     assert {r["doc_id"]: r["class_id"] for r in got.collect()} == _brute_classes(rows)
 
 
+def test_texts_around_a_passage_are_not_compared_with_each_other(spark):
+    """Mutual similarity just below the threshold: what is compared grows with their number."""
+    rng = random.Random(31)
+    passage = rng.choices(VOCABULARY, k=500)
+    compared = {}
+    for size in (75, 150, 300):
+        texts = [" ".join([*rng.choices(VOCABULARY, k=43), *passage, *rng.choices(VOCABULARY, k=40)])
+                 for _ in range(size)]
+        assert 0.7 < _jaccard(shingles(texts[0]), shingles(texts[1])) < 0.8
+        rows = list(enumerate(texts)) + [(1000 + n, _changed(texts[n], 1, rng)) for n in range(5)]
+        found = minhash_dedup.NearDuplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert {r["doc_id"]: r["class_id"] for r in found.classes().collect()} == _brute_classes(rows)
+        compared[size] = found._tried.count()
+    assert compared[300] < 6 * compared[75] and compared[300] < 300 * 299 / 2 / 5
+
+
+@pytest.mark.parametrize("similarity", [0.5, 0.8, 0.95])
+def test_similar_sets_meet_among_their_first(similarity):
+    """Every pair of sets that is similar enough shares one of the looked-at elements, in any order."""
+    rng = random.Random(2)
+    for _ in range(3000):
+        shared, own, other = rng.randint(1, 60), rng.randint(0, 20), rng.randint(0, 20)
+        order = rng.sample(range(1000), shared + own + other)
+        a, b = sorted(order[: shared + own]), sorted(order[:shared] + order[shared + own:])
+        if shared >= similarity * len(order):
+            first_a, first_b = (one[: minhash_dedup.looked_at(len(one), similarity)] for one in (a, b))
+            met = min(set(first_a) & set(first_b))
+            left = min(len(a) - a.index(met), len(b) - b.index(met))
+            assert left * (1 + similarity) >= similarity * (len(a) + len(b)) - 1e-6
+
+
+@pytest.mark.parametrize("most", [1_000_000, 3, 0])
+def test_any_number_of_frequent_shingles(spark, monkeypatch, most):
+    monkeypatch.setattr(minhash_dedup, "MOST_FREQUENT", most)
+    monkeypatch.setattr(minhash_dedup, "LEADERS", 1)
+    monkeypatch.setattr(minhash_dedup, "KEY_LEADERS", (1,))
+    rows = _collection()
+    got = minhash_dedup.NearDuplicates(
+        spark.createDataFrame(rows, "doc_id long, text string")).classes()
+    assert {r["doc_id"]: r["class_id"] for r in got.collect()} == _brute_classes(rows)
+
+
+def test_an_id_with_several_texts(spark):
+    """The text of the smallest digest counts, however the rows are dealt, and repeated rows are one."""
+    rng = random.Random(4)
+    texts = [_text(80, rng) for _ in range(3)]
+    rows = [(1, texts[0]), (1, texts[1]), (1, None), (1, texts[0]), *[(7, texts[2])] * 30, (7, "?!"),
+            (2, _changed(texts[0], 1, rng)), (3, _changed(texts[1], 1, rng)), (4, texts[0]),
+            (5, texts[1]), (6, _changed(texts[2], 1, rng))]
+    digests = {t: minhash_dedup.xxh3_128_intdigest(shingles(t).tobytes()) for t in texts[:2]}
+    least = min(digests, key=lambda t: (minhash_dedup._signed(digests[t] >> 64),
+                                        minhash_dedup._signed(digests[t] & (2 ** 64 - 1))))
+    single = [row for row in rows if row[0] not in (1, 7)] + [(1, least), (7, texts[2])]
+    want = _brute_classes(single)
+    for parts in (1, 7):
+        given = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = {r["doc_id"]: r["class_id"] for r in minhash_dedup.NearDuplicates(given).classes().collect()}
+        assert got == want
+
+
 def test_stage_keeps_one_of_each_class(spark):
     rows = _collection()
     extra = [(0, rows[0][1], "again"), (None, rows[0][1], "no id"), (None, None, None),
