@@ -145,22 +145,27 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             digest = [xxh3_128_intdigest(one.tobytes()) for one in found]
             yield pd.DataFrame({
                 "doc_id": ids[start : start + len(texts)],
-                "high": [_signed(d >> 64) if len(f) else None for d, f in zip(digest, found)],
-                "low": [_signed(d & (2 ** 64 - 1)) if len(f) else None
-                        for d, f in zip(digest, found)],
+                "high": _whole(_signed(d >> 64) if len(f) else None for d, f in zip(digest, found)),
+                "low": _whole(_signed(d & (2 ** 64 - 1)) if len(f) else None
+                              for d, f in zip(digest, found)),
                 "size": [len(f) for f in found],
                 "bits": list(sketch_bits(signatures)),
                 "bands": [key if len(f) else None for key, f in zip(keys, found)],
-            }).astype({"high": "Int64", "low": "Int64"})
+            })
             start += len(texts)
 
 
+def _whole(values) -> pd.api.extensions.ExtensionArray:
+    """Whole numbers, or nulls, with all their digits."""
+    return pd.array(list(values), dtype="Int64")
+
+
 def _least_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The texts whose digest is their id's smallest."""
     for batch in batches:
         digests = [xxh3_128_intdigest(shingles(text).tobytes()) for text in batch["text"]]
-        held = [_signed(d >> 64) == least["high"] and _signed(d & (2 ** 64 - 1)) == least["low"]
-                for d, least in zip(digests, batch["least"])]
+        held = [_signed(d >> 64) == high and _signed(d & (2 ** 64 - 1)) == low
+                for d, high, low in zip(digests, batch["high"], batch["low"])]
         yield batch.loc[held, ["doc_id", "text"]]
 
 
@@ -276,7 +281,7 @@ class NearDuplicates:
         texts = self.texts.join(ids, "doc_id", "left_semi")
         if self._repeated.isEmpty():
             return texts
-        repeated = texts.join(self._repeated, "doc_id").select("doc_id", "text", "least").mapInPandas(
+        repeated = texts.join(self._repeated, "doc_id").select("doc_id", "text", "least.*").mapInPandas(
             _least_texts, "doc_id long, text string").dropDuplicates(["doc_id"])
         return texts.join(self._repeated, "doc_id", "left_anti").unionAll(repeated)
 
