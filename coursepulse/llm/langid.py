@@ -2,9 +2,9 @@
 
 Each language has a distribution over hashed letter trigrams, counted over all labelled documents. A
 document's trigrams are drawn from a mixture of languages; expectation maximisation estimates the
-proportions, and among the sets of its most likely languages the one with the best likelihood, less
-a penalty for each language (the Bayesian information criterion), is selected. The language of the
-largest proportion in that set is the prediction, the proportion its score.
+proportions, until these stand still. The set of its languages then grows by the next likely one as
+long as the likelihood, less a penalty for each language (the Bayesian information criterion), gets
+better. The language of the largest proportion in that set is the prediction, the proportion its score.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ from coursepulse.llm.text import id_fold, runs_of
 UNKNOWN = "und"
 BUCKETS = 8192
 _ROWS = 128  # documents per block of counts
-_STEPS = 12
+#: Proportions stand still when none moves by more in a step; the steps are bounded for ties only.
+_TOLERANCE, _MOST_STEPS = 2e-3, 500
 
 
 @functools.cache
@@ -67,12 +68,21 @@ class Languages:
 
     def proportions(self, counts: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Estimated mixtures from ``start`` (languages at zero stay out), and log likelihoods."""
+        mixed = start.copy()
+        moving, part = np.arange(len(counts)), counts
         total = np.maximum(counts.sum(axis=1, keepdims=True), 1)
-        mixed = start
-        for _ in range(_STEPS):
-            weight = counts / np.maximum(mixed @ self.chances, 1e-30)
-            mixed = mixed * (weight @ self.chances.T) / total
-            mixed /= np.maximum(mixed.sum(axis=1, keepdims=True), 1e-30)
+        for _ in range(_MOST_STEPS):
+            before = mixed[moving]
+            weight = part / np.maximum(before @ self.chances, 1e-30)
+            now = before * (weight @ self.chances.T) / total[moving]
+            now /= np.maximum(now.sum(axis=1, keepdims=True), 1e-30)
+            mixed[moving] = now
+            still = np.abs(now - before).max(axis=1) <= _TOLERANCE
+            if still.any():
+                moving = moving[~still]
+                if not len(moving):
+                    break
+                part = counts[moving]
         return mixed, (counts * np.log(np.maximum(mixed @ self.chances, 1e-30))).sum(axis=1)
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
@@ -88,7 +98,7 @@ class Languages:
         rows = np.arange(len(texts))
         size = counts.sum(axis=1)
         even = np.full((len(texts), number), 1 / number, np.float32)
-        full, fit = seen.proportions(counts, even)
+        full, _ = seen.proportions(counts, even)
         order = np.argsort(-full, axis=1, kind="stable")
         place = np.empty_like(order)
         np.put_along_axis(place, order, np.arange(number)[None, :], axis=1)
@@ -98,14 +108,17 @@ class Languages:
         best = single.argmax(axis=1)
         chosen, gain = np.zeros_like(full), single[rows, best] - penalty
         chosen[rows, best] = 1
-        for held in range(2, min(number, 4) + 1):
-            if held < number:
-                start = np.where(place < held, np.maximum(full, 1e-6), 0).astype(np.float32)
-                mixed, fit_held = seen.proportions(counts, start / start.sum(1, keepdims=True))
-            else:
-                mixed, fit_held = full, fit
-            better = fit_held - held * penalty > gain
-            chosen[better], gain[better] = mixed[better], (fit_held - held * penalty)[better]
+        growing = rows
+        for held in range(2, number + 1):
+            start = np.where(place[growing] < held, np.maximum(full[growing], 1e-6), 0)
+            mixed, fit = seen.proportions(
+                counts[growing], (start / start.sum(1, keepdims=True)).astype(np.float32))
+            worth = fit - held * penalty[growing]
+            better = worth > gain[growing]
+            growing = growing[better]
+            if not len(growing):
+                break
+            chosen[growing], gain[growing] = mixed[better], worth[better]
         top = chosen.argmax(axis=1)
         names = [self.names[at] if has else UNKNOWN for at, has in zip(top, worded, strict=True)]
         return names, np.where(worded, np.clip(chosen[rows, top], 0, 1), 0.0)
