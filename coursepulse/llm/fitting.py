@@ -17,7 +17,8 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, folds:
     """``doc_id, text, label`` of at most ``most_rows`` labelled rows outside the test fold.
 
     Rows are chosen by a hash of their id, so the choice depends on neither order nor partitions.
-    An id with several labels counts with the largest. Rows without id or label are left out.
+    An id with several labels counts with the largest, one with several texts with that of the largest
+    hash, and repeated rows are one. Rows without id or label are left out.
     """
     fold = id_fold("doc_id", folds)
     chosen = (
@@ -27,7 +28,10 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, folds:
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
     )
     # at most most_rows rows of two numbers: small at any size of the input
-    return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    found = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    text = F.struct(F.xxhash64("text").alias("hash"), "text")
+    return found.groupBy("doc_id").agg(F.max(text).alias("found"), F.first("label").alias("label")
+                                       ).select("doc_id", "found.text", "label")
 
 
 def fit_in_task(rows: DataFrame, fit: Callable[[pd.DataFrame], object]) -> object:

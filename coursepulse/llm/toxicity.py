@@ -22,6 +22,8 @@ from coursepulse.llm.text import words
 
 THRESHOLD = 0.7
 SAMPLE_ROWS = 12_000
+#: Length of a term's factors below which they are as they were when the fit began.
+LEAST_FACTORS = 0.1
 
 
 @dataclass(frozen=True)
@@ -65,14 +67,15 @@ def document_terms(text: str | None) -> np.ndarray:
 
 
 def fit_machine(documents: list[np.ndarray], labels: np.ndarray, rank: int = 4, epochs: int = 40,
-                least_documents: int = 3, least_chi2: float = 16.0, l1: float = 5e-5,
-                l2: float = 2e-3, step: float = 0.15, batch: int = 128,
-                seed: int = 7) -> Machine:
+                least_documents: int = 3, least_chi2: float = 16.0, most_paired: int = 1024,
+                least_pair_chi2: float = 40.0, l1: float = 5e-5, l2: float = 2e-3,
+                step: float = 0.15, batch: int = 128, seed: int = 7) -> Machine:
     """Adaptive minibatch gradient descent with soft thresholds on the weights.
 
     Terms in fewer than ``least_documents`` documents, and those whose presence says nothing about
     the class by the chi-square statistic, are left out: most words of a language would only add
-    noise that grows with a text's length. With one class only, the machine knows no term and
+    noise that grows with a text's length. Of the ``most_paired`` most frequent terms, those stay too
+    that say something in a pair, see :func:`_paired`. With one class only, the machine knows no term and
     scores every text with that class.
     """
     empty = np.empty(0, np.uint32)
@@ -88,7 +91,10 @@ def fit_machine(documents: list[np.ndarray], labels: np.ndarray, rank: int = 4,
     apart = hits * number - counts * toxic
     chi2 = apart ** 2 * number / (counts * np.maximum(number - counts, 1e-9) * toxic
                                   * (number - toxic))
-    terms = every[(counts >= least_documents) & (chi2 >= least_chi2)]
+    telling = (counts >= least_documents) & (chi2 >= least_chi2)
+    frequent = np.sort(np.argsort(-counts, kind="stable")[:most_paired])
+    telling[frequent[_paired(documents, labels, every[frequent], least_pair_chi2)]] = True
+    terms = every[telling]
     known = Machine(0.0, terms, empty, empty)
     slots = [known.slots(found) for found in documents]
     rng = np.random.default_rng(seed)
@@ -127,11 +133,30 @@ def fit_machine(documents: list[np.ndarray], labels: np.ndarray, rank: int = 4,
             grad_f += l2 * factors[used]
             seen_f[used] += grad_f ** 2
             factors[used] -= 0.2 * step * grad_f / np.sqrt(seen_f[used])
-    # a term without weight of its own only adds noise through its factors
-    kept = weights != 0
+    # a term without weight of its own, and with hardly any factors, only adds noise
+    kept = (weights != 0) | (np.linalg.norm(factors, axis=1) > LEAST_FACTORS)
     return Machine(float(bias), terms[kept], weights[kept], factors[kept])
 
 
+def _paired(documents: list[np.ndarray], labels: np.ndarray, terms: np.ndarray,
+            least_chi2: float) -> np.ndarray:
+    """Which terms change what another one says of the class, and the other way round: the smaller of
+    the two chi-square statistics of a pair, each over the documents with one of its terms, has to
+    reach ``least_chi2``. So a frequent word doesn't count for standing beside a toxic one."""
+    held = np.zeros((len(documents), len(terms)), np.float32)
+    for row, found in enumerate(documents):
+        at = np.searchsorted(terms, found)
+        at[at == len(terms)] = 0
+        held[row, at[terms[at] == found]] = 1
+    toxic = held[labels == 1]
+    both, both_toxic = (held.T @ held).astype(float), (toxic.T @ toxic).astype(float)
+    count, hits = np.diag(both)[:, None], np.diag(both_toxic)[:, None]
+    spread = both * (count - both) * hits * (count - hits)
+    given = (both_toxic * count - both * hits) ** 2 * count / np.maximum(spread, 1e-9)
+    given[spread <= 0] = 0
+    return (np.minimum(given, given.T) >= least_chi2).any(axis=1)
+
+
 def fit_toxicity(documents: DataFrame, labels: DataFrame, folds: int = 3, test_fold: int = 1,
                  most_rows: int = SAMPLE_ROWS) -> Machine:
     """A machine fitted on at most ``most_rows`` labelled documents outside the test fold.

@@ -36,6 +36,32 @@ def test_machine_learns_pairs():
     assert not wrong
 
 
+def test_machine_learns_terms_that_say_something_only_together():
+    """Toxic is exactly one of two words: alone, neither says anything."""
+    rng, rows = random.Random(13), []
+    for at in range(900):
+        first, second = at % 2, at // 2 % 2
+        rows.append((_prose(rng) + " grumblers" * first + " " + _prose(rng) + " martians" * second,
+                     first ^ second))
+    terms = [toxicity.document_terms(text) for text, _ in rows]
+    labels = np.array([label for _, label in rows])
+    machine = toxicity.fit_machine(terms[:600], labels[:600])
+    score = toxicity.Scorer(machine)
+    right = [(score(text) >= 0.5) == bool(label) for text, label in rows[600:]]
+    assert np.mean(right) > 0.97
+
+
+def test_a_frequent_word_beside_a_toxic_one_is_no_pair():
+    rng = np.random.default_rng(2)
+    held = rng.random((3000, 40)) < np.linspace(0.05, 0.9, 40)
+    labels = held[:, 5].astype(int)
+    documents = [np.flatnonzero(row).astype(np.uint32) for row in held]
+    assert not toxicity._paired(documents, labels, np.arange(40, dtype=np.uint32), 40.0).any()
+    labels = held[:, 5] ^ held[:, 20]
+    found = toxicity._paired(documents, labels.astype(int), np.arange(40, dtype=np.uint32), 40.0)
+    assert np.flatnonzero(found).tolist() == [5, 20]
+
+
 def test_machine_pair_sum_is_the_sum_over_pairs():
     rng = np.random.default_rng(1)
     machine = toxicity.Machine(0.3, np.arange(5, dtype=np.uint32), rng.normal(size=5),
@@ -93,6 +119,14 @@ def test_sample_is_bounded_and_leaves_the_test_fold_out(spark):
     assert rows and {r["label"] for r in rows} == {0, 1}
 
 
+def test_sample_has_one_row_per_id(spark):
+    docs = spark.createDataFrame([(0, "a")] * 40 + [(0, "b")] * 40 + [(2, None), (2, "c"), (3, "d")], DOCS)
+    labels = spark.createDataFrame([(i, 1, 1) for i in (0, 0, 2, 3, 5)], LABELS)
+    first = sorted(tuple(r) for r in labelled_sample(docs, labels, "toxic", 3, 7, 50).collect())
+    again = sorted(tuple(r) for r in labelled_sample(docs.repartition(9), labels, "toxic", 3, 7, 50).collect())
+    assert [r[0] for r in first] == [0, 2, 3] and first == again
+
+
 def test_repeats_count_every_run():
     texts = ["abcdefghijklm", "short", "a line of text, a line of text,", "x" * 300, "", "ab " * 9]
     repeated = quality.CLASSES + quality.CLASSES ** 2
@@ -195,3 +229,30 @@ def test_language_of_odd_rows(spark):
     nothing = langid.fit_languages(docs.filter(F.lit(False)))
     assert nothing.predict(["kala"])[0] == ["und"]
     assert docs.filter(F.lit(False)).select(langid.language(nothing, "text")).collect() == []
+
+
+def test_six_languages_in_equal_parts(spark):
+    """No bound on the number of languages of a document."""
+    rng = random.Random(17)
+    letters = ["abcde", "fghij", "klmno", "pqrst", "uvwxy", "äöüßz", "éèàçâ"]
+
+    def text(letters, words):
+        return " ".join("".join(rng.choices(letters, k=rng.randint(3, 8))) for _ in range(words))
+    rows = [(8 * n + at, text(held, 60), f"l{at}") for n in range(30) for at, held in enumerate(letters)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    known = langid.fit_languages(docs, test_fold=9)
+    names, scores = known.predict([" ".join(text(held, 80) for held in letters[:6]), text(letters[6], 80)])
+    assert names[1] == "l6" and scores[1] > 0.98
+    assert abs(scores[0] - 1 / 6) < 0.03
+
+
+def test_proportions_stand_still():
+    rng = np.random.default_rng(4)
+    chances = rng.dirichlet(np.full(300, 0.2), 5)
+    truth = np.array([0.5, 0.3, 0.2, 0, 0])
+    counts = rng.multinomial(20_000, truth @ chances, 3).astype(float)
+    known = langid.Languages(list("abcde"), chances)
+    found, _ = known.proportions(counts, np.full((3, 5), 0.2))
+    assert np.abs(found - truth).max() < 0.03
+    alone, _ = known.proportions(counts[:1], np.full((1, 5), 0.2))
+    assert np.allclose(alone[0], found[0])
