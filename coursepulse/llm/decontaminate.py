@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coursepulse.llm.text import overlap, shingles
+from coursepulse.llm.text import SHINGLE_WORDS, overlap, shingles, words
 
 CONTAINMENT = 0.8
 #: Bins per shingle at the upper end of a partition: a contained shingle agrees in its bin with
@@ -32,11 +32,23 @@ MOST_CARRIED = 1_000_000
 
 
 class ItemIndex:
-    """Signatures of test items for each partition of document sizes."""
+    """Signatures of test items for each partition of document sizes.
 
-    def __init__(self, items: list[tuple[int, np.ndarray]]):
-        self.items = [(number, found) for number, found in items if len(found)]
+    ``items`` are (number, shingles, words of a shingle). Items of few shingles are looked up by all of
+    them; those of fewer than five words by the runs of as many words.
+    """
+
+    def __init__(self, items: list[tuple[int, np.ndarray, int]]):
+        items = [item for item in items if len(item[1])]
+        self.long = [item for item in items if len(item[1]) >= FEWEST]
         self._tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        #: Items of few shingles, by the words of these.
+        self.short: dict[int, list[tuple[int, np.ndarray, int]]] = {}
+        for item in items:
+            if len(item[1]) < FEWEST:
+                self.short.setdefault(item[2], []).append(item)
+        self._whole = {size: self._table([found for _, found, _ in held])
+                       for size, held in self.short.items()}
 
     @staticmethod
     def bins(size: int) -> int:
@@ -53,39 +65,51 @@ class ItemIndex:
         used[at] = True
         return least[used]
 
+    @staticmethod
+    def _table(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes, ascending, and the places of the parts they are from."""
+        hashes = np.concatenate(parts) if parts else np.empty(0, np.uint64)
+        owner = np.repeat(np.arange(len(parts)), [len(part) for part in parts])
+        order = np.argsort(hashes, kind="stable")
+        return hashes[order], owner[order]
+
     def table(self, bins: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes in the items' signatures, ascending, and whose they are."""
+        """The signatures of the items with many shingles for a partition."""
         if bins not in self._tables:
-            parts = [found if len(found) < FEWEST else self.signature(found, bins)
-                     for _, found in self.items]
-            hashes = np.concatenate(parts) if parts else np.empty(0, np.uint64)
-            owner = np.repeat(np.arange(len(parts)), [len(part) for part in parts])
-            order = np.argsort(hashes, kind="stable")
-            self._tables[bins] = hashes[order], owner[order]
+            self._tables[bins] = self._table(
+                [self.signature(found, bins) for _, found, _ in self.long])
         return self._tables[bins]
 
-    def search(self, found: np.ndarray, containment: float) -> list[tuple[int, int, int]]:
+    def search(self, text: str | None, containment: float) -> list[tuple[int, int, int]]:
         """``(item, shared shingles, item's shingles)`` of the items a document contains."""
-        if not len(found) or not self.items:
+        found = shingles(text)
+        if not len(found):
             return []
-        bins = self.bins(len(found))
-        hashes, owner = self.table(bins)
-        probes = self.signature(found, bins)
-        if any(len(item) < FEWEST for _, item in self.items):
-            probes = found
+        result = []
+        if self.long:
+            bins = self.bins(len(found))
+            result += self._verified(self.long, self.table(bins), self.signature(found, bins),
+                                     found, containment)
+        for size, held in self.short.items():
+            runs = found if size == SHINGLE_WORDS else shingles(text, size)
+            result += self._verified(held, self._whole[size], runs, runs, containment)
+        return result
+
+    @staticmethod
+    def _verified(items, table, probes, found, containment):
+        """Of the items whose hashes are among the probes, those of which enough is in ``found``."""
+        hashes, owner = table
         low, high = np.searchsorted(hashes, probes), np.searchsorted(hashes, probes, "right")
         hit = high > low
         if not hit.any():
-            return []
+            return
         candidates = np.unique(np.concatenate(
             [owner[a:b] for a, b in zip(low[hit], high[hit], strict=True)]))
-        result = []
         for at in candidates:
-            number, item = self.items[at]
+            number, item, _ = items[at]
             shared = overlap(item, found)
             if shared >= containment * len(item) - 1e-9:
-                result.append((number, shared, len(item)))
-        return result
+                yield number, shared, len(item)
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame,
@@ -93,8 +117,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame,
     """``doc_id, item_id, shared, item_shingles, containment``: one row per document and test item of
     whose five-word shingles the document holds a share of ``containment`` or more.
 
-    An item of fewer than five words is one shingle of its own, as in the SQL: it is found in a text of
-    just its words, and not searched in longer ones.
+    An item of fewer than five words is one shingle of as many words, and found in any text that has
+    these words in a row.
 
     ``doc_id, text`` and ``item_id, text`` are read, other columns ignored. Null or wordless texts
     contain and are contained in nothing. Of repeated rows of an item or document one counts; an id
@@ -118,11 +142,12 @@ def contaminated(documents: DataFrame, benchmark: DataFrame,
 
 def _search(texts: DataFrame, items: list[tuple[int, str]], containment: float) -> DataFrame:
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = ItemIndex([(number, shingles(text)) for number, text in items])
+        index = ItemIndex([(number, shingles(text), min(SHINGLE_WORDS, max(1, len(words(text)))))
+                           for number, text in items])
         for batch in batches:
             rows = [(doc, item, shared, size, shared / size)
                     for doc, text in zip(batch["doc_id"], batch["text"], strict=True)
-                    for item, shared, size in index.search(shingles(text), containment)]
+                    for item, shared, size in index.search(text, containment)]
             yield pd.DataFrame(
                 rows, columns=["doc_id", "item_id", "shared", "item_shingles", "containment"])
 

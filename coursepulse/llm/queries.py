@@ -176,7 +176,16 @@ select vec_id, coalesce(n, 0) as n_links, coalesce(component, vec_id) as compone
        vec_id = coalesce(component, vec_id) as kept
 from v left join counts on a = vec_id left join classes on id = vec_id""",
     "op4_contamination": f"""
-with d as ({_shingles_sql('documents', 'doc_id')}), i as ({_shingles_sql('benchmark', 'item_id')}),
+with i as ({_shingles_sql('benchmark', 'item_id')}),
+lengths as (select distinct split_part(shingle, ':', 1)::bigint as n from i where shingle like '%:%'),
+d as (
+  {_shingles_sql('documents', 'doc_id')}
+  union
+  select distinct doc_id, unnest(list_transform(
+    range(1, len(w) - n + 2), lambda i: n || ':' || array_to_string(w[i:i+n-1], ' '))) as shingle
+  from (select doc_id, {_WORDS} as w from documents where doc_id is not null), lengths
+  where len(w) >= n
+),
 sizes as (select item_id, count(*) as item_shingles from i group by 1)
 select doc_id, item_id, count(*) as shared, any_value(item_shingles) as item_shingles,
        count(*) / any_value(item_shingles)::double as containment
