@@ -1,7 +1,7 @@
 """URL filter: rules for hosts and paths, and logistic regression for the rest.
 
 The regression reads hashed character n-grams of host and path. It is trained from a small table of
-labelled URLs, made below from two word lists by a rule.
+labelled URLs, made below from lists of words by a rule, in which hosts and paths vary by themselves.
 """
 
 from __future__ import annotations
@@ -21,22 +21,29 @@ FEATURES = 1 << 16
 SIZES = (3, 4, 5)
 THRESHOLD = 0.5
 
-#: Words of hosts that are to be blocked, and of ordinary hosts.
-BLOCKED_WORDS = (
-    "adult", "ads", "adserver", "bet", "bets", "betting", "bonus", "cams", "casino", "cheap",
-    "clickbait", "coupon", "crack", "dating", "deals", "escort", "farm", "free", "gambling",
-    "hack", "jackpot", "keygen", "loans", "lottery", "malware", "meds", "phish", "pharma",
-    "pills", "poker", "popup", "porn", "promo", "replica", "sex", "slots", "spam", "track",
-    "tracker", "viagra", "warez", "win", "winner", "x", "xxx",
-)
-ORDINARY_WORDS = (
-    "archive", "art", "astronomy", "atlas", "biology", "book", "bridge", "chemistry", "city",
-    "climate", "code", "cooking", "data", "earth", "essay", "forest", "garden", "health",
-    "history", "journal", "kitchen", "language", "letters", "library", "lingua", "math",
-    "mountain", "museum", "music", "nature", "news", "ocean", "paper", "physics", "poetry",
-    "research", "river", "school", "science", "sport", "story", "theatre", "travel", "weather",
-    "words",
-)
+#: Words of hosts and paths that are to be blocked, by what they are about, and of ordinary ones.
+BLOCKED_TOPICS = {
+    "gambling": ("bet", "bets", "betting", "bonus", "casino", "gambling", "jackpot", "lottery",
+                 "poker", "roulette", "slots", "winner"),
+    "adult": ("adult", "cams", "escort", "hookup", "nude", "porn", "sex", "xxx"),
+    "pills": ("cialis", "meds", "pharma", "pills", "viagra"),
+    "piracy": ("crack", "hack", "keygen", "malware", "phish", "torrent", "warez"),
+    "selling": ("ads", "adserver", "cheap", "clickbait", "coupon", "dating", "deals", "free",
+                "loans", "popup", "promo", "replica", "spam", "tracker"),
+}
+ORDINARY_TOPICS = {
+    "nature": ("astronomy", "atlas", "biology", "climate", "earth", "forest", "garden", "mountain",
+               "nature", "ocean", "river", "weather"),
+    "study": ("archive", "chemistry", "essay", "history", "journal", "language", "library", "lingua",
+              "math", "physics", "research", "school", "science", "words"),
+    "arts": ("art", "book", "bridge", "letters", "museum", "music", "paper", "poetry", "story",
+             "theatre"),
+    "life": ("city", "code", "cooking", "data", "health", "kitchen", "news", "sport", "travel"),
+    "papers": ("business", "culture", "economy", "opinion", "politics", "society", "world"),
+    "site": ("about", "article", "contact", "index", "page", "post", "wiki"),
+}
+BLOCKED_WORDS = tuple(word for words in BLOCKED_TOPICS.values() for word in words)
+ORDINARY_WORDS = tuple(word for words in ORDINARY_TOPICS.values() for word in words)
 _SYLLABLES = ("th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "of",
               "or", "nt", "ea", "ti", "to", "it", "st", "io", "le", "is", "ou", "ar", "as", "de",
               "tion", "ing", "ble", "wh", "ly", "sh", "ment", "que", "ung", "sch", "ción", "ado")
@@ -64,31 +71,52 @@ def host_and_path(url: str) -> tuple[Column, Column]:
     return host, F.regexp_extract(value, pattern, 2)
 
 
+def _pairs(words: tuple[str, ...], steps: tuple[int, ...]) -> list[str]:
+    return [f"{word}-{words[(at + step) % len(words)]}"
+            for at, word in enumerate(words) for step in steps]
+
+
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """``host, path, label``: words, alone and in pairs, and made-up names of syllables in hosts.
+    """``host, path, label``: words, alone and in pairs, and made-up names of syllables.
 
-    Each name comes with every front; ends and paths take turns alike in both classes. So only the
-    names tell the classes apart.
+    A URL is to be blocked if its host or its path has blocked words, so these stand in hosts with
+    ordinary paths, in paths of ordinary hosts, and in both. Each name comes with every front of a host;
+    ends, sections, numbers and tails take turns alike in both classes, so only words tell them apart.
     """
     fronts, ends = ("", "www.", "blog.", "m."), ("com", "net", "org")
     sections, tails = ("en", "de", "fr", "es"), ("", "/", ".html")
-
-    def pairs(words: tuple[str, ...], steps: tuple[int, ...]) -> list[str]:
-        return [f"{word}-{words[(at + step) % len(words)]}"
-                for at, word in enumerate(words) for step in steps]
-
     made_up = [first + _SYLLABLES[(at + step) % len(_SYLLABLES)] + third
                for at, first in enumerate(_SYLLABLES) for step in (0, 1, 3, 8, 13, 21)
                for third in ("", _SYLLABLES[(at * 7 + step) % len(_SYLLABLES)])]
-    classes = {
-        1.0: [*BLOCKED_WORDS, *pairs(BLOCKED_WORDS, (1, 5, 9, 14, 22))],
-        0.0: [*ORDINARY_WORDS, *pairs(ORDINARY_WORDS, (7, 19)), *made_up],
-    }
-    rows = [
-        (f"{front}{name}.example.{ends[(at + turn) % 3]}",
-         f"/{sections[(at // 3 + turn) % 4]}/{at * 37 % 997}{tails[at // 3 % 3]}", label)
-        for label, names in classes.items() for at, name in enumerate(names)
-        for turn, front in enumerate(fronts)]
+    bad = [*BLOCKED_WORDS, *_pairs(BLOCKED_WORDS, (1, 5, 9, 14, 22))]
+    fair = [*ORDINARY_WORDS, *_pairs(ORDINARY_WORDS, (7, 19)), *made_up]
+
+    def host(names: list[str], at: int, turn: int) -> str:
+        return f"{fronts[turn % 4]}{names[at % len(names)]}.example.{ends[(at + turn) % 3]}"
+
+    def path(names: list[str], at: int, turn: int) -> str:
+        """Four shapes of paths that hold a name."""
+        name, section = names[at % len(names)], sections[(at // 3 + turn) % 4]
+        other = fair[(at * 5 + turn * 11) % len(fair)]
+        return (f"/{section}/{name}{tails[at % 3]}", f"/{name}/{other}-{at * 37 % 997}.html",
+                f"/{section}/{other}/{other}-{name}-{turn}{tails[turn % 3]}",
+                f"/{other}/{2000 + at % 25}/{at % 12 + 1:02}/{name}_{turn}{tails[at // 2 % 3]}",
+                )[(at + turn) % 4]
+
+    def plain(at: int, turn: int) -> str:
+        return f"/{sections[(at // 3 + turn) % 4]}/{at * 37 % 997}{tails[at // 3 % 3]}"
+
+    turns = range(len(fronts))
+    rows = [(host(bad, at, turn), plain(at, turn) if turn % 2 else path(fair, at * 3 + turn, turn), 1.0)
+            for at in range(len(bad)) for turn in turns]
+    rows += [(host(fair, at * 7 + turn, turn), path(bad, at, turn), 1.0)
+             for at in range(len(bad)) for turn in turns]
+    rows += [(host(bad, at, turn), path(bad, at * 3 + 1, turn), 1.0)
+             for turn, at in enumerate(range(0, len(bad), 3))]
+    rows += [(host(fair, at, turn), plain(at, turn) if turn % 2 else path(fair, at * 3 + turn, turn), 0.0)
+             for at in range(len(fair)) for turn in turns]
+    rows += [(host(fair, at * 7 + turn, turn), path(fair, at, turn), 0.0)
+             for at in range(len(fair)) for turn in turns[:2]]
     return spark.createDataFrame(rows, "host string, path string, label double")
 
 
