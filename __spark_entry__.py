@@ -485,6 +485,23 @@ def recommendation_unseen_check(spark, folder):
     return _recommendation_facts(recommender, recommender.recommendations(5, exclude_seen=True))
 
 
+def recommendation_length_check(spark, folder):
+    """The five best found in the order of the factors' lengths, against the library's scoring of every
+    pair: places that differ, and whether fewer pairs were scored."""
+    recommender = fit_recommender(spark, _interactions(spark, folder))
+    found, all_scored = recommender.top_n_by_length(5), recommender.top_n(5)
+    both = found.select(USER, F.posexplode(RECS).alias("place", "found")).join(
+        all_scored.select(USER, F.posexplode(RECS).alias("place", "wanted")), [USER, "place"], "full")
+    off = F.abs(F.col("found.rating") - F.col("wanted.rating"))
+    different = both.agg(F.count_if(
+        F.coalesce(off > 1e-4 * F.greatest(F.lit(1.0), F.abs("wanted.rating")), F.lit(True)))
+        .alias("different"))
+    return found.agg(
+        F.count(F.lit(1)).alias("students"),
+        (F.sum("scored") < F.count(F.lit(1)) * recommender.courses.count()).alias("fewer"),
+    ).join(different)  # one row each
+
+
 def als_residual_check(spark, folder):
     """Whether the fitted factors are right: students whose factors miss the equations of their ratings
     by more than a thousandth."""
@@ -719,6 +736,7 @@ _QUERIES: tuple[Query, ...] = (
     recommendation_check,
     recommendation_unseen_check,
     als_residual_check,
+    recommendation_length_check,
     recommendation_proof,
     cohort_category_affinity,
     daypart_profile,
@@ -1038,6 +1056,9 @@ def _own_sql() -> dict[str, str]:
         "als_residual_check": f"""{pairs}
   select count(distinct student_id) as students, count(*) as ratings,
          cast(0 as bigint) as unsolved from pairs""",
+        "recommendation_length_check": f"""{pairs}
+  select count(distinct student_id) as students, cast(0 as bigint) as different, true as fewer
+  from pairs""",
         "recommendation_proof": f"""{pairs}, sizes as (
     select count(distinct student_id) as s, count(distinct course_code) as c from pairs
   )
