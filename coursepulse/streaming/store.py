@@ -67,7 +67,9 @@ class PopularityStore(_Lane):
     In complete mode the ``keep`` newest snapshots stay, so that a reader may take that many
     triggers to finish. In exact update mode the students' rows are kept beside the windows that they
     add up to; each trigger adds up anew only the windows it changed, reading just the days they are on,
-    which the trigger's own folders name.
+    which the trigger's own folders name. ``compact_every`` so many triggers the stream settles the
+    batches of its days, so that what a trigger reads doesn't grow with their number; readers may then
+    have to repeat a read that began before.
     """
 
     def __init__(
@@ -77,9 +79,10 @@ class PopularityStore(_Lane):
         mode: str = "update",
         exact: bool = False,
         keep: int = 10,
+        compact_every: int | None = None,
     ):
         super().__init__(mode, exact)
-        self.keep = keep
+        self.keep, self.compact_every = keep, compact_every
         if mode == "complete":
             self.table = VersionedTable(spark, path, model.COURSE_POPULARITY_HOURLY)
         else:
@@ -98,6 +101,13 @@ class PopularityStore(_Lane):
             self.table.write_version(self.windows_of(batch), number, writer)
             self.table.prune(self.keep)
             return None
+        changed = self._write_changes(batch, number, writer)
+        if self.compact_every and number and number % self.compact_every == 0:
+            for table in self.keyed:
+                table.compact()
+        return changed
+
+    def _write_changes(self, batch: DataFrame, number: int, writer: str) -> DataFrame | None:
         if not self.by_student:
             self.table.write_batch(self.windows_of(batch), number, writer)
             return None

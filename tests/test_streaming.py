@@ -113,6 +113,23 @@ def test_update_table_survives_compaction(spark, feed, tmp_path):
     assert (row.active_users, row.engagement_score, row.total_popularity) == (2, 3, 5)
 
 
+@pytest.mark.parametrize("exact", [True, False])
+def test_a_stream_compacts_its_own_tables(spark, feed, tmp_path, exact):
+    """What a trigger finds to read stays bounded, and the result is that of the batch."""
+    events = [[seen(f"s{n % 3}", f"10:{n:02d}:00"), seen(f"t{n}", f"11:{n:02d}:00")] for n in range(7)]
+    for batch in events:
+        feed.add(*batch)
+    store = PopularityStore(spark, f"{tmp_path}/out", "update", exact, compact_every=2)
+    source = spark.readStream.option("maxFilesPerTrigger", 1).text(str(feed.path))
+    await_all(start_popularity(ingest.interactions_from(source), store, f"{tmp_path}/cp",
+                               trigger=ONCE, state_partitions=2))
+    for table in store.keyed:
+        assert len(table.folders()) <= 3
+    rows = spark.createDataFrame([(json.dumps(e),) for batch in events for e in batch], "value string")
+    expected = pop.popularity(ingest.interactions_from(rows), exact=exact)
+    assert rows_of(store.windows()) == rows_of(expected)
+
+
 def test_rocksdb_state_and_settings_stay_with_the_query(spark, feed, tmp_path):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     feed.add(seen("a", "10:00:00"))
