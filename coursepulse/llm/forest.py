@@ -5,8 +5,8 @@ small; vectors close to a split go to both sides. Only vectors that share a leaf
 compared, exactly and in double precision, and the links are joined into components.
 
 Splits are fitted on a bounded sample of each node that is still too large, and every vector is then
-sent down them; that repeats until no node is too large, so trees grow with the data. Vectors equal
-in all components are one vector with a count.
+sent down them; that repeats until no node is too large, so trees grow with the data. Vectors of one
+direction are one vector with a count, whatever their lengths, so no leaf is full of them.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coursepulse.llm.folders import working_dir
@@ -92,6 +92,15 @@ def _unit(vectors) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
+def _direction(vector: str) -> Column:
+    """A vector's components over its length, to 12 digits: vectors that differ in length alone have one,
+    but for rounding."""
+    largest = F.nullif(F.array_max(F.transform(vector, F.abs)), F.lit(0.0))
+    scaled = F.transform(vector, lambda x: x / largest)  # squares can't overflow
+    length = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda total, x: total + x * x))
+    return F.transform(scaled, lambda x: F.round(x / length, 12) + F.lit(0.0))  # no negative zero
+
+
 def _child(node: np.ndarray, at: np.ndarray) -> np.ndarray:
     """A number for the node at heap position ``at`` below ``node``."""
     return mix(node.view(np.uint64) ^ mix(at.astype(np.uint64))).view(np.int64)
@@ -119,9 +128,10 @@ class EmbeddingLinks:
         usable = F.coalesce(F.size("exact") > 0, F.lit(False)) & F.coalesce(F.forall(
             "exact", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))),
             F.lit(False)) & F.coalesce(F.exists("exact", lambda x: x != 0), F.lit(False))
-        rows = rows.withColumn("usable", usable).withColumns({
-            "high": F.when(F.col("usable"), F.xxhash64("exact")),
-            "low": F.when(F.col("usable"), F.xxhash64("exact", F.lit(1)))})
+        rows = rows.withColumn("usable", usable).withColumn("direction", _direction("exact"))
+        rows = rows.withColumns({
+            "high": F.when(F.col("usable"), F.xxhash64("direction")),
+            "low": F.when(F.col("usable"), F.xxhash64("direction", F.lit(1)))}).drop("direction")
         keys = rows.groupBy("vec_id").agg(F.min(F.struct("high", "low")).alias("key"))
         keys = keys.select("vec_id", "key.high", "key.low")
         groups = keys.filter(F.col("high").isNotNull()).groupBy("high", "low").agg(

@@ -344,6 +344,22 @@ def test_links_match_brute_force(spark, monkeypatch, leaf):
         assert all(found[n] == (degree[n], label[n], n == label[n]) for n in degree)
 
 
+def test_one_direction_is_one_vector(spark, monkeypatch):
+    """Many vectors that differ in length alone: one row in the trees, all links counted."""
+    monkeypatch.setattr(forest, "LEAF", 32)
+    rng = np.random.default_rng(8)
+    base = [float(np.float32(x)) for x in rng.normal(size=8)]
+    rows = [(n, [x * 2.0 ** (n % 40 - 20) for x in base], "") for n in range(300)]
+    rows += [(1000, [-x for x in base], ""), (1001, [0.0, -0.0, 3.0] + [0.0] * 5, ""),
+             (1002, [0.0, 0.0, 7.0] + [-0.0] * 5, "")]
+    links = forest.EmbeddingLinks(spark.createDataFrame(rows, "vec_id long, embedding array<double>, x string"))
+    assert links.heads.count() == 3
+    found = {r["vec_id"]: tuple(r)[1:] for r in links.result().collect()}
+    assert all(found[n] == (299, 0, n == 0) for n in range(300))
+    assert found[1000] == (0, 1000, True)
+    assert found[1001] == (1, 1001, True) and found[1002] == (1, 1001, False)
+
+
 def test_recall_in_deep_trees(spark, monkeypatch):
     monkeypatch.setattr(forest, "LEAF", 64)
     monkeypatch.setattr(forest, "SAMPLE", 256)  # several rounds of splits
