@@ -145,7 +145,99 @@ def _shingles_sql(table: str, number: str) -> str:
 _TERMS = (rf"list_transform(regexp_extract_all(text, '{lexical.TERM}'), "
           "lambda t: translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))")
 
+
+
+def _placed(rows: str, text: str, pattern: str, columns: str) -> str:
+    """The matches of a pattern in each row's text, with their starts, and the pieces between them: the
+    i-th match follows the i-th piece."""
+    before = "list_sum(list_transform({}, lambda x: length(x)))"
+    return f"""
+  select {columns}, i, m[i] as found, p[i] as piece,
+         (coalesce({before.format('p[1:i]')}, 0) + coalesce({before.format('m[1:i-1]')}, 0))::bigint
+           as start
+  from (select *, unnest(range(1, len(p) + 1)) as i
+        from (select *, string_split_regex({text}, '{pattern}') as p,
+                     regexp_extract_all({text}, '{pattern}') as m from {rows}))"""
+
+
+def _either_case(words: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words)
+
+
+def _secrets_sql() -> str:
+    """Fixed shapes and windows by their definitions. RE2 looks neither back nor ahead, so ``_`` is
+    turned into another separator first, and then a term ends where a word does."""
+    quote = "[\"'']?"
+    assign = (f"({_either_case('password|passwd|secret|token|api_?key')}){quote}\\x20*[:=]\\x20*{quote}"
+              "([A-Za-z0-9+/_.=-]+)")
+    allow = "|".join([
+        r"\b[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}\b", r"\b(?:[A-Z]?[a-z]+)+\b",
+        r"\b[A-Z]+\b", r"\b[0-9]+\b", *secret_scan.ALLOW[4:7],
+        r"\b[A-Za-z0-9]*?(?:EXAMPLE|example|PLACEHOLDER|placeholder|CHANGEME|changeme)[A-Za-z0-9]*"])
+    worth = [secret_scan.fixed_entropy(count) for count in range(25)]
+    windows = " union all ".join(f"""
+  select r, pos + start as pos, found as run, {c.window} as width,
+         {secret_scan.most_order(c.window, c.bits)} as most
+  from ({_placed('stretches', 'stretch', f'[{c.characters}]{{{c.window},}}', 'r, pos')})
+  where found is not null""" for c in secret_scan.CLASSES)
+    return f"""
+with t as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
+fixed as (
+  select r, 'assign' as kind, 0 as rank, start, start + length(found) as stop
+  from ({_placed('t', 'text', assign, 'r')})
+  where length(regexp_extract(found, '^{assign}$', 2)) >= 6
+  union all
+  select r, 'access', 1, start, start + length(found)
+  from ({_placed('t', 'text', 'AKIA[A-Z0-9]+', 'r')}) where length(found) >= 20
+  union all
+  select r, 'hex', 2, start, start + length(found)
+  from ({_placed('t', 'text', '[0-9a-f]+', 'r')}) where length(found) >= 24
+), candidates as (
+  select r, start as pos, found as run
+  from ({_placed('t', 'text', '[A-Za-z0-9+/_=-]{20,}', 'r')}) where found is not null
+), cut as (
+  select r, pos, run, translate(run, '_', '+') as plain from candidates
+), stretches as (
+  select r, pos + stop - length(piece) as pos, substring(run, stop - length(piece) + 1, length(piece))
+           as stretch
+  from (select r, pos, run, piece, start as stop
+        from ({_placed('cut', 'plain', allow, 'r, pos, run')})) where length(piece) >= 20
+), windows as (
+  select r, pos + w as start, pos + w + width as stop
+  from (select *, unnest(range(0, length(run) - width + 1)) as w from ({windows}))
+  where list_sum(list_transform(
+    list_distinct(string_split(substring(run, w + 1, width), '')),
+    lambda c: {worth}[1 + length(substring(run, w + 1, width))
+                        - length(replace(substring(run, w + 1, width), c, ''))])) <= most
+), islands as (
+  select *, sum(first) over (partition by r order by start, stop) as island
+  from (select *, (coalesce(max(stop) over (partition by r order by start, stop
+                                            rows between unbounded preceding and 1 preceding), -1)
+                   < start)::int as first from windows)
+), merged as (
+  select r, 'entropy' as kind, 3 as rank, min(start) as start, max(stop) as stop
+  from islands group by r, island
+), spans as (
+  select * from fixed
+  union all
+  select * from merged where not exists (
+    select 1 from fixed f where f.r = merged.r and f.start <= merged.start and f.stop >= merged.stop)
+), lists as (
+  select r, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,
+         count(*) filter (kind = 'hex') as n_hex,
+         string_agg(kind || ':' || start || ':' || stop, ',' order by start, rank)
+           filter (rank < 3) as base,
+         string_agg(kind || ':' || start || ':' || stop, ',' order by start, rank) as spans
+  from spans group by r
+)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access,
+       coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256,
+       coalesce(spans, '') as spans
+from t left join lists using (r)"""
+
+
 SQL = {
+    "op12_secrets": _secrets_sql(),
     "op8_chat": r"""
 with c as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
