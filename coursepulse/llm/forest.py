@@ -93,12 +93,11 @@ def _unit(vectors) -> np.ndarray:
 
 
 def _direction(vector: str) -> Column:
-    """A vector's components over its length, to 12 digits: vectors that differ in length alone have one,
-    but for rounding."""
+    """A vector's components over its largest one, to 12 digits: vectors that differ in length alone have
+    the same, but for rounding. The largest is put beside each component, else it is sought for each."""
     largest = F.nullif(F.array_max(F.transform(vector, F.abs)), F.lit(0.0))
-    scaled = F.transform(vector, lambda x: x / largest)  # squares can't overflow
-    length = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda total, x: total + x * x))
-    return F.transform(scaled, lambda x: F.floor(x / length * 1e12 + 0.5))  # whole, which is cheap
+    beside = F.array_repeat(largest, F.size(vector))
+    return F.zip_with(vector, beside, lambda x, most: F.floor(x / most * 1e12 + 0.5))
 
 
 def _child(node: np.ndarray, at: np.ndarray) -> np.ndarray:
