@@ -9,45 +9,62 @@ tokens on one side alone become optional.
 What a host's pages have in common is its template. So texts that stay the same from page to page, and
 slots that mostly hold such texts (the entries of a menu), are no article; the element that holds the
 article is the one with the varying text; and a page's texts that fall on the article's slots are the
-main text. Names of elements and classes count besides, as hints. A wrapper is inferred from a few pages
-of its host, and applied to all of them.
+main text. Names of elements and classes count besides, as hints.
+
+A wrapper is inferred from all pages of its host, copies of a page counting once. Pages of one structure
+are one; structures are aligned in parts, and the parts with each other, until a host has one wrapper.
+Then all pages are matched with it, and what falls on its slots is counted: aggregates by host, slot,
+text and path, from which fixed texts and the article's element follow.
 """
 
 from __future__ import annotations
 
 import html
+import json
 import math
+import operator
 import pickle
 import re
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from difflib import SequenceMatcher
+from functools import lru_cache
+from itertools import groupby
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from coursepulse.llm.folders import working_dir
 from coursepulse.llm.urls import host_and_path
 from coursepulse.workspace import stored
 
-#: Pages of a host that its wrapper is inferred from.
-PAGES = 6
+#: Structures, or wrappers of parts of a host, that one task aligns with each other at a time.
+PARTS = 64
+#: The share of the pages with a node at the top of a wrapper, of those merged so far. What fewer pages
+#: have is not in common, and left out of the wrapper; their texts there are judged by their own tags.
+RARE = 0.05
 #: Parts of folded pages that are aligned by their longest common runs; longer ones are split first where
 #: something stands once in both.
 ALIGNED = 3000
-#: A text is fixed if it is the same on all sampled pages with its place, and these are so many of all.
-MOST_PAGES = 2 / 3
+#: A slot has fixed texts if it is on this share of the pages, and a text is fixed if this share of the
+#: pages with its slot have it (up to nine pages, all of them).
+MOST_PAGES, SAME_TEXT = 2 / 3, 0.9
 #: Pages that have to agree on a text for it to be fixed in a slot whose texts vary otherwise.
 LEAST_PAGES = 3
 #: The share of an article element's text that may be fixed. If more is, the pages are copies.
 MOST_FIXED = 0.3
 #: Tokens of the longest block that is looked for as a repeated group.
 PERIOD = 24
-#: Page ids a broadcast may hold.
-MOST_SENT = 2_000_000
+#: Counts a task adds up before it hands them on.
+MOST_COUNTS = 200_000
+#: Copies of pages that a broadcast may name.
+MOST_SENT = 500_000
+#: For sums of pages, which have a share of a page for each of its copies.
+CLOSE = 1e-6
 
 # fixed values: element names of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -119,10 +136,12 @@ def _label(name: str, attributes: str) -> str:
     return f"<{' '.join([name, *sorted(set(marks))])}>"
 
 
+@lru_cache(4096)
 def _name(label: str) -> str:
     return label.strip("</>").split(" ")[0]
 
 
+@lru_cache(4096)
 def _apart(label: str) -> bool:
     """Whether an opening tag's element is no article text."""
     name, *marks = label.strip("<>").split(" ")
@@ -132,7 +151,7 @@ def _apart(label: str) -> bool:
 # --- wrappers -------------------------------------------------------------------------------
 
 
-@dataclass
+@dataclass(slots=True)
 class Node:
     """A part of a wrapper: a tag, a text, or a repeated group with a body."""
 
@@ -140,19 +159,16 @@ class Node:
     text: str | None = None  # a fixed text; None is a slot
     body: list[Node] = field(default_factory=list)
     optional: bool = False
-    article: bool = False
-    around: tuple[str, bool] = ("", False)  # a text's element, and whether the holder is open
-    fixed: frozenset[str] = frozenset()  # of a slot, the texts that belong to the template
+    pages: float = 1  # that have it
     places: list[tuple[int, int]] = field(default_factory=list)  # pages and tokens it stands for
+    key: str = ""
 
-    @property
-    def key(self) -> str:
-        return self.label if not self.body else f"({' '.join(node.key for node in self.body)})+"
+    def __post_init__(self) -> None:
+        self.key = f"({' '.join(node.key for node in self.body)})+" if self.body else self.label
 
 
 def page_nodes(found: list[tuple[str, str]], page: int = 0) -> list[Node]:
-    return [Node(label, " ".join(text.split()) if label == "#" else None, places=[(page, at)])
-            for at, (label, text) in enumerate(found)]
+    return [Node(label, places=[(page, at)]) for at, (label, _) in enumerate(found)]
 
 
 def _merge(kept: Node, other: Node) -> Node:
@@ -160,20 +176,21 @@ def _merge(kept: Node, other: Node) -> Node:
     if kept.body:
         for mine, theirs in zip(kept.body, other.body, strict=True):
             _merge(mine, theirs)
-    elif kept.label == "#" and kept.text != other.text:
-        kept.text = None
     kept.places += other.places
     kept.optional |= other.optional
+    kept.pages = max(kept.pages, other.pages)
     return kept
 
 
 def fold(nodes: list[Node]) -> list[Node]:
     """Folds blocks that follow each other twice or more, shorter blocks first."""
+    keys = [node.key for node in nodes]
     for period in range(1, PERIOD + 1):
         if 2 * period > len(nodes):
             break
-        keys = [node.key for node in nodes]
-        same = [keys[at] == keys[at + period] for at in range(len(keys) - period)]
+        same = list(map(operator.eq, keys, keys[period:]))
+        if sum(same) < period:
+            continue
         out, at, run = [], 0, 0
         ahead = [0] * (len(same) + 1)  # how many positions from here on equal those a period later
         for place in range(len(same) - 1, -1, -1):
@@ -196,6 +213,7 @@ def fold(nodes: list[Node]) -> list[Node]:
                 out.append(nodes[at])
                 at += 1
         nodes = out
+        keys = [node.key for node in nodes]
     return nodes
 
 
@@ -212,7 +230,9 @@ def fold_known(nodes: list[Node], bodies: dict[str, int]) -> list[Node]:
     while at < len(nodes):
         for length, key in sorted(firsts.get(keys[at].split(" ")[0], ()), reverse=True):
             if f"({' '.join(keys[at : at + length])})+" == key:
-                group = Node("", body=nodes[at : at + length])
+                body = nodes[at : at + length]
+                group = Node("", body=body, optional=any(node.optional for node in body),
+                             pages=max(node.pages for node in body))
                 if out and out[-1].key == key:
                     _merge(out[-1], group)
                 else:
@@ -284,11 +304,42 @@ def align(wrapper: list[Node], page: list[Node]) -> list[Node]:
             node.optional = True
             out.append(node)
         a, c = at + size, there + size
-        out += [_merge(mine, theirs)
-                for mine, theirs in zip(wrapper[at:a], page[there:c], strict=True)]
+        for mine, theirs in zip(wrapper[at:a], page[there:c], strict=True):
+            pages = mine.pages + theirs.pages
+            out.append(_merge(mine, theirs))
+            out[-1].pages = pages
     return out
 
 
+def align_all(parts: Iterable[tuple[list[Node], float]]) -> tuple[list[Node], float]:
+    """The wrapper that fits all parts, and its number of pages. Parts are wrappers, or structures of
+    pages, with theirs."""
+    nodes: list[Node] | None = None
+    total = 0.0
+    for part, pages in parts:
+        nodes = part if nodes is None else align(nodes, part)
+        total += pages
+    return [node for node in nodes or () if node.pages >= RARE * total - CLOSE], total
+
+
+def pack(nodes: list[Node]) -> str:
+    """Nodes as text, without their places."""
+    def shape(node: Node) -> str | list:
+        return [shape(part) for part in node.body] if node.body else node.label
+    return json.dumps([[shape(node), round(node.pages, 6), int(node.optional)] for node in nodes],
+                      ensure_ascii=False, separators=(",", ":"))
+
+
+def unpack(packed: str, pages: float | None = None) -> list[Node]:
+    """The nodes of a text; ``pages``, if given, is how many have each."""
+    def node(shape: str | list, **more) -> Node:
+        if isinstance(shape, str):
+            return Node(shape, **more)
+        return Node("", body=[node(part) for part in shape], **more)
+    return [node(shape, pages=has if pages is None else pages, optional=bool(optional))
+            for shape, has, optional in json.loads(packed)]
+
+
 class Path:
     """The open elements at a point of a token stream."""
 
@@ -323,42 +374,86 @@ def _leaves(nodes: list[Node]) -> Iterator[Node]:
             yield node
 
 
+@dataclass
+class Slot:
+    """What is the template's in a slot: its fixed texts' digests, and whether all that falls there."""
+
+    template: bool
+    fixed: frozenset[int]
+    around: tuple[str, bool]  # a text's element, and whether the holder is open
+
+
 @dataclass
 class Wrapper:
-    """The nodes of a wrapper, and the label of the element that holds the article."""
+    """The nodes of a wrapper, the label of the element that holds the article, and the slots that hold
+    texts of the template, by their number among the nodes' texts."""
 
     nodes: list[Node]
     holder: str | None
+    slots: dict[int, Slot] = field(default_factory=dict)
     known: dict[tuple, list[tuple[int, int, int]]] = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        self.bodies = _bodies(self.nodes)
+        self.keys = [node.key for node in self.nodes]
+        self.numbers, number = [], 0  # of each node's texts
+        for node in self.nodes:
+            self.numbers.append([])
+            for leaf in _leaves([node]):
+                self.numbers[-1].append(number if leaf.label == "#" else -1)
+                number += leaf.label == "#"
+
+    def __reduce__(self) -> tuple:
+        return Wrapper, (self.nodes, self.holder, self.slots)
+
     @classmethod
     def infer(cls, pages: list[str]) -> Wrapper:
-        nodes: list[Node] = []
+        """The wrapper of these pages; ``infer_wrappers`` does the same to each host of a table."""
+        pages = list(dict.fromkeys(pages))
+        shapes = Counter(pack(fold(page_nodes(tokens(page)))) for page in pages)
+        wrapper = cls(align_all((unpack(shape, number), number) for shape, number
+                                in sorted(shapes.items(), key=_order))[0], None)
         found = [tokens(page) for page in pages]
-        for at, page in enumerate(found):
-            seen = fold(page_nodes(page, at))
-            nodes = align(nodes, seen) if at else seen
-        slots = [node for node in _leaves(nodes) if node.label == "#"]
-        template = set()
-        for slot in slots:
-            template |= _fix(slot, found, len(pages))
-        holder = _holder(found, template)
-        if holder is not None and _name(holder) in ("article", "main") and _copies(
-                found, holder, template):
-            for slot in slots:
-                slot.fixed = frozenset()
-        path = Path()
-        for node in _leaves(nodes):
-            if node.label == "#":
-                mostly = bool(node.fixed) and _share(node.places, found, template) >= 0.5
-                node.article = _inside(path.open, holder) and not mostly
-                if len({page for page, _ in node.places}) < LEAST_PAGES:
-                    node.fixed = frozenset()
-                node.around = _around(path.open, holder)
-            else:
-                path.step(node.label)
-            node.places = []
-        return cls(nodes, holder)
+        slots = [wrapper.places(page) for page in found]
+        texts: dict[int, dict[str, set[int]]] = {}
+        for page, (tags, on) in enumerate(zip(found, slots, strict=True)):
+            for (_, text), slot in zip(tags, on, strict=True):
+                if slot >= 0:
+                    texts.setdefault(slot, {}).setdefault(" ".join(text.split()), set()).add(page)
+        fixed: dict[int, set[str]] = {}
+        having = {slot: len(set().union(*held.values())) for slot, held in texts.items()}
+        for slot, held in texts.items():
+            if having[slot] >= max(2, MOST_PAGES * len(pages) - CLOSE):
+                fixed[slot] = {text for text, on in held.items()
+                               if text and len(on) >= SAME_TEXT * having[slot] - CLOSE}
+        template = {(page, at) for page, (tags, on) in enumerate(zip(found, slots, strict=True))
+                    for at, slot in enumerate(on) if slot >= 0
+                    and " ".join(tags[at][1].split()) in fixed.get(slot, ())}
+        wrapper.holder = _holder(found, template)
+        if not _copies(found, wrapper.holder, template):
+            chars: dict[int, Counter] = {}
+            for page, (tags, on) in enumerate(zip(found, slots, strict=True)):
+                path = Path()
+                for at, (label, text) in enumerate(tags):
+                    if label != "#":
+                        path.step(label)
+                    elif fixed.get(on[at]):
+                        chars.setdefault(on[at], Counter())[
+                            tuple(path.open), (page, at) in template] += len(text)
+            for slot, held in chars.items():
+                paths = Counter()
+                for (path, _), count in held.items():
+                    paths["\n".join(path)] += count
+                most = max(paths, key=lambda path: (paths[path], path))
+                ours = sum(count for (_, is_fixed), count in held.items() if is_fixed)
+                wrapper.slots[slot] = Slot(
+                    ours >= 0.5 * sum(held.values()),
+                    frozenset(map(_digest, fixed[slot])) if having[slot] >= LEAST_PAGES else frozenset(),
+                    _around(most.split("\n") if most else [], wrapper.holder))
+        leaves = [node for node in _leaves(wrapper.nodes) if node.label == "#"]
+        for slot, held in texts.items():
+            leaves[slot].text = next(iter(held)) if len(held) == 1 else None
+        return wrapper
 
     def pattern(self) -> str:
         """The wrapper as a regular expression over tokens."""
@@ -372,46 +467,57 @@ class Wrapper:
             return f"( {found} )?" if node.optional else found
         return " ".join(write(node) for node in self.nodes)
 
-    def extract(self, page: str) -> str:
-        """The main text of a page."""
-        found = tokens(page)
-        nodes = fold_known(fold(page_nodes(found)), _bodies(self.nodes))
+    def places(self, found: list[tuple[str, str]]) -> list[int]:
+        """The slot that each token of a page falls on; -1 for tags, and texts that fall on none."""
+        nodes = fold_known(fold(page_nodes(found)), self.bodies)
         keys = tuple(node.key for node in nodes)
         blocks = self.known.get(keys)
         if blocks is None:
-            blocks = matching([n.key for n in self.nodes], list(keys))
+            blocks = matching(self.keys, list(keys))
             if len(self.known) < 500:
                 self.known[keys] = blocks
+        slots = [-1] * len(found)
+        for a, c, size in blocks:
+            for number in range(size):
+                for slot, held in zip(self.numbers[a + number], _leaves([nodes[c + number]]),
+                                      strict=True):
+                    if slot >= 0:
+                        for _, at in held.places:
+                            slots[at] = slot
+        return slots
+
+    def extract(self, page: str) -> str:
+        """The main text of a page."""
+        found = tokens(page)
         holder = self.holder
         if holder is not None and all(label != holder for label, _ in found):
             holder = _holder([found])  # of another template than the wrapper's holder
-        article, around = [False] * len(found), [("", False)] * len(found)
-        path = Path()  # for texts in places the wrapper doesn't have
-        for at, (label, _) in enumerate(found):
-            if label == "#":
-                article[at] = _inside(path.open, holder)
-                around[at] = _around(path.open, holder)
-            else:
-                path.step(label)
-        for a, c, size in blocks:
-            for mine, theirs in zip(self.nodes[a : a + size], nodes[c : c + size], strict=True):
-                for slot, held in zip(_leaves([mine]), _leaves([theirs]), strict=True):
-                    if held.label != "#":
-                        continue
-                    for _, place in held.places:
-                        if around[place] == slot.around:
-                            article[place] = slot.article and not (
-                                slot.fixed and " ".join(found[place][1].split()) in slot.fixed)
         pieces = []
-        for (label, text), wanted in zip(found, article, strict=True):
-            if label == "#":
-                if wanted:
+        path = Path()
+        for (label, text), place in zip(found, self.places(found), strict=True):
+            if label != "#":
+                path.step(label)
+                if _name(label) not in INLINE:
+                    pieces.append(" ")
+            elif _inside(path.open, holder):
+                slot = self.slots.get(place)
+                if slot is None or _around(path.open, holder) != slot.around or not (
+                        slot.template or (slot.fixed and _digest(text) in slot.fixed)):
                     pieces.append(html.unescape(text))
-            elif _name(label) not in INLINE:
-                pieces.append(" ")
         return " ".join("".join(pieces).split())
 
 
+def _order(shape: tuple[str, float]) -> tuple[float, str]:
+    """Structures of most pages first."""
+    return -shape[1], shape[0]
+
+
+def _digest(text: str) -> int:
+    """A text's digest, white space made alike, as a signed number of 64 bits."""
+    found = xxh3_64_intdigest(" ".join(text.split()).encode("utf-8", "surrogatepass"))
+    return found - (1 << 64) if found >> 63 else found
+
+
 def _around(path: list[str], holder: str | None) -> tuple[str, bool]:
     """What a text and the slot it falls on must have in common."""
     return path[-1] if path else "", holder in path
@@ -427,28 +533,11 @@ def _inside(path: list[str], holder: str | None) -> bool:
     return not any(_apart(label) for label in path)
 
 
-def _fix(slot: Node, pages: list[list[tuple[str, str]]], number: int) -> set[tuple[int, int]]:
-    """Notes a slot's fixed texts, and returns where they stand."""
-    on: dict[str, set[int]] = {}
-    for page, at in slot.places:
-        on.setdefault(" ".join(pages[page][at][1].split()), set()).add(page)
-    all_pages = {page for page, _ in slot.places}
-    if len(all_pages) < max(2, math.ceil(MOST_PAGES * number)):
-        return set()
-    slot.fixed = frozenset(text for text, held in on.items() if text and held == all_pages)
-    return {(page, at) for page, at in slot.places
-            if " ".join(pages[page][at][1].split()) in slot.fixed}
-
-
-def _share(places: list[tuple[int, int]], pages: list[list[tuple[str, str]]],
-           template: set[tuple[int, int]]) -> float:
-    """The template's share of the characters at these places."""
-    chars = {place: len(pages[place[0]][place[1]][1]) for place in places}
-    return sum(chars[place] for place in places if place in template) / max(1, sum(chars.values()))
-
-
-def _copies(pages: list[list[tuple[str, str]]], holder: str, template: set[tuple[int, int]]) -> bool:
+def _copies(pages: list[list[tuple[str, str]]], holder: str | None,
+            template: set[tuple[int, int]]) -> bool:
     """Whether too much inside of an article element is the same on all pages."""
+    if holder is None or _name(holder) not in ("article", "main"):
+        return False
     fixed = total = 0
     for page, found in enumerate(pages):
         path = Path()
@@ -473,8 +562,7 @@ def _holder(pages: list[list[tuple[str, str]]],
             if tag != "#":
                 path.step(tag)
                 continue
-            if (page, at) in template or any(
-                    _apart(label) or _name(label) in ("a", "head", "header") for label in path.open):
+            if (page, at) in template or not _telling(path.open):
                 continue
             total += len(text)
             for place, label in enumerate(dict.fromkeys(path.open)):
@@ -482,41 +570,277 @@ def _holder(pages: list[list[tuple[str, str]]],
                 depth[label] = max(depth.get(label, 0), place)
     if not total:
         return _holder(pages) if template else None
-    for test in (lambda name, marks: name == "article",
-                 lambda name, marks: name == "main" or "main" in marks):
-        fit = [label for label in held
-               if test(_name(label), label.strip("<>").split(" ")[1:]) and held[label]]
+    for kind in (ARTICLE, MAIN):
+        fit = [label for label in held if _kind(label) == kind and held[label]]
         if fit:
             return max(fit, key=lambda label: (held[label], label))
-    most = [label for label in held if held[label] >= 0.9 * total
-            and _name(label) not in INLINE | HEADINGS | {"p", "html", "body"}]
+    most = [label for label in held if held[label] >= 0.9 * total and _kind(label) == OTHER]
     return max(most, key=lambda label: (depth[label], label)) if most else None
 
 
+def _telling(path: list[str]) -> bool:
+    """Whether texts at this path tell where the article is."""
+    return not any(_apart(label) or _name(label) in ("a", "head", "header") for label in path)
+
+
+# fixed values: kinds of elements that may hold an article
+ARTICLE, MAIN, OTHER, NONE = range(4)
+
+
+@lru_cache(4096)
+def _kind(label: str) -> int:
+    name, marks = _name(label), label.strip("<>").split(" ")[1:]
+    if name == "article":
+        return ARTICLE
+    if name == "main" or "main" in marks:
+        return MAIN
+    return NONE if name in INLINE | HEADINGS | {"p", "html", "body"} else OTHER
+
+
 # --- tables ---------------------------------------------------------------------------------
 
 
+def _single_pages(pages: DataFrame) -> DataFrame:
+    """``host, html, share``: all pages; the copies of a page on its host have equal shares of it."""
+    rows = pages.select(host_and_path("url")[0].alias("host"),
+                        F.coalesce("html", F.lit("")).alias("html"))
+    digest = [F.xxhash64("html").alias("digest"), F.length("html").alias("chars")]
+    copied = stored(
+        rows.select("host", *digest).groupBy("host", "digest", "chars").agg(F.count("*").alias("copies"))
+        .filter("copies > 1"), working_dir(pages.sparkSession, "copies"))
+    if copied.count() <= MOST_SENT:
+        copied = F.broadcast(copied)
+    return rows.select("*", *digest).join(copied, ["host", "digest", "chars"], "left").select(
+        "host", "html", F.coalesce(1 / F.col("copies"), F.lit(1.0)).alias("share"))
+
+
+def _structures(rows: DataFrame) -> DataFrame:
+    """``host, part, pages``: the structures of a host's pages."""
+    def shapes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def taken() -> pd.DataFrame:
+            return pd.DataFrame([(*key, pages) for key, pages in seen.items()],
+                                columns=["host", "part", "pages"])
+
+        seen: dict[tuple[str, str], float] = {}
+        chars = 0
+        for batch in batches:
+            for host, page, share in zip(batch["host"], batch["html"], batch["share"], strict=True):
+                key = host, pack(fold(page_nodes(tokens(page))))
+                if key not in seen:
+                    chars += len(key[1])
+                seen[key] = seen.get(key, 0.0) + share
+                if chars >= 100 * MOST_COUNTS:
+                    yield taken()
+                    seen, chars = {}, 0
+        if seen:
+            yield taken()
+
+    return rows.mapInPandas(shapes, "host string, part string, pages double").groupBy(
+        "host", "part").agg(F.round(F.sum("pages"), 6).alias("pages"))
+
+
+def _aligned(structures: DataFrame) -> DataFrame:
+    """``host, part, pages``, one row per host: its pages' structures aligned, some at a time by their
+    hash, and what that gives again, until there is one part."""
+    spark = structures.sparkSession
+
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def given() -> Iterator[tuple]:
+            for batch in batches:
+                yield from zip(batch["host"], batch["number"], batch["part"], batch["pages"], strict=True)
+
+        merged = []
+        for (host, _), group in groupby(given(), key=lambda row: row[:2]):
+            nodes, pages = align_all((unpack(part, pages if first else None), pages)
+                                     for *_, part, pages in group)
+            merged.append((host, pack(nodes), round(pages, 6)))
+            if len(merged) >= PARTS:
+                yield pd.DataFrame(merged, columns=["host", "part", "pages"])
+                merged = []
+        if merged:
+            yield pd.DataFrame(merged, columns=["host", "part", "pages"])
+
+    parts, first, most = stored(structures, working_dir(spark, "structures")), True, 2
+    while most > 1:
+        parts = parts.join(parts.groupBy("host").agg(F.count("*").alias("of")), "host")
+        merged = (
+            parts.filter(F.lit(first) | (F.col("of") > 1))
+            .withColumn("number", F.pmod(F.xxhash64("part"), F.ceil(F.col("of") / PARTS)))
+            .repartition("host", "number").sortWithinPartitions("host", "number", F.desc("pages"), "part")
+            .mapInPandas(merge, "host string, part string, pages double"))
+        if not first:
+            merged = merged.unionByName(parts.filter("of = 1").drop("of"))
+        parts, first = stored(merged, working_dir(spark, "parts")), False
+        most = parts.groupBy("host").count().agg(F.max("count")).first()[0] or 0
+    return parts
+
+
+def _counts(rows: DataFrame) -> DataFrame:
+    """What is on the slots, by ``host, slot, text, path``: pages, of all that have them, and
+    characters. A row without path has the pages of a slot, without slot those of the host; one with
+    ``labels`` has what the path's number stands for. Texts in no slot have the slot -1 and no text."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def taken() -> pd.DataFrame:
+            host, slot, text, path, labels = zip(*seen, strict=True)
+            pages, chars = zip(*seen.values(), strict=True)
+            return pd.DataFrame({  # digests don't fit floating point numbers
+                "host": host, "slot": pd.array(slot, "Int64"), "text": pd.array(text, "Int64"),
+                "path": pd.array(path, "Int64"), "labels": labels, "pages": pages, "chars": chars})
+
+        def add(key: tuple, pages: float, chars: float = 0.0) -> None:
+            has = seen.setdefault(key, [0.0, 0.0])
+            has[0] += pages
+            has[1] += chars
+
+        seen: dict[tuple, list[float]] = {}
+        known: dict[str, Wrapper] = {}
+        paths: dict[tuple[str, ...], tuple[int, str]] = {}
+        for batch in batches:
+            for host, page, share, part in zip(
+                    batch["host"], batch["html"], batch["share"], batch["part"], strict=True):
+                wrapper = known.get(part)
+                if wrapper is None:
+                    if len(known) >= 200:
+                        known.clear()
+                    known[part] = wrapper = Wrapper(unpack(part), None)
+                found = tokens(page)
+                open_ones, on_page = Path(), set()
+                add((host, None, None, None, None), share)
+                for (label, text), slot in zip(found, wrapper.places(found), strict=True):
+                    if label != "#":
+                        open_ones.step(label)
+                        continue
+                    place = tuple(open_ones.open)
+                    if place not in paths:
+                        if len(paths) >= MOST_COUNTS:
+                            paths.clear()
+                        labels = "\n".join(place)
+                        paths[place] = _digest(labels), labels
+                    path, labels = paths[place]
+                    seen.setdefault((host, None, None, path, labels), [0.0, 0.0])
+                    digest = None
+                    if slot >= 0:
+                        digest = _digest(text)
+                        if slot not in on_page:
+                            on_page.add(slot)
+                            add((host, slot, None, None, None), share)
+                    new = slot >= 0 and (slot, digest) not in on_page
+                    if new:
+                        on_page.add((slot, digest))
+                    add((host, slot, digest, path, None), share if new else 0.0, share * len(text))
+                if len(seen) >= MOST_COUNTS:
+                    yield taken()
+                    seen = {}
+        if seen:
+            yield taken()
+
+    return rows.mapInPandas(count, "host string, slot long, text long, path long, labels string, "
+                                   "pages double, chars double").groupBy(
+        "host", "slot", "text", "path", "labels").agg(
+        F.round(F.sum("pages"), 6).alias("pages"), F.round(F.sum("chars"), 3).alias("chars"))
+
+
+def _holders(held: DataFrame) -> DataFrame:
+    """``host, holder``, as ``_holder`` finds it, from ``host, labels, chars, ours``."""
+    telling, kind = (F.udf(lambda labels: _telling(labels), "boolean"),
+                     F.udf(lambda label: _kind(label), "int"))
+    paths = held.groupBy("host", "labels").agg(F.sum("chars").alias("chars"), F.sum("ours").alias("ours"))
+    paths = paths.filter(telling("labels"))
+
+    def best(chars: Column) -> tuple[list[Column], Column]:
+        """Aggregates over a host's labels, and the holder from them."""
+        name = F.col("label")
+        found = [F.max(F.when((F.col("kind") == want) & (chars > CLOSE), F.struct(chars.alias("c"), name)))
+                 for want in (ARTICLE, MAIN)]
+        found.append(F.max(F.when((F.col("kind") == OTHER) & (chars >= 0.9 * F.col("total") - CLOSE),
+                                  F.struct(F.col("depth").alias("c"), name))))
+        return found, F.coalesce(*[f"label{at}" for at in range(3)])
+
+    totals = paths.groupBy("host").agg(F.sum("chars").alias("all"),
+                                       F.sum(F.col("chars") - F.col("ours")).alias("varying"))
+    labels = paths.select("host", "chars", (F.col("chars") - F.col("ours")).alias("varying"),
+                          F.posexplode(F.array_distinct("labels")).alias("depth", "label"))
+    # by varying text alone, if there is any, else by all
+    labels = labels.join(totals.select("host", (F.col("varying") > CLOSE).alias("varies"),
+                                       F.when(F.col("varying") > CLOSE, F.col("varying"))
+                                       .otherwise(F.col("all")).alias("total")), "host")
+    labels = labels.withColumn("chars", F.when(F.col("varies"), F.col("varying")).otherwise(F.col("chars")))
+    labels = labels.filter(F.col("chars") > CLOSE).groupBy("host", "label", "total").agg(
+        F.round(F.sum("chars"), 3).alias("chars"), F.max("depth").alias("depth"))
+    found, holder = best(F.col("chars"))
+    return labels.withColumn("kind", kind("label")).groupBy("host").agg(
+        *[one["label"].alias(f"label{at}") for at, one in enumerate(found)]).select(
+        "host", holder.alias("holder"))
+
+
 def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """``host, wrapper``: each host's wrapper, from at most PAGES of its pages, chosen by a hash."""
+    """``host, wrapper``: each host's wrapper, from all of its pages."""
     spark = pages.sparkSession
-    ids = pages.select(host_and_path("url")[0].alias("host"), "page_id")
-    order = Window.partitionBy("host").orderBy(F.xxhash64("page_id"), "page_id")
-    chosen = stored(
-        ids.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= PAGES)
-        .select("page_id").filter(F.col("page_id").isNotNull()).distinct(),
-        working_dir(spark, "chosen"))
-    if chosen.count() <= MOST_SENT:
-        chosen = F.broadcast(chosen)
-    sample = pages.select("page_id", host_and_path("url")[0].alias("host"),
-                          F.coalesce("html", F.lit("")).alias("html")).join(
-        chosen, "page_id", "left_semi")
-
-    def infer(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("html").sort_values(["page_id", "html"], kind="stable")
-        wrapper = Wrapper.infer(list(group["html"][:PAGES]))
-        return pd.DataFrame({"host": [group["host"].iloc[0]], "wrapper": [pickle.dumps(wrapper)]})
-
-    return stored(sample.groupBy("host").applyInPandas(infer, "host string, wrapper binary"),
+    rows = _single_pages(pages)
+    parts = _aligned(_structures(rows))
+    counts = stored(_counts(rows.join(parts.select("host", "part"), "host")),
+                    working_dir(spark, "counts"))
+    number = counts.filter("slot IS NULL AND path IS NULL").select("host", F.col("pages").alias("of"))
+    having = counts.filter("slot IS NOT NULL AND path IS NULL").select(
+        "host", "slot", F.col("pages").alias("having"))
+    texts = counts.filter("text IS NOT NULL")
+    fixed = stored(  # a fixed text is on two pages at least, or nearly
+        texts.filter(F.col("text") != _digest("")).groupBy("host", "slot", "text")
+        .agg(F.sum("pages").alias("pages")).filter(F.col("pages") >= 2 * SAME_TEXT - CLOSE)
+        .join(having, ["host", "slot"]).join(number, "host")
+        .filter((F.col("having") >= F.greatest(F.lit(2.0), MOST_PAGES * F.col("of")) - CLOSE)
+                & (F.col("pages") >= SAME_TEXT * F.col("having") - CLOSE))
+        .select("host", "slot", "text", "having"), working_dir(spark, "fixed"))
+    paths = counts.filter("labels IS NOT NULL").select(
+        "host", "path", F.filter(F.split("labels", "\n"), lambda label: label != "").alias("labels"))
+    ours = texts.join(fixed.select("host", "slot", "text"), ["host", "slot", "text"]).groupBy(
+        "host", "path").agg(F.sum("chars").alias("ours"))
+    held = stored(
+        counts.filter("slot IS NOT NULL AND path IS NOT NULL").groupBy("host", "path")
+        .agg(F.sum("chars").alias("chars")).join(ours, ["host", "path"], "left")
+        .join(paths, ["host", "path"])
+        .select("host", "labels", "chars", F.coalesce("ours", F.lit(0.0)).alias("ours")),
+        working_dir(spark, "held"))
+    holders = stored(_holders(held), working_dir(spark, "holders"))
+
+    kind = F.udf(lambda label: _name(label) in ("article", "main"), "boolean")
+    inside = F.udf(lambda labels, holder: _inside(labels, holder), "boolean")
+    copies = held.join(holders.filter(F.col("holder").isNotNull() & kind("holder")), "host").filter(
+        inside("labels", "holder")).groupBy("host").agg(
+        F.sum("chars").alias("chars"), F.sum("ours").alias("ours")).filter(
+        F.col("ours") > MOST_FIXED * F.col("chars") + CLOSE)
+
+    kept = fixed.join(copies, "host", "left_anti")
+    slots = kept.groupBy("host", "slot").agg(
+        F.sort_array(F.collect_list(F.when(F.col("having") >= LEAST_PAGES - CLOSE, F.col("text"))))
+        .alias("fixed"))
+    around = texts.join(slots.select("host", "slot"), ["host", "slot"]).join(
+        kept.select("host", "slot", "text", F.lit(True).alias("ours")), ["host", "slot", "text"], "left")
+    around = around.groupBy("host", "slot", "path").agg(
+        F.round(F.sum("chars"), 3).alias("chars"),
+        F.sum(F.when(F.col("ours"), F.col("chars")).otherwise(0.0)).alias("ours"))
+    around = around.join(paths, ["host", "path"]).groupBy("host", "slot").agg(
+        (F.sum("ours") >= 0.5 * F.sum("chars") - CLOSE).alias("template"),
+        F.max(F.struct("chars", F.array_join("labels", "\n").alias("most")))["most"].alias("around"))
+    slots = slots.join(around, ["host", "slot"]).groupBy("host").agg(
+        F.collect_list(F.struct("slot", "template", "fixed", "around")).alias("slots"))
+
+    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            packed = []
+            for part, holder, slots in zip(batch["part"], batch["holder"], batch["slots"], strict=True):
+                wrapper = Wrapper(unpack(part), holder)
+                for slot in slots if slots is not None else ():
+                    around = slot["around"].split("\n") if slot["around"] else []
+                    wrapper.slots[slot["slot"]] = Slot(
+                        bool(slot["template"]), frozenset(map(int, slot["fixed"])),
+                        _around(around, holder))
+                packed.append(pickle.dumps(wrapper))
+            yield pd.DataFrame({"host": batch["host"], "wrapper": packed})
+
+    built = parts.join(holders, "host", "left").join(slots, "host", "left").select(
+        "host", "part", "holder", "slots")
+    return stored(built.mapInPandas(build, "host string, wrapper binary"),
                   working_dir(spark, "wrappers"))
 
 
@@ -524,8 +848,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars``, one row per row of ``page_id, url, html``.
 
     Null HTML is empty, and an empty page has an empty text. Pages without a host in their URL share
-    one wrapper; those of a host without any known page id get that of an empty page. Blocks are
-    joined in page order by one space. Other columns are not read.
+    one wrapper. Blocks are joined in page order by one space. Other columns are not read.
     """
     wrappers = infer_wrappers(pages)
     rows = pages.select("page_id", "url", "html", host_and_path("url")[0].alias("host")).join(

@@ -203,6 +203,96 @@ def test_main_text_of_all_pages_is_the_article(spark, sf_dir):
     assert {r["page_id"]: r["text"] for r in found} == {k: plain(v) for k, v in given.items()}
 
 
+def _table(spark, pages, host="h.org"):
+    return spark.createDataFrame([(n, f"http://{host}/{n}", page) for n, page in enumerate(pages)],
+                                 "page_id long, url string, html string")
+
+
+def _hashed_first(spark, number, of):
+    """The ids that a hash orders first: no choice of pages may stand for the others."""
+    rows = spark.range(of).orderBy(F.xxhash64("id"), "id").limit(number).collect()
+    return {row["id"] for row in rows}
+
+
+def test_all_pages_of_a_host_count(spark):
+    """Six pages agree on a paragraph, and differ in a notice, unlike the host's other pages."""
+    odd = _hashed_first(spark, 6, 100)
+
+    def page(n):
+        text = "The mayor spoke at length" if n in odd else f"Somebody spoke {n} {'at length ' * 4}"
+        note = f"Written by {n}" if n in odd else "Read our letter every week"
+        return (f"<body><div class=cell><a href=/>Start</a></div><div class=wrap><h1>Title {n}</h1><p>{text}"
+                f"</p><div class=x7>{note}</div><ul><li>Point of {n}</li></ul></div></body>")
+
+    pages = [page(n) for n in range(100)]
+    found = {r["page_id"]: r["text"] for r in wrappers.main_text(_table(spark, pages)).collect()}
+    for n, text in found.items():
+        assert ("The mayor spoke" if n in odd else f"Somebody spoke {n}") in text
+        assert f"Title {n}" in text and f"Point of {n}" in text
+        assert "letter" not in text and "Start" not in text
+
+
+@pytest.mark.parametrize("parts", [64, 3])
+def test_wrappers_of_a_table_are_those_of_the_pages(spark, monkeypatch, parts):
+    """One round of aligning, or several; each host for itself."""
+    monkeypatch.setattr(wrappers, "PARTS", parts)
+    rng = random.Random(7)
+
+    def page(n, kind):
+        blocks = [rng.choice(("<p>{}</p>", "<h2>{}</h2>", "<ul><li>{}</li><li>x</li></ul>",
+                              "<table><tr><td>{}</td></tr></table>")).format(f"block {n} {i} of text")
+                  for i in range(rng.randrange(1, 7))]
+        return _neutral(n).replace("<h1>", f"<{kind}>").replace("</h1>", f"</{kind}>" + "".join(blocks))
+
+    hosts = {"a.org": [page(n, "h1") for n in range(30)], "b.org": [page(n, "h3") for n in range(12)],
+             "c.org": [_page(n, [f"one {n}", f"two {n}"]) for n in range(5)], "d.org": [_neutral(1)],
+             "e.org": [""]}
+    given = [(n, f"http://{host}/{n}", page) for host, pages in hosts.items()
+             for n, page in enumerate(pages)]
+    rows = spark.createDataFrame(given + given[:20], "page_id long, url string, html string")
+    found = {r["host"]: wrappers.pickle.loads(r["wrapper"]) for r in wrappers.infer_wrappers(rows).collect()}
+    assert found.keys() == hosts.keys()
+    for host, pages in hosts.items():
+        alone = Wrapper.infer(pages)
+        assert found[host].holder == alone.holder
+        assert [found[host].extract(page) for page in pages] == [alone.extract(page) for page in pages]
+        if parts == 64:
+            assert found[host].slots == alone.slots
+            assert [node.key for node in found[host].nodes] == [node.key for node in alone.nodes]
+    assert any(slot.fixed for slot in found["a.org"].slots.values())
+    assert all("Copyright" not in found["a.org"].extract(page) for page in hosts["a.org"])
+
+
+def test_copies_of_a_page_count_once(spark):
+    """Their text isn't the template, though most pages of the host have it."""
+    pages = [_neutral(1)] * 60 + [_neutral(n) for n in range(2, 9)]
+    found = {r["page_id"]: r["text"] for r in wrappers.main_text(_table(spark, pages)).collect()}
+    assert len(found) == 67
+    for n in range(60):
+        assert found[n].startswith("Title 1 Paragraph 1-0 some words") and "Copyright" not in found[n]
+    for n in range(2, 9):
+        assert found[58 + n].startswith(f"Title {n} Paragraph {n}-0") and "World" not in found[58 + n]
+
+
+def test_partitions_without_pages(spark):
+    rows = spark.createDataFrame(spark.sparkContext.parallelize(
+        [(n, "http://h.org/", page) for n, page in enumerate(PAGES)], 20),
+        "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in wrappers.main_text(rows).collect()}
+    assert found == {0: _want(1, ["one two", "three"]), 1: _want(2, ["four"]),
+                     2: _want(3, ["five", "six", "seven"])}
+
+
+def test_what_few_pages_have_is_no_part_of_the_wrapper():
+    pages = [_neutral(n).replace("<h1>", f"<h6 class=c{'abcdefghij'[n % 10] * (n // 10 + 1)}>x</h6><h1>")
+             for n in range(100)]
+    found = Wrapper.infer(pages)
+    assert len(found.nodes) < 2 * len(fold(page_nodes(tokens(pages[0]))))
+    for n in (0, 57, 99):
+        text = found.extract(pages[n])
+        assert f"Title {n}" in text and f"Paragraph {n}-0" in text and "Copyright" not in text
+
+
 # --- URLs -----------------------------------------------------------------------------------
 
 
